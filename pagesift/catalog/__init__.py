@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pagesift.catalog import urls
+from pagesift.catalog import extraction, text, urls
 
-MODULES = (urls,)
+MODULES = (urls, extraction, text)
 
 
 def queries() -> dict:

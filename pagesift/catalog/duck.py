@@ -74,19 +74,27 @@ def registered_domain(host_col: str) -> str:
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " "))
 
 
-def decode_entities(text: str) -> str:
-    out = text
+def decode_ctes(source: str, columns: str, prefix: str, text: str = "t") -> str:
+    """CTE chain from ``source`` to ``<prefix>4`` whose column ``t`` has its character references decoded."""
+    named = text
     for name, char in ENTITIES:
-        out = rep(out, name, char)
+        named = rep(named, name, char)
     valid = "(({c} > 0 AND {c} < 55296) OR ({c} > 57343 AND {c} <= 1114111))"
-    dec = "regexp_replace(e_, '[^0-9]', '', 'g')::INT"
-    hexa = "('0x' || regexp_replace(substr(e_, 4), '[^0-9a-fA-F]', '', 'g'))::INT"
-    for pattern, code in (("&#[0-9]{1,7};", dec), ("&#[xX][0-9a-fA-F]{1,6};", hexa)):
-        out = (
-            f"list_reduce(list_distinct(regexp_extract_all({out}, '{pattern}')), lambda a_, e_: "
-            f"CASE WHEN {valid.format(c=code)} THEN replace(a_, e_, chr({code})) ELSE a_ END, {out})"
+
+    def step(pattern: str, code: str) -> str:
+        return (
+            f"list_reduce(list_distinct(regexp_extract_all(t, '{pattern}')), lambda a_, e_: "
+            f"CASE WHEN {valid.format(c=code)} THEN replace(a_, e_, chr({code})) ELSE a_ END, t)"
         )
-    return rep(out, "&amp;", "&")
+
+    dec = step("&#[0-9]{1,7};", "regexp_replace(e_, '[^0-9]', '', 'g')::INT")
+    hexa = step("&#[xX][0-9a-fA-F]{1,6};", "('0x' || regexp_replace(substr(e_, 4), '[^0-9a-fA-F]', '', 'g'))::INT")
+    return (
+        f"{prefix}1 AS (SELECT {columns}, {named} AS t FROM {source}), "
+        f"{prefix}2 AS (SELECT {columns}, {dec} AS t FROM {prefix}1), "
+        f"{prefix}3 AS (SELECT {columns}, {hexa} AS t FROM {prefix}2), "
+        f"{prefix}4 AS (SELECT {columns}, {rep('t', '&amp;', '&')} AS t FROM {prefix}3)"
+    )
 
 
 INVISIBLE = ("head", "script", "style", "noscript", "template")
@@ -112,27 +120,10 @@ def tidy(text: str) -> str:
     return rx(out, r"^[ \t\n]+|[ \t\n]+$")
 
 
-def extract_text_ctes(source: str, key: str, html: str = "html", extra: str = "") -> str:
-    """CTE chain ending in ``extracted(key, text)``; entity decoding sees its text as a column."""
-    named = "t"
-    for name, char in ENTITIES:
-        named = rep(named, name, char)
-    valid = "(({c} > 0 AND {c} < 55296) OR ({c} > 57343 AND {c} <= 1114111))"
-    dec = "regexp_replace(e_, '[^0-9]', '', 'g')::INT"
-    hexa = "('0x' || regexp_replace(substr(e_, 4), '[^0-9a-fA-F]', '', 'g'))::INT"
-
-    def step(pattern: str, code: str) -> str:
-        return (
-            f"list_reduce(list_distinct(regexp_extract_all(t, '{pattern}')), lambda a_, e_: "
-            f"CASE WHEN {valid.format(c=code)} THEN replace(a_, e_, chr({code})) ELSE a_ END, t)"
-        )
-
-    cols = f"{key}{extra}"
+def extract_text_ctes(source: str, columns: str, html: str = "html", out: str = "extracted") -> str:
+    """CTE chain ending in ``<out>`` with the columns and ``text``."""
     return (
-        f"x1 AS (SELECT {cols}, {visible_markup(html)} AS t FROM {source}), "
-        f"x2 AS (SELECT {cols}, {named} AS t FROM x1), "
-        f"x3 AS (SELECT {cols}, {step('&#[0-9]{1,7};', dec)} AS t FROM x2), "
-        f"x4 AS (SELECT {cols}, {step('&#[xX][0-9a-fA-F]{1,6};', hexa)} AS t FROM x3), "
-        f"x5 AS (SELECT {cols}, {rep('t', '&amp;', '&')} AS t FROM x4), "
-        f"extracted AS (SELECT {cols}, {tidy('t')} AS text FROM x5)"
+        f"{out}0 AS (SELECT {columns}, {visible_markup(html)} AS t FROM {source}), "
+        f"{decode_ctes(out + '0', columns, out)}, "
+        f"{out} AS (SELECT {columns}, {tidy('t')} AS text FROM {out}4)"
     )

@@ -6,11 +6,12 @@ import unicodedata
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from pagesift.functions.text import classifier_line, cut_lines, one_line
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(text: pd.Series) -> pd.Series:
     return text.map(lambda s: None if s is None else unicodedata.normalize("NFKC", s))
 
