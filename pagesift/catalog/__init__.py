@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pagesift.catalog import extraction, text, urls
+from pagesift.catalog import decontam, dedup, extraction, text, urls
 
-MODULES = (urls, extraction, text)
+MODULES = (urls, extraction, text, dedup, decontam)
 
 
 def queries() -> dict:

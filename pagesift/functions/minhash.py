@@ -6,9 +6,12 @@ p = 2**31 - 1, so every product fits a 64-bit integer in any engine.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from pagesift.functions.hashing import PRIME31
 
@@ -24,22 +27,30 @@ def coefficients(count: int = BUCKETS * HASHES, seed: int = 1) -> list[tuple[int
     return list(zip(a.tolist(), b.tolist()))
 
 
-def signature_udf(buckets: int = BUCKETS, hashes: int = HASHES, seed: int = 1):
-    """Arrow function: array of shingle hashes to its array of minima."""
+def minima(shingles: pa.Array, pairs: list[tuple[int, int]], hashes: int) -> pa.Array:
+    """For each array of shingle hashes one array of minima per bucket; empty without shingles."""
+    lengths = np.asarray(shingles.value_lengths().fill_null(0))
+    filled = lengths[lengths > 0]
+    lowest = np.zeros((filled.size, len(pairs)), dtype=np.int64)
+    if filled.size:
+        values = np.asarray(shingles.flatten()).astype(np.int64)
+        starts = np.concatenate(([0], np.cumsum(filled)[:-1]))
+        for k, (a, b) in enumerate(pairs):
+            lowest[:, k] = np.minimum.reduceat((values * a + b) % PRIME31, starts)
+    inner = np.arange(0, lowest.size + 1, hashes, dtype=np.int32)
+    outer = np.concatenate(([0], np.cumsum(np.where(lengths > 0, len(pairs) // hashes, 0)))).astype(np.int32)
+    buckets = pa.ListArray.from_arrays(pa.array(inner), pa.array(lowest.reshape(-1)))
+    return pa.ListArray.from_arrays(pa.array(outer), buckets)
+
+
+def signatures(rows: DataFrame, id_col: str, buckets: int, hashes: int, seed: int) -> DataFrame:
+    """Rows ``(id, shingles array<bigint>)`` to ``(id, minima array<array<bigint>>)``, one Arrow batch at a time."""
     pairs = coefficients(buckets * hashes, seed)
 
-    @F.arrow_udf("array<bigint>")
-    def signature(shingles: pa.Array) -> pa.Array:
-        n = len(shingles)
-        lengths = np.asarray(shingles.value_lengths().fill_null(0))
-        filled = np.flatnonzero(lengths)
-        out = np.zeros((n, len(pairs)), dtype=np.int64)
-        if filled.size:
-            values = np.asarray(shingles.flatten()).astype(np.int64)
-            starts = np.concatenate(([0], np.cumsum(lengths[filled])[:-1]))
-            for k, (a, b) in enumerate(pairs):
-                out[filled, k] = np.minimum.reduceat((values * a + b) % PRIME31, starts)
-        offsets = np.concatenate(([0], np.cumsum(np.where(lengths > 0, len(pairs), 0)))).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(out[filled].reshape(-1)))
-
-    return signature
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), minima(batch.column(1), pairs, hashes)], [id_col, "minima"])
+
+    kind = rows.schema[id_col].dataType
+    schema = StructType([StructField(id_col, kind), StructField("minima", ArrayType(ArrayType(LongType())))])
+    return rows.mapInArrow(sign, schema)

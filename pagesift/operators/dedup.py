@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pagesift.functions import text as T
 from pagesift.functions.binding import let
 from pagesift.functions.hashing import md5_31
-from pagesift.functions.minhash import BUCKETS, HASHES, signature_udf
+from pagesift.functions.minhash import BUCKETS, HASHES, signatures
 from pagesift.operators.joins import ROWS_PER_TASK, count_keys, salted_join
 from pagesift.session import materialize
 
@@ -66,31 +66,27 @@ def minhash_signature(
     text: str = "text",
 ) -> DataFrame:
     """Rows ``(id, bucket, bucket_key)``; texts shorter than ``n`` words have none."""
-    minima = signature_udf(buckets, hashes, seed)
-    signed = df.select(id_col, minima(shingle_hashes(F.col(text), n, hash_fn)).alias("minima"))
-    keys = F.transform(
-        F.sequence(F.lit(0), F.size("minima") / hashes - 1),
-        lambda b: F.md5(F.array_join(F.slice(F.col("minima"), (b * hashes + 1).cast("int"), hashes), "-")),
-    )
-    keys = F.when(F.size("minima") > 0, keys).otherwise(F.array().cast("array<string>"))
-    return signed.select(id_col, F.posexplode(keys).alias("bucket", "bucket_key"))
+    shingles = df.select(id_col, shingle_hashes(F.col(text), n, hash_fn).alias("shingles"))
+    signed = signatures(shingles, id_col, buckets, hashes, seed)
+    rows = signed.select(id_col, F.posexplode("minima").alias("bucket", "values"))
+    return rows.select(id_col, "bucket", F.md5(F.array_join("values", "-")).alias("bucket_key"))
 
 
-def minhash_pairs(signatures: DataFrame, id_col: str = "doc_id", rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def minhash_pairs(signed: DataFrame, id_col: str = "doc_id", rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Distinct edges ``(u, v)``, u < v, from the smallest id of a bucket to its other members.
 
     A bucket of n documents gives n - 1 edges, never all pairs.
     """
     keys = ["bucket", "bucket_key"]
-    signatures = materialize(signatures, "signatures")
+    signed = materialize(signed, "signatures")
     shared = materialize(
-        signatures.groupBy(*keys)
+        signed.groupBy(*keys)
         .agg(F.min(id_col).alias("u"), F.count(F.lit(1)).alias("n"))
         .where("n > 1"),
         "shared-buckets",
     )
     sizes = shared.select(*keys, "n")
-    members = salted_join(signatures, shared.drop("n"), keys, sizes, "inner", rows_per_task)
+    members = salted_join(signed, shared.drop("n"), keys, sizes, "inner", rows_per_task)
     return members.where(F.col(id_col) > F.col("u")).select("u", F.col(id_col).alias("v")).distinct()
 
 
