@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pagesift.catalog import decontam, dedup, extraction, text, urls
+from pagesift.catalog import decontam, dedup, extraction, ingest, quality, text, urls
 
-MODULES = (urls, extraction, text, dedup, decontam)
+MODULES = (ingest, urls, extraction, text, quality, dedup, decontam)
 
 
 def queries() -> dict:
