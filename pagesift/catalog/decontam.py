@@ -23,13 +23,13 @@ def _index(spark, sf, **options):
     return C.index_build(C.task_grams(_pairs(spark, sf), N, **options))
 
 
-def _written_index(spark, sf):
+def written_index(spark, sf):
     """The index as the filter gets it: a written table."""
     return materialize(_index(spark, sf, query_ngrams=True), "index")
 
 
 def _hits(spark, sf):
-    return C.join_contamination(X.documents(spark, sf), _written_index(spark, sf), N)
+    return C.join_contamination(X.documents(spark, sf), written_index(spark, sf), N)
 
 
 def gold_explode(spark, sf):
@@ -79,7 +79,7 @@ def first_contaminated_gram(spark, sf):
 
 def contam_filter(spark, sf):
     docs = X.documents(spark, sf)
-    out = C.contam_filter(docs, _written_index(spark, sf), n=N)
+    out = C.contam_filter(docs, written_index(spark, sf), n=N)
     return out.select("doc_id", "disposition", "contaminated_ngram", "contaminated_task")
 
 
@@ -135,7 +135,7 @@ def hit_ctes(index: str, tokens: str, n: int, before_stop: str = "true") -> str:
     )
 
 
-_HITS = hit_ctes(_FULL, K.words("text"), N)
+FULL_HITS = _HITS = hit_ctes(_FULL, K.words("text"), N)
 _PUNCT_INDEX = X.index_ctes(5, query=True).replace(
     f"pair_tokens AS (SELECT task, {K.words('query')} AS q, {K.words('label')} AS a FROM pairs)",
     f"pair_tokens AS (SELECT task, {K.words('query', True)} AS q, {K.words('label', True)} AS a FROM pairs)",

@@ -159,16 +159,17 @@ _SIGNATURES = (
     )
     + ")"
 )
-_EDGES = (
+EDGES = (
     f"{_SIGNATURES}, firsts AS (SELECT bucket, bucket_key, min(doc_id) AS u FROM sigs GROUP BY ALL), "
     "edges AS MATERIALIZED (SELECT DISTINCT u, doc_id AS v FROM sigs JOIN firsts USING (bucket, bucket_key) WHERE doc_id > u)"
 )
-_CLUSTERS = (
-    f"RECURSIVE {_EDGES}, both_ways AS (SELECT u AS a, v AS b FROM edges UNION SELECT v, u FROM edges), "
+COMPONENTS = (
+    ", both_ways AS (SELECT u AS a, v AS b FROM edges UNION SELECT v, u FROM edges), "
     "reach AS (SELECT a, b FROM both_ways UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON r.b = e.a), "
     "labels_ AS (SELECT a AS doc_id, least(a, min(b)) AS cluster_id FROM reach GROUP BY a), "
     "clusters AS MATERIALIZED (SELECT doc_id, cluster_id, count(*) OVER (PARTITION BY cluster_id) AS dup_count FROM labels_)"
 )
+_CLUSTERS = f"RECURSIVE {EDGES}{COMPONENTS}"
 _REMOVE = "removed AS (SELECT source AS file, doc_id FROM clusters JOIN documents USING (doc_id) WHERE doc_id <> cluster_id)"
 _META = (
     "meta AS (SELECT cluster_id AS doc_id, count(*) AS dup_count, count(DISTINCT source) AS n_files, min(source) AS first_file, "
@@ -178,7 +179,7 @@ _KEPT = (
     f"{_CLUSTERS}, {_REMOVE}, {_META}, kept AS (SELECT d.*, coalesce(meta.dup_count, 1) AS dup_count FROM documents d "
     "LEFT JOIN meta USING (doc_id) WHERE doc_id NOT IN (SELECT doc_id FROM removed))"
 )
-_INTERVAL = (
+INTERVAL = (
     "CASE WHEN dup_count = 1 THEN '1-1' WHEN dup_count BETWEEN 2 AND 5 THEN '2-5' WHEN dup_count BETWEEN 6 AND 10 THEN '6-10' "
     "WHEN dup_count BETWEEN 11 AND 100 THEN '11-100' WHEN dup_count BETWEEN 101 AND 1000 THEN '101-1000' ELSE '1001-inf' END"
 )
@@ -193,8 +194,8 @@ SQL = {
     "exact_dedup_global": "SELECT doc_id, source FROM documents WHERE doc_id IN (SELECT min(doc_id) FROM documents GROUP BY text)",
     "keep_first_duplicate": "SELECT min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY text",
     "minhash_signature": f"WITH {_SIGNATURES} SELECT doc_id, bucket, bucket_key FROM sigs",
-    "minhash_pairs": f"WITH {_EDGES} SELECT u, v FROM edges",
-    "jaccard_verify": f"WITH {_EDGES}, sizes AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id), "
+    "minhash_pairs": f"WITH {EDGES} SELECT u, v FROM edges",
+    "jaccard_verify": f"WITH {EDGES}, sizes AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id), "
     "common AS (SELECT u, v, count(*) AS c FROM edges JOIN sh x ON x.doc_id = u JOIN sh y ON y.doc_id = v AND y.gram = x.gram GROUP BY u, v) "
     "SELECT u, v, round(c / (a.n + b.n - c), 6) AS jaccard FROM common JOIN sizes a ON a.doc_id = u JOIN sizes b ON b.doc_id = v "
     "WHERE c / (a.n + b.n - c) >= 0.5",
@@ -209,9 +210,9 @@ SQL = {
     "dup_removal": f"WITH {_KEPT} SELECT doc_id, lang, n_chars, dup_count FROM kept",
     "files_without_dups": f"WITH {_CLUSTERS}, f AS (SELECT doc_id, source || '/' || (n_chars // 1000) AS file FROM documents) "
     "SELECT DISTINCT file FROM f WHERE file NOT IN (SELECT file FROM f WHERE doc_id IN (SELECT doc_id FROM clusters))",
-    "dup_distribution": f"WITH {_KEPT} SELECT {_INTERVAL} AS dup_interval, count(*) AS n_docs, sum(dup_count)::BIGINT AS n_copies FROM kept GROUP BY 1",
-    "dup_intervals": f"WITH {_KEPT} SELECT doc_id, dup_count, {_INTERVAL} AS dup_interval FROM kept",
+    "dup_distribution": f"WITH {_KEPT} SELECT {INTERVAL} AS dup_interval, count(*) AS n_docs, sum(dup_count)::BIGINT AS n_copies FROM kept GROUP BY 1",
+    "dup_intervals": f"WITH {_KEPT} SELECT doc_id, dup_count, {INTERVAL} AS dup_interval FROM kept",
     "dup_intervals_by_count": "WITH c AS (SELECT count(*) AS dup_count FROM lineitem GROUP BY l_partkey, l_returnflag) "
-    f"SELECT {_INTERVAL} AS dup_interval, count(*) AS n_groups, sum(dup_count)::BIGINT AS n_rows FROM c GROUP BY 1",
-    "reorganize": f"WITH {_KEPT} SELECT doc_id, dup_count, {_INTERVAL} AS dup_interval, 'CC-MAIN-2024-' || (10 + doc_id % 3) AS dump, md5(text) AS text_md5 FROM kept",
+    f"SELECT {INTERVAL} AS dup_interval, count(*) AS n_groups, sum(dup_count)::BIGINT AS n_rows FROM c GROUP BY 1",
+    "reorganize": f"WITH {_KEPT} SELECT doc_id, dup_count, {INTERVAL} AS dup_interval, 'CC-MAIN-2024-' || (10 + doc_id % 3) AS dump, md5(text) AS text_md5 FROM kept",
 }

@@ -145,7 +145,7 @@ def benchmark_tasks(spark: SparkSession, sf: str) -> DataFrame:
         F.array_join(F.slice(words, half + 1, F.size(words)), " ").alias("label"),
     )
     # Some items have two accepted answers.
-    golds = F.when(item % 5 == 0, F.array("label", F.upper("label"))).otherwise(F.array("label"))
+    golds = F.when(item % 5 == 0, F.array("label", F.concat(F.lit("so "), "label"))).otherwise(F.array("label"))
     return base.select("item_id", "task", "query", golds.alias("golds"))
 
 
@@ -154,7 +154,7 @@ TASKS = (
     "(item_id % 3) END AS task, array_to_string(w[1:(len(w) // 2)], ' ') AS query, "
     "array_to_string(w[(len(w) // 2) + 1:], ' ') AS label FROM (SELECT item_id, string_split(text, ' ') AS w FROM benchmark)), "
     "pairs AS (SELECT item_id, task, query, label FROM tasks UNION ALL "
-    "SELECT item_id, task, query, upper(label) FROM tasks WHERE item_id % 5 = 0), "
+    "SELECT item_id, task, query, 'so ' || label FROM tasks WHERE item_id % 5 = 0), "
     f"pair_tokens AS (SELECT task, {K.words('query')} AS q, {K.words('label')} AS a FROM pairs)"
 )
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pagesift.catalog import duck as K
 from pagesift.catalog import fixtures as X
+from pagesift.catalog import quality as Q
 from pagesift.functions import encoding as E
 from pagesift.operators import listings as L
 from pagesift.operators import models as ML
@@ -193,7 +194,7 @@ def _raw_tasks(spark, sf):
     values = {
         "body": "q", "Body": "q", "question": "q", "Question": "a", "problem": "q", "input": "q",
         "answer": "a", "Answer": F.substring("a", 1, 40), "cot": F.reverse("a"), "solution": "a", "rationale": F.concat(F.lit('"'), "a", F.lit('"')),
-        "target": "a", "options": F.upper("q"),
+        "target": "a", "options": F.reverse("q"),
     }
     out = {}
     for task, schema in TK.SCHEMAS.items():
@@ -303,8 +304,8 @@ def excluded_writer(spark, sf):
 
 
 def extraction_job(spark, sf):
-    """Archives to counters: URL rules, decoding, extraction, language, topic, per dump of the record's day."""
-    records = WA.scan_warc(spark, _write_archives(spark, sf)).withColumn("cc_path", F.date_format("ts", "yyyy-MM-dd"))
+    """Archives to counters: URL rules, decoding, extraction, language, topic, per minute of the record's time."""
+    records = WA.scan_warc(spark, _write_archives(spark, sf)).withColumn("cc_path", F.date_format("ts", "yyyy-MM-dd HH:mm"))
     records = records.withColumn("record_idx", F.unix_timestamp("ts"))
     lang = materialize(ML.train_text_model(X.documents(spark, sf), "lang"), "lang-model")
     labels = scan(spark, sf, "labels").select("doc_id", "quality")
@@ -355,11 +356,11 @@ _RAW_SQL = (
     ("asdiv", "q", "a"),
     ("gsm8k", "q", "reverse(a) || ' ' || a"),
     ("math", "q", "a"),
-    ("mathqa", "q || ' ' || upper(q)", "a"),
+    ("mathqa", "q || ' ' || reverse(q)", "a"),
     ("mawps", "q", "a"),
     ("mmlu_stem", "q", "'A: ' || coalesce(w[1], 'None') || ' B: ' || coalesce(w[2], 'None') || ' C: ' || coalesce(w[3], 'None') || ' D: ' || coalesce(w[4], 'None') || ' Answer: ' || a"),
     ("ocw", "q", "a || ' ' || a"),
-    ("sat", "q", "upper(q) || ' ' || substr(a, 1, 40)"),
+    ("sat", "q", "reverse(q) || ' ' || substr(a, 1, 40)"),
     ("svamp", "q || ' ' || a", "substr(a, 1, 40)"),
     ("aime24", "q", "a"),
     ("aime25", "q", "a"),
@@ -416,6 +417,21 @@ SQL = {
     "overwrite_policy": "SELECT lang, count(*) * CASE WHEN lang = 'en' THEN 2 ELSE 1 END AS n, "
     "(sum(n_chars) * CASE WHEN lang = 'en' THEN 2 ELSE 1 END)::BIGINT AS chars FROM documents GROUP BY lang",
     "excluded_writer": f"WITH {X.JUDGED} SELECT page_id, url_disposition AS disposition FROM judged",
+    "extraction_job": f"WITH {X.JUDGED}, {K.extract_text_ctes('pages', 'page_id')}, "
+    "page_texts AS (SELECT page_id AS doc_id, text FROM extracted JOIN judged USING (page_id) WHERE url_disposition = 'kept' AND text <> ''), "
+    f"{Q.model_ctes('documents', 'lang', 'l_')}, {Q.score_ctes('page_texts', 'l_')}, "
+    "langs AS (SELECT doc_id, max_by(label, round(score, 9) + 1e-12 * ascii(label)) AS lang, max(score) AS lang_score FROM l_scores GROUP BY doc_id), "
+    "english AS (SELECT page_texts.* FROM page_texts JOIN langs USING (doc_id) WHERE lang = 'en' AND lang_score >= 0.65), "
+    "labelled AS (SELECT documents.*, quality FROM documents JOIN labels USING (doc_id)), "
+    f"{Q.model_ctes('labelled', 'quality', 'm_')}, {Q.score_ctes('english', 'm_')}, "
+    "math AS (SELECT doc_id, max(score) AS math_score FROM m_scores WHERE label = '1' GROUP BY doc_id), "
+    "steps AS (SELECT strftime(TIMESTAMP '2024-01-01' + page_id * INTERVAL 1 SECOND, '%Y-%m-%d %H:%M') AS file_path, math_score, "
+    "CASE WHEN url_disposition <> 'kept' THEN 'url_filtered' WHEN e.text = '' THEN 'doc_extraction_empty' "
+    "WHEN english.doc_id IS NULL THEN 'language_filtered' ELSE 'doc_remaining' END AS disposition FROM judged JOIN extracted e USING (page_id) "
+    "LEFT JOIN english ON english.doc_id = page_id LEFT JOIN math ON math.doc_id = page_id) "
+    "SELECT file_path, count(*) AS doc_input, " + ", ".join(f"count(*) FILTER (disposition = '{c}') AS {c}" for c in S.DROP_CLASSES)
+    + ", count(*) FILTER (disposition = 'doc_remaining' AND math_score >= 0.8) AS math_retained, "
+    "count(*) FILTER (disposition = 'doc_remaining') AS doc_remaining FROM steps GROUP BY file_path",
     "reextract_join": f"WITH {X.JUDGED}, {K.extract_text_ctes('pages', 'page_id')} "
     "SELECT page_id, text FROM extracted JOIN judged USING (page_id) WHERE url_disposition = 'kept'",
     "ingest_incremental": "SELECT doc_id, lang, n_chars FROM documents",

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pagesift.catalog import decontam as C
+from pagesift.catalog import dedup as D
 from pagesift.catalog import duck as K
 from pagesift.catalog import fixtures as X
 from pagesift.operators import models as M
 from pagesift.operators import quality as Q
 from pagesift.plans.curation import curate
 from pagesift.session import materialize
-from pagesift.catalog.decontam import _written_index
 from pagesift.sources.tables import scan
 
 
@@ -106,7 +107,7 @@ def score_threshold_report(spark, sf):
 
 def curated_corpus(spark, sf):
     """The whole chain: lines, documents, exact and near duplicates, contamination, intervals."""
-    out = curate(X.documents(spark, sf), _written_index(spark, sf))
+    out = curate(X.documents(spark, sf), C.written_index(spark, sf))
     return out.select("doc_id", "dup_count", "dup_interval", F.md5("text").alias("text_md5"))
 
 
@@ -154,31 +155,57 @@ def quality_ctes(source: str) -> str:
     )
 
 
-def model_ctes(source: str, label: str) -> str:
-    """Ends in ``weights(token, label, weight)`` and ``priors(label, prior)``."""
+def model_ctes(source: str, label: str, p: str = "") -> str:
+    """Ends in ``<p>weights(token, label, weight)`` and ``<p>priors(label, prior)``."""
     return (
-        f"lt AS MATERIALIZED (SELECT doc_id, {label}::VARCHAR AS label, {K.words('text')} AS w FROM {source} WHERE {label} IS NOT NULL), "
-        "tc AS MATERIALIZED (SELECT label, token, count(*) AS n FROM (SELECT label, unnest(w) AS token FROM lt) GROUP BY ALL), "
-        "tot AS (SELECT label, sum(n) AS total FROM tc GROUP BY label), voc AS (SELECT count(DISTINCT token) AS v FROM tc), "
-        "priors AS (SELECT label, ln(count(*) / (SELECT count(*) FROM lt)) AS prior FROM lt GROUP BY label), "
-        "weights AS MATERIALIZED (SELECT t.token, p.label, ln((coalesce(tc.n, 0) + 1) / (coalesce(tot.total, 0) + (SELECT v FROM voc))) AS weight "
-        "FROM (SELECT DISTINCT token FROM tc) t CROSS JOIN priors p LEFT JOIN tc ON tc.token = t.token AND tc.label = p.label LEFT JOIN tot ON tot.label = p.label)"
+        f"{p}lt AS MATERIALIZED (SELECT doc_id, {label}::VARCHAR AS label, {K.words('text')} AS w FROM {source} WHERE {label} IS NOT NULL), "
+        f"{p}tc AS MATERIALIZED (SELECT label, token, count(*) AS n FROM (SELECT label, unnest(w) AS token FROM {p}lt) GROUP BY ALL), "
+        f"{p}tot AS (SELECT label, sum(n) AS total FROM {p}tc GROUP BY label), {p}voc AS (SELECT count(DISTINCT token) AS v FROM {p}tc), "
+        f"{p}priors AS (SELECT label, ln(count(*) / (SELECT count(*) FROM {p}lt)) AS prior FROM {p}lt GROUP BY label), "
+        f"{p}weights AS MATERIALIZED (SELECT t.token, p.label, ln((coalesce(c.n, 0) + 1) / (coalesce(tot.total, 0) + (SELECT v FROM {p}voc))) AS weight "
+        f"FROM (SELECT DISTINCT token FROM {p}tc) t CROSS JOIN {p}priors p LEFT JOIN {p}tc c ON c.token = t.token AND c.label = p.label "
+        f"LEFT JOIN {p}tot tot ON tot.label = p.label)"
     )
 
 
-_SCORES = (
-    f"st AS MATERIALIZED (SELECT doc_id, {K.words('text')} AS w FROM documents), "
-    "hit AS (SELECT doc_id, label, sum(weight) AS s FROM (SELECT doc_id, unnest(w) AS token FROM st) JOIN weights USING (token) GROUP BY ALL), "
-    "lg AS (SELECT doc_id, p.label, p.prior + coalesce(s, 0) AS lg FROM documents CROSS JOIN priors p LEFT JOIN hit USING (doc_id, label)), "
-    "ex AS (SELECT doc_id, label, exp(lg - max(lg) OVER (PARTITION BY doc_id)) AS e FROM lg), "
-    "scores AS MATERIALIZED (SELECT doc_id, label, e / sum(e) OVER (PARTITION BY doc_id) AS score FROM ex)"
-)
+def score_ctes(source: str, p: str = "") -> str:
+    """Ends in ``<p>scores(doc_id, label, score)`` for the texts of ``source``."""
+    return (
+        f"{p}st AS MATERIALIZED (SELECT doc_id, {K.words('text')} AS w FROM {source}), "
+        f"{p}hit AS (SELECT doc_id, label, sum(weight) AS s FROM (SELECT doc_id, unnest(w) AS token FROM {p}st) JOIN {p}weights USING (token) GROUP BY ALL), "
+        f"{p}lg AS (SELECT doc_id, p.label, p.prior + coalesce(s, 0) AS lg FROM {p}st CROSS JOIN {p}priors p LEFT JOIN {p}hit USING (doc_id, label)), "
+        f"{p}ex AS (SELECT doc_id, label, exp(lg - max(lg) OVER (PARTITION BY doc_id)) AS e FROM {p}lg), "
+        f"{p}scores AS MATERIALIZED (SELECT doc_id, label, e / sum(e) OVER (PARTITION BY doc_id) AS score FROM {p}ex)"
+    )
+
+
+_SCORES = score_ctes("documents")
 _LANG = f"{model_ctes('documents', 'lang')}, {_SCORES}"
 _RANKED = "ranked AS (SELECT doc_id, label AS lang, score AS lang_score, row_number() OVER (PARTITION BY doc_id ORDER BY round(score, 9) DESC, label DESC) AS rank FROM scores)"
 _TOPIC = f"labelled AS (SELECT documents.*, quality FROM documents LEFT JOIN labels USING (doc_id)), {model_ctes('labelled', 'quality')}, {_SCORES}"
 _MATH = f"{_TOPIC}, math AS (SELECT doc_id, coalesce(max(score) FILTER (label = '1'), 0) AS math_score FROM scores GROUP BY doc_id)"
 
+# The curated corpus: every step's SQL, with the cleaned documents under the name of the table.
+_CLEAN = (
+    f"{_LINES.replace('FROM documents', 'FROM main.documents')}, "
+    "cleaned AS (SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (reason = 'kept'), '') AS text FROM judged GROUP BY doc_id), "
+    f"{quality_ctes('cleaned')}, "
+    "good AS (SELECT doc_id, text FROM quality WHERE disposition = 'kept'), "
+    "documents AS MATERIALIZED (SELECT good.doc_id, good.text, source, copies FROM good "
+    "JOIN (SELECT min(doc_id) AS doc_id, count(*) AS copies FROM good GROUP BY text) USING (doc_id) JOIN main.documents USING (doc_id))"
+)
+_VERIFIED = D.EDGES.replace("edges AS MATERIALIZED", "candidates AS MATERIALIZED") + (
+    ", shn AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id), "
+    "edges AS MATERIALIZED (SELECT u, v FROM candidates JOIN sh x ON x.doc_id = u JOIN sh y ON y.doc_id = v AND y.gram = x.gram "
+    "JOIN shn a ON a.doc_id = u JOIN shn b ON b.doc_id = v GROUP BY u, v, a.n, b.n HAVING count(*) / (a.n + b.n - count(*)) >= 0.5)"
+)
+
 SQL = {
+    "curated_corpus": f"WITH RECURSIVE {_CLEAN}, {_VERIFIED}{D.COMPONENTS}, {C.FULL_HITS}, "
+    "sums AS (SELECT cluster_id AS doc_id, sum(copies)::BIGINT AS n FROM clusters JOIN documents USING (doc_id) GROUP BY cluster_id), "
+    "kept AS (SELECT doc_id, greatest(coalesce(n, 1), copies) AS dup_count, text FROM documents LEFT JOIN sums USING (doc_id) "
+    "WHERE doc_id NOT IN (SELECT doc_id FROM clusters WHERE doc_id <> cluster_id) AND doc_id NOT IN (SELECT doc_id FROM hits)) "
+    f"SELECT doc_id, dup_count, {D.INTERVAL} AS dup_interval, md5(text) AS text_md5 FROM kept",
     "quality_lines": f"WITH {_LINES} SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (reason = 'kept'), '') AS text, "
     "count(*) AS n_lines, count(*) FILTER (reason <> 'kept') AS n_removed FROM judged GROUP BY doc_id",
     "quality_line_report": f"WITH {_LINES} SELECT reason, count(*) AS n_lines FROM judged GROUP BY reason",
