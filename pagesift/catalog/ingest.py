@@ -294,8 +294,7 @@ def excluded_writer(spark, sf):
     """Rejected pages are written by reason; kept and rejected ones together are all pages."""
     path = new_path(spark, "excluded")
     judged = R.url_disposition(read_pages(spark, sf).select("page_id", "url"), X.rules(spark, sf))
-    judged = materialize(judged.withColumnRenamed("url_disposition", "disposition"), "judged")
-    kept = W.excluded_writer(judged, path).select("page_id", F.lit("kept").alias("disposition"))
+    kept = W.excluded_writer(judged.withColumnRenamed("url_disposition", "disposition"), path).select("page_id", F.lit("kept").alias("disposition"))
     rejected = spark.read.parquet(path).select("page_id", F.col("disposition").cast("string"))
     return kept.unionByName(rejected)
 

@@ -51,12 +51,12 @@ def _math_model(spark, sf):
 
 
 def train_text_model(spark, sf):
-    model = M.train_text_model(X.documents(spark, sf), "lang")
+    model = M.model_rows(M.train_text_model(X.documents(spark, sf), "lang"))
     return model.select("token", "label", F.round("weight", 6).alias("weight"))
 
 
 def class_probabilities(spark, sf):
-    scores = M.score_text(X.documents(spark, sf), _math_model(spark, sf))
+    scores = M.score_rows(M.score_text(X.documents(spark, sf), _math_model(spark, sf)))
     return scores.select("doc_id", "label", F.round("score", 6).alias("score"))
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -109,7 +108,9 @@ def entity_symbols() -> dict[str, str]:
 
 def map_symbols(text: Column, symbols: Mapping[str, str], pattern: str = r"[^\x{00}-\x{7f}]") -> Column:
     """Replace the characters that the table has; looks up each distinct character of a text once."""
-    table = F.create_map(*[F.lit(v) for v in chain.from_iterable(symbols.items())])
+    # One literal that is folded to a constant map, instead of two literals per entry.
+    pairs = "\u0001".join(f"{char}\u0002{tex}" for char, tex in symbols.items())
+    table = F.str_to_map(F.lit(pairs), F.lit("\u0001"), F.lit("\u0002"))
     return replace_each(text, pattern, lambda c: F.try_element_at(table, c))
 
 

@@ -114,7 +114,8 @@ def jaccard_verify(
         out = salted_join(out, side, [end], count_keys(edges, [end]), "inner", rows_per_task)
     both = F.size(F.array_intersect("su", "sv"))
     score = both / (F.size("su") + F.size("sv") - both)
-    return out.select("u", "v", score.alias("jaccard")).where(F.col("jaccard") >= threshold)
+    # As a generator the test uses the value computed once; a filter would compute it again.
+    return out.select("u", "v", F.explode(F.filter(F.array(score), lambda x: x >= threshold)).alias("jaccard"))
 
 
 # ---- components ----

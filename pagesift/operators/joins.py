@@ -23,11 +23,13 @@ SALT = "_salt"
 SALTS = "_salts"
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """Size of a row as text plus a fixed cost."""
+    return F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns]))).cast("long") + F.lit(48)
+
+
 def table_bytes(df: DataFrame) -> int:
-    """Size of the rows of ``df`` as text plus a fixed cost per row."""
-    width = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
-    row = df.agg(F.sum(width.cast("long") + F.lit(48)).alias("b")).first()
-    return int(row["b"] or 0)
+    return int(df.agg(F.sum(row_bytes(df)).alias("b")).first()["b"] or 0)
 
 
 def any_null(keys: Sequence[str]) -> Column:

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagesift.functions import text as T
+from pagesift.functions.binding import let
 from pagesift.operators.joins import lookup_join
+from pagesift.session import materialize
 
 ENGLISH, LANG_THRESHOLD = "en", 0.65
 MATH_THRESHOLD, MATH_REPORT_THRESHOLD = 0.5, 0.80
@@ -19,88 +21,111 @@ def tokens(text: Column) -> Column:
 
 
 def train_text_model(docs: DataFrame, label: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Multinomial naive Bayes with add-one smoothing: rows ``(token, label, weight)``.
+    """Multinomial naive Bayes with add-one smoothing: rows ``(token, weights map<label, weight>)``.
 
-    The row with a NULL token holds the prior of the label. Tokens are counted
-    before the shuffle, so a frequent token is one row per map task.
+    The row with a NULL token holds the priors. Tokens are counted before the
+    shuffle, so a frequent token is one row per map task. The counts are
+    written once, since the vocabulary, the totals and the weights all need them.
     """
     labelled = docs.where(F.col(label).isNotNull()).select(
         id_col, F.col(label).cast("string").alias("label"), tokens(F.col(text)).alias("tokens")
     )
-    counts = (
-        labelled.select("label", F.explode("tokens").alias("token"))
+    counts = materialize(
+        labelled.select("label", F.explode_outer("tokens").alias("token"))
         .groupBy("label", "token")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("n")),
+        "token-counts",
     )
-    vocabulary = counts.agg(F.count_distinct("token").alias("v")).select("v").scalar()
-    totals = counts.groupBy("label").agg(F.sum("n").alias("total"))
-    n_docs = labelled.groupBy("label").agg(F.count(F.lit(1)).alias("docs"))
-    labels = n_docs.join(totals, "label", "left").select(
-        "label", "docs", F.coalesce("total", F.lit(0)).alias("total")
+    known = counts.where(F.col("token").isNotNull())
+    vocabulary = known.agg(F.count_distinct("token").alias("v")).select("v").scalar()
+    n_docs = docs.where(F.col(label).isNotNull()).groupBy(F.col(label).cast("string").alias("label")).agg(
+        F.count(F.lit(1)).alias("docs")
     )
-    # Every label needs a weight for every token of the vocabulary: labels without the
-    # token are filled from an array over the labels, which are few.
-    per_token = counts.groupBy("token").agg(F.map_from_entries(F.collect_list(F.struct("label", "n"))).alias("m"))
-    label_rows = labels.agg(F.collect_list(F.struct("label", "total")).alias("ls")).select("ls").scalar()
-    weights = per_token.select("token", "m", F.explode(label_rows).alias("l")).select(
+    totals = known.groupBy("label").agg(F.sum("n").alias("total"))
+    # One row per label; labels are few.
+    labels = materialize(
+        n_docs.join(totals, "label", "left").select("label", "docs", F.coalesce("total", F.lit(0)).alias("total")),
+        "labels",
+    )
+    per_label = labels.agg(F.collect_list(F.struct("label", "total")).alias("ls")).select("ls").scalar()
+    per_token = known.groupBy("token").agg(F.map_from_entries(F.collect_list(F.struct("label", "n"))).alias("m"))
+    weight = lambda m, entry: F.ln(
+        (F.coalesce(F.try_element_at(m, entry["label"]), F.lit(0)) + 1) / (entry["total"] + F.col("v"))
+    )
+    weights = per_token.select("token", "m", per_label.alias("ls"), vocabulary.alias("v")).select(
         "token",
-        F.col("l.label").alias("label"),
-        F.ln((F.coalesce(F.try_element_at("m", F.col("l.label")), F.lit(0)) + 1) / (F.col("l.total") + vocabulary)).alias("weight"),
+        F.map_from_entries(
+            F.transform("ls", lambda e: F.struct(e["label"].alias("key"), weight(F.col("m"), e).alias("value")))
+        ).alias("weights"),
     )
     all_docs = labels.agg(F.sum("docs").alias("d")).select("d").scalar()
-    priors = labels.select(
-        F.lit(None).cast("string").alias("token"), "label", F.ln(F.col("docs") / all_docs).alias("weight")
+    priors = labels.select("label", F.ln(F.col("docs") / all_docs).alias("prior")).agg(
+        F.map_from_entries(F.collect_list(F.struct("label", "prior"))).alias("weights")
     )
-    return weights.unionByName(priors)
+    return weights.unionByName(priors.select(F.lit(None).cast("string").alias("token"), "weights"))
+
+
+def model_rows(model: DataFrame) -> DataFrame:
+    """The model in long form ``(token, label, weight)``."""
+    return model.select("token", F.explode("weights").alias("label", "weight"))
 
 
 def score_text(docs: DataFrame, model: DataFrame, id_col: str = "doc_id", text: str = "text", **limits) -> DataFrame:
-    """Probability of every label: rows ``(id, label, score)``.
+    """Probability of every label: ``(id, scores array<struct<label, score>>)``.
 
-    A text meets its token weights in one join, and the sums are combined
-    before the shuffle. The lookup has one row per token, with the weights of
-    all labels in one map.
+    A text meets its token weights in one join. The sums per label are combined
+    on the map side, so the only shuffle of documents carries one row each.
     """
-    by_token = (
-        model.where(F.col("token").isNotNull())
-        .groupBy("token")
-        .agg(F.collect_list(F.struct("label", "weight")).alias("weights"))
-    )
-    priors = model.where(F.col("token").isNull()).agg(
-        F.collect_list(F.struct("label", "weight")).alias("ps")
-    ).select("ps").scalar()
-    words = docs.select(id_col, F.explode(tokens(F.col(text))).alias("token"))
-    hits = lookup_join(words, by_token, "token", "inner", **limits)
-    sums = (
-        hits.select(id_col, F.inline("weights"))
-        .groupBy(id_col, "label")
-        .agg(F.sum("weight").alias("s"))
-    )
-    base = docs.select(id_col, F.inline(priors)).withColumnRenamed("weight", "prior")
-    logs = base.join(sums, [id_col, "label"], "left").select(
-        id_col, "label", (F.col("prior") + F.coalesce("s", F.lit(0.0))).alias("log")
+    # The labels are read by the driver: there are as many as classes, not as rows.
+    priors = model.where(F.col("token").isNull()).select("weights").first()["weights"]
+    labels = sorted(priors)
+    lookup = model.where(F.col("token").isNotNull()).select(
+        "token", *[F.element_at("weights", name).alias(f"w{i}") for i, name in enumerate(labels)]
     )
-    per_doc = Window.partitionBy(id_col)
-    shifted = logs.withColumn("e", F.exp(F.col("log") - F.max("log").over(per_doc)))
-    return shifted.select(id_col, "label", (F.col("e") / F.sum("e").over(per_doc)).alias("score"))
+    words = docs.select(id_col, F.explode_outer(tokens(F.col(text))).alias("token"))
+    hits = lookup_join(words, lookup, "token", "left", **limits)
+    sums = hits.groupBy(id_col).agg(*[F.coalesce(F.sum(f"w{i}"), F.lit(0.0)).alias(f"s{i}") for i in range(len(labels))])
+    logs = F.array(*[F.col(f"s{i}") + F.lit(float(priors[name])) for i, name in enumerate(labels)])
+
+    def softmax(values: Column) -> Column:
+        powers = F.transform(values, lambda v: F.exp(v - F.array_max(values)))
+        names = F.array(*[F.lit(name) for name in labels])
+        return let(
+            powers,
+            lambda e: F.zip_with(
+                names,
+                e,
+                lambda name, x: F.struct(
+                    name.alias("label"), (x / F.aggregate(e, F.lit(0.0), lambda acc, y: acc + y)).alias("score")
+                ),
+            ),
+        )
+
+    return sums.select(id_col, let(logs, softmax).alias("scores"))
+
+
+def score_rows(scores: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Scores in long form ``(id, label, score)``."""
+    return scores.select(id_col, F.inline("scores"))
 
 
 def top_language(scores: DataFrame, id_col: str = "doc_id", k: int = 1) -> DataFrame:
-    """The k best labels; ties go to the label that sorts last. k = 1 needs no window."""
-    if k == 1:
-        best = scores.groupBy(id_col).agg(F.max(F.struct(F.round("score", 9).alias("r"), "label", "score")).alias("b"))
-        return best.select(id_col, F.col("b.label").alias("lang"), F.col("b.score").alias("lang_score"))
-    order = Window.partitionBy(id_col).orderBy(F.round("score", 9).desc(), F.col("label").desc())
-    ranked = scores.withColumn("rank", F.row_number().over(order))
-    return ranked.where(F.col("rank") <= k).select(
-        id_col, "rank", F.col("label").alias("lang"), F.col("score").alias("lang_score")
+    """The k best labels of each row; ties go to the label that sorts last."""
+    ranked = F.array_sort(
+        F.transform("scores", lambda s: F.struct(F.round(s["score"], 9).alias("r"), s["label"].alias("label"), s["score"].alias("score")))
+    )
+    best = F.slice(F.reverse(ranked), 1, k)
+    rows = scores.select(id_col, F.posexplode(best).alias("rank", "b"))
+    out = rows.select(
+        id_col, (F.col("rank") + 1).alias("rank"), F.col("b.label").alias("lang"), F.col("b.score").alias("lang_score")
     )
+    return out.drop("rank") if k == 1 else out
 
 
 def class_score(scores: DataFrame, name: str, out: str = "class_score", id_col: str = "doc_id") -> DataFrame:
     """Score of one label; 0 if the model does not know it."""
-    one = F.max(F.when(F.col("label") == name, F.col("score")))
-    return scores.groupBy(id_col).agg(F.coalesce(one, F.lit(0.0)).alias(out))
+    found = F.filter("scores", lambda s: s["label"] == name)
+    return scores.select(id_col, F.coalesce(F.get(found, F.lit(0))["score"], F.lit(0.0)).alias(out))
 
 
 def score_lang(docs: DataFrame, model: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:

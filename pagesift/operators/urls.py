@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagesift.functions import urls as U
-from pagesift.operators.joins import lookup_join, table_bytes
+from pagesift.operators.joins import lookup_join, row_bytes
+from pagesift.session import materialize
 
 KEPT = "kept"
 
@@ -41,46 +42,60 @@ def url_parts(df: DataFrame, suffixes: Sequence[str] = U.PUBLIC_SUFFIXES, url: s
     return df.withColumn("fqdn", F.when(F.col("registered_domain").isNotNull(), F.col("host")))
 
 
-def list_flags(**lists: DataFrame) -> DataFrame:
-    """One row per entry ``(kind, value)`` with a boolean column for every list."""
-    names = list(lists)
+@dataclass(frozen=True)
+class ListTable:
+    """Entries ``(kind, value)`` of several lists with a boolean column for each, written and measured once."""
+
+    flags: DataFrame
+    names: tuple[str, ...]
+    size: int
+    path_depths: tuple[int, ...]
+
+
+def list_table(**lists: DataFrame) -> ListTable:
+    names = tuple(lists)
     parts = [
         df.select("kind", "value", *[F.lit(n == name).alias(n) for n in names]) for name, df in lists.items()
     ]
     union = parts[0]
     for part in parts[1:]:
         union = union.unionByName(part)
-    return union.groupBy("kind", "value").agg(*[F.max(n).alias(n) for n in names])
+    # A trailing slash of an entry with a path means nothing.
+    value = F.when(F.col("value").contains("/") & (F.col("kind") == "domain"), F.rtrim("value", F.lit("/"))).otherwise(F.col("value"))
+    merged = union.withColumn("value", value).groupBy("kind", "value").agg(*[F.max(n).alias(n) for n in names])
+    flags = materialize(merged, "url-lists")
+    depth = F.when((F.col("kind") == "domain") & F.col("value").contains("/"), F.size(F.split("value", "/")))
+    size, depths = flags.agg(F.sum(row_bytes(flags)), F.collect_set(depth)).first()
+    return ListTable(flags, names, int(size or 0), tuple(sorted(depths)))
 
 
-def mark(
-    df: DataFrame, flags: DataFrame, kind: str, key: str, prefix: str, names: Sequence[str], size: int
-) -> DataFrame:
+def mark(df: DataFrame, table: ListTable, kind: str, key: str, prefix: str) -> DataFrame:
     """Add ``<prefix>_<list>`` for every list: whether column ``key`` is one of its entries."""
-    lookup = flags.where(F.col("kind") == kind).select(
-        F.col("value").alias(key), *[F.col(n).alias(f"{prefix}_{n}") for n in names]
+    lookup = table.flags.where(F.col("kind") == kind).select(
+        F.col("value").alias(key), *[F.col(n).alias(f"{prefix}_{n}") for n in table.names]
     )
-    joined = lookup_join(df, lookup, key, "left", size=size)
-    filled = {f"{prefix}_{n}": F.coalesce(F.col(f"{prefix}_{n}"), F.lit(False)) for n in names}
+    joined = lookup_join(df, lookup, key, "left", size=table.size)
+    filled = {f"{prefix}_{n}": F.coalesce(F.col(f"{prefix}_{n}"), F.lit(False)) for n in table.names}
     return joined.withColumns(filled)
 
 
+def mark_lists(df: DataFrame, table: ListTable, strip_scheme: bool = False) -> DataFrame:
+    df = mark(df, table, "domain", "registered_domain", "domain")
+    df = mark(df, table, "domain", "fqdn", "host")
+    if strip_scheme:
+        df = df.withColumn("_bare", U.without_scheme(F.col("url")))
+        return mark(df, table, "url", "_bare", "url").drop("_bare")
+    return mark(df, table, "url", "url", "url")
+
+
 def join_url_lists(df: DataFrame, strip_scheme: bool = False, **lists: DataFrame) -> DataFrame:
     """Membership of domain, host and URL in every list, by three joins for all lists.
 
     Needs the columns of ``url_parts``. Adds ``domain_<list>``, ``host_<list>``
-    and ``url_<list>``. The lists are measured once, then each join broadcasts
-    them or spreads hot hosts.
+    and ``url_<list>``. Each join broadcasts the lists if they are small, else
+    it spreads hot hosts.
     """
-    names = list(lists)
-    flags = list_flags(**lists)
-    size = table_bytes(flags)
-    df = mark(df, flags, "domain", "registered_domain", "domain", names, size)
-    df = mark(df, flags, "domain", "fqdn", "host", names, size)
-    if strip_scheme:
-        df = df.withColumn("_bare", U.without_scheme(F.col("url")))
-        return mark(df, flags, "url", "_bare", "url", names, size).drop("_bare")
-    return mark(df, flags, "url", "url", "url", names, size)
+    return mark_lists(df, list_table(**lists), strip_scheme)
 
 
 def _drop_marks(df: DataFrame, *names: str) -> DataFrame:
@@ -113,23 +128,21 @@ def url_curated(df: DataFrame, curated: DataFrame, path_rules: bool = True) -> D
     An entry with a path can never equal a domain. With ``path_rules`` such an
     entry matches the URLs at and below its path.
     """
-    df = join_url_lists(df, curated=curated)
+    table = list_table(curated=curated)
+    df = mark(mark(df, table, "domain", "registered_domain", "domain"), table, "domain", "fqdn", "host")
     df = df.withColumn("curated", F.col("domain_curated") | F.col("host_curated"))
-    df = _drop_marks(df, "curated")
-    return curated_paths(df, curated) if path_rules else df
+    df = df.drop("domain_curated", "host_curated")
+    return curated_paths(df, table) if path_rules else df
 
 
-def curated_paths(df: DataFrame, curated: DataFrame) -> DataFrame:
+def curated_paths(df: DataFrame, table: ListTable) -> DataFrame:
     """Extend flag ``curated`` by the entries with a path: one lookup per path depth."""
-    paths = curated.where((F.col("kind") == "domain") & F.col("value").contains("/")).select(
-        F.rtrim(F.col("value"), F.lit("/")).alias("value")
-    ).distinct()
-    depths = [r[0] for r in paths.select(F.size(F.split("value", "/")).alias("d")).distinct().collect()]
     bare = F.regexp_replace(U.without_scheme(F.col("url")), r"[?#].*$", "")
-    for k in sorted(depths):
-        lookup = paths.where(F.size(F.split("value", "/")) == k)
+    at = F.size(F.split("value", "/"))
+    for k in table.path_depths:
+        lookup = table.flags.where((F.col("kind") == "domain") & F.col("curated") & (at == k) & F.col("value").contains("/"))
         lookup = lookup.select(F.col("value").alias("_path"), F.lit(True).alias("_hit"))
-        df = lookup_join(df.withColumn("_path", F.substring_index(bare, "/", k)), lookup, "_path", "left")
+        df = lookup_join(df.withColumn("_path", F.substring_index(bare, "/", k)), lookup, "_path", "left", size=table.size)
         df = df.withColumn("curated", F.col("curated") | F.coalesce("_hit", F.lit(False))).drop("_path", "_hit")
     return df
 
@@ -158,12 +171,13 @@ def url_disposition(df: DataFrame, rules: UrlRules) -> DataFrame:
         if table is not None
     }
     df = url_parts(df, rules.suffixes)
-    if lists:
-        df = join_url_lists(df, rules.strip_scheme, **lists)
+    table = list_table(**lists) if lists else None
+    if table:
+        df = mark_lists(df, table, rules.strip_scheme)
     no = F.lit(False)
     df = df.withColumn("curated", (F.col("domain_curated") | F.col("host_curated")) if rules.curated is not None else no)
     if rules.curated is not None and rules.path_rules:
-        df = curated_paths(df, rules.curated)
+        df = curated_paths(df, table)
     blocked = block_reason() if rules.block is not None else F.lit(None).cast("string")
     words = bad_words(F.col("url"), rules.strict_words, rules.hard_words, rules.soft_words, rules.soft_limit)
     decision = (

@@ -35,8 +35,11 @@ def curate(docs: DataFrame, index: DataFrame, rules: CurationRules = CurationRul
     shared folder: their results feed several joins.
     """
     cleaned = Q.quality_lines(docs, rules.lines).drop("n_lines", "n_removed")
-    good = Q.quality_docs(cleaned, rules.docs).where(F.col("disposition") == Q.KEPT).select(*docs.columns)
-    good = materialize(good, "quality")
+    # A filter on a computed column is pushed below it and computes it, and the cleaned text in it,
+    # again. So the verdict is written first; rejected texts are not.
+    kept = F.col("disposition") == Q.KEPT
+    judged = Q.quality_docs(cleaned, rules.docs).withColumn("text", F.when(kept, F.col("text")))
+    good = materialize(judged.select(*docs.columns, "disposition"), "quality").where(kept).drop("disposition")
     groups = D.exact_groups(good).select(F.col("first_id").alias("doc_id"), "copies")
     unique = materialize(good.join(groups, "doc_id"), "exact")
     clusters = near_duplicates(unique, rules.min_jaccard)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagesift.operators.models import MATH_THRESHOLD, lang_filter, math_filter
+from pagesift.session import materialize
 
 # Field order of the metadata; one field has a hyphen in the files.
 META = ("lang", "lang_score", "url", "timestamp", "cc_path", "record_idx", "math_score")
@@ -82,7 +83,8 @@ def sink_listing_splits(splits: DataFrame, path: str, value: str = "value", comp
 
 
 def excluded_writer(docs: DataFrame, path: str, kept: str = "kept") -> DataFrame:
-    """Write rejected rows, a folder per reason, and return the kept ones."""
+    """Write rejected rows, a folder per reason, and return the kept ones. The verdict is computed once."""
+    docs = materialize(docs, "judged")
     rejected = docs.where(F.col("disposition") != kept)
     write_table(rejected, path, ("disposition",))
     return docs.where(F.col("disposition") == kept).drop("disposition")

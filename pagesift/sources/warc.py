@@ -14,7 +14,7 @@ import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +25,7 @@ SCHEMA = (
 )
 FAILURE_SCHEMA = SCHEMA + ", error string"
 COLUMNS = ["cc_path", "record_idx", "url", "date", "content_type", "body", "error"]
+KINDS = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary(), pa.string()]
 BATCH_BYTES = 32 << 20
 
 
@@ -160,10 +161,6 @@ def scan_warc(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("warc").load(path).withColumn("ts", F.try_to_timestamp("date"))
 
 
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=COLUMNS).astype({"record_idx": "Int64"})
-
-
 def scan_archives(listing: DataFrame, root: str, path: str = "cc_path", tasks: int | None = None) -> DataFrame:
     """Response records of the archives in a listing, with the failures.
 
@@ -174,9 +171,9 @@ def scan_archives(listing: DataFrame, root: str, path: str = "cc_path", tasks: i
     files = listing.select(path).distinct()
     files = files.repartition(tasks or listing.sparkSession.sparkContext.defaultParallelism, path)
 
-    def read(batches):
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name in batch[path]:
+            for name in batch.column(0).to_pylist():
                 rows: list[tuple] = []
                 size = 0
                 try:
@@ -185,14 +182,18 @@ def scan_archives(listing: DataFrame, root: str, path: str = "cc_path", tasks: i
                             rows.append((name, *record, None))
                             size += len(record[-1])
                             if size > BATCH_BYTES:
-                                yield _frame(rows)
+                                yield _batch(rows)
                                 rows, size = [], 0
                 except (OSError, EOFError, ValueError) as problem:
                     rows.append((name, None, None, None, None, None, f"{type(problem).__name__}: {problem}"))
                 if rows:
-                    yield _frame(rows)
+                    yield _batch(rows)
+
+    return files.mapInArrow(read, FAILURE_SCHEMA)
+
 
-    return files.mapInPandas(read, FAILURE_SCHEMA)
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(values, kind) for values, kind in zip(zip(*rows), KINDS)], COLUMNS)
 
 
 def failed_ledger(records: DataFrame) -> DataFrame:
