@@ -123,12 +123,16 @@ def jaccard_verify(
 
 def _star(edges: DataFrame, center: str, leaf: str, best: str, rows_per_task: int) -> DataFrame:
     """Join each ``center`` with the smallest value of ``leaf`` around it, as column ``best``."""
-    groups = materialize(
-        edges.groupBy(center).agg(F.min(leaf).alias(best), F.count(F.lit(1)).alias("n")), "star-centers"
-    )
+    groups = edges.groupBy(center).agg(F.min(leaf).alias(best), F.count(F.lit(1)).alias("n"))
     return salted_join(edges, groups.drop("n"), [center], groups.select(center, "n"), "inner", rows_per_task)
 
 
+def _differ(a: DataFrame, b: DataFrame, keys: list[str]) -> bool:
+    """Whether two tables of distinct rows differ."""
+    both = a.withColumn("_a", F.lit(1)).join(b.withColumn("_b", F.lit(1)), keys, "full_outer")
+    return not both.where(F.col("_a").isNull() | F.col("_b").isNull()).isEmpty()
+
+
 def dup_clusters(edges: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Connected components: ``(doc_id, cluster_id, dup_count)``, cluster id = smallest member.
 
@@ -138,8 +142,7 @@ def dup_clusters(edges: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFr
     path. Every round is written to the shared folder, so the plan stays short.
     """
     links = materialize(
-        edges.where("u <> v")
-        .select(F.greatest("u", "v").alias("hi"), F.least("u", "v").alias("lo")).distinct(),
+        edges.where("u <> v").select(F.greatest("u", "v").alias("hi"), F.least("u", "v").alias("lo")).distinct(),
         "links",
     )
     while True:
@@ -149,20 +152,23 @@ def dup_clusters(edges: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFr
         larger = _star(both, "a", "b", "m", rows_per_task).where("b > a")
         larger = materialize(larger.select(F.col("b").alias("hi"), F.least("m", "a").alias("lo")).distinct(), "links")
         smaller = _star(larger, "hi", "lo", "m", rows_per_task)
-        moved = smaller.where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        kept = smaller.select("hi", F.col("m").alias("lo"))
-        after = materialize(kept.unionAll(moved).distinct(), "links")
-        if after.count() == links.count() and after.join(links, ["hi", "lo"], "left_anti").isEmpty():
+        # Every row gives the link of its larger end, and that of its smaller end if it is not the root.
+        moves = F.array(
+            F.struct(F.col("hi"), F.col("m").alias("lo")),
+            F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")),
+        )
+        after = smaller.select(F.explode(moves).alias("e")).select("e.*").where("hi <> lo").distinct()
+        after = materialize(after, "links")
+        if not _differ(after, links, ["hi", "lo"]):
             break
         links = after
     # Now every node points at the root of its component.
-    roots = after.select(F.col("lo").alias("doc_id"), F.col("lo").alias("cluster_id")).distinct()
-    members = after.select(F.col("hi").alias("doc_id"), F.col("lo").alias("cluster_id")).unionAll(roots)
-    sizes = materialize(members.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n")), "cluster-sizes")
+    sizes = after.groupBy(F.col("lo").alias("cluster_id")).agg((F.count(F.lit(1)) + 1).alias("n"))
     counts = sizes.select("cluster_id", F.col("n").alias("dup_count"))
-    return salted_join(members, counts, ["cluster_id"], sizes, "inner", rows_per_task).select(
-        "doc_id", "cluster_id", "dup_count"
-    )
+    members = after.select(F.col("hi").alias("doc_id"), F.col("lo").alias("cluster_id"))
+    counted = salted_join(members, counts, ["cluster_id"], sizes, "inner", rows_per_task)
+    roots = counts.select(F.col("cluster_id").alias("doc_id"), "cluster_id", "dup_count")
+    return counted.select("doc_id", "cluster_id", "dup_count").unionAll(roots)
 
 
 # ---- results ----
