@@ -30,10 +30,10 @@ def scan_listing(
     or in a repeatable random order with ``shuffle_seed``. A file with broken
     UTF-8 gives its lines before the first broken one.
     """
-    reader = spark.read.option("wholetext", True).option("recursiveFileLookup", recursive)
+    reader = spark.read.option("recursiveFileLookup", recursive)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    files = reader.text(folder).select("value", F.col("_metadata.file_path").alias("file"))
+    files = reader.text(folder, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
     order = F.col("file") if shuffle_seed is None else F.md5(F.concat_ws(":", F.lit(str(shuffle_seed)), "file"))
     lines = limit_skip(number_rows(file_lines(files), order, [F.col("line_no")]), limit, skip)
     return lines.transform(adapter) if adapter else lines
@@ -55,7 +55,7 @@ def scan_listing_multi(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Listings one after the other in the order given; other suffixes are ignored."""
     wanted = [p for p in paths if p.endswith(SUFFIXES)]
     parts = [
-        spark.read.option("wholetext", True).text(p).select(
+        spark.read.text(p, wholetext=True).select(
             F.lit(i).alias("file_no"), F.col("_metadata.file_path").alias("file"), "value"
         )
         for i, p in enumerate(wanted)
