@@ -309,7 +309,7 @@ def extraction_job(spark, sf):
     lang = materialize(ML.train_text_model(X.documents(spark, sf), "lang"), "lang-model")
     labels = scan(spark, sf, "labels").select("doc_id", "quality")
     topic = materialize(ML.train_text_model(X.documents(spark, sf).join(labels, "doc_id"), "quality"), "topic-model")
-    return P.extract_job(records, X.rules(spark, sf), lang, topic, "1")[1]
+    return P.extract_job(records, X.rules(spark, sf), lang, topic, "1")[2]
 
 
 def reextract_join(spark, sf):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pagesift.functions import text as T
 from pagesift.functions.binding import let
 from pagesift.operators.joins import BROADCAST_BYTES, lookup_join
+from pagesift.session import materialize
 
 N = 12
 
@@ -122,19 +123,22 @@ def join_contamination(
 
 
 def contam_filter(docs: DataFrame, index: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """All documents with ``disposition`` (``kept`` or ``contaminated``) and the first hit."""
-    hits = join_contamination(docs, index, id_col=id_col, **options).drop("pos")
-    return docs.join(hits, id_col, "left").withColumn(
+    """All documents with ``disposition`` (``kept`` or ``contaminated``) and the first hit.
+
+    The hits are written and measured, so the texts are not shuffled while the hits can be broadcast.
+    """
+    hits = materialize(join_contamination(docs, index, id_col=id_col, **options).drop("pos"), "hits")
+    return lookup_join(docs, hits, id_col, "left").withColumn(
         "disposition", F.when(F.col("contaminated_task").isNotNull(), "contaminated").otherwise("kept")
     )
 
 
 def semi_contaminated(docs: DataFrame, hits: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    return docs.join(hits.select(id_col), id_col, "left_semi")
+    return lookup_join(docs, materialize(hits.select(id_col), "hits"), id_col, "left_semi")
 
 
 def anti_contaminated(docs: DataFrame, hits: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    return docs.join(hits.select(id_col), id_col, "left_anti")
+    return lookup_join(docs, materialize(hits.select(id_col), "hits"), id_col, "left_anti")
 
 
 def contam_by_task(hits: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pagesift.functions import text as T
 from pagesift.functions.binding import let
 from pagesift.functions.hashing import md5_31
 from pagesift.functions.minhash import BUCKETS, HASHES, signatures
-from pagesift.operators.joins import ROWS_PER_TASK, count_keys, salted_join
+from pagesift.operators.joins import ROWS_PER_TASK, count_keys, lookup_join, salted_join
 from pagesift.session import materialize
 
 SHINGLE_WORDS = 5
@@ -28,20 +28,46 @@ INTERVALS = ((1, 1), (2, 5), (6, 10), (11, 100), (101, 1000), (1001, None))
 # ---- exact ----
 
 
-def exact_dedup(df: DataFrame, within: Sequence[str] = (), id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def exact_dedup(
+    df: DataFrame, within: Sequence[str] = (), id_col: str = "doc_id", text: str = "text", rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
     """Keep the row with the smallest id among equal texts.
 
     ``within`` limits the comparison to rows of the same split; empty means
-    global. Text leaves the map side only as a digest.
+    global. Only digests and ids are shuffled to find the copies; the texts
+    then lose the copies' ids, without a shuffle while those can be broadcast.
     """
-    firsts = exact_groups(df, within, id_col, text).select(F.col("first_id").alias(id_col))
-    return df.join(firsts, id_col, "left_semi")
+    return remove_ids(df, exact_copies(df, within, id_col, text, rows_per_task), id_col)
+
+
+def exact_copies(
+    df: DataFrame, within: Sequence[str] = (), id_col: str = "doc_id", text: str = "text", rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """Ids of all rows whose text stands in a row with a smaller id."""
+    keys = [*within, "digest"]
+    repeated = materialize(exact_groups(df, within, id_col, text).where("copies > 1"), "repeated-texts")
+    sizes = repeated.select(*keys, F.col("copies").alias("n"))
+    members = salted_join(_digests(df, within, id_col, text), repeated.drop("copies"), keys, sizes, "inner", rows_per_task)
+    return members.where(F.col(id_col) != F.col("first_id")).select(id_col)
+
+
+def remove_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Documents without the listed ids. The ids are written once, measured, and broadcast if they fit."""
+    return lookup_join(docs, materialize(ids.select(id_col), "ids"), id_col, "left_anti")
+
+
+def keep_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    return lookup_join(docs, materialize(ids.select(id_col), "ids"), id_col, "left_semi")
+
+
+def _digests(df: DataFrame, within: Sequence[str], id_col: str, text: str) -> DataFrame:
+    return df.select(*within, F.unhex(F.sha2(F.col(text), 256)).alias("digest"), id_col)
 
 
 def exact_groups(df: DataFrame, within: Sequence[str] = (), id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per distinct text: ``within``, ``digest``, ``first_id``, ``copies``."""
     return (
-        df.select(*within, F.unhex(F.sha2(F.col(text), 256)).alias("digest"), id_col)
+        _digests(df, within, id_col, text)
         .groupBy(*within, "digest")
         .agg(F.min(id_col).alias("first_id"), F.count(F.lit(1)).alias("copies"))
     )
@@ -107,7 +133,7 @@ def jaccard_verify(
     edges = materialize(edges, "edges")
     ends = edges.select(F.col("u").alias(id_col)).unionAll(edges.select(F.col("v").alias(id_col))).distinct()
     hashes = let(T.ngrams(T.words(F.col(text)), n), lambda g: F.array_distinct(F.transform(g, lambda x: F.xxhash64(x))))
-    sets = materialize(docs.join(ends, id_col, "left_semi").select(id_col, hashes.alias("s")), "shingle-sets")
+    sets = materialize(keep_ids(docs, ends, id_col).select(id_col, hashes.alias("s")), "shingle-sets")
     out = edges
     for end in ("u", "v"):
         side = sets.select(F.col(id_col).alias(end), F.col("s").alias(f"s{end}"))
@@ -215,11 +241,14 @@ def merge_remove_meta(remove: DataFrame, meta: DataFrame) -> DataFrame:
 
 
 def dup_removal(docs: DataFrame, remove: DataFrame, meta: DataFrame) -> DataFrame:
-    """Documents without the listed ones; survivors get ``dup_count`` (1 if alone)."""
-    kept = docs.join(remove.select("doc_id"), "doc_id", "left_anti")
-    return kept.join(meta.select("doc_id", "dup_count"), "doc_id", "left").withColumn(
-        "dup_count", F.coalesce("dup_count", F.lit(1).cast("long"))
-    )
+    """Documents without the listed ones; survivors get ``dup_count`` (1 if alone).
+
+    Both results go into one lookup, so the documents take part in one join.
+    """
+    results = materialize(merge_remove_meta(remove, meta.select("doc_id", "dup_count")), "dup-results")
+    joined = lookup_join(docs, results, "doc_id", "left")
+    kept = joined.where(~F.coalesce("to_remove", F.lit(False))).drop("to_remove")
+    return kept.withColumn("dup_count", F.coalesce("dup_count", F.lit(1).cast("long")))
 
 
 def files_without_dups(files: DataFrame, results: DataFrame, file: str = "file") -> DataFrame:

@@ -13,10 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagesift.functions import urls as U
-from pagesift.operators.joins import lookup_join, row_bytes
+from pagesift.operators.joins import lookup_join, row_bytes, table_bytes
 from pagesift.session import materialize
 
 KEPT = "kept"
+# Public lists reach some 120 MB. Rows carry page bodies, so shuffling rows costs far more than this broadcast.
+LIST_BROADCAST_BYTES = 512 << 20
 
 
 @dataclass(frozen=True)
@@ -74,7 +76,12 @@ def mark(df: DataFrame, table: ListTable, kind: str, key: str, prefix: str) -> D
     lookup = table.flags.where(F.col("kind") == kind).select(
         F.col("value").alias(key), *[F.col(n).alias(f"{prefix}_{n}") for n in table.names]
     )
-    joined = lookup_join(df, lookup, key, "left", size=table.size)
+    size = table.size
+    if size > LIST_BROADCAST_BYTES:
+        # Of a list too large to broadcast, only the entries that occur in the data are needed.
+        lookup = materialize(lookup.join(df.select(key).distinct(), key, "left_semi"), "url-lists")
+        size = table_bytes(lookup)
+    joined = lookup_join(df, lookup, key, "left", broadcast_bytes=LIST_BROADCAST_BYTES, size=size)
     filled = {f"{prefix}_{n}": F.coalesce(F.col(f"{prefix}_{n}"), F.lit(False)) for n in table.names}
     return joined.withColumns(filled)
 
@@ -142,7 +149,8 @@ def curated_paths(df: DataFrame, table: ListTable) -> DataFrame:
     for k in table.path_depths:
         lookup = table.flags.where((F.col("kind") == "domain") & F.col("curated") & (at == k) & F.col("value").contains("/"))
         lookup = lookup.select(F.col("value").alias("_path"), F.lit(True).alias("_hit"))
-        df = lookup_join(df.withColumn("_path", F.substring_index(bare, "/", k)), lookup, "_path", "left", size=table.size)
+        df = df.withColumn("_path", F.substring_index(bare, "/", k))
+        df = lookup_join(df, lookup, "_path", "left", broadcast_bytes=LIST_BROADCAST_BYTES, size=table.size)
         df = df.withColumn("curated", F.col("curated") | F.coalesce("_hit", F.lit(False))).drop("_path", "_hit")
     return df
 

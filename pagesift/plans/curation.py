@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pagesift.operators import decontam as C
 from pagesift.operators import dedup as D
 from pagesift.operators import quality as Q
+from pagesift.operators.joins import lookup_join
 from pagesift.operators.reorganize import tag_intervals
 from pagesift.session import materialize
 
@@ -40,8 +41,10 @@ def curate(docs: DataFrame, index: DataFrame, rules: CurationRules = CurationRul
     kept = F.col("disposition") == Q.KEPT
     judged = Q.quality_docs(cleaned, rules.docs).withColumn("text", F.when(kept, F.col("text")))
     good = materialize(judged.select(*docs.columns, "disposition"), "quality").where(kept).drop("disposition")
-    groups = D.exact_groups(good).select(F.col("first_id").alias("doc_id"), "copies")
-    unique = materialize(good.join(groups, "doc_id"), "exact")
+    repeated = materialize(D.exact_groups(good).where("copies > 1"), "repeated")
+    copies = repeated.select(F.col("first_id").alias("doc_id"), "copies")
+    unique = lookup_join(D.exact_dedup(good), copies, "doc_id", "left")
+    unique = materialize(unique.withColumn("copies", F.coalesce("copies", F.lit(1).cast("long"))), "exact")
     clusters = near_duplicates(unique, rules.min_jaccard)
     remove = D.dup_remove_list(clusters, unique)
     copies = (

@@ -9,6 +9,7 @@ from pagesift.functions import encoding as E
 from pagesift.operators import models as ML
 from pagesift.operators import stats as S
 from pagesift.operators.extract import extract_page
+from pagesift.operators.joins import lookup_join
 from pagesift.operators.urls import KEPT, UrlRules, url_disposition
 from pagesift.session import materialize
 
@@ -46,10 +47,11 @@ def extract_records(records: DataFrame, rules: UrlRules) -> DataFrame:
 
 
 def score_records(extracted: DataFrame, lang_model: DataFrame, math_model: DataFrame, math_label: str) -> DataFrame:
-    """Add language, topic score and the final ``disposition``.
+    """Add language, topic score and the final ``disposition``; the HTML stays behind.
 
     Only documents that are still there are scored, and only English ones get a
-    topic score. Both scores come back by the record's key.
+    topic score. Both scores come back by the record's key, in one join that
+    moves texts but no HTML.
     """
     key = list(KEY)
     alive = extracted.where(F.col("step").isNull()).select(F.struct(*key).alias("k"), "text")
@@ -57,7 +59,7 @@ def score_records(extracted: DataFrame, lang_model: DataFrame, math_model: DataF
     english = ML.lang_filter(langs).select("k")
     topics = ML.score_math(alive.join(english, "k", "left_semi"), math_model, math_label, "k")
     scores = langs.join(topics, "k", "left").select("k.*", "lang", "lang_score", "math_score")
-    joined = extracted.join(scores, key, "left")
+    joined = extracted.drop("html").join(scores, key, "left")
     is_english = (F.col("lang") == ML.ENGLISH) & (F.col("lang_score") >= ML.LANG_THRESHOLD)
     disposition = (
         F.when(F.col("step").isNotNull(), F.col("step"))
@@ -67,17 +69,26 @@ def score_records(extracted: DataFrame, lang_model: DataFrame, math_model: DataF
     return materialize(joined.withColumn("disposition", disposition).drop("step"), "scored")
 
 
+def with_html(scored: DataFrame, extracted: DataFrame) -> DataFrame:
+    """Scored records with their HTML, for the few that are written with it."""
+    wanted = materialize(scored.drop("text"), "wanted")
+    return lookup_join(extracted.select(*KEY, "html"), wanted, list(KEY))
+
+
 def extract_job(
     records: DataFrame, rules: UrlRules, lang_model: DataFrame, math_model: DataFrame, math_label: str
-) -> tuple[DataFrame, DataFrame]:
-    """Scored records and counters per archive. Sinks read the first, reports the second."""
-    scored = score_records(extract_records(records, rules), lang_model, math_model, math_label)
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Scored records, the records of the wanted topic with their HTML, and counters per archive."""
+    extracted = extract_records(records, rules)
+    scored = score_records(extracted, lang_model, math_model, math_label)
+    topic = ML.math_filter(ML.lang_filter(scored))
     counters = S.funnel_stats(scored, [F.col("cc_path").alias("file_path")])
-    return scored, counters
+    return scored, with_html(topic, extracted), counters
 
 
 def reextract(survivors: DataFrame, html_records: DataFrame) -> DataFrame:
     """Extract again from the HTML of surviving keys."""
-    again = html_records.join(survivors.select(*KEY).distinct(), list(KEY), "left_semi")
+    keys = materialize(survivors.select(*KEY).distinct(), "survivors")
+    again = lookup_join(html_records, keys, list(KEY), "left_semi")
     keyed = again.withColumn("_key", F.concat_ws("#", *[F.col(k).cast("string") for k in KEY]))
     return extract_page(keyed, "_key").drop("_key")
