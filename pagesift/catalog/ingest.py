@@ -118,7 +118,7 @@ def remaining_files(spark, sf):
 
 def record_ordinal(spark, sf):
     pages = X.pages(spark, sf).select("page_id", R.U.host(F.col("url")).alias("cc_path"), F.col("page_id").alias("offset"))
-    return L.record_ordinal(pages).select("page_id", "cc_path", "record_idx")
+    return L.record_ordinal(pages, span=100).select("page_id", "cc_path", "record_idx")
 
 
 # ---- archives ----

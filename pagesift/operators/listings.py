@@ -61,20 +61,29 @@ def output_paths(listing: DataFrame, path: str = "cc_path", text_root: str = "ex
 # ---- positions ----
 
 
-def number_rows(df: DataFrame, bucket: Column, order: Sequence[Column], out: str = "pos") -> DataFrame:
-    """Dense global position from 0, without sorting everything in one task.
+def number_rows(
+    df: DataFrame,
+    bucket: Column,
+    order: Sequence[Column] = (),
+    out: str = "pos",
+    within: Sequence[str] = (),
+    inside: Column | None = None,
+) -> DataFrame:
+    """Dense position from 0, over all rows or per ``within``, without sorting a whole group in one task.
 
     ``bucket`` must rise with ``order``. Rows are counted per bucket, the counts
     are summed up over the few buckets, and rows are numbered inside theirs.
+    ``inside`` is that number where the rows have it already; no row is sorted then.
     """
     tagged = df.withColumn("_bucket", bucket)
-    counts = tagged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    inside = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order)) - 1
+    counts = tagged.groupBy(*within, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*within).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*within, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    if inside is None:
+        inside = F.row_number().over(Window.partitionBy(*within, "_bucket").orderBy(*order)) - 1
     return (
         tagged.withColumn("_inside", inside)
-        .join(offsets, "_bucket")
+        .join(offsets, [*within, "_bucket"])
         .withColumn(out, (F.col("_offset") + F.col("_inside")).cast("long"))
         .drop("_bucket", "_inside", "_offset")
     )
@@ -138,7 +147,11 @@ def completed_by_dump(finished: DataFrame, path: str = "cc_path") -> DataFrame:
     return finished.groupBy(dump_of(F.col(path)).alias("dump")).agg(F.count_distinct(F.col(path)).alias("n_files"))
 
 
-def record_ordinal(records: DataFrame, archive: str = "cc_path", order: str = "offset") -> DataFrame:
-    """Position of each record in its archive, for sources that do not number records themselves."""
-    rank = F.row_number().over(Window.partitionBy(archive).orderBy(order)) - 1
-    return records.withColumn("record_idx", rank.cast("long"))
+def record_ordinal(records: DataFrame, archive: str = "cc_path", order: str = "offset", span: int = 64 << 20) -> DataFrame:
+    """Position of each record in its archive, for sources that do not number records themselves.
+
+    ``order`` is a number such as the byte offset. An archive is numbered in
+    stretches of ``span``, so a huge one is shared by many tasks.
+    """
+    stretch = F.floor(F.col(order) / span)
+    return number_rows(records, stretch, [F.col(order)], "record_idx", [archive])

@@ -35,7 +35,7 @@ def scan_listing(
         reader = reader.option("pathGlobFilter", glob)
     files = reader.text(folder, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
     order = F.col("file") if shuffle_seed is None else F.md5(F.concat_ws(":", F.lit(str(shuffle_seed)), "file"))
-    lines = limit_skip(number_rows(file_lines(files), order, [F.col("line_no")]), limit, skip)
+    lines = limit_skip(number_rows(file_lines(files), order, inside=F.col("line_no")), limit, skip)
     return lines.transform(adapter) if adapter else lines
 
 
@@ -47,8 +47,7 @@ def file_lines(files: DataFrame) -> DataFrame:
     good = F.when(
         F.col("_broken") & (stop > 0), F.slice("_lines", F.lit(1), (stop - 1).cast("int"))
     ).otherwise(F.col("_lines"))
-    out = lines.select("file", F.posexplode(good).alias("line_no", "value"))
-    return out.where(F.col("value") != "")
+    return lines.select("file", F.posexplode(F.filter(good, lambda x: x != "")).alias("line_no", "value"))
 
 
 def scan_listing_multi(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -67,4 +66,4 @@ def scan_listing_multi(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     names = files.select("file", "file_no").distinct()
     lines = file_lines(files.select("file", "value")).join(names, "file")
     bucket = F.struct("file_no", "file")
-    return number_rows(lines, bucket, [F.col("line_no")]).drop("file_no")
+    return number_rows(lines, bucket, inside=F.col("line_no")).drop("file_no")
