@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +13,7 @@ from pagesift.functions.binding import let
 from pagesift.operators.joins import lookup_join
 from pagesift.session import materialize
 
+MAX_LABELS = 10_000
 ENGLISH, LANG_THRESHOLD = "en", 0.65
 MATH_THRESHOLD, MATH_REPORT_THRESHOLD = 0.5, 0.80
 
@@ -42,27 +44,26 @@ def train_text_model(docs: DataFrame, label: str, id_col: str = "doc_id", text:
         F.count(F.lit(1)).alias("docs")
     )
     totals = known.groupBy("label").agg(F.sum("n").alias("total"))
-    # One row per label; labels are few.
-    labels = materialize(
-        n_docs.join(totals, "label", "left").select("label", "docs", F.coalesce("total", F.lit(0)).alias("total")),
-        "labels",
+    # One row per class: as many as the label has values, not as many as documents.
+    classes = n_docs.join(totals, "label", "left").orderBy("label").limit(MAX_LABELS + 1).collect()
+    if len(classes) > MAX_LABELS:
+        raise ValueError(f"{label} has more than {MAX_LABELS} values; it is no class label")
+    per_token = known.groupBy("token").agg(
+        *[F.sum(F.when(F.col("label") == c["label"], F.col("n"))).alias(f"n{i}") for i, c in enumerate(classes)]
     )
-    per_label = labels.agg(F.collect_list(F.struct("label", "total")).alias("ls")).select("ls").scalar()
-    per_token = known.groupBy("token").agg(F.map_from_entries(F.collect_list(F.struct("label", "n"))).alias("m"))
-    weight = lambda m, entry: F.ln(
-        (F.coalesce(F.try_element_at(m, entry["label"]), F.lit(0)) + 1) / (entry["total"] + F.col("v"))
-    )
-    weights = per_token.select("token", "m", per_label.alias("ls"), vocabulary.alias("v")).select(
-        "token",
-        F.map_from_entries(
-            F.transform("ls", lambda e: F.struct(e["label"].alias("key"), weight(F.col("m"), e).alias("value")))
-        ).alias("weights"),
-    )
-    all_docs = labels.agg(F.sum("docs").alias("d")).select("d").scalar()
-    priors = labels.select("label", F.ln(F.col("docs") / all_docs).alias("prior")).agg(
-        F.map_from_entries(F.collect_list(F.struct("label", "prior"))).alias("weights")
-    )
-    return weights.unionByName(priors.select(F.lit(None).cast("string").alias("token"), "weights"))
+    entries = [
+        part
+        for i, c in enumerate(classes)
+        for part in (
+            F.lit(c["label"]),
+            F.ln((F.coalesce(f"n{i}", F.lit(0)) + 1) / (F.lit(c["total"] or 0) + F.col("v"))),
+        )
+    ]
+    weights = per_token.withColumn("v", vocabulary).select("token", F.create_map(*entries).alias("weights"))
+    all_docs = sum(c["docs"] for c in classes)
+    priors = {c["label"]: math.log(c["docs"] / all_docs) for c in classes}
+    schema = "token string, weights map<string,double>"
+    return weights.unionByName(docs.sparkSession.createDataFrame([(None, priors)], schema))
 
 
 def model_rows(model: DataFrame) -> DataFrame:
