@@ -184,9 +184,6 @@ PAIRS = (
 
 # ---- pages with tables and formulas, one per part ----
 
-SHAPES = 6
-
-
 def markup_pages(spark: SparkSession, sf: str) -> DataFrame:
     """One page per part with a table, formulas and sub- and superscripts; the shape varies with the key."""
     return scan(spark, sf, "part", "p_partkey").selectExpr("p_partkey AS page_id", f"{_markup()} AS html")

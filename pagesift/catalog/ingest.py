@@ -132,7 +132,10 @@ def _write_archives(spark, sf):
     """All pages as archives, every page also with a request record."""
     path = new_path(spark, "archives")
     spark.dataSource.register(WA.WarcSource)
-    date = F.date_format(F.timestamp_seconds(F.lit(1_704_067_200) + F.col("page_id")), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    second = F.col("page_id") % 86_400
+    clock = F.format_string("T%02d:%02d:%02dZ", F.floor(second / 3600), F.floor(second / 60) % 60, second % 60)
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.floor(F.col("page_id") / 86_400).cast("int"))
+    date = F.concat(day.cast("string"), clock)
     pages = X.pages(spark, sf).select(
         "url", date.alias("date"), F.lit("text/html").alias("content_type"), F.encode("html", "UTF-8").alias("body")
     )
@@ -140,10 +143,15 @@ def _write_archives(spark, sf):
     return path
 
 
+def _utc(ts, form):
+    """Text of a time in UTC, whatever the time zone of the session is."""
+    return F.date_format(F.to_utc_timestamp(ts, F.current_timezone()), form)
+
+
 def scan_warc(spark, sf):
     """Archives written from the pages and read back: URL, time, decoded body."""
     records = P.decode_records(WA.scan_warc(spark, _write_archives(spark, sf)))
-    return records.select("url", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), F.md5("html").alias("html_md5"))
+    return records.select("url", _utc("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), F.md5("html").alias("html_md5"))
 
 
 def scan_warc_ordinals(spark, sf):
@@ -304,7 +312,7 @@ def excluded_writer(spark, sf):
 
 def extraction_job(spark, sf):
     """Archives to counters: URL rules, decoding, extraction, language, topic, per minute of the record's time."""
-    records = WA.scan_warc(spark, _write_archives(spark, sf)).withColumn("cc_path", F.date_format("ts", "yyyy-MM-dd HH:mm"))
+    records = WA.scan_warc(spark, _write_archives(spark, sf)).withColumn("cc_path", _utc("ts", "yyyy-MM-dd HH:mm"))
     records = records.withColumn("record_idx", F.unix_timestamp("ts"))
     lang = materialize(ML.train_text_model(X.documents(spark, sf), "lang"), "lang-model")
     labels = scan(spark, sf, "labels").select("doc_id", "quality")

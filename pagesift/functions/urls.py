@@ -29,11 +29,6 @@ def host(url: Column) -> Column:
     return F.nullif(F.rtrim(F.lower(F.regexp_extract(url, HOST, 1)), F.lit(".")), F.lit(""))
 
 
-def fqdn(host_name: Column, suffixes: Sequence[str] = PUBLIC_SUFFIXES) -> Column:
-    """The host if it has a registered domain; NULL for addresses and unknown suffixes."""
-    return F.when(registered_domain(host_name, suffixes).isNotNull(), host_name)
-
-
 def registered_domain(host_name: Column, suffixes: Sequence[str] = PUBLIC_SUFFIXES) -> Column:
     """The longest public suffix of the host and one label more."""
     suffixes = list(suffixes)

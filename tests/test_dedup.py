@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from pagesift.functions.minhash import coefficients, minima
 from pagesift.operators import dedup as D
 from pagesift.operators import reorganize as R
-from pagesift.operators.joins import BROADCAST_BYTES  # noqa: F401
 
 
 def clusters(spark, pairs, **options):
