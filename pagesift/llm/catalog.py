@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagesift.llm import byte_bpe, exact_dedup, line_dedup
+from pagesift.llm import byte_bpe, exact_dedup, line_dedup, packing
 from pagesift.llm.common import table
 
 WHITE_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -17,6 +17,17 @@ def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packed_pieces(table(spark, folder, "documents"))
+
+
+def packed_pieces(docs: DataFrame) -> DataFrame:
+    pieces = packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.grace_groups(table(spark, folder, "documents"))
 
@@ -64,6 +75,7 @@ FROM judged GROUP BY doc_id
 def queries() -> dict:
     return {
         "op4_byte_bpe": op4_byte_bpe,
+        "op6_packing": op6_packing,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_line_dedup": op10_line_dedup,
     }

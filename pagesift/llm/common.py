@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,3 +63,14 @@ def binary_values(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
 
 def out_batches(table: pa.Table, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     yield from table.cast(schema).combine_chunks().to_batches(max_chunksize=20_000)
+
+
+def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Words between ASCII white space: where each text's words start, a number per word, the distinct words.
+
+    Empty words may occur at the ends of a text.
+    """
+    split = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
+    starts = split.offsets.to_numpy()
+    coded = split.values.slice(starts[0], starts[-1] - starts[0]).dictionary_encode()
+    return starts - starts[0], coded.indices.to_numpy().astype(np.int64), coded.dictionary
