@@ -6,12 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagesift.llm import byte_bpe, exact_dedup, line_dedup, packing
+from pagesift.llm import byte_bpe, exact_dedup, language, line_dedup, packing, topk
 from pagesift.llm.common import table
 
 WHITE_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 
+def op1_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = language.fitted(docs.where(~language.held_out("doc_id")))
+    found = language.identified(docs.withColumn("held_out", language.held_out("doc_id")), model, columns=["doc_id", "held_out"])
+    return found.select("row.doc_id", "row.held_out", "lang_pred", "score")
+
+
 def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return byte_bpe.round_trip(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
@@ -28,6 +35,30 @@ def packed_pieces(docs: DataFrame) -> DataFrame:
     )
 
 
+def op8_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(table(spark, folder, "embeddings"), F.col("id") % 20 == 0)
+
+
+OP8_SQL = """
+WITH good AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), wide AS (
+  SELECT vec_id, v, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM good
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+  FROM wide q JOIN wide c ON q.d = c.d AND len(q.v) = len(c.v) AND q.vec_id <> c.vec_id
+  WHERE q.vec_id % 20 = 0
+  GROUP BY q.vec_id, q.v, c.vec_id, c.v
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.grace_groups(table(spark, folder, "documents"))
 
@@ -74,12 +105,14 @@ FROM judged GROUP BY doc_id
 
 def queries() -> dict:
     return {
+        "op1_language": op1_language,
         "op4_byte_bpe": op4_byte_bpe,
         "op6_packing": op6_packing,
+        "op8_top_k": op8_top_k,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_line_dedup": op10_line_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_dedup": OP9_SQL, "op10_line_dedup": OP10_SQL}
+    return {"op8_top_k": OP8_SQL, "op9_exact_dedup": OP9_SQL, "op10_line_dedup": OP10_SQL}
