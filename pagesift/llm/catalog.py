@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagesift.llm import byte_bpe, exact_dedup, language, line_dedup, packing, topk
+from pagesift.llm import byte_bpe, exact_dedup, language, line_dedup, packing, topk, warc
 from pagesift.llm.common import table
+from pagesift.session import new_path
 
 WHITE_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
@@ -19,6 +20,32 @@ def op1_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("row.doc_id", "row.held_out", "lang_pred", "score")
 
 
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    place = new_path(spark, "archives")
+    warc.write_archives(table(spark, folder, "pages"), place)
+
+    def number(identifier: str) -> F.Column:
+        return F.regexp_extract(identifier, "^<urn:page:(-?[0-9]*):", 1).try_cast("long")
+
+    return warc.read_pages(spark, place).select(
+        number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        number("refers_to").alias("refers_to"), "error",
+    )
+
+
+OP3_SQL = """
+WITH payload AS (
+  SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages
+), led AS (
+  SELECT page_id, html, n, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY html) END AS leader FROM payload
+)
+SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN leader IS NOT NULL AND page_id IS DISTINCT FROM leader THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM leader THEN leader END AS refers_to, CAST(NULL AS VARCHAR) AS error
+FROM led
+"""
+
+
 def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return byte_bpe.round_trip(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
@@ -106,6 +133,7 @@ FROM judged GROUP BY doc_id
 def queries() -> dict:
     return {
         "op1_language": op1_language,
+        "op3_warc": op3_warc,
         "op4_byte_bpe": op4_byte_bpe,
         "op6_packing": op6_packing,
         "op8_top_k": op8_top_k,
@@ -115,4 +143,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_top_k": OP8_SQL, "op9_exact_dedup": OP9_SQL, "op10_line_dedup": OP10_SQL}
+    return {"op3_warc": OP3_SQL, "op8_top_k": OP8_SQL, "op9_exact_dedup": OP9_SQL, "op10_line_dedup": OP10_SQL}

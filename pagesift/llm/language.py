@@ -40,7 +40,7 @@ SAMPLE = 32_000
 SYMBOLS = 48
 BLOCK = 256
 #: Symbols of evidence that the score counts at most; more would make every score 1.
-EVIDENCE = 64
+EVIDENCE = 8
 UNKNOWN = "und"
 
 
