@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagesift.llm import byte_bpe, exact_dedup, language, line_dedup, packing, topk, warc
+from pagesift.llm import byte_bpe, exact_dedup, language, line_dedup, lm, packing, topk, warc
 from pagesift.llm.common import table
 from pagesift.session import new_path
 
@@ -20,6 +20,10 @@ def op1_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("row.doc_id", "row.held_out", "lang_pred", "score")
 
 
+def op2_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.scored(table(spark, folder, "documents"), lm.held_out("doc_id"))
+
+
 def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
     place = new_path(spark, "archives")
     warc.write_archives(table(spark, folder, "pages"), place)
@@ -133,6 +137,7 @@ FROM judged GROUP BY doc_id
 def queries() -> dict:
     return {
         "op1_language": op1_language,
+        "op2_lm": op2_lm,
         "op3_warc": op3_warc,
         "op4_byte_bpe": op4_byte_bpe,
         "op6_packing": op6_packing,
