@@ -13,7 +13,7 @@ class), both maximum-entropy models over hashed features of the history:
 
 Training is distributed: in each round every task starts from the same weights, makes
 gradient steps over its part of the training texts, and sends its change of the weights;
-the changes are averaged by tokens, block by block of the tables. Each training text is
+the changes of a row are averaged by how often each task has met its features. Each training text is
 used in exactly one round. Tables have a fixed size; they are what is broadcast.
 
 Counts are exact and over all texts. The ``HEAD`` most frequent tokens have a place in a
@@ -49,11 +49,11 @@ SUFFIX = 3
 CLASS_ROWS = 1 << 14
 WORD_ROWS = 1 << 13
 ROUNDS = 2
-RATE = 0.15
+#: A step is RATE x gradient / sqrt(FLOOR + sum of squared gradients so far).
+RATE = 0.25
+FLOOR = 1.0
 STEP = 4_096
 CHUNK_BYTES = 2 << 20
-#: Rows of a weight table that are summed together.
-BLOCK = 16
 #: Distinct tokens that a task holds while it looks for frequent ones.
 HELD = 500_000
 END = "\n"
@@ -166,16 +166,16 @@ class Weights:
         out -= np.log(np.exp(out).sum(axis=1, keepdims=True))
         return out
 
-    def moved(self, changes: dict[int, np.ndarray], seen: float) -> Weights:
-        """Weights after the sums of all tasks' changes, each weighted by its tokens."""
+    def moved(self, changes: dict[int, np.ndarray]) -> Weights:
+        """Weights after the changes of rows; those of the second table are numbered after the first."""
         out = Weights(self.class_bias, self.word_bias)
         out.tables = [x.copy() for x in self.tables]
-        for key, change in changes.items():
-            which, block = divmod(key, CLASS_ROWS)
-            out.tables[which].reshape(len(out.tables[which]) // BLOCK, -1)[block] += (change / seen).astype(np.float32)
+        for row, change in changes.items():
+            which, at = divmod(row, CLASS_ROWS)
+            out.tables[which][at] += change.astype(np.float32)
         return out
 
-    def learn(self, rows: np.ndarray, bias: np.ndarray, target: np.ndarray, which: int, sums: np.ndarray) -> None:
+    def learn(self, rows: np.ndarray, bias: np.ndarray, target: np.ndarray, which: int, sums: np.ndarray, met: np.ndarray) -> None:
         """One adaptive gradient step over a few thousand tokens."""
         gradient = np.exp(self.factors(rows, bias, which))
         gradient[np.arange(len(target)), target] -= 1
@@ -186,7 +186,8 @@ class Weights:
         total = np.add.reduceat(gradient[order // rows.shape[1]], heads, axis=0)
         touched = sorted_rows[heads]
         sums[touched] += total * total
-        self.tables[which][touched] -= RATE * total / np.sqrt(sums[touched] + 1e-6)
+        met[touched] += np.diff(np.append(heads, len(flat)))
+        self.tables[which][touched] -= RATE * total / np.sqrt(sums[touched] + FLOOR)
 
 
 class Batch:
@@ -202,51 +203,46 @@ class Batch:
 
 def _train(weights, lexicon):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, own, seen = weights.value, Weights(weights.value.class_bias, weights.value.word_bias), 0
+        first, own = weights.value, Weights(weights.value.class_bias, weights.value.word_bias)
         own.tables = [x.copy() for x in first.tables]
         sums = [np.zeros_like(x) for x in own.tables]
+        met = [np.zeros(len(x), dtype=np.int64) for x in own.tables]
         for part in chunks(batches, CHUNK_BYTES):
             b = Batch(texts_of(part), lexicon.value)
-            seen += len(b.hashes)
             for at in range(0, len(b.hashes), STEP):
                 cut = slice(at, at + STEP)
-                own.learn(b.class_rows[cut], own.class_bias, b.classes[cut], 0, sums[0])
+                own.learn(b.class_rows[cut], own.class_bias, b.classes[cut], 0, sums[0], met[0])
             for at in range(0, len(b.plain), STEP):
                 cut = b.plain[at : at + STEP]
                 bias = own.word_bias[b.classes[cut]]
-                own.learn(b.word_rows[cut], bias, b.places[cut] % WIDTH, 1, sums[1])
-        if not seen:
-            return
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([-1], pa.int64()), pa.array([seen], pa.int64()), pa.array([np.ones(1, np.float16).tobytes()], pa.binary())],
-            ["block", "n", "change"],
-        )
+                own.learn(b.word_rows[cut], bias, b.places[cut] % WIDTH, 1, sums[1], met[1])
         for which, (new, old) in enumerate(zip(own.tables, first.tables)):
-            change = (new - old).astype(np.float16).reshape(len(new) // BLOCK, -1)
-            used = np.flatnonzero(change.any(axis=1))
-            for at in range(0, len(used), 1_000):
-                some = used[at : at + 1_000]
+            change = (new - old).astype(np.float16)
+            used = np.flatnonzero(met[which])
+            for at in range(0, len(used), 2_000):
+                some = used[at : at + 2_000]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array((which * CLASS_ROWS + some).astype(np.int64)), pa.array([seen] * len(some), pa.int64()),
-                        pa.array([change[i].tobytes() for i in some], pa.binary()),
+                        pa.array(which * CLASS_ROWS + some), pa.array(met[which][some]),
+                        pa.array([x.tobytes() for x in change[some]], pa.binary()),
                     ],
-                    ["block", "n", "change"],
+                    ["row", "n", "change"],
                 )
 
     return run
 
 
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Changes of each block, weighted by tokens; a task holds the blocks of its partition only."""
+def _averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Mean change of each row, weighted by n; a task holds the rows of its partition only."""
     held: dict[int, np.ndarray] = {}
+    weight: dict[int, int] = {}
     for batch in batches:
-        for block, n, change in zip(*(x.to_pylist() for x in batch.columns)):
+        for row, n, change in zip(*(x.to_pylist() for x in batch.columns)):
             add = np.frombuffer(change, np.float16).astype(np.float64) * n
-            held[block] = held[block] + add if block in held else add
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(list(held), pa.int64()), pa.array([x.tobytes() for x in held.values()], pa.binary())], ["block", "change"]
-    )
+            held[row] = held[row] + add if row in held else add
+            weight[row] = weight.get(row, 0) + n
+    means = [(x / weight[row]).astype(np.float32).tobytes() for row, x in held.items()]
+    yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array(means, pa.binary())], ["row", "change"])
 
 
 def trained(train: DataFrame, lexicon, counts: np.ndarray, tails: dict[int, tuple[int, int]], rounds: int) -> Weights:
@@ -262,12 +258,10 @@ def trained(train: DataFrame, lexicon, counts: np.ndarray, tails: dict[int, tupl
     for turn in range(rounds if n_all else 0):
         shared = spark.sparkContext.broadcast(weights)
         some = train.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == turn).select("text")
-        changes = some.mapInArrow(_train(shared, lexicon), "block long, n long, change binary")
-        summed = changes.repartition(partitions(spark), "block").mapInArrow(_summed, "block long, change binary")
+        changes = some.mapInArrow(_train(shared, lexicon), "row long, n long, change binary")
+        means = changes.repartition(partitions(spark), "row").mapInArrow(_averaged, "row long, change binary")
         # As much as the tables hold, whatever the corpus.
-        found = {x["block"]: np.frombuffer(x["change"], np.float64) for x in summed.collect()}
-        if found:
-            weights = weights.moved(found, float(found.pop(-1)[0]))
+        weights = weights.moved({x["row"]: np.frombuffer(x["change"], np.float32) for x in means.collect()})
         shared.unpersist()
     return weights
 
