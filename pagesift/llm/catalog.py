@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagesift.llm import byte_bpe, exact_dedup, language, line_dedup, lm, packing, topk, warc
+from pagesift.llm import byte_bpe, exact_dedup, language, line_dedup, lm, near_dedup, packing, topk, warc
 from pagesift.llm.common import table
 from pagesift.session import new_path
 
@@ -66,6 +66,10 @@ def packed_pieces(docs: DataFrame) -> DataFrame:
     )
 
 
+def op7_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_classes(table(spark, folder, "documents")).drop("t")
+
+
 def op8_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"), F.col("id") % 20 == 0)
 
@@ -141,6 +145,7 @@ def queries() -> dict:
         "op3_warc": op3_warc,
         "op4_byte_bpe": op4_byte_bpe,
         "op6_packing": op6_packing,
+        "op7_near_dedup": op7_near_dedup,
         "op8_top_k": op8_top_k,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_line_dedup": op10_line_dedup,
