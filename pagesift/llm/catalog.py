@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagesift.llm import byte_bpe, exact_dedup, language, line_dedup, lm, near_dedup, packing, topk, warc
+from pagesift.llm import byte_bpe, exact_dedup, language, line_dedup, lm, near_dedup, packing, substring_dedup, topk, warc
 from pagesift.llm.common import table
 from pagesift.session import new_path
 
@@ -55,6 +55,13 @@ def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return substring_dedup.without_repeats(docs).select(
+        "row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed_pieces(table(spark, folder, "documents"))
 
@@ -144,6 +151,7 @@ def queries() -> dict:
         "op2_lm": op2_lm,
         "op3_warc": op3_warc,
         "op4_byte_bpe": op4_byte_bpe,
+        "op5_suffix_dedup": op5_suffix_dedup,
         "op6_packing": op6_packing,
         "op7_near_dedup": op7_near_dedup,
         "op8_top_k": op8_top_k,
