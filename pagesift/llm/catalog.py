@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagesift.llm import byte_bpe, exact_dedup, language, line_dedup, lm, near_dedup, packing, substring_dedup, topk, warc
+import corpus_pipeline
+from pagesift.llm import byte_bpe, exact_dedup, language, line_dedup, lm, near_dedup, substring_dedup, topk, warc
 from pagesift.llm.common import table
 from pagesift.session import new_path
 
@@ -63,14 +64,7 @@ def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packed_pieces(table(spark, folder, "documents"))
-
-
-def packed_pieces(docs: DataFrame) -> DataFrame:
-    pieces = packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
-    return pieces.select(
-        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
-    )
+    return corpus_pipeline.packed(spark, table(spark, folder, "documents"), folder)
 
 
 def op7_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -157,6 +151,7 @@ def queries() -> dict:
         "op8_top_k": op8_top_k,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_line_dedup": op10_line_dedup,
+        "pipeline": corpus_pipeline.run,
     }
 
 
