@@ -23,7 +23,9 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,15 +33,18 @@ from pyspark.sql import functions as F
 from pagesift.llm.common import col, text_of
 
 #: Pieces and neighbour pairs that a worker remembers; when full, the memo starts anew.
-MEMO_PIECES = 400_000
+MEMO_WORDS = 500_000
+MEMO_PIECES = 250_000
 MEMO_PAIRS = 1_000_000
+#: Rows that are encoded together.
+ROWS = 1_500
 #: Pieces longer than this are not worth remembering.
 MEMO_BYTES = 64
 
 
 NEVER = 1 << 60
-#: Number of ids, the ids as text, the ids.
-Found = tuple[int, str, list[int]]
+#: Number of ids, the ids as text, the bytes that they decode to.
+Found = tuple[int, str, bytes]
 
 
 def edge(word: str, at: int) -> bool:
@@ -163,7 +168,7 @@ class Encoder:
         data = text.encode()
         whole = self.ranks.get(data)
         ids = [whole] if whole is not None else self.backtracked(data)
-        found = (len(ids), " ".join(map(str, ids)), ids)
+        found = (len(ids), " ".join(map(str, ids)), self.decode(ids))
         if len(data) <= MEMO_BYTES:
             if len(self.pieces) >= MEMO_PIECES:
                 self.pieces.clear()
@@ -176,44 +181,51 @@ class Encoder:
         found = [known(x) or self.piece(x) for x in self.split(text)]
         if len(found) == 1:
             return found[0]
-        return sum(x[0] for x in found), " ".join([x[1] for x in found]), [i for x in found for i in x[2]]
+        return sum(x[0] for x in found), " ".join([x[1] for x in found]), b"".join([x[2] for x in found])
+
+    def word(self, word: str) -> Found:
+        """A word after a single space."""
+        found = self.part(" " + word)
+        if len(word) <= MEMO_BYTES:
+            if len(self.words) >= MEMO_WORDS:
+                self.words.clear()
+            self.words[word] = found
+        return found
 
-    def found(self, text: str) -> list[Found]:
-        """The ids of a text, word by word.
+    def apart(self, texts: pa.Array) -> Iterator[Found]:
+        """The ids of each text.
 
-        A space between two characters that are no white space always begins a piece,
-        so the text may be cut there. Other spaces stay inside a part.
+        A space between two characters that are no white space always begins a piece, so a
+        text may be cut there. Texts with other spaces are split as a whole; of the rest
+        each different word of the batch is looked up once.
         """
-        words = text.split(" ")
-        found = list(map(self.words.get, words))
-        found[0] = None
-        if None not in found:
-            return found
-        out: list[Found] = []
-        at, n = 0, len(words)
-        for at_word, known in enumerate(found):
-            if at_word < at:  # already part of the one before
-                continue
-            if known is not None:
-                out.append(known)
-                at = at_word + 1
-                continue
-            end = at_word + 1
-            while end < n and not (edge(words[end - 1], -1) and edge(words[end], 0)):
-                end += 1
-            ids = self.part((" " if at_word else "") + " ".join(words[at_word:end]))
-            if at_word and end == at_word + 1 and len(words[at_word]) <= MEMO_BYTES and edge(words[at_word], 0):
-                if len(self.words) >= MEMO_PIECES:
-                    self.words.clear()
-                if edge(words[at_word], -1):
-                    self.words[words[at_word]] = ids
-            if ids[0]:
-                out.append(ids)
-            at = end
-        return out
+        split = pc.split_pattern(texts.cast(pa.large_string()), " ")
+        starts = split.offsets.to_numpy()
+        coded = split.values.slice(starts[0], starts[-1] - starts[0]).dictionary_encode()
+        starts = starts - starts[0]
+        numbers, names = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+        clean = np.fromiter((edge(x, 0) and edge(x, -1) for x in names), bool, len(names))
+        # A text's first word has no space before it; it is added to the words.
+        head = starts[:-1]
+        firsts = [names[i] for i in numbers[head].tolist()]
+        whole = np.logical_and.reduceat(clean[numbers], head) if len(head) else np.zeros(0, bool)
+        known = self.words.get
+        found = [(known(x) or self.word(x)) if ok else (0, "", b"") for x, ok in zip(names, clean.tolist())]
+        found += [self.part(x) if ok else (0, "", b"") for x, ok in zip(firsts, whole.tolist())]
+        numbers[head] = len(names) + np.arange(len(head))
+        sizes = np.fromiter((x[0] for x in found), np.int64, len(found))
+        n = np.add.reduceat(sizes[numbers], head) if len(head) else sizes
+        ids, data = [x[1] for x in found], [x[2] for x in found]
+        bounds = starts.tolist()
+        for i, ok in enumerate(whole.tolist()):
+            if ok:
+                own = numbers[bounds[i] : bounds[i + 1]].tolist()
+                yield int(n[i]), " ".join([ids[k] for k in own]), b"".join([data[k] for k in own])
+            else:
+                yield self.part(texts[i].as_py())
 
     def encode(self, text: str) -> list[int]:
-        return [i for _, _, ids in self.found(text) for i in ids]
+        return [int(x) for _, ids, _ in self.apart(pa.array([text])) for x in ids.split()]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -234,11 +246,11 @@ def encoded(docs: DataFrame, path: str, pattern: str, id_name: str = "doc_id", t
     """Per row: id, ``ids`` (array of int) of the whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path, pattern).encode
+        own = encoder(path, pattern)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                ids = [encode(x) for x in part.column(1).to_pylist()]
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                ids = [[int(x) for x in found[1].split()] for found in own.apart(part.column(1))]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], ["id", "ids"])
 
     rows = docs.select(col(id_name).alias("id"), text_of(text_name).alias("text"))
@@ -252,19 +264,17 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_name: str = "doc_id"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path, pattern)
         for batch in batches:
-            sizes, digests, decoded = [], [], []
-            for text in batch.column(1):
-                found = own.found(text.as_py())
-                sizes.append(sum(x[0] for x in found))
-                digests.append(hashlib.sha256(" ".join([x[1] for x in found]).encode()).hexdigest())
-                whole = hashlib.sha256()
-                for at in range(0, len(found), 50_000):
-                    whole.update(own.decode([i for x in found[at : at + 50_000] for i in x[2]]))
-                decoded.append(whole.hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())],
-                ["id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                sizes, digests, decoded = [], [], []
+                for n, ids, data in own.apart(part.column(1)):
+                    sizes.append(n)
+                    digests.append(hashlib.sha256(ids.encode()).hexdigest())
+                    decoded.append(hashlib.sha256(data).hexdigest())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())],
+                    ["id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                )
 
     rows = docs.select(col(id_name).alias("id"), text_of(text_name).alias("text"))
     kind = f"id {rows.schema['id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string"

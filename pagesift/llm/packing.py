@@ -45,7 +45,8 @@ QUANTUM = 256
 MAX_QUEUES = 64
 WEIGHTS = 1 << 20
 #: Words that a worker remembers; when full, the memo starts anew.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 800_000
+MEMO_PIECES = 300_000
 MEMO_CHARS = 64
 
 
@@ -65,42 +66,46 @@ class WordTokenizer:
         self.split = regex.compile(split).findall
         self.normal, self.merge = own.normalizer.normalize_str, own.model.tokenize
         self.cut = own.pre_tokenizer.pre_tokenize_str
-        self.pieces: dict[str, list[int]] = {}
-        self.words: dict[str, list[int]] = {"": []}
+        # Ids as little-endian unsigned 32-bit numbers, which take less room than lists.
+        self.pieces: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
-    def piece(self, text: str) -> list[int]:
-        ids = [x.id for x in self.merge(text)]
+    def piece(self, text: str) -> bytes:
+        ids = np.array([x.id for x in self.merge(text)], dtype="<u4").tobytes()
         if len(text) <= MEMO_CHARS:
-            if len(self.pieces) >= MEMO_WORDS:
+            if len(self.pieces) >= MEMO_PIECES:
                 self.pieces.clear()
             self.pieces[text] = ids
         return ids
 
-    def word(self, text: str) -> list[int]:
-        known = self.words.get(text)
-        if known is None:
-            if text.isascii() and text.isprintable():  # its normal form is lower case and its bytes stand for themselves
-                found = self.split(text.lower())
-            else:
-                found = [x for x, _ in self.cut(self.normal(text))]
-            known = [i for x in found for i in self.pieces.get(x) or self.piece(x)]
-            if len(text) <= MEMO_CHARS:
-                if len(self.words) >= MEMO_WORDS:
-                    self.words.clear()
-                self.words[text] = known
-        return known
+    def word(self, text: str) -> bytes:
+        if text.isascii() and text.isprintable():  # its normal form is lower case and its bytes stand for themselves
+            low = text.lower()
+            found = [low] if low.isalpha() else self.split(low)
+        else:
+            found = [x for x, _ in self.cut(self.normal(text))]
+        known = self.pieces.get
+        ids = b"".join([known(x) or self.piece(x) for x in found])
+        if len(text) <= MEMO_CHARS:
+            if len(self.words) >= MEMO_WORDS:
+                self.words.clear()
+            self.words[text] = ids
+        return ids
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Where the ids of each text start, and all ids; each text ends with ``end_id``."""
         starts, numbers, distinct = words(texts)
-        found = [self.word(x) for x in distinct.to_pylist()] + [[end_id]]
-        lists = pa.array(found, pa.list_(pa.uint32()))
-        ends = np.full(len(starts) - 1, len(found) - 1)
-        numbers = np.insert(numbers, starts[1:], ends)
-        sizes = np.fromiter(map(len, found), np.int64, len(found))[numbers]
-        ids = lists.take(pa.array(numbers)).flatten().to_numpy()
-        bounds = starts + np.arange(len(starts))
-        return np.concatenate([[0], np.cumsum(sizes)])[bounds], ids
+        known = self.words.get
+        found = [known(x) or self.word(x) for x in distinct.to_pylist()]
+        found.append(np.array([end_id], dtype="<u4").tobytes())
+        numbers = np.insert(numbers, starts[1:], len(found) - 1)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        first = np.cumsum(sizes) - sizes
+        flat = np.frombuffer(b"".join(found), dtype="<u4")
+        n = sizes[numbers]
+        ends = np.cumsum(n)
+        ids = flat[np.repeat(first[numbers] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
+        return np.concatenate([[0], ends])[starts + np.arange(len(starts))], ids
 
 
 @lru_cache(maxsize=2)
@@ -115,8 +120,8 @@ def tokenised(docs: DataFrame, path: str, end_id: int, id_name: str, text_name:
         encode = tokenizer(path).encode
         part, before = TaskContext.get().partitionId(), {}
         for batch in batches:
-            for first in range(0, batch.num_rows, 1000):
-                rows = batch.slice(first, 1000)
+            for first in range(0, batch.num_rows, 2_500):
+                rows = batch.slice(first, 2_500)
                 bounds, ids = encode(rows.column(2), end_id)
                 sizes, starts = np.diff(bounds), []
                 data = ids.astype("<u4").tobytes()
