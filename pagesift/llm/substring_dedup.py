@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagesift.llm.common import binary_values, chunks, col, hinted, partitions, text_of
+from pagesift.llm.common import binary_values, chunks, col, partitions, text_of
 from pagesift.llm.near_dedup import mixed
 from pagesift.session import materialize
 
@@ -358,7 +358,8 @@ def without_repeats(
     )
     spans = materialize(spans.select(F.col("id").alias("si"), F.col("t").alias("st"), "spans"), "spans")
     same = F.col("id").eqNullSafe(F.col("si")) & (F.col("t") == F.col("st"))
-    joined = source.join(hinted(spans, F.size("spans") * 24 + 48), same, "left").select(
+    # Always shuffled: the spans grow with the texts.
+    joined = source.join(spans.hint("merge"), same, "left").select(
         "row", "text", F.col("spans.place").alias("places"), F.col("spans.covered").alias("covered")
     )
 
