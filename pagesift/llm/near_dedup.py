@@ -151,7 +151,7 @@ def samples(value: np.ndarray, weight: np.ndarray, bounds: np.ndarray, n: int) -
     sizes = np.diff(bounds)
     out = np.zeros((len(sizes), n), dtype=np.uint64)
     for k in range(n):
-        z = mixed(value + np.uint64(k + 1) * B)
+        z = mixed(value + np.uint64((k + 1) * int(B) % 2**64))
         r = GAMMA[(z >> np.uint64(48)).astype(np.int64)]
         log_c = LOG_GAMMA[((z >> np.uint64(32)) & np.uint64(0xFFFF)).astype(np.int64)]
         beta = (z & np.uint64(0xFFFFFFFF)).astype(np.float32) * np.float32(2.0**-32)

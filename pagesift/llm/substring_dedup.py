@@ -251,7 +251,9 @@ def _judged(length: int):
         rows = list(held)
         keys = np.array([x[0] for x in rows], dtype=np.int64)
         _, groups, sizes = np.unique(keys, return_inverse=True, return_counts=True)
-        several = np.flatnonzero(sizes[groups] > 1)
+        # Contexts with several places are repeated whole; groups of only such need no sorting.
+        single = np.fromiter((held[x] == 1 for x in rows), bool, len(rows))
+        several = np.flatnonzero((sizes[groups] > 1) & (np.bincount(groups, weights=single)[groups] > 0))
         starts: dict[int, np.ndarray] = {}
         if len(several):
             leads = np.array([rows[i][1] for i in several], dtype=np.int64)
@@ -308,14 +310,13 @@ def cut(data: bytes, places: list[int], covered: list[bytes]) -> tuple[bytes, in
     """(what is left, bytes removed, runs removed)."""
     if not places:
         return data, 0, 0
-    marks = np.zeros(len(data) + 1, dtype=np.int32)
-    for place, some in zip(places, covered):
-        pairs = np.frombuffer(some, dtype=np.int32).reshape(-1, 2) + place
-        np.add.at(marks, pairs[:, 0], 1)
-        np.add.at(marks, pairs[:, 1], -1)
-    gone = np.cumsum(marks[:-1]) > 0
-    spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-    return np.frombuffer(data, dtype=np.uint8)[~gone].tobytes(), int(gone.sum()), spans
+    pairs = np.concatenate([np.frombuffer(some, dtype=np.int32).reshape(-1, 2) + place for place, some in zip(places, covered)])
+    pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
+    ends = np.maximum.accumulate(pairs[:, 1])
+    heads = np.append(0, np.flatnonzero(pairs[1:, 0] > ends[:-1]) + 1)
+    first, end = pairs[heads, 0].tolist(), ends[np.append(heads[1:], len(ends)) - 1].tolist()
+    kept = b"".join([data[a:b] for a, b in zip([0, *end], [*first, len(data)])])
+    return kept, len(data) - len(kept), len(first)
 
 
 def repeat_filter(source: DataFrame, length: int, gram: int) -> Filter:

@@ -24,6 +24,7 @@ empty table gives an empty result. Other columns play no part.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 import zlib
@@ -173,8 +174,8 @@ def write_archives(
 def parsed(content: bytes) -> Iterator[dict]:
     """The records of one archive; a broken one ends it with a record that has ``error``."""
     try:
-        data = zlib.decompressobj(31).decompress(content) if content[:2] == b"\x1f\x8b" else content
-    except zlib.error as error:
+        data = gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
+    except (zlib.error, EOFError, OSError) as error:
         yield {"error": f"archive: {error}"}
         return
     at = 0
@@ -246,10 +247,12 @@ def reassembled(segments: list[dict]) -> list[dict]:
     parts = {x["number"]: x for x in segments}
     if not firsts:
         return [page({"record_id": segments[0]["origin"]}, None, "first segment missing")]
-    message = b"".join(x["block"] for x in parts.values())
+    broken = next((x["error"] for x in segments if x["error"]), None)
+    message = b"".join(x["block"] or b"" for x in parts.values())
     total = parts[max(parts)]["total"]
-    whole = list(parts) == list(range(1, len(parts) + 1)) and total == len(message)
-    return [page(firsts[0], message, None if whole else "segments missing or of wrong total length")] * len(firsts)
+    if list(parts) != list(range(1, len(parts) + 1)) or total != len(message):
+        broken = broken or "segments missing or of wrong total length"
+    return [page(firsts[0], message, broken)] * len(firsts)
 
 
 PAGE_ARROW = pa.schema([
