@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pagesift.functions.binding import let
-from pagesift.functions.html import decode_entities, escape, replace_each, strip_tags
-from pagesift.functions.symbols import unicode_to_latex
+from pagesift.functions.html import decode_entities, escape, replace_each, replace_in_order, strip_tags
+from pagesift.functions.symbols import entity_to_latex, unicode_to_latex
 
 # Patterns and formats.
 MATH = r"(?is)<(?:mml:)?math(?:\s[^>]*)?>.*?</(?:mml:)?math\s*>"
@@ -17,10 +20,12 @@ ANY_ANNOTATION = r"(?is)<annotation[^>]*>.*?</annotation[^>]*>"
 ALTTEXT = r"(?is)^<(?:mml:)?math\s(?:[^>]*\s)?alttext=\"([^\"]*)\""
 KATEX_SKIPPED = r"(?is)^<math[^>]*class=\"katex-mathml\""
 STYLED = r"(?s)\$\{?\\(?:display|text)style\s*(.+?)\}?\$"
+KATEX_RENDERED = re.compile(r"<span[^>]*class=\"katex-html\"[^>]*>", re.I)
 KATEX_CONTAINER = (
     r"(?is)<span[^>]*class=\"katex\"[^>]*>\s*<span[^>]*class=\"katex-mathml\"[^>]*>\s*"
-    r"(<math(?:\s[^>]*)?>.*?</math\s*>)\s*</span>(?:\s*<span[^>]*class=\"katex-html\"[^>]*>[^<]*</span>)?\s*</span>"
+    r"(<math(?:\s[^>]*)?>.*?</math\s*>)\s*</span>\s*</span>"
 )
+SPAN = re.compile(r"<(/?)span\b[^>]*>", re.I)
 BLOCK = r"<!--\[if mathML\]>(.*?)<!\[endif\]-->"
 DISPLAY = "{\\displaystyle"
 NAMESPACE = 'xmlns="http://www.w3.org/1998/Math/MathML"'
@@ -72,7 +77,7 @@ def mathml_clean(block: Column) -> Column:
 def token_text(mathml: Column) -> Column:
     """Plain text of a formula's tokens in LaTeX symbols; structure is not converted."""
     bare = decode_entities(strip_tags(F.regexp_replace(mathml, ANY_ANNOTATION, "")))
-    tex = unicode_to_latex(strip(F.regexp_replace(bare, r"\s+", " ")))
+    tex = entity_to_latex(unicode_to_latex(strip(F.regexp_replace(bare, r"\s+", " "))))
     return let(tex, lambda t: F.when(t == "", "").otherwise(F.concat(F.lit("$"), t, F.lit("$"))))
 
 
@@ -98,34 +103,39 @@ def formula_parts(formula: Column) -> Column:
     return let(formula, parts)
 
 
-def replace_in_order(html: Column, pattern: str, target) -> Column:
-    """Replace every match, each in its own place, by ``target`` of it (NULL keeps it)."""
-
-    def rebuild(h: Column) -> Column:
-        pair = F.struct(F.split(h, pattern).alias("gaps"), F.regexp_extract_all(h, F.lit(pattern), 0).alias("found"))
-        return let(
-            pair,
-            lambda p: F.array_join(
-                F.transform(
-                    p["gaps"],
-                    lambda gap, i: F.concat(gap, F.coalesce(let(F.get(p["found"], i), lambda f: F.coalesce(target(f), f)), F.lit(""))),
-                ),
-                "",
-            ),
-        )
-
-    return let(html, rebuild)
-
-
 def formula_mark(html: Column) -> Column:
     """Every formula replaced by its TeX in a ``span``; one without a result stays."""
     marked = lambda f: F.concat(F.lit(SPAN_OPEN), escape(formula_parts(f)["tex"]), F.lit(SPAN_CLOSE))
     return replace_in_order(html, MATH, marked)
 
 
+def without_rendered(html: str) -> str:
+    """Drop the rendered copies of KaTeX formulas, spans in spans to any depth; one that never ends stays."""
+    out, at = [], 0
+    while found := KATEX_RENDERED.search(html, at):
+        depth, end = 1, found.end()
+        for tag in SPAN.finditer(html, found.end()):
+            depth += -1 if tag[1] else 1
+            end = tag.end()
+            if depth == 0:
+                break
+        out.append(html[at : found.start() if depth == 0 else found.end()])
+        at = end if depth == 0 else found.end()
+    return "".join([*out, html[at:]])
+
+
+def _without_rendered(html: pd.Series) -> pd.Series:
+    return html.map(lambda x: None if x is None else without_rendered(x))
+
+
 def katex_choose(html: Column) -> Column:
-    """Rendered KaTeX containers replaced by the MathML they embed."""
-    return F.regexp_replace(html, KATEX_CONTAINER, "$1")
+    """Rendered KaTeX containers replaced by the MathML they embed.
+
+    Matching tags to any depth is beyond regular expressions; only pages with such a container go to Python.
+    """
+    rendered = html.contains("katex-html")
+    bare = F.when(rendered, F.pandas_udf(_without_rendered, "string")(F.when(rendered, html))).otherwise(html)
+    return F.regexp_replace(bare, KATEX_CONTAINER, "$1")
 
 
 def collapse_blank_lines(text: Column) -> Column:
@@ -133,22 +143,30 @@ def collapse_blank_lines(text: Column) -> Column:
     return F.replace(once, F.lit("\n\n"), F.lit("\n"))
 
 
-def sup_sub(html: Column) -> Column:
-    """Superscripts as ``^{x}`` and subscripts as ``_{x}``, but not twice."""
+def sup_sub(html: Column, depth: int = 4) -> Column:
+    """Superscripts as ``^{x}`` and subscripts as ``_{x}``, but not twice; innermost first, ``depth`` levels."""
     out = html
-    for tag, sign in (("sup", "^"), ("sub", "_")):
-        out = F.regexp_replace(out, rf"(?is)<{tag}(?:\s[^>]*)?>(\{sign}\{{.*?)</{tag}\s*>", "$1")
-        out = F.regexp_replace(out, rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}\s*>", f"{sign}{{$1}}")
-    return out
+    for _ in range(depth):
+        for tag, sign in (("sup", "^"), ("sub", "_")):
+            inner = r"(?:[^<]|<(?!/?su[bp]\b))*+"
+            out = F.regexp_replace(out, rf"(?is)<{tag}(?:\s[^>]*)?>(\{sign}\{{{inner})</{tag}\s*>", "$1")
+            out = F.regexp_replace(out, rf"(?is)<{tag}(?:\s[^>]*)?>({inner})</{tag}\s*>", f"{sign}{{$1}}")
+    return F.when(F.lower(html).contains("<su"), out).otherwise(html)
 
 
 def fraction_span(html: Column) -> Column:
-    """Stacked ``intbl`` spans as ``\\frac{a}{b}``."""
+    """Stacked ``intbl`` spans as ``\\frac{a}{b}``, tags inside the parts dropped."""
+    part = lambda tag: rf"<{tag}\b[^>]*>((?:[^<]|<(?!/?{tag}\b))*+)</{tag}\s*>"
     pattern = (
-        r"(?is)<span[^>]*class=\"[^\"]*intbl[^\"]*\"[^>]*>[^<]*<em[^>]*>([^<]*)</em\s*>[^<]*(?:<br\s*/?>)?[^<]*"
-        r"<strong[^>]*>([^<]*)</strong\s*>[^<]*</span\s*>"
+        rf"(?is)<span[^>]*class=\"[^\"]*intbl[^\"]*\"[^>]*>[^<]*{part('em')}[^<]*(?:<br\s*/?>)?[^<]*"
+        rf"{part('strong')}[^<]*</span\s*>"
     )
-    return F.regexp_replace(html, pattern, r"\\frac{$1}{$2}")
+
+    def frac(match: Column) -> Column:
+        parts = [strip_tags(F.regexp_extract(match, pattern, i)) for i in (1, 2)]
+        return F.concat(F.lit("\\frac{"), parts[0], F.lit("}{"), parts[1], F.lit("}"))
+
+    return F.when(html.contains("intbl"), replace_in_order(html, pattern, frac)).otherwise(html)
 
 
 def improve_formulas(html: Column) -> Column:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,9 +22,8 @@ BLOCK_TAG = (
 CELL_TAG = r"(?i)</t[dh]\s*>"
 PREFORMATTED = r"(?is)<pre(?:\s[^>]*)?>.*?</pre\s*>"
 ANY_TAG = r"<[a-zA-Z/!?][^>]*>"
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " "))
-DECIMAL_ENTITY = r"&#[0-9]{1,7};"
-HEX_ENTITY = r"&#[xX][0-9a-fA-F]{1,6};"
+REFERENCE = r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);"
+FREQUENT = ("amp;", "lt;", "gt;", "quot;", "apos;", "nbsp;", "copy;", "middot;")
 MAX_CODE_POINT = 0x10FFFF
 
 
@@ -46,16 +47,56 @@ def replace_each(text: Column, pattern: str, target: Callable[[Column], Column])
     return let(text, replace)
 
 
+def replace_in_order(text: Column, pattern: str, target: Callable[[Column], Column]) -> Column:
+    """Replace every match, each in its own place and once, by ``target`` of it (NULL keeps it)."""
+
+    def rebuild(t: Column) -> Column:
+        pair = F.struct(
+            F.split(t, pattern, -1).alias("gaps"), F.regexp_extract_all(t, F.lit(pattern), 0).alias("found")
+        )
+        return let(
+            pair,
+            lambda p: F.array_join(
+                F.transform(
+                    p["gaps"],
+                    lambda gap, i: F.concat(
+                        gap, F.coalesce(let(F.get(p["found"], i), lambda f: F.coalesce(target(f), f)), F.lit(""))
+                    ),
+                ),
+                "",
+            ),
+        )
+
+    return let(text, rebuild)
+
+
+@cache
+def named_references() -> dict[str, str]:
+    """The standard's named character references that end with a semicolon, frequent ones first."""
+    every = {name: char for name, char in html5.items() if name.endswith(";")}
+    return {name: every[name] for name in FREQUENT} | every
+
+
 def decode_entities(text: Column) -> Column:
-    """Named, decimal and hexadecimal character references; the ampersand comes last."""
-    out = text
-    for name, char in ENTITIES:
-        out = F.replace(out, F.lit(name), F.lit(char))
-    out = replace_each(out, DECIMAL_ENTITY, lambda e: _char(F.regexp_replace(e, "[^0-9]", "").cast("long")))
-    out = replace_each(
-        out, HEX_ENTITY, lambda e: _char(F.conv(F.regexp_replace(e, "[^0-9a-fA-F]", ""), 16, 10).cast("long"))
-    )
-    return F.replace(out, F.lit("&amp;"), F.lit("&"))
+    """Named, decimal and hexadecimal character references, in one pass: what one gives is not read again.
+
+    A no-break space becomes a blank. Unknown names and numbers of no character stay.
+    """
+    pairs = "\u0001".join(f"&{name}\u0002{' ' if name == 'nbsp;' else char}" for name, char in named_references().items())
+    table = F.str_to_map(F.lit(pairs), F.lit("\u0001"), F.lit("\u0002"))
+
+    def code(digits: Column, base: int, most: int) -> Column:
+        bare = F.regexp_replace(digits, "^0+|;$", "")
+        return _char(F.when(F.length(bare) <= most, F.conv(bare, base, 10).cast("long")))
+
+    def char(e: Column) -> Column:
+        return (
+            F.when(~e.startswith("&#"), F.try_element_at(table, e))
+            .when(F.lower(F.substring(e, 3, 1)) == "x", code(F.substring(e, F.lit(4), F.length(e)), 16, 6))
+            .otherwise(code(F.substring(e, F.lit(3), F.length(e)), 10, 7))
+        )
+
+    return F.when(text.contains("&"), replace_in_order(text, REFERENCE, char)).otherwise(text)
 
 
 def escape(text: Column) -> Column:

@@ -2,38 +2,41 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Mapping
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pagesift.functions.html import replace_each
 
-# Greek letters in alphabetical order.
-CAPITALS = (
-    "Alpha Beta Gamma Delta Epsilon Zeta Eta Theta Iota Kappa Lambda Mu Nu Xi Omicron Pi Rho Sigma Tau Upsilon "
-    "Phi Chi Psi Omega"
+# Unicode names of the styled letters, and the LaTeX command of each style.
+STYLED_NAME = re.compile(
+    r"(?:MATHEMATICAL )?(BOLD ITALIC|BOLD|ITALIC|SCRIPT|DOUBLE-STRUCK) (?:(CAPITAL|SMALL) )?((?:FINAL )?[A-Z]+(?: SYMBOL| DIFFERENTIAL)?)"
+)
+PLAIN_GREEK_NAME = re.compile(r"GREEK (?:(CAPITAL|SMALL) LETTER )?([A-Z]+(?: SYMBOL)?)")
+COMMANDS = {
+    "BOLD": "mathbf", "ITALIC": "mathit", "BOLD ITALIC": "bm", "SCRIPT": "mathcal", "DOUBLE-STRUCK": "mathbb",
+}
+GREEK = (
+    "ALPHA BETA GAMMA DELTA EPSILON ZETA ETA THETA IOTA KAPPA LAMDA MU NU XI OMICRON PI RHO SIGMA TAU UPSILON "
+    "PHI CHI PSI OMEGA"
 ).split()
-SMALLS = [name.lower() for name in CAPITALS]
-# The styled capitals have a second theta after rho and end with nabla; the styled small
-# letters have a final sigma and end with seven variants, which differ between the styles.
-STYLED_CAPITALS = CAPITALS[:17] + ["Theta"] + CAPITALS[17:] + ["Nabla"]
-STYLED_SMALLS = SMALLS[:17] + ["sigma"] + SMALLS[17:]
-BOLD_SMALLS = SMALLS[:21] + ["varphi"] + SMALLS[21:]
+# Letter forms that LaTeX names otherwise than Unicode.
 VARIANTS = {
-    "mathbf": "partial epsilon vartheta kappa phi rho varpi".split(),
-    "mathit": "partial epsilon vartheta varkappa phi rho varphi".split(),
-    "bm": "partial epsilon theta varkappa phi rho varpi".split(),
-}
-# Single symbols, and letters whose styled form lies outside its block.
-SINGLES = {0xA0: "\\ ", 0x2016: r"\Vert ", 0x22EE: r"\vdots ", 0x22EF: r"\cdots ", 0x22F1: r"\ddots "}
-GREEK_VARIANTS = {0x3D5: r"\varphi ", 0x3D6: r"\varpi "}
-SCRIPT_HOLES = {
-    "B": 0x212C, "E": 0x2130, "F": 0x2131, "H": 0x210B, "I": 0x2110, "L": 0x2112, "M": 0x2133, "P": 0x2118, "R": 0x211B,
-}
-DOUBLE_STRUCK_HOLES = {"C": 0x2103, "H": 0x210D, "N": 0x2115, "P": 0x2119, "Q": 0x211A, "R": 0x211D, "Z": 0x2124}
-LATIN_BLOCKS = ((0x1D400, "mathbf"), (0x1D434, "mathit"), (0x1D468, "bm"))
-GREEK_BLOCKS = ((0x1D6A8, "mathbf"), (0x1D6E2, "mathit"), (0x1D71C, "bm"))
+    "EPSILON SYMBOL": "epsilon", "THETA SYMBOL": "vartheta", "KAPPA SYMBOL": "varkappa", "PHI SYMBOL": "varphi",
+    "RHO SYMBOL": "varrho", "PI SYMBOL": "varpi", "NABLA": "nabla", "PARTIAL DIFFERENTIAL": "partial",
+    "FINAL SIGMA": "varsigma",
+}
+# Where the styled letters stand: Greek, letter-like symbols, mathematical alphabets.
+RANGES = ((0x391, 0x3D7), (0x2102, 0x2139), (0x1D400, 0x1D7CC))
+# Signs without such a name, and letters whose name says something else.
+SINGLES = {
+    "\u00a0": "\\ ", "\u2016": r"\Vert ", "\u22ee": r"\vdots ", "\u22ef": r"\cdots ", "\u22f1": r"\ddots ",
+    "\u210e": r"\mathit{h}", "\u2118": r"\wp ",
+}
 
 # Characters of text inside formulas.
 TEXT_ENTITIES = {
@@ -61,49 +64,50 @@ OPERATORS = {
     "⋄": r"\diamond ", "⋅": r"\cdot ", "⋆": r"\star ", "⌈": r"\lceil ", "⌉": r"\rceil ", "⌊": r"\lfloor ",
     "⌋": r"\rfloor ", "〈": r"\langle ", "〉": r"\rangle ",
 }
-LATIN_LIKE_CAPITALS = dict(
-    Alpha="A", Beta="B", Epsilon="E", Zeta="Z", Eta="H", Iota="I", Kappa="K", Mu="M", Nu="N", Omicron="O", Rho="P",
-    Tau="T", Chi="X",
-)
-
-
-def _greek() -> dict[int, str]:
-    """Plain letters: capitals from U+0391, small ones from U+03B1, each with a gap after rho."""
-    out = {}
-    for i, (big, small) in enumerate(zip(CAPITALS, SMALLS)):
-        step = i + (i > 16)
-        out[0x391 + step] = f"\\{big} "
-        out[0x3B1 + step] = f"\\{small} "
-    return out | GREEK_VARIANTS
-
-
-def _latin(start: int, style: str, letters: str, holes: Mapping[str, int]) -> dict[int, str]:
-    return {holes.get(c, start + i): f"\\{style}{{{c}}}" for i, c in enumerate(letters)}
+LATIN_LIKE_CAPITALS = {
+    "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P",
+    "Τ": "T", "Χ": "X",
+}
 
 
+def _greek_command(name: str, capital: bool) -> str | None:
+    """LaTeX command of a Greek letter by its Unicode name; None if it is none."""
+    if name in VARIANTS:
+        return f"\\{VARIANTS[name]}"
+    if name not in GREEK:
+        return None
+    plain = name.lower().replace("lamda", "lambda")
+    return f"\\{plain.capitalize() if capital else plain}"
+
+
+def _command(char: str) -> str | None:
+    """LaTeX of a letter by its Unicode name; None if the name is of no style that has a command."""
+    name = unicodedata.name(char, "")
+    if found := PLAIN_GREEK_NAME.fullmatch(name):
+        command = _greek_command(found[2], found[1] == "CAPITAL")
+        return None if command is None else f"{command} "
+    if not (found := STYLED_NAME.fullmatch(name)):
+        return None
+    style, size, letter = found.groups()
+    if size and len(letter) == 1:
+        inner = letter if size == "CAPITAL" else letter.lower()
+        return None if style == "SCRIPT" and size == "SMALL" else f"\\{COMMANDS[style]}{{{inner}}}"
+    inner = _greek_command(letter, size == "CAPITAL") if style in ("BOLD", "ITALIC", "BOLD ITALIC") else None
+    return None if inner is None else f"\\{COMMANDS[style]}{{{inner}}}"
+
+
+@cache
 def unicode_symbols() -> dict[str, str]:
-    """Character to LaTeX: spaces, Greek, and the styled mathematical alphabets, built block by block."""
-    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    both = upper + upper.lower()
-    out = SINGLES | _greek()
-    for start, style in LATIN_BLOCKS:
-        out |= _latin(start, style, both, {})
-    out |= _latin(0x1D49C, "mathcal", upper, SCRIPT_HOLES)
-    out |= _latin(0x1D538, "mathbb", both, DOUBLE_STRUCK_HOLES)
-    for start, style in GREEK_BLOCKS:
-        smalls = BOLD_SMALLS if style == "mathbf" else STYLED_SMALLS
-        names = STYLED_CAPITALS + smalls + VARIANTS[style]
-        out |= {start + i: f"\\{style}{{\\{name}}}" for i, name in enumerate(names)}
-    return {chr(code): tex for code, tex in out.items()}
+    """Character to LaTeX: spaces, Greek, and the styled mathematical alphabets, by their Unicode names."""
+    found = {chr(i): _command(chr(i)) for low, high in RANGES for i in range(low, high)}
+    return {char: tex for char, tex in found.items() if tex is not None} | SINGLES
 
 
 def entity_symbols() -> dict[str, str]:
     """Character to LaTeX in formulas; Greek capitals that look Latin become upright letters."""
-    out = dict(OPERATORS)
-    for code, tex in _greek().items():
-        name = tex.strip("\\ ")
-        out[chr(code)] = f"{{\\rm {LATIN_LIKE_CAPITALS[name]}}}" if name in LATIN_LIKE_CAPITALS else tex
-    return out
+    greek = {c: tex for c, tex in unicode_symbols().items() if unicodedata.name(c).startswith("GREEK")}
+    out = {c: f"{{\\rm {LATIN_LIKE_CAPITALS[c]}}}" if c in LATIN_LIKE_CAPITALS else tex for c, tex in greek.items()}
+    return OPERATORS | out
 
 
 def map_symbols(text: Column, symbols: Mapping[str, str], pattern: str = r"[^\x{00}-\x{7f}]") -> Column:

@@ -30,11 +30,15 @@ def host(url: Column) -> Column:
 
 
 def registered_domain(host_name: Column, suffixes: Sequence[str] = PUBLIC_SUFFIXES) -> Column:
-    """The longest public suffix of the host and one label more."""
+    """The longest public suffix of the host and one label more.
+
+    Where no suffix of the list fits, the last label is the suffix, as the public list's own rule says.
+    """
     suffixes = list(suffixes)
     depth = max(s.count(".") for s in suffixes) + 1
     labels = F.size(F.split(host_name, r"\."))
-    out = F.lit(None).cast("string")
+    last = F.substring_index(host_name, ".", -1)
+    out = F.when((labels > 1) & last.rlike("^[a-z][a-z0-9-]*$") & ~host_name.isin(suffixes), F.substring_index(host_name, ".", -2))
     for k in range(1, depth + 1):
         known = [s for s in suffixes if s.count(".") == k - 1]
         hit = (labels > k) & F.substring_index(host_name, ".", -k).isin(known)

@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import gzip
 import io
+import tempfile
 import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,6 +28,7 @@ SCHEMA = (
 FAILURE_SCHEMA = SCHEMA + ", error string"
 COLUMNS = ["cc_path", "record_idx", "url", "date", "content_type", "body", "error"]
 KINDS = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary(), pa.string()]
+ARROW = pa.schema(list(zip(COLUMNS, KINDS)))
 BATCH_BYTES = 32 << 20
 
 
@@ -52,9 +55,14 @@ def response_records(stream) -> Iterator[tuple[int, str | None, str | None, str
         length = int(head.get("content-length", 0))
         if head.get("warc-type") != "response":
             while length > 0:
-                length -= len(stream.read(min(length, 1 << 20))) or length
+                if not (part := stream.read(min(length, 1 << 20))):
+                    raise EOFError("record cut short")
+                length -= len(part)
             continue
-        block = io.BytesIO(stream.read(length))
+        data = stream.read(length)
+        if len(data) < length:
+            raise EOFError(f"record cut short: {len(data)} of {length} bytes")
+        block = io.BytesIO(data)
         http = _headers(block) or {}
         yield number, head.get("warc-target-uri"), head.get("warc-date"), http.get("content-type"), block.read()
         number += 1
@@ -85,10 +93,9 @@ class WarcReader(DataSourceReader):
         names = sorted(f.path for f in found if f.is_file and f.path.endswith((".warc", ".warc.gz")))
         return [ArchiveFile(prefix + n) for n in names]
 
-    def read(self, partition: ArchiveFile):
-        with _open(partition.path) as stream:
-            for record in response_records(stream):
-                yield (partition.path, *record)
+    def read(self, partition: ArchiveFile) -> Iterator[pa.RecordBatch]:
+        for batch in _batches(partition.path, partition.path):
+            yield batch.drop_columns("error")
 
 
 class WarcWriter(DataSourceWriter):
@@ -164,8 +171,10 @@ def scan_warc(spark: SparkSession, path: str) -> DataFrame:
 def scan_archives(listing: DataFrame, root: str, path: str = "cc_path", tasks: int | None = None) -> DataFrame:
     """Response records of the archives in a listing, with the failures.
 
-    An archive that cannot be opened or read to its end gives a row with
-    ``error`` instead of failing the job; see ``failed_ledger``.
+    An archive that cannot be opened or read to its end gives one row with
+    ``error`` and no records, instead of failing the job; see ``failed_ledger``.
+    Its records wait in a scratch file of the task until the archive has ended
+    well, so a failed archive can run again without giving any record twice.
     """
     root = root.rstrip("/")
     files = listing.select(path).distinct()
@@ -174,26 +183,38 @@ def scan_archives(listing: DataFrame, root: str, path: str = "cc_path", tasks: i
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name in batch.column(0).to_pylist():
-                rows: list[tuple] = []
-                size = 0
-                try:
-                    with _open(f"{root}/{name}") as stream:
-                        for record in response_records(stream):
-                            rows.append((name, *record, None))
-                            size += len(record[-1])
-                            if size > BATCH_BYTES:
-                                yield _batch(rows)
-                                rows, size = [], 0
-                except (OSError, EOFError, ValueError) as problem:
-                    rows.append((name, None, None, None, None, None, f"{type(problem).__name__}: {problem}"))
-                if rows:
-                    yield _batch(rows)
+                with tempfile.TemporaryFile() as held:
+                    try:
+                        with pa.ipc.new_stream(held, ARROW) as out:
+                            for batch_of_rows in _batches(name, f"{root}/{name}"):
+                                out.write_batch(batch_of_rows)
+                    except (OSError, EOFError, ValueError, zlib.error) as problem:
+                        yield _batch([(name, *[None] * 5, f"{type(problem).__name__}: {problem}")])
+                        continue
+                    held.seek(0)
+                    with pa.ipc.open_stream(held) as whole:
+                        yield from whole
 
     return files.mapInArrow(read, FAILURE_SCHEMA)
 
 
+def _batches(name: str, path: str) -> Iterator[pa.RecordBatch]:
+    """Records of an archive, in batches of bounded size."""
+    rows: list[tuple] = []
+    size = 0
+    with _open(path) as stream:
+        for record in response_records(stream):
+            rows.append((name, *record, None))
+            size += len(record[-1])
+            if size > BATCH_BYTES:
+                yield _batch(rows)
+                rows, size = [], 0
+    if rows:
+        yield _batch(rows)
+
+
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(values, kind) for values, kind in zip(zip(*rows), KINDS)], COLUMNS)
+    return pa.RecordBatch.from_arrays([pa.array(values, kind) for values, kind in zip(zip(*rows), KINDS)], schema=ARROW)
 
 
 def failed_ledger(records: DataFrame) -> DataFrame:

@@ -46,7 +46,7 @@ def test_damaged_and_missing_archives_go_to_the_ledger(spark, tmp_path):
     records = WA.scan_archives(listing, str(tmp_path))
     assert {r["cc_path"] for r in WA.failed_ledger(records).collect()} == {"cut.warc.gz", "gone.warc.gz"}
     read = {(r["cc_path"], r["record_idx"]) for r in records.where("error is null").collect()}
-    assert {("good.warc.gz", 0), ("cut.warc.gz", 0)} <= read
+    assert read == {("good.warc.gz", 0)}  # nothing of a failed archive, which runs again
     W.write_ledger(WA.failed_ledger(records), str(tmp_path / "ledger"))
     assert spark.read.text(str(tmp_path / "ledger")).count() == 2
 
