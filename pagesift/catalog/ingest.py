@@ -8,6 +8,7 @@ from pagesift.catalog import duck as K
 from pagesift.catalog import fixtures as X
 from pagesift.catalog import quality as Q
 from pagesift.functions import encoding as E
+from pagesift.functions.hashing import md5_31
 from pagesift.operators import listings as L
 from pagesift.operators import models as ML
 from pagesift.operators import stats as S
@@ -201,7 +202,7 @@ def _raw_tasks(spark, sf):
     words = F.split("q", " ")
     values = {
         "body": "q", "Body": "q", "question": "q", "Question": "a", "problem": "q", "input": "q",
-        "answer": "a", "Answer": F.substring("a", 1, 40), "cot": F.reverse("a"), "solution": "a", "rationale": F.concat(F.lit('"'), "a", F.lit('"')),
+        "answer": "a", "Answer": "a", "cot": F.reverse("a"), "solution": "a", "rationale": F.concat(F.lit('"'), "a", F.lit('"')),
         "target": "a", "options": F.reverse("q"),
     }
     out = {}
@@ -314,10 +315,23 @@ def extraction_job(spark, sf):
     """Archives to counters: URL rules, decoding, extraction, language, topic, per minute of the record's time."""
     records = WA.scan_warc(spark, _write_archives(spark, sf)).withColumn("cc_path", _utc("ts", "yyyy-MM-dd HH:mm"))
     records = records.withColumn("record_idx", F.unix_timestamp("ts"))
-    lang = materialize(ML.train_text_model(X.documents(spark, sf), "lang"), "lang-model")
+    return P.extract_job(records, X.rules(spark, sf), *_row_models(spark, sf), "1")[2]
+
+
+def _row_models(spark, sf):
+    """Models of hashed tokens; MD5 so that SQL can hash alike."""
     labels = scan(spark, sf, "labels").select("doc_id", "quality")
-    topic = materialize(ML.train_text_model(X.documents(spark, sf).join(labels, "doc_id"), "quality"), "topic-model")
-    return P.extract_job(records, X.rules(spark, sf), lang, topic, "1")[2]
+    topic = X.documents(spark, sf).join(labels, "doc_id")
+    return ML.train_row_model(X.documents(spark, sf), "lang", hash_fn=md5_31), ML.train_row_model(topic, "quality", hash_fn=md5_31)
+
+
+def extraction_outputs(spark, sf):
+    """The job from a listing to its files: every record of the topic, read back from the output with HTML."""
+    listing, root = _archive_listing(spark, sf)
+    out = new_path(spark, "extraction")
+    P.run_extraction(listing, root, out, X.rules(spark, sf), *_row_models(spark, sf), "1")
+    docs = W.from_records(spark.read.schema(W.RECORD_SCHEMA).json(f"{out}/math_html"))
+    return docs.select("url", "timestamp", "lang", F.round("lang_score", 6).alias("lang_score"), F.round("math_score", 6).alias("math_score"), F.md5("text").alias("html_md5"))
 
 
 def reextract_join(spark, sf):
@@ -349,7 +363,7 @@ QUERIES = {
         scan_tasks, task_projection, limit_skip, split_consecutive, split_round_robin, split_shuffled,
         sink_listing_splits, dump_paths, dump_filter, except_dumps, output_paths, remaining_files, record_ordinal,
         failed_ledger, sink_english_text, sink_math_text, sink_math_html, sink_stats, overwrite_policy,
-        excluded_writer, extraction_job, reextract_join, ingest_incremental,
+        excluded_writer, extraction_job, extraction_outputs, reextract_join, ingest_incremental,
     )
 }
 
@@ -367,8 +381,8 @@ _RAW_SQL = (
     ("mawps", "q", "a"),
     ("mmlu_stem", "q", "'A: ' || coalesce(w[1], 'None') || ' B: ' || coalesce(w[2], 'None') || ' C: ' || coalesce(w[3], 'None') || ' D: ' || coalesce(w[4], 'None') || ' Answer: ' || a"),
     ("ocw", "q", "a || ' ' || a"),
-    ("sat", "q", "reverse(q) || ' ' || substr(a, 1, 40)"),
-    ("svamp", "q || ' ' || a", "substr(a, 1, 40)"),
+    ("sat", "q", "reverse(q) || ' ' || a"),
+    ("svamp", "q || ' ' || a", "a"),
     ("aime24", "q", "a"),
     ("aime25", "q", "a"),
     ("amc", "q", "length(a) || '.0'"),
@@ -389,6 +403,18 @@ _STATS = (
     "count(*) FILTER (lang = 'en') AS doc_remaining FROM scored GROUP BY cc_path"
 )
 
+_HASHED = f"list_transform({K.words('text')}, lambda t_: ({K.md5_31('t_')} % {ML.FEATURES})::VARCHAR)"
+_JOB = (
+    f"{X.JUDGED}, {K.extract_text_ctes('pages', 'page_id')}, "
+    "page_texts AS (SELECT page_id AS doc_id, text FROM extracted JOIN judged USING (page_id) WHERE url_disposition = 'kept' AND text <> ''), "
+    f"{Q.model_ctes('documents', 'lang', 'l_', _HASHED)}, {Q.score_ctes('page_texts', 'l_', _HASHED)}, "
+    "langs AS (SELECT doc_id, max_by(label, round(score, 9) + 1e-12 * ascii(label)) AS lang, max(score) AS lang_score FROM l_scores GROUP BY doc_id), "
+    "english AS (SELECT page_texts.* FROM page_texts JOIN langs USING (doc_id) WHERE lang = 'en' AND lang_score >= 0.65), "
+    "labelled AS (SELECT documents.*, quality FROM documents JOIN labels USING (doc_id)), "
+    f"{Q.model_ctes('labelled', 'quality', 'm_', _HASHED)}, {Q.score_ctes('english', 'm_', _HASHED)}, "
+    "math AS (SELECT doc_id, max(score) AS math_score FROM m_scores WHERE label = '1' GROUP BY doc_id)"
+)
+
 SQL = {
     "scan_listing": f"{_POS} SELECT pos, value FROM numbered",
     "scan_listing_multi": f"{_L} SELECT row_number() OVER (ORDER BY dump LIKE 'CC-MAIN-2013%', value) - 1 AS pos, value FROM listing",
@@ -424,14 +450,7 @@ SQL = {
     "overwrite_policy": "SELECT lang, count(*) * CASE WHEN lang = 'en' THEN 2 ELSE 1 END AS n, "
     "(sum(n_chars) * CASE WHEN lang = 'en' THEN 2 ELSE 1 END)::BIGINT AS chars FROM documents GROUP BY lang",
     "excluded_writer": f"WITH {X.JUDGED} SELECT page_id, url_disposition AS disposition FROM judged",
-    "extraction_job": f"WITH {X.JUDGED}, {K.extract_text_ctes('pages', 'page_id')}, "
-    "page_texts AS (SELECT page_id AS doc_id, text FROM extracted JOIN judged USING (page_id) WHERE url_disposition = 'kept' AND text <> ''), "
-    f"{Q.model_ctes('documents', 'lang', 'l_')}, {Q.score_ctes('page_texts', 'l_')}, "
-    "langs AS (SELECT doc_id, max_by(label, round(score, 9) + 1e-12 * ascii(label)) AS lang, max(score) AS lang_score FROM l_scores GROUP BY doc_id), "
-    "english AS (SELECT page_texts.* FROM page_texts JOIN langs USING (doc_id) WHERE lang = 'en' AND lang_score >= 0.65), "
-    "labelled AS (SELECT documents.*, quality FROM documents JOIN labels USING (doc_id)), "
-    f"{Q.model_ctes('labelled', 'quality', 'm_')}, {Q.score_ctes('english', 'm_')}, "
-    "math AS (SELECT doc_id, max(score) AS math_score FROM m_scores WHERE label = '1' GROUP BY doc_id), "
+    "extraction_job": f"WITH {_JOB}, "
     "steps AS (SELECT strftime(TIMESTAMP '2024-01-01' + page_id * INTERVAL 1 SECOND, '%Y-%m-%d %H:%M') AS file_path, math_score, "
     "CASE WHEN url_disposition <> 'kept' THEN 'url_filtered' WHEN e.text = '' THEN 'doc_extraction_empty' "
     "WHEN english.doc_id IS NULL THEN 'language_filtered' ELSE 'doc_remaining' END AS disposition FROM judged JOIN extracted e USING (page_id) "
@@ -439,6 +458,9 @@ SQL = {
     "SELECT file_path, count(*) AS doc_input, " + ", ".join(f"count(*) FILTER (disposition = '{c}') AS {c}" for c in S.DROP_CLASSES)
     + ", count(*) FILTER (disposition = 'doc_remaining' AND math_score >= 0.8) AS math_retained, "
     "count(*) FILTER (disposition = 'doc_remaining') AS doc_remaining FROM steps GROUP BY file_path",
+    "extraction_outputs": f"WITH {_JOB} SELECT url, strftime(TIMESTAMP '2024-01-01' + page_id * INTERVAL 1 SECOND, '%Y-%m-%dT%H:%M:%SZ') AS timestamp, "
+    "'en' AS lang, round(lang_score, 6) AS lang_score, round(math_score, 6) AS math_score, md5(html) AS html_md5 "
+    "FROM pages JOIN english ON english.doc_id = page_id JOIN langs USING (doc_id) JOIN math USING (doc_id) WHERE math_score >= 0.5",
     "reextract_join": f"WITH {X.JUDGED}, {K.extract_text_ctes('pages', 'page_id')} "
     "SELECT page_id, text FROM extracted JOIN judged USING (page_id) WHERE url_disposition = 'kept'",
     "ingest_incremental": "SELECT doc_id, lang, n_chars FROM documents",

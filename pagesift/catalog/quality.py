@@ -8,9 +8,10 @@ from pagesift.catalog import decontam as C
 from pagesift.catalog import dedup as D
 from pagesift.catalog import duck as K
 from pagesift.catalog import fixtures as X
+from pagesift.functions.hashing import md5_31
 from pagesift.operators import models as M
 from pagesift.operators import quality as Q
-from pagesift.plans.curation import curate
+from pagesift.plans.curation import CurationRules, curate
 from pagesift.session import materialize
 from pagesift.sources.tables import scan
 
@@ -107,7 +108,7 @@ def score_threshold_report(spark, sf):
 
 def curated_corpus(spark, sf):
     """The whole chain: lines, documents, exact and near duplicates, contamination, intervals."""
-    out = curate(X.documents(spark, sf), C.written_index(spark, sf))
+    out = curate(X.documents(spark, sf), C.written_index(spark, sf), CurationRules(hash_fn=md5_31))
     return out.select("doc_id", "dup_count", "dup_interval", F.md5("text").alias("text_md5"))
 
 
@@ -155,10 +156,10 @@ def quality_ctes(source: str) -> str:
     )
 
 
-def model_ctes(source: str, label: str, p: str = "") -> str:
+def model_ctes(source: str, label: str, p: str = "", words: str = K.words("text")) -> str:
     """Ends in ``<p>weights(token, label, weight)`` and ``<p>priors(label, prior)``."""
     return (
-        f"{p}lt AS MATERIALIZED (SELECT doc_id, {label}::VARCHAR AS label, {K.words('text')} AS w FROM {source} WHERE {label} IS NOT NULL), "
+        f"{p}lt AS MATERIALIZED (SELECT doc_id, {label}::VARCHAR AS label, {words} AS w FROM {source} WHERE {label} IS NOT NULL), "
         f"{p}tc AS MATERIALIZED (SELECT label, token, count(*) AS n FROM (SELECT label, unnest(w) AS token FROM {p}lt) GROUP BY ALL), "
         f"{p}tot AS (SELECT label, sum(n) AS total FROM {p}tc GROUP BY label), {p}voc AS (SELECT count(DISTINCT token) AS v FROM {p}tc), "
         f"{p}priors AS (SELECT label, ln(count(*) / (SELECT count(*) FROM {p}lt)) AS prior FROM {p}lt GROUP BY label), "
@@ -168,10 +169,10 @@ def model_ctes(source: str, label: str, p: str = "") -> str:
     )
 
 
-def score_ctes(source: str, p: str = "") -> str:
+def score_ctes(source: str, p: str = "", words: str = K.words("text")) -> str:
     """Ends in ``<p>scores(doc_id, label, score)`` for the texts of ``source``."""
     return (
-        f"{p}st AS MATERIALIZED (SELECT doc_id, {K.words('text')} AS w FROM {source}), "
+        f"{p}st AS MATERIALIZED (SELECT doc_id, {words} AS w FROM {source}), "
         f"{p}hit AS (SELECT doc_id, label, sum(weight) AS s FROM (SELECT doc_id, unnest(w) AS token FROM {p}st) JOIN {p}weights USING (token) GROUP BY ALL), "
         f"{p}lg AS (SELECT doc_id, p.label, p.prior + coalesce(s, 0) AS lg FROM {p}st CROSS JOIN {p}priors p LEFT JOIN {p}hit USING (doc_id, label)), "
         f"{p}ex AS (SELECT doc_id, label, exp(lg - max(lg) OVER (PARTITION BY doc_id)) AS e FROM {p}lg), "
@@ -194,14 +195,8 @@ _CLEAN = (
     "documents AS MATERIALIZED (SELECT good.doc_id, good.text, source, copies FROM good "
     "JOIN (SELECT min(doc_id) AS doc_id, count(*) AS copies FROM good GROUP BY text) USING (doc_id) JOIN main.documents USING (doc_id))"
 )
-_VERIFIED = D.EDGES.replace("edges AS MATERIALIZED", "candidates AS MATERIALIZED") + (
-    ", shn AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id), "
-    "edges AS MATERIALIZED (SELECT u, v FROM candidates JOIN sh x ON x.doc_id = u JOIN sh y ON y.doc_id = v AND y.gram = x.gram "
-    "JOIN shn a ON a.doc_id = u JOIN shn b ON b.doc_id = v GROUP BY u, v, a.n, b.n HAVING count(*) / (a.n + b.n - count(*)) >= 0.5)"
-)
-
 SQL = {
-    "curated_corpus": f"WITH RECURSIVE {_CLEAN}, {_VERIFIED}{D.COMPONENTS}, {C.FULL_HITS}, "
+    "curated_corpus": f"WITH RECURSIVE {_CLEAN}, {D.EDGES}{D.COMPONENTS}, {C.FULL_HITS}, "
     "sums AS (SELECT cluster_id AS doc_id, sum(copies)::BIGINT AS n FROM clusters JOIN documents USING (doc_id) GROUP BY cluster_id), "
     "kept AS (SELECT doc_id, greatest(coalesce(n, 1), copies) AS dup_count, text FROM documents LEFT JOIN sums USING (doc_id) "
     "WHERE doc_id NOT IN (SELECT doc_id FROM clusters WHERE doc_id <> cluster_id) AND doc_id NOT IN (SELECT doc_id FROM hits)) "

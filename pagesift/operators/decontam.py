@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pagesift.functions import text as T
 from pagesift.functions.binding import let
-from pagesift.operators.joins import BROADCAST_BYTES, lookup_join
+from pagesift.operators.joins import BROADCAST_BYTES, lookup_join, table_bytes
 from pagesift.session import materialize
 
 N = 12
@@ -109,7 +109,10 @@ def join_contamination(
     lookup = index_lookup(index).select(F.xxhash64("gram").alias("key"), "gram", "task")
     lookup = lookup.groupBy("key").agg(F.max(F.struct("gram", "task")).alias("hit"))
     rows = doc_grams(docs, n, F.xxhash64, remove_punctuation, stop_at_punctuation, id_col, text)
-    hits = lookup_join(rows, lookup, "key", "inner", broadcast_bytes)
+    size = table_bytes(lookup)
+    if size > broadcast_bytes:  # the hashes alone still fit where the n-grams do not: only hits meet those
+        rows = lookup_join(rows, lookup.select("key"), "key", "left_semi", broadcast_bytes)
+    hits = lookup_join(rows, lookup, "key", "inner", broadcast_bytes, size=size)
     return (
         hits.groupBy(id_col)
         .agg(F.min(F.struct("pos", "hit")).alias("first"))

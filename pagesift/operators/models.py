@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagesift.functions import text as T
 from pagesift.functions.binding import let
+from pagesift.functions.hashing import xx_31
 from pagesift.operators.joins import lookup_join
 from pagesift.session import materialize
 
-MAX_LABELS = 10_000
+#: Hashed features of a model that scores inside the row. Its size is this many weights per label, whatever the corpus.
+FEATURES = 1 << 18
 ENGLISH, LANG_THRESHOLD = "en", 0.65
 MATH_THRESHOLD, MATH_REPORT_THRESHOLD = 0.5, 0.80
 
@@ -22,15 +27,18 @@ def tokens(text: Column) -> Column:
     return T.words(text)
 
 
-def train_text_model(docs: DataFrame, label: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def train_text_model(
+    docs: DataFrame, label: str, id_col: str = "doc_id", text: str = "text", tokens_of: Callable[[Column], Column] = tokens
+) -> DataFrame:
     """Multinomial naive Bayes with add-one smoothing: rows ``(token, weights map<label, weight>)``.
 
     The row with a NULL token holds the priors. Tokens are counted before the
     shuffle, so a frequent token is one row per map task. The counts are
     written once, since the vocabulary, the totals and the weights all need them.
+    A map has as many entries as there are labels.
     """
     labelled = docs.where(F.col(label).isNotNull()).select(
-        id_col, F.col(label).cast("string").alias("label"), tokens(F.col(text)).alias("tokens")
+        id_col, F.col(label).cast("string").alias("label"), tokens_of(F.col(text)).alias("tokens")
     )
     counts = materialize(
         labelled.select("label", F.explode_outer("tokens").alias("token"))
@@ -39,31 +47,87 @@ def train_text_model(docs: DataFrame, label: str, id_col: str = "doc_id", text:
         "token-counts",
     )
     known = counts.where(F.col("token").isNotNull())
-    vocabulary = known.agg(F.count_distinct("token").alias("v")).select("v").scalar()
     n_docs = docs.where(F.col(label).isNotNull()).groupBy(F.col(label).cast("string").alias("label")).agg(
         F.count(F.lit(1)).alias("docs")
     )
     totals = known.groupBy("label").agg(F.sum("n").alias("total"))
-    # One row per class: as many as the label has values, not as many as documents.
-    classes = n_docs.join(totals, "label", "left").orderBy("label").limit(MAX_LABELS + 1).collect()
-    if len(classes) > MAX_LABELS:
-        raise ValueError(f"{label} has more than {MAX_LABELS} values; it is no class label")
-    per_token = known.groupBy("token").agg(
-        *[F.sum(F.when(F.col("label") == c["label"], F.col("n"))).alias(f"n{i}") for i, c in enumerate(classes)]
+    classes = materialize(n_docs.join(totals, "label", "left"), "classes")
+    # Scalars: the number of tokens, and one entry for each label.
+    vocabulary = known.agg(F.count_distinct("token").alias("v")).select("v").scalar()
+    labels = classes.agg(F.array_sort(F.collect_list(F.struct("label", "total"))).alias("c")).select("c").scalar()
+    per_token = known.groupBy("token").agg(F.map_from_entries(F.collect_list(F.struct("label", "n"))).alias("n"))
+    per_token = per_token.withColumns({"c": labels, "v": vocabulary})
+    weight = lambda x: F.ln((F.coalesce(F.try_element_at("n", x["label"]), F.lit(0)) + 1) / (F.coalesce(x["total"], F.lit(0)) + F.col("v")))
+    weights = per_token.select(
+        "token", F.map_from_arrays(F.transform("c", lambda x: x["label"]), F.transform("c", weight)).alias("weights")
     )
-    entries = [
-        part
-        for i, c in enumerate(classes)
-        for part in (
-            F.lit(c["label"]),
-            F.ln((F.coalesce(f"n{i}", F.lit(0)) + 1) / (F.lit(c["total"] or 0) + F.col("v"))),
-        )
-    ]
-    weights = per_token.withColumn("v", vocabulary).select("token", F.create_map(*entries).alias("weights"))
-    all_docs = sum(c["docs"] for c in classes)
-    priors = {c["label"]: math.log(c["docs"] / all_docs) for c in classes}
-    schema = "token string, weights map<string,double>"
-    return weights.unionByName(docs.sparkSession.createDataFrame([(None, priors)], schema))
+    whole = classes.agg(F.collect_list(F.struct("label", "docs")).alias("c"), F.sum("docs").alias("all"))
+    priors = whole.select(
+        F.lit(None).cast("string").alias("token"),
+        F.map_from_arrays(F.transform("c", lambda x: x["label"]), F.transform("c", lambda x: F.ln(x["docs"] / F.col("all")))).alias("weights"),
+    )
+    return weights.unionByName(priors)
+
+
+@dataclass(frozen=True)
+class RowModel:
+    """Weights of hashed tokens, small enough to be sent to every task: texts are scored where they lie."""
+
+    labels: list[str]
+    weights: Broadcast
+    features: int
+    hash_fn: Callable[[Column], Column]
+
+
+def hashed_tokens(features: int, hash_fn: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    return lambda text: F.transform(tokens(text), lambda t: (hash_fn(t) % features).cast("string"))
+
+
+def train_row_model(
+    docs: DataFrame, label: str, text: str = "text", features: int = FEATURES, hash_fn: Callable[[Column], Column] = xx_31
+) -> RowModel:
+    """The same model over hashed tokens: at most ``features`` rows, which the driver reads."""
+    rows = train_text_model(docs, label, text=text, tokens_of=hashed_tokens(features, hash_fn)).collect()
+    priors = next(r["weights"] for r in rows if r["token"] is None)
+    labels = sorted(priors)
+    weights = np.zeros((features + 1, len(labels)))  # a token that training has not seen weighs nothing
+    for row in rows:
+        weights[features if row["token"] is None else int(row["token"])] = [row["weights"][x] for x in labels]
+    return RowModel(labels, docs.sparkSession.sparkContext.broadcast(weights), features, hash_fn)
+
+
+def row_scores(model: RowModel, text: Column) -> Column:
+    """Probabilities of the labels, ``array<double>`` in the order of ``model.labels``; NULL for a NULL text."""
+    shared = model.weights
+
+    def score(numbers: pd.Series) -> pd.Series:
+        table = shared.value
+        out = []
+        for own in numbers:
+            if own is None:
+                out.append(None)
+                continue
+            logs = table[-1] + table[np.asarray(own, dtype=np.int64)].sum(axis=0)
+            powers = np.exp(logs - logs.max())
+            out.append(powers / powers.sum())
+        return pd.Series(out, dtype=object)
+
+    numbers = F.transform(tokens(text), lambda t: (model.hash_fn(t) % model.features).cast("int"))
+    return F.pandas_udf(score, "array<double>")(F.when(text.isNotNull(), numbers))
+
+
+def best_label(model: RowModel, scores: Column) -> Column:
+    """``struct(r, label, score)`` of the best label; ties go to the one that sorts last."""
+    names = F.array(*[F.lit(x) for x in model.labels])
+    pairs = F.zip_with(names, scores, lambda n, s: F.struct(F.round(s, 9).alias("r"), n.alias("label"), s.alias("score")))
+    return F.array_max(pairs)
+
+
+def label_score(model: RowModel, scores: Column, name: str) -> Column:
+    """Score of one label; 0 if the model does not know it."""
+    if name not in model.labels:
+        return F.when(scores.isNotNull(), F.lit(0.0))
+    return F.get(scores, F.lit(model.labels.index(name)))
 
 
 def model_rows(model: DataFrame) -> DataFrame:

@@ -17,8 +17,8 @@ from pagesift.operators.joins import lookup_join, row_bytes, table_bytes
 from pagesift.session import materialize
 
 KEPT = "kept"
-# Public lists reach some 120 MB. Rows carry page bodies, so shuffling rows costs far more than this broadcast.
-LIST_BROADCAST_BYTES = 512 << 20
+# A larger list is first cut to the entries that occur.
+LIST_BROADCAST_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)

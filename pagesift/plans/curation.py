@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagesift.functions.hashing import xx_31
 from pagesift.operators import decontam as C
 from pagesift.operators import dedup as D
 from pagesift.operators import quality as Q
@@ -19,14 +21,17 @@ from pagesift.session import materialize
 class CurationRules:
     lines: Q.LineRules = field(default_factory=Q.LineRules)
     docs: Q.DocRules = field(default_factory=Q.DocRules)
-    min_jaccard: float = 0.5
     ngram: int = C.N
+    hash_fn: Callable[[Column], Column] = xx_31
 
 
-def near_duplicates(docs: DataFrame, min_jaccard: float) -> DataFrame:
-    """Clusters of near duplicates, from verified MinHash edges."""
-    edges = D.minhash_pairs(D.minhash_signature(docs))
-    return materialize(D.dup_clusters(D.jaccard_verify(edges, docs, min_jaccard).select("u", "v")), "clusters")
+def near_duplicates(docs: DataFrame, hash_fn: Callable[[Column], Column] = xx_31) -> DataFrame:
+    """Clusters of documents that share a MinHash bucket.
+
+    A bucket is the evidence; cutting its star edges by a threshold would lose members that are
+    like each other but unlike the smallest one.
+    """
+    return materialize(D.dup_clusters(D.minhash_pairs(D.minhash_signature(docs, hash_fn=hash_fn))), "clusters")
 
 
 def curate(docs: DataFrame, index: DataFrame, rules: CurationRules = CurationRules()) -> DataFrame:
@@ -45,7 +50,7 @@ def curate(docs: DataFrame, index: DataFrame, rules: CurationRules = CurationRul
     copies = repeated.select(F.col("first_id").alias("doc_id"), "copies")
     unique = lookup_join(D.exact_dedup(good), copies, "doc_id", "left")
     unique = materialize(unique.withColumn("copies", F.coalesce("copies", F.lit(1).cast("long"))), "exact")
-    clusters = near_duplicates(unique, rules.min_jaccard)
+    clusters = near_duplicates(unique, rules.hash_fn)
     remove = D.dup_remove_list(clusters, unique)
     copies = (
         clusters.join(unique.select("doc_id", "copies"), "doc_id")

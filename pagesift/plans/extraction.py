@@ -10,8 +10,11 @@ from pagesift.operators import models as ML
 from pagesift.operators import stats as S
 from pagesift.operators.extract import extract_page
 from pagesift.operators.joins import lookup_join
+from pagesift.operators.listings import dump_of
 from pagesift.operators.urls import KEPT, UrlRules, url_disposition
 from pagesift.session import materialize
+from pagesift.sinks import writers as W
+from pagesift.sources.warc import failed_ledger, scan_archives
 
 KEY = ("cc_path", "record_idx")
 
@@ -46,44 +49,56 @@ def extract_records(records: DataFrame, rules: UrlRules) -> DataFrame:
     return materialize(staged, "extracted")
 
 
-def score_records(extracted: DataFrame, lang_model: DataFrame, math_model: DataFrame, math_label: str) -> DataFrame:
-    """Add language, topic score and the final ``disposition``; the HTML stays behind.
+def score_records(extracted: DataFrame, lang_model: ML.RowModel, math_model: ML.RowModel, math_label: str) -> DataFrame:
+    """Add language, topic score and the final ``disposition``, each row where it lies.
 
     Only documents that are still there are scored, and only English ones get a
-    topic score. Both scores come back by the record's key, in one join that
-    moves texts but no HTML.
+    topic score. Nothing is shuffled: the models are of fixed size.
     """
-    key = list(KEY)
-    alive = extracted.where(F.col("step").isNull()).select(F.struct(*key).alias("k"), "text")
-    langs = materialize(ML.score_lang(alive, lang_model, "k"), "languages")
-    english = ML.lang_filter(langs).select("k")
-    topics = ML.score_math(alive.join(english, "k", "left_semi"), math_model, math_label, "k")
-    scores = langs.join(topics, "k", "left").select("k.*", "lang", "lang_score", "math_score")
-    joined = extracted.drop("html").join(scores, key, "left")
+    alive = F.col("step").isNull()
+    scored = extracted.withColumn("_lang", ML.row_scores(lang_model, F.when(alive, F.col("text"))))
+    best = ML.best_label(lang_model, F.col("_lang"))
+    scored = scored.withColumn("_best", best).select("*", F.col("_best.label").alias("lang"), F.col("_best.score").alias("lang_score"))
     is_english = (F.col("lang") == ML.ENGLISH) & (F.col("lang_score") >= ML.LANG_THRESHOLD)
+    scored = scored.withColumn("_math", ML.row_scores(math_model, F.when(is_english, F.col("text"))))
     disposition = (
         F.when(F.col("step").isNotNull(), F.col("step"))
         .when(is_english, S.REMAINING)
         .otherwise(S.LANGUAGE_FILTERED)
     )
-    return materialize(joined.withColumn("disposition", disposition).drop("step"), "scored")
-
-
-def with_html(scored: DataFrame, extracted: DataFrame) -> DataFrame:
-    """Scored records with their HTML, for the few that are written with it."""
-    wanted = materialize(scored.drop("text"), "wanted")
-    return lookup_join(extracted.select(*KEY, "html"), wanted, list(KEY))
+    scored = scored.withColumn("math_score", ML.label_score(math_model, F.col("_math"), math_label))
+    scored = scored.withColumn("disposition", disposition)
+    return materialize(scored.drop("step", "_lang", "_best", "_math"), "scored")
 
 
 def extract_job(
-    records: DataFrame, rules: UrlRules, lang_model: DataFrame, math_model: DataFrame, math_label: str
+    records: DataFrame, rules: UrlRules, lang_model: ML.RowModel, math_model: ML.RowModel, math_label: str
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Scored records, the records of the wanted topic with their HTML, and counters per archive."""
-    extracted = extract_records(records, rules)
-    scored = score_records(extracted, lang_model, math_model, math_label)
+    """Scored records with their HTML, those of the wanted topic, and counters per archive."""
+    scored = score_records(extract_records(records, rules), lang_model, math_model, math_label)
     topic = ML.math_filter(ML.lang_filter(scored))
     counters = S.funnel_stats(scored, [F.col("cc_path").alias("file_path")])
-    return scored, with_html(topic, extracted), counters
+    return scored, topic, counters
+
+
+def run_extraction(
+    listing: DataFrame, root: str, out: str, rules: UrlRules, lang_model: ML.RowModel, math_model: ML.RowModel,
+    math_label: str,
+) -> DataFrame:
+    """Archives of a listing to three outputs, counters and the ledger of failed archives, under ``out``.
+
+    Archives are read once. All outputs are filters of one written table. Gives the counters back.
+    """
+    extracted = extract_records(scan_archives(listing, root), rules)
+    W.write_ledger(failed_ledger(extracted), f"{out}/failed")
+    scored = score_records(extracted.where(F.col("error").isNull()), lang_model, math_model, math_label)
+    docs = scored.withColumns({"timestamp": F.col("date"), "dump": dump_of(F.col("cc_path"))})
+    W.sink_english_text(docs, f"{out}/english")
+    W.sink_math_text(docs, f"{out}/math_text")
+    W.sink_math_html(docs, f"{out}/math_html")
+    counters = materialize(S.funnel_stats(scored, [F.col("cc_path").alias("file_path")]), "counters")
+    W.sink_stats(counters, f"{out}/stats")
+    return counters
 
 
 def reextract(survivors: DataFrame, html_records: DataFrame) -> DataFrame:

@@ -5,9 +5,12 @@ from conftest import SMALL
 from pagesift.catalog import fixtures as X
 from pagesift.catalog import quality as Q
 from pagesift.operators import listings as L
+from pagesift.operators import models as M
 from pagesift.operators import stats as S
 from pagesift.plans import curation, extraction
 from pagesift.session import materialize, shared_dir
+from pagesift.sinks import writers as W
+from pagesift.sources import warc as WA
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +22,7 @@ def job(spark):
         "url",
         F.when(F.col("page_id") == 7, F.lit(b"")).otherwise(F.encode("html", "UTF-8")).alias("body"),
     )
-    models = Q._lang_model(spark, SMALL), Q._math_model(spark, SMALL)
+    models = M.train_row_model(X.documents(spark, SMALL), "lang"), M.train_row_model(Q._labelled(spark, SMALL), "quality")
     return extraction.extract_job(records, X.rules(spark, SMALL), *models, "1")
 
 
@@ -47,6 +50,40 @@ def test_topic_records_have_text_and_html_of_the_same_keys(job):
     assert topic.where("html is null or html = ''").isEmpty()
 
 
+def test_texts_and_html_are_not_shuffled(spark, monkeypatch):
+    plans = []
+
+    def noted(df, name="stage"):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return materialize(df, name)
+
+    models = M.train_row_model(X.documents(spark, SMALL), "lang"), M.train_row_model(Q._labelled(spark, SMALL), "quality")
+    rules = X.rules(spark, SMALL)
+    monkeypatch.setattr(extraction, "materialize", noted)
+    pages = spark.read.parquet(f"{SMALL}/pages.parquet")
+    records = pages.select(F.lit("a").alias("cc_path"), F.col("page_id").alias("record_idx"), "url", F.encode("html", "UTF-8").alias("body"))
+    extraction.extract_job(records, rules, *models, "1")
+    assert [name for name, _ in plans] == ["extracted", "scored"]
+    assert not any("hashpartitioning" in plan or "SortMergeJoin" in plan for _, plan in plans)
+
+
+def test_job_from_listing_to_files(spark, tmp_path):
+    good = X.pages(spark, SMALL).limit(12).select("url", F.lit("2024-05-01T00:00:00Z").alias("date"), F.encode("html", "UTF-8").alias("body"))
+    spark.dataSource.register(WA.WarcSource)
+    good.coalesce(1).write.format("warc").mode("append").save(str(tmp_path / "in"))
+    name = next((tmp_path / "in").glob("*.warc.gz")).name
+    whole = (tmp_path / "in" / name).read_bytes()
+    (tmp_path / "in" / "bad.warc.gz").write_bytes(whole[: len(whole) // 2] + b"\0" * 50 + whole[len(whole) // 2 :])
+    models = M.train_row_model(X.documents(spark, SMALL), "lang"), M.train_row_model(Q._labelled(spark, SMALL), "quality")
+    listing = spark.createDataFrame([(name,), ("bad.warc.gz",), ("gone.warc.gz",)], "cc_path string")
+    counters = extraction.run_extraction(listing, str(tmp_path / "in"), str(tmp_path / "out"), X.rules(spark, SMALL), *models, "1").collect()
+    assert [(r["file_path"], r["doc_input"]) for r in counters] == [(name, 12)]
+    assert {r[0] for r in spark.read.text(str(tmp_path / "out" / "failed")).collect()} == {"bad.warc.gz", "gone.warc.gz"}
+    count = lambda x: spark.read.schema(W.RECORD_SCHEMA).json(str(tmp_path / "out" / x)).count()
+    assert count("english") == counters[0]["doc_remaining"] and count("math_text") == count("math_html") <= count("english")
+    assert spark.read.option("header", True).csv(str(tmp_path / "out" / "stats")).count() == 1
+
+
 def test_curated_corpus_is_a_part_of_the_input(spark):
     docs = X.documents(spark, SMALL)
     index = materialize(spark.createDataFrame([("none of this occurs", "t")], "gram string, task string"))

@@ -72,6 +72,19 @@ def test_scores(spark, limit):
     assert ranked.count() == 8
 
 
+def test_scores_in_the_row(spark):
+    docs = spark.createDataFrame(TRAIN, "doc_id long, label string, text string")
+    model = M.train_row_model(docs, "label", features=1 << 20)
+    test = spark.createDataFrame([(1, "a a"), (2, "unknown words"), (3, ""), (4, "c"), (5, None)], "doc_id long, text string")
+    scored = test.withColumn("s", M.row_scores(model, F.col("text")))
+    best = M.best_label(model, F.col("s"))
+    rows = {r["doc_id"]: r for r in scored.select("doc_id", best["label"].alias("l"), M.label_score(model, F.col("s"), "x").alias("x"), M.label_score(model, F.col("s"), "z").alias("z")).collect()}
+    up, down = (2 / 3) * (4 / 7) ** 2, (1 / 3) * (1 / 5) ** 2
+    assert rows[1]["x"] == pytest.approx(up / (up + down)) and rows[2]["x"] == rows[3]["x"] == pytest.approx(2 / 3)
+    assert {i: r["l"] for i, r in rows.items()} == {1: "x", 2: "x", 3: "x", 4: "y", 5: None}
+    assert rows[1]["z"] == 0 and rows[5]["x"] is None
+
+
 def test_thresholds(spark):
     df = spark.createDataFrame([(i, i / 10) for i in range(10)], "doc_id long, math_score double")
     assert M.math_filter(df).count() == 5
