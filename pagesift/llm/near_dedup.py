@@ -1,6 +1,9 @@
 """Near-duplicate classes: consistent weighted sampling over TF-IDF shingles.
 
-A text is the weighted set of its word 5-grams, weight = count x ln(1 + N / df). Document
+A text is the weighted set of its word 5-grams, weight = count x (1 + IDF_SHARE x idf), where
+idf = ln(1 + N / df) / ln(1 + N). The weight is tempered so that a common shingle still has
+two thirds of a rare one's: the shingles of a text with thousands of near copies are common
+for just that reason, and the copies' own changes must not outweigh them. Document
 frequencies are counted over all texts in ``1 << DF_BITS`` hashed counters, so the table
 has a fixed size; each counter holds the same share of the corpus at any size.
 
@@ -15,8 +18,8 @@ Equal word sequences are one node, so copies are never compared. In a bucket of
 no task gets the group and not all pairs are made: each round compares the members with
 one member (the centre), and buckets whose members are all in one class are done. Later
 rounds take other centres, so members that are unlike the first but linked to another
-are found. What is still open after ``TURNS`` rounds is compared pair by pair, so no
-member is left untested. Pairs whose total weights differ too much for a link are exact
+are found. As soon as all pairs of the open buckets are at most ``PAIRS`` times the nodes,
+or after ``TURNS`` rounds, what is open is compared pair by pair, so none is left untested. Pairs whose total weights differ too much for a link are exact
 non-links and are not sent.
 
 Defined cases: a null text is empty; a text without words is a class of its own. A text
@@ -41,10 +44,13 @@ from pagesift.session import materialize, new_path
 
 SHINGLE = 5
 THRESHOLD = 0.8
-BANDS, ROWS = 16, 4
+IDF_SHARE = 0.5
+#: A pair at the threshold shares no band with probability (1 - 0.8 ** 3) ** 13 < 0.0001.
+BANDS, ROWS = 13, 3
 DF_BITS = 20
 DF_BLOCK = 1_024
 TURNS = 8
+PAIRS = 4
 CHUNK_BYTES = 1 << 20
 A, B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -127,7 +133,8 @@ def idf_table(docs: DataFrame) -> np.ndarray:
     counts = np.zeros(1 << DF_BITS, dtype=np.int64)
     for block, values in found.items():
         counts[block * DF_BLOCK : (block + 1) * DF_BLOCK] = values
-    return np.log1p(total / np.maximum(counts, 1)).astype(np.float32)
+    idf = np.log1p(total / np.maximum(counts, 1)) / np.log1p(max(total, 1))
+    return (1 + IDF_SHARE * idf).astype(np.float32)
 
 
 def variates() -> tuple[np.ndarray, np.ndarray]:
@@ -239,17 +246,26 @@ def verified(pairs: DataFrame, texts: DataFrame, idf) -> DataFrame:
 def linked_labels(buckets: DataFrame, texts: DataFrame, idf, threshold: float, turns: int) -> DataFrame:
     """(v, label) of all nodes in ``buckets`` (k, v, total): nodes joined by links have one label."""
     labels = materialize(buckets.select("v").distinct().select("v", F.col("v").alias("label")), "node-labels")
-    tested = None
+    nodes, still_open, tested = labels.count(), buckets, None
     for turn in range(turns + 1):
-        members = materialize(buckets.join(labels, "v"), "bucket-members")
+        members = still_open.join(labels.hint("merge"), "v")
+        # First one centre for all buckets of a group, which gives the fewest pairs; then a different one in each.
+        order = F.xxhash64("v", "k", F.lit(turn)) if turn else F.xxhash64("v")
         groups = members.groupBy("k").agg(
-            F.min("label").alias("low"), F.max("label").alias("high"),
-            F.min(F.struct(F.xxhash64("v", F.lit(turn)).alias("o"), "v", "label", "total")).alias("c"),
+            F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"),
+            F.min(F.struct(order.alias("o"), "v", "label", "total")).alias("c"),
         ).where("low <> high")
-        if turn < turns:
+        groups = materialize(groups, "open-buckets")
+        rows, all_pairs = groups.agg(F.sum("n"), F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()
+        if not rows:
+            break
+        members = materialize(members.join(groups.select("k").hint("merge"), "k"), "bucket-members")
+        still_open = members.select("k", "v", "total")
+        last = turn == turns or (turn > 0 and all_pairs <= PAIRS * nodes)
+        if last:  # every pair of members of different classes
+            other = members.select("k", F.col("v").alias("w"), F.col("label").alias("lw"), F.col("total").alias("tw"))
+        else:
             other = groups.select("k", F.col("c.v").alias("w"), F.col("c.label").alias("lw"), F.col("c.total").alias("tw"))
-        else:  # what is still open: every pair of members of different classes
-            other = members.join(groups.select("k"), "k").select("k", F.col("v").alias("w"), F.col("label").alias("lw"), F.col("total").alias("tw"))
         open_pairs = members.join(other.hint("merge"), "k").where(
             (F.col("label") != F.col("lw")) & (F.least("total", "tw") >= (threshold - 1e-6) * F.greatest("total", "tw"))
         )
@@ -261,12 +277,7 @@ def linked_labels(buckets: DataFrame, texts: DataFrame, idf, threshold: float, t
         ).distinct()
         if tested is not None:
             pairs = pairs.join(tested.hint("merge"), ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        if pairs.isEmpty():
-            if groups.isEmpty() or turn == turns:
-                break
-            continue
-        found = materialize(verified(pairs, texts, idf), "verified")
+        found = materialize(verified(materialize(pairs, "pairs"), texts, idf), "verified")
         fresh = found.select("a", "b")
         tested = fresh if tested is None else tested.union(fresh)
         links = found.where(F.col("similarity") >= threshold).select(F.col("la").alias("a"), F.col("lb").alias("b"))
@@ -275,6 +286,8 @@ def linked_labels(buckets: DataFrame, texts: DataFrame, idf, threshold: float, t
             labels = materialize(
                 labels.join(moved.hint("merge"), "label", "left").select("v", F.coalesce("p", "label").alias("label")), "node-labels"
             )
+        if last:
+            break
     return labels
 
 

@@ -46,7 +46,7 @@ def shingled(text):
 def brute_classes(rows, threshold=0.8):
     sets = [shingled(t) for _, t in rows]
     df = Counter(g for s in sets for g in s)
-    weight = lambda s: {g: n * math.log1p(len(rows) / df[g]) for g, n in s.items()}
+    weight = lambda s: {g: n * (1 + 0.5 * math.log1p(len(rows) / df[g]) / math.log1p(len(rows))) for g, n in s.items()}
     sets = [weight(s) for s in sets]
     links = []
     for i, a in enumerate(sets):
