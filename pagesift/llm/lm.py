@@ -40,11 +40,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pagesift.llm.common import chunks, col, partitions, text_of, words
+from pagesift.session import new_path
 
 HEAD = 65_536
-WORDS = 1_024
+WORDS = 512
 WIDTH = 32
-TAILS = 32
+TAILS = 16
 SUFFIX = 3
 CLASS_ROWS = 1 << 14
 WORD_ROWS = 1 << 13
@@ -52,8 +53,10 @@ ROUNDS = 2
 #: A step is RATE x gradient / sqrt(FLOOR + sum of squared gradients so far).
 RATE = 0.25
 FLOOR = 1.0
-STEP = 4_096
-CHUNK_BYTES = 2 << 20
+#: Tokens of a gradient step, and of a step of scoring.
+STEP = 16_384
+SCORE_STEP = 4_096
+CHUNK_BYTES = 4 << 20
 #: Distinct tokens that a task holds while it looks for frequent ones.
 HELD = 500_000
 END = "\n"
@@ -61,14 +64,16 @@ CLASSES = WORDS // WIDTH + TAILS
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
-def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Where each text's tokens start, a number per token, the distinct tokens; ``END`` ends each text."""
     starts, numbers, distinct = words(pc.ascii_lower(texts))
-    names = distinct.to_pylist()
-    real = np.array([x != "" for x in names], dtype=bool)[numbers] if names else np.zeros(0, dtype=bool)
-    kept = np.concatenate([[0], np.cumsum(real)])[starts]
-    numbers = np.insert(numbers[real], kept[1:], len(names))
-    return kept + np.arange(len(kept)), numbers, [*names, END]
+    kept, empty = starts, pc.index(distinct, "").as_py()
+    if empty >= 0:  # it may stand at the ends of a text
+        real = numbers != empty
+        kept = np.concatenate([[0], np.cumsum(real)])[starts]
+        numbers = numbers[real]
+    numbers = np.insert(numbers, kept[1:], len(distinct))
+    return kept + np.arange(len(kept)), numbers, pa.concat_arrays([distinct, pa.array([END], distinct.type)])
 
 
 def texts_of(part: pa.Table) -> pa.Array:
@@ -91,10 +96,11 @@ def frequent(train: DataFrame, most: int) -> list[str]:
                 [pa.array([x for x, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], ["word", "n"]
             )
 
-        for part in chunks(batches, CHUNK_BYTES):
+        for part in chunks(batches, 4 * CHUNK_BYTES):
             _, numbers, names = tokens(texts_of(part))
-            for name, n in zip(names, np.bincount(numbers, minlength=len(names)).tolist()):
-                counts[name] += n
+            n = np.bincount(numbers, minlength=len(names))
+            used = np.flatnonzero(n)
+            counts.update(dict(zip(names.take(pa.array(used)).to_pylist(), n[used].tolist())))
             if len(counts) > HELD:
                 yield best()
                 counts.clear()
@@ -112,11 +118,14 @@ class Lexicon:
         names = [END] + [x for x in head if x != END]
         self.place = {x: i for i, x in enumerate(names)}
 
-    def look_up(self, names: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def look_up(self, names: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(hash, place in the head or -1, class) of distinct tokens."""
-        hashes = np.fromiter((xxhash.xxh3_64_intdigest(x) for x in names), np.uint64, len(names))
-        places = np.fromiter((self.place.get(x, -1) for x in names), np.int64, len(names))
-        tails = np.fromiter((xxhash.xxh3_64_intdigest(x[-SUFFIX:]) % TAILS for x in names), np.int64, len(names))
+        listed, get = names.to_pylist(), self.place.get
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, listed), np.uint64, len(listed))
+        places = np.fromiter((get(x, -1) for x in listed), np.int64, len(listed))
+        endings = pc.utf8_slice_codeunits(names, -SUFFIX).dictionary_encode()
+        of_ending = np.array([xxhash.xxh3_64_intdigest(x) % TAILS for x in endings.dictionary.to_pylist()], dtype=np.int64)
+        tails = of_ending[endings.indices.to_numpy()] if len(listed) else places
         plain = (places >= 0) & (places < WORDS)
         return hashes, places, np.where(plain, places // WIDTH, CLASSES - TAILS + tails)
 
@@ -156,16 +165,29 @@ class Weights:
         self.class_bias, self.word_bias = class_bias.astype(np.float32), word_bias.astype(np.float32)
         self.tables = [np.zeros((CLASS_ROWS, CLASSES), np.float32), np.zeros((WORD_ROWS, WIDTH), np.float32)]
 
-    def factors(self, rows: np.ndarray, bias: np.ndarray, which: int) -> np.ndarray:
-        """Log probabilities (natural) of all outcomes of one factor."""
+    def logits(self, rows: np.ndarray, bias: np.ndarray, which: int) -> np.ndarray:
         table = self.tables[which]
-        out = bias + table[rows[:, 0]]
+        out = table[rows[:, 0]]
         for k in range(1, rows.shape[1]):
             out += table[rows[:, k]]
+        out += bias
         out -= out.max(axis=1, keepdims=True)
-        out -= np.log(np.exp(out).sum(axis=1, keepdims=True))
         return out
 
+    def factors(self, rows: np.ndarray, bias: np.ndarray, which: int) -> np.ndarray:
+        """Probabilities of all outcomes of one factor."""
+        out = self.logits(rows, bias, which)
+        np.exp(out, out=out)
+        out /= out.sum(axis=1, keepdims=True)
+        return out
+
+    def log_factor(self, rows: np.ndarray, bias: np.ndarray, which: int, target: np.ndarray) -> np.ndarray:
+        """Log probability (natural) of one outcome for each row."""
+        out = self.logits(rows, bias, which)
+        own = out[np.arange(len(target)), target]
+        np.exp(out, out=out)
+        return own - np.log(out.sum(axis=1))
+
     def moved(self, changes: dict[int, np.ndarray]) -> Weights:
         """Weights after the changes of rows; those of the second table are numbered after the first."""
         out = Weights(self.class_bias, self.word_bias)
@@ -177,17 +199,18 @@ class Weights:
 
     def learn(self, rows: np.ndarray, bias: np.ndarray, target: np.ndarray, which: int, sums: np.ndarray, met: np.ndarray) -> None:
         """One adaptive gradient step over a few thousand tokens."""
-        gradient = np.exp(self.factors(rows, bias, which))
+        gradient = self.factors(rows, bias, which)
         gradient[np.arange(len(target)), target] -= 1
-        flat = rows.reshape(-1)
-        order = np.argsort(flat, kind="stable")
-        sorted_rows = flat[order]
-        heads = np.flatnonzero(np.concatenate([[True], sorted_rows[1:] != sorted_rows[:-1]]))
-        total = np.add.reduceat(gradient[order // rows.shape[1]], heads, axis=0)
-        touched = sorted_rows[heads]
-        sums[touched] += total * total
-        met[touched] += np.diff(np.append(heads, len(flat)))
-        self.tables[which][touched] -= RATE * total / np.sqrt(sums[touched] + FLOOR)
+        table = self.tables[which]
+        flat = np.ascontiguousarray(rows.T).reshape(-1)
+        # Outcome by outcome, as a weighted count over all rows is much faster than sums of sorted vectors.
+        total = np.empty((table.shape[1], table.shape[0]))
+        for k, column in enumerate(np.ascontiguousarray(gradient.T)):
+            total[k] = np.bincount(flat, weights=np.tile(column, rows.shape[1]), minlength=len(table))
+        total = np.ascontiguousarray(total.T, dtype=np.float32)
+        met += np.bincount(flat, minlength=len(table))
+        sums += total * total
+        table -= RATE * total / np.sqrt(sums + np.float32(FLOOR))
 
 
 class Batch:
@@ -266,42 +289,43 @@ def trained(train: DataFrame, lexicon, counts: np.ndarray, tails: dict[int, tupl
     return weights
 
 
-def _head_counts(lexicon, size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(size, dtype=np.int64)
-        for part in chunks(batches, CHUNK_BYTES):
-            _, numbers, names = tokens(texts_of(part))
-            places = np.fromiter((lexicon.value.place.get(x, -1) for x in names), np.int64, len(names))[numbers]
-            counts += np.bincount(places[places >= 0], minlength=size)
-        used = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["place", "n"])
-
-    return run
-
-
-def _rare(lexicon):
-    """A row per text and token outside the head."""
+def _counted(lexicon, size: int):
+    """A row per text and token outside the head; at last a row per token of the head, with class -1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(size, dtype=np.int64)
+        names_of = ["id", "t", "train", "hash", "class", "n"]
+        id_type = pa.null()
         for part in chunks(batches, CHUNK_BYTES):
+            id_type = part.schema.field("id").type
             starts, numbers, names = tokens(texts_of(part))
             hashes, places, classes = lexicon.value.look_up(names)
             doc = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-            rare = places[numbers] < 0
+            train = part.column("train").to_numpy()[doc]
+            place = places[numbers]
+            counts += np.bincount(place[(place >= 0) & train], minlength=size)
+            rare = place < 0
             pairs, n = np.unique(doc[rare] * len(names) + numbers[rare], return_counts=True)
             doc, name = pairs // len(names), pairs % len(names)
             rows = pa.RecordBatch.from_arrays(
                 [
-                    pa.concat_arrays(part.column("id").chunks).take(pa.array(doc)),
-                    pa.concat_arrays(part.column("t").chunks).take(pa.array(doc)),
-                    pa.concat_arrays(part.column("train").chunks).take(pa.array(doc)),
-                    pa.array(hashes[name].view(np.int64)), pa.array(classes[name].astype(np.int32)),
-                    pa.array(n.astype(np.int32)),
+                    *(pa.concat_arrays(part.column(c).chunks).take(pa.array(doc)) for c in ("id", "t", "train")),
+                    pa.array(hashes[name].view(np.int64)), pa.array(classes[name].astype(np.int32)), pa.array(n),
                 ],
-                ["id", "t", "train", "hash", "class", "n"],
+                names_of,
             )
             for at in range(0, rows.num_rows, 50_000):
                 yield rows.slice(at, 50_000)
+        used = np.flatnonzero(counts)
+        if len(used):
+            nothing = pa.nulls(len(used), id_type)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    nothing, pa.nulls(len(used), pa.int64()), pa.array([True] * len(used)), pa.array(used),
+                    pa.array(np.full(len(used), -1, dtype=np.int32)), pa.array(counts[used]),
+                ],
+                names_of,
+            )
 
     return run
 
@@ -314,14 +338,12 @@ def _score(weights, lexicon, counts, tail_logs):
         for part in chunks(batches, CHUNK_BYTES):
             b = Batch(texts_of(part), lexicon.value)
             model = np.zeros(len(b.hashes))
-            for at in range(0, len(b.hashes), STEP):
-                cut = slice(at, at + STEP)
-                found = own.factors(b.class_rows[cut], own.class_bias, 0)
-                model[cut] = found[np.arange(len(found)), b.classes[cut]]
-            for at in range(0, len(b.plain), STEP):
-                cut = b.plain[at : at + STEP]
-                found = own.factors(b.word_rows[cut], own.word_bias[b.classes[cut]], 1)
-                model[cut] += found[np.arange(len(cut)), b.places[cut] % WIDTH]
+            for at in range(0, len(b.hashes), SCORE_STEP):
+                cut = slice(at, at + SCORE_STEP)
+                model[cut] = own.log_factor(b.class_rows[cut], own.class_bias, 0, b.classes[cut])
+            for at in range(0, len(b.plain), SCORE_STEP):
+                cut = b.plain[at : at + SCORE_STEP]
+                model[cut] += own.log_factor(b.word_rows[cut], own.word_bias[b.classes[cut]], 1, b.places[cut] % WIDTH)
             model /= np.log(10)
             in_head = b.places >= 0
             head = np.where(in_head, logs[b.places], 0.0)
@@ -356,18 +378,19 @@ def scored(
     lexicon = spark.sparkContext.broadcast(Lexicon(names))
     size = len(lexicon.value.place)
     counts = np.zeros(size, dtype=np.int64)
-    head_counts = train.select("text").mapInArrow(_head_counts(lexicon, size), "place long, n long")
-    for row in head_counts.groupBy("place").agg(F.sum("n").alias("n")).collect():
-        counts[row["place"]] = row["n"]
-
-    kind = f"id {id_type}, t long, train boolean, hash long, class int, n int"
-    rare = rows.mapInArrow(_rare(lexicon), kind)
+    kind = f"id {id_type}, t long, train boolean, hash long, class int, n long"
+    path = new_path(spark, "rare-tokens")
+    rows.mapInArrow(_counted(lexicon, size), kind).write.option("compression", "zstd").parquet(path)
+    counted = spark.read.schema(kind).parquet(path)
+    for row in counted.where("class = -1").groupBy("hash").agg(F.sum("n").alias("n")).collect():  # HEAD rows at most
+        counts[row["hash"]] = row["n"]
+    rare = counted.where("class >= 0")
     by_hash = rare.where("train").groupBy("hash").agg(F.sum("n").alias("c"), F.first("class").alias("class"))
     found = by_hash.groupBy("class").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()
     rare_n, rare_v = sum(x["n"] for x in found), sum(x["v"] for x in found)
     tails = {x["class"]: (x["n"], x["v"]) for x in found}
     by_place = sorted(lexicon.value.place, key=lexicon.value.place.get)
-    classes = lexicon.value.look_up(by_place)[2]
+    classes = lexicon.value.look_up(pa.array(by_place, pa.large_string()))[2]
     for k in range(CLASSES - TAILS, CLASSES):
         n, v = tails.get(k, (0, 0))
         tails[k] = (n + int(counts[classes == k].sum()), v + int((counts[classes == k] > 0).sum()))
