@@ -145,13 +145,17 @@ def collapse_blank_lines(text: Column) -> Column:
 
 def sup_sub(html: Column, depth: int = 4) -> Column:
     """Superscripts as ``^{x}`` and subscripts as ``_{x}``, but not twice; innermost first, ``depth`` levels."""
-    out = html
-    for _ in range(depth):
-        for tag, sign in (("sup", "^"), ("sub", "_")):
-            inner = r"(?:[^<]|<(?!/?su[bp]\b))*+"
-            out = F.regexp_replace(out, rf"(?is)<{tag}(?:\s[^>]*)?>(\{sign}\{{{inner})</{tag}\s*>", "$1")
-            out = F.regexp_replace(out, rf"(?is)<{tag}(?:\s[^>]*)?>({inner})</{tag}\s*>", f"{sign}{{$1}}")
-    return F.when(F.lower(html).contains("<su"), out).otherwise(html)
+
+    def marked(h: Column) -> Column:
+        out = h
+        for _ in range(depth):
+            for tag, sign in (("sup", "^"), ("sub", "_")):
+                inner = r"(?:[^<]|<(?!/?su[bp]\b))*+"
+                out = F.regexp_replace(out, rf"(?is)<{tag}(?:\s[^>]*)?>(\{sign}\{{{inner})</{tag}\s*>", "$1")
+                out = F.regexp_replace(out, rf"(?is)<{tag}(?:\s[^>]*)?>({inner})</{tag}\s*>", f"{sign}{{$1}}")
+        return F.when(h.rlike("(?i)<su[bp]"), out).otherwise(h)
+
+    return let(html, marked)
 
 
 def fraction_span(html: Column) -> Column:
@@ -166,7 +170,7 @@ def fraction_span(html: Column) -> Column:
         parts = [strip_tags(F.regexp_extract(match, pattern, i)) for i in (1, 2)]
         return F.concat(F.lit("\\frac{"), parts[0], F.lit("}{"), parts[1], F.lit("}"))
 
-    return F.when(html.contains("intbl"), replace_in_order(html, pattern, frac)).otherwise(html)
+    return let(html, lambda h: F.when(h.contains("intbl"), replace_in_order(h, pattern, frac)).otherwise(h))
 
 
 def improve_formulas(html: Column) -> Column:

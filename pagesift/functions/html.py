@@ -96,7 +96,7 @@ def decode_entities(text: Column) -> Column:
             .otherwise(code(F.substring(e, F.lit(3), F.length(e)), 10, 7))
         )
 
-    return F.when(text.contains("&"), replace_in_order(text, REFERENCE, char)).otherwise(text)
+    return let(text, lambda t: F.when(t.contains("&"), replace_in_order(t, REFERENCE, char)).otherwise(t))
 
 
 def escape(text: Column) -> Column:
