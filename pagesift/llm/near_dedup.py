@@ -18,8 +18,9 @@ Equal word sequences are one node, so copies are never compared. In a bucket of
 no task gets the group and not all pairs are made: each round compares the members with
 one member (the centre), and buckets whose members are all in one class are done. Later
 rounds take other centres, so members that are unlike the first but linked to another
-are found. As soon as all pairs of the open buckets are at most ``PAIRS`` times the nodes,
-or after ``TURNS`` rounds, what is open is compared pair by pair, so none is left untested. Pairs whose total weights differ too much for a link are exact
+are found. As soon as the pairs that may still be links (by the triangle inequality over
+distances from the first centre) are at most ``PAIRS`` times the nodes, or after ``TURNS``
+rounds, they are all compared, so none is left untested. Pairs whose total weights differ too much for a link are exact
 non-links and are not sent.
 
 Defined cases: a null text is empty; a text without words is a class of its own. A text
@@ -256,27 +257,24 @@ def linked_labels(buckets: DataFrame, texts: DataFrame, idf, threshold: float, t
             F.min(F.struct(order.alias("o"), "v", "label", "total")).alias("c"),
         ).where("low <> high")
         groups = materialize(groups, "open-buckets")
-        rows, all_pairs = groups.agg(F.sum("n"), F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()
-        if not rows:
+        if groups.isEmpty():
             break
-        members = materialize(members.join(groups.select("k").hint("merge"), "k"), "bucket-members")
-        still_open = members.select("k", "v", "total")
-        last = turn == turns or (turn > 0 and all_pairs <= PAIRS * nodes)
-        if last:  # every pair of members of different classes
-            other = members.select("k", F.col("v").alias("w"), F.col("label").alias("lw"), F.col("total").alias("tw"))
-        else:
-            other = groups.select("k", F.col("c.v").alias("w"), F.col("c.label").alias("lw"), F.col("c.total").alias("tw"))
-        open_pairs = members.join(other.hint("merge"), "k").where(
-            (F.col("label") != F.col("lw")) & (F.least("total", "tw") >= (threshold - 1e-6) * F.greatest("total", "tw"))
-        )
-        swap = F.col("v") > F.col("w")
-        pairs = open_pairs.select(
-            F.least("v", "w").alias("a"), F.greatest("v", "w").alias("b"),
-            F.when(swap, F.col("lw")).otherwise(F.col("label")).alias("la"),
-            F.when(swap, F.col("label")).otherwise(F.col("lw")).alias("lb"),
-        ).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested.hint("merge"), ["a", "b"], "left_anti")
+        centres = groups.select("k", F.col("c.v").alias("w"), F.col("c.label").alias("lw"), F.col("c.total").alias("tw"))
+        members = materialize(members.join(centres.hint("merge"), "k"), "bucket-members")
+        last = turn == turns
+        if turn:
+            # The distance 1 - similarity is a metric. What differs more in its distance from the first centre
+            # than a link allows cannot be linked; that settles the members that are unlike the rest.
+            first = labels.select(F.col("v").alias("first"), F.col("label").alias("first_label"))
+            rest = members.join(first.hint("merge"), "first").where(F.col("label") != F.col("first_label"))
+            other = members.select("k", F.col("v").alias("w"), F.col("label").alias("lw"), F.col("total").alias("tw"), F.col("near").alias("near_w"))
+            possible = rest.drop("w", "lw", "tw", "first").join(other.hint("merge"), "k").where(
+                (F.col("label") != F.col("lw"))
+                & (F.coalesce(F.abs(F.col("near") - F.col("near_w")), F.lit(0.0)) <= 1 - threshold + 1e-6)
+            )
+            possible = _pairs(possible, tested, threshold)
+            last = last or possible.limit(PAIRS * nodes + 1).count() <= PAIRS * nodes
+        pairs = possible if last else _pairs(members.where(F.col("label") != F.col("lw")), tested, threshold)
         found = materialize(verified(materialize(pairs, "pairs"), texts, idf), "verified")
         fresh = found.select("a", "b")
         tested = fresh if tested is None else tested.union(fresh)
@@ -288,9 +286,27 @@ def linked_labels(buckets: DataFrame, texts: DataFrame, idf, threshold: float, t
             )
         if last:
             break
+        if turn == 0:
+            both = found.select("a", "b", F.col("similarity").alias("near"))
+            known = members.withColumns({"a": F.least("v", "w"), "b": F.greatest("v", "w")}).join(both.hint("merge"), ["a", "b"], "left")
+            known = known.withColumn("near", F.when(F.col("v") == F.col("w"), 1.0).otherwise(F.col("near")))
+            still_open = materialize(known.select("k", "v", "total", "near", F.col("w").alias("first")), "bucket-distances")
+        else:
+            still_open = members.select("k", "v", "total", "near", "first")
     return labels
 
 
+def _pairs(joined: DataFrame, tested: DataFrame | None, threshold: float) -> DataFrame:
+    """Distinct pairs (a, b) with their labels that have not been compared and whose weights allow a link."""
+    swap = F.col("v") > F.col("w")
+    pairs = joined.where(F.least("total", "tw") >= (threshold - 1e-6) * F.greatest("total", "tw")).select(
+        F.least("v", "w").alias("a"), F.greatest("v", "w").alias("b"),
+        F.when(swap, F.col("lw")).otherwise(F.col("label")).alias("la"),
+        F.when(swap, F.col("label")).otherwise(F.col("lw")).alias("lb"),
+    ).distinct()
+    return pairs if tested is None else pairs.join(tested.hint("merge"), ["a", "b"], "left_anti")
+
+
 def near_classes(
     docs: DataFrame, id_name: str = "doc_id", text_name: str = "text", threshold: float = THRESHOLD, bands: int = BANDS,
     rows: int = ROWS, turns: int = TURNS,
