@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SMALL
+from pagesift import catalog
 from tools.check import compare, connect
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = catalog.queries(), catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -24,6 +25,10 @@ def test_query(spark, con, name):
     assert right, text
 
 
+def test_entry_has_all_queries():
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
+
+
 def test_entry(spark):
     rows = entry.entry(spark).collect()
     assert rows and sum(r["doc_input"] for r in rows) == 50
