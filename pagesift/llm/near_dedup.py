@@ -273,7 +273,7 @@ def linked_labels(buckets: DataFrame, texts: DataFrame, idf, threshold: float, t
                 & (F.coalesce(F.abs(F.col("near") - F.col("near_w")), F.lit(0.0)) <= 1 - threshold + 1e-6)
             )
             possible = _pairs(possible, tested, threshold)
-            last = last or possible.limit(PAIRS * nodes + 1).count() <= PAIRS * nodes
+            last = last or possible.count() <= PAIRS * nodes
         pairs = possible if last else _pairs(members.where(F.col("label") != F.col("lw")), tested, threshold)
         found = materialize(verified(materialize(pairs, "pairs"), texts, idf), "verified")
         fresh = found.select("a", "b")
