@@ -5,8 +5,8 @@ class), both maximum-entropy models over hashed features of the history:
 
 * Classes: the ``WORDS`` most frequent tokens lie in classes of ``WIDTH`` by rank; all
   others, known or not, in ``TAILS`` classes by the hash of their last letters. A softmax
-  over all classes takes the weights of the features [w1], [w1 w2] and [class trigram],
-  where w1 is the token before.
+  over all classes takes the weights of the features [w1], [w1 w2], [skip w2] and
+  [class trigram], where w1 is the token before.
 * Inside a class of frequent tokens a softmax over its tokens takes the features
   [class, w1] and [class, skip w2]. Inside the others a token has its smoothed share
   (c + 0.1) / (N_k + 0.1 (V_k + 1)), as the base model has over all tokens.
@@ -43,9 +43,9 @@ from pagesift.llm.common import chunks, col, partitions, text_of, words
 from pagesift.session import new_path
 
 HEAD = 65_536
-WORDS = 512
+WORDS = 1_024
 WIDTH = 32
-TAILS = 16
+TAILS = 32
 SUFFIX = 3
 CLASS_ROWS = 1 << 14
 WORD_ROWS = 1 << 13
@@ -54,7 +54,7 @@ ROUNDS = 2
 RATE = 0.25
 FLOOR = 1.0
 #: Tokens of a gradient step, and of a step of scoring.
-STEP = 16_384
+STEP = 4_096
 SCORE_STEP = 4_096
 CHUNK_BYTES = 1 << 20
 #: Distinct tokens that a task holds while it looks for frequent ones.
@@ -137,7 +137,7 @@ def mixed(values: np.ndarray, rows: int) -> np.ndarray:
 
 
 def features(hashes: np.ndarray, classes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of the class table (3 per token) and of the word table (2 per token)."""
+    """Rows of the class table (4 per token) and of the word table (2 per token)."""
     inner = np.arange(len(hashes)) - np.repeat(starts[:-1], np.diff(starts))
 
     def back(values: np.ndarray, k: int) -> np.ndarray:
@@ -150,7 +150,7 @@ def features(hashes: np.ndarray, classes: np.ndarray, starts: np.ndarray) -> tup
     c1, c2, c3 = (back(classes + 2, k).astype(np.uint64) for k in (1, 2, 3))
     trigram = (c1 * np.uint64(256) + c2) * np.uint64(256) + c3
     own = classes.astype(np.uint64) * MIX[2]
-    for_class = [w1 * MIX[0], (w1 * MIX[2]) ^ (w2 * MIX[0] + MIX[1]), trigram * MIX[1] + MIX[2]]
+    for_class = [w1 * MIX[0], (w1 * MIX[2]) ^ (w2 * MIX[0] + MIX[1]), w2 * MIX[2] + MIX[0], trigram * MIX[1] + MIX[2]]
     for_word = [w1 * MIX[0] ^ own, w2 * MIX[2] ^ own + MIX[3]]
     return (
         np.stack([mixed(x, CLASS_ROWS) for x in for_class], axis=1),
@@ -202,15 +202,18 @@ class Weights:
         gradient = self.factors(rows, bias, which)
         gradient[np.arange(len(target)), target] -= 1
         table = self.tables[which]
-        flat = np.ascontiguousarray(rows.T).reshape(-1)
+        # Only the rows that the step meets change.
+        touched, flat, n = np.unique(rows.T, return_inverse=True, return_counts=True)
+        flat = flat.reshape(-1)
         # Outcome by outcome, as a weighted count over all rows is much faster than sums of sorted vectors.
-        total = np.empty((table.shape[1], table.shape[0]))
+        total = np.empty((table.shape[1], len(touched)))
         for k, column in enumerate(np.ascontiguousarray(gradient.T)):
-            total[k] = np.bincount(flat, weights=np.tile(column, rows.shape[1]), minlength=len(table))
+            total[k] = np.bincount(flat, weights=np.tile(column, rows.shape[1]), minlength=len(touched))
         total = np.ascontiguousarray(total.T, dtype=np.float32)
-        met += np.bincount(flat, minlength=len(table))
-        sums += total * total
-        table -= RATE * total / np.sqrt(sums + np.float32(FLOOR))
+        met[touched] += n
+        squares = sums[touched] + total * total
+        sums[touched] = squares
+        table[touched] -= RATE * total / np.sqrt(squares + np.float32(FLOOR))
 
 
 class Batch:

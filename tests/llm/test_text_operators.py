@@ -241,3 +241,14 @@ def test_factors_sum_to_one():
     after = weights.factors(rows, weights.class_bias, 0)
     assert np.allclose(after.sum(axis=1), 1, atol=1e-5)
     assert (after[[0, 1], target] > 1 / lm.CLASSES).all() and met[:8].tolist() == [1] * 8
+
+
+def test_class_factor_has_four_features():
+    """The class of a token may depend on the token before the last one alone."""
+    names = pa.array(["a", "x", "y", "z", lm.END], pa.large_string())
+    hashes, _, _ = lm.Lexicon([]).look_up(names)
+    classes = np.array([0, 40, 41, 1, 2])  # x and y differ in class
+    left, right = (lm.features(hashes[own], classes[own], np.array([0, 4])) for own in (np.array([0, 1, 3, 4]), np.array([0, 2, 3, 4])))
+    assert left[0].shape == (4, 4) and left[1].shape == (4, 2)
+    assert (left[0][2] == right[0][2]).sum() == 1  # only [skip w2] is shared
+    assert lm.WORDS >= 1_024 and lm.TAILS >= 32
