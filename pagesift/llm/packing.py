@@ -1,7 +1,7 @@
 """Packing with a controlled mixture: deficit round-robin over source queues.
 
 Every source of at least 1 / MAX_QUEUES of all tokens is a queue; the smaller ones share
-one more. A queue earns credit in proportion to its share of all tokens while the stream
+one more, in which a second round-robin deals the quanta of each of them. A queue earns credit in proportion to its share of all tokens while the stream
 of sequences grows, and is served one quantum whenever its credit covers it; credit that
 it has not used (its deficit) stays for the next sequence. So each sequence holds every
 queue's share up to a quantum, and no sequence is left short.
@@ -12,9 +12,15 @@ another queue has been served before is a division. Every document therefore fin
 place from its queue's offset alone, no matter which partition holds it: deficits carry
 from partition to partition without any task waiting for another.
 
+The second level has no limit on its sources. Each of the m quanta of a source stands at
+an even distance, 1 / m, from the next, from a start that the hash of the source gives.
+The quanta are sorted by that time over all partitions, and running sums of their sizes
+are their places in the shared queue, so each stretch of it holds its sources' shares.
+
 1. Tokenise; write (part, source, tokens before it in that part, ids) once.
-2. Sum tokens per part and source, then running sums over the parts, per queue.
-3. Each row, where it lies, cuts its ids at the borders of quanta and sequences.
+2. Sum tokens per part and source, then running sums over the parts, per source.
+3. Texts of small sources are cut at the borders of quanta and join the places of these.
+4. Each row, where it lies, cuts its ids at the borders of quanta and sequences.
 
 The last incomplete sequence is cut into powers of two, so nothing is padded.
 
@@ -37,8 +43,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pagesift.llm.common import col, hinted, text_of, words
-from pagesift.session import new_path
+from pagesift.llm.common import col, hinted, partitions, text_of, words
+from pagesift.session import materialize, new_path
 
 SEQUENCE = 2048
 QUANTUM = 256
@@ -216,14 +222,14 @@ class Schedule:
 def _cut(schedule: Schedule):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            queue, at, n = (batch.column(i).to_numpy() for i in (1, 2, 3))
+            queue, at, n, first, whole = (batch.column(i).to_numpy() for i in (1, 2, 3, 5, 6))
             ids = batch.column(4).to_pylist()
             row, start, length, number, offset = schedule.pieces(queue, at, n)
             cut = [ids[r][4 * a : 4 * (a + k)] for r, a, k in zip(row.tolist(), start.tolist(), length.tolist())]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0).take(pa.array(row)), pa.array(start), pa.array(length), pa.array(cut, pa.binary()),
-                    pa.array(n[row]), pa.array(number), pa.array(offset),
+                    batch.column(0).take(pa.array(row)), pa.array(first[row] + start), pa.array(length),
+                    pa.array(cut, pa.binary()), pa.array(whole[row]), pa.array(number), pa.array(offset),
                 ],
                 ["id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"],
             )
@@ -231,6 +237,57 @@ def _cut(schedule: Schedule):
     return run
 
 
+def _split(quantum: int):
+    """Each text cut at the borders of its source's quanta: ``low`` is the place in quantum ``j``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, n = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            ids = batch.column(4).to_pylist()
+            count = (at + n - 1) // quantum - at // quantum + 1
+            row = np.repeat(np.arange(len(n)), count)
+            j = (at // quantum)[row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+            low, high = np.maximum(at[row], j * quantum), np.minimum((at + n)[row], (j + 1) * quantum)
+            first, length = low - at[row], high - low
+            for k in range(0, len(row), 20_000):
+                some = slice(k, k + 20_000)
+                cut = [ids[r][4 * a : 4 * (a + m)] for r, a, m in zip(row[some].tolist(), first[some].tolist(), length[some].tolist())]
+                own = pa.array(row[some])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(own), batch.column(1).take(own), pa.array(j[some]),
+                        pa.array((low - j * quantum)[some]), pa.array(length[some]), pa.array(cut, pa.binary()),
+                        pa.array(first[some]), pa.array(n[row[some]]),
+                    ],
+                    ["id", "source", "j", "low", "n", "ids", "first", "doc_tokens"],
+                )
+
+    return run
+
+
+def dealt_quanta(totals: DataFrame, quantum: int) -> DataFrame:
+    """Where quantum ``j`` of each source of ``totals`` (source, n) stands in their shared queue."""
+    count = F.ceil(F.col("n") / quantum).cast("long")
+    block = 4_096
+    blocks = totals.withColumn("m", count).withColumn("b", F.explode(F.sequence(F.lit(0), F.expr(f"(m - 1) div {block}"))))
+    quanta = blocks.withColumn("j", F.explode(F.sequence(F.col("b") * block, F.least(F.col("m"), (F.col("b") + 1) * block) - 1)))
+    phase = F.pmod(F.xxhash64("source"), F.lit(1 << 32)) / float(1 << 32)
+    quanta = quanta.select(
+        "source", "j", F.least(F.lit(quantum), F.col("n") - F.col("j") * quantum).alias("size"),
+        ((F.col("j") + phase) / F.col("m")).alias("time"),
+    )
+    order = ["time", "source", "j"]
+    # The number of a range is its place in the order of ranges.
+    ranges = quanta.repartitionByRange(partitions(totals.sparkSession), *order).withColumn("range", F.spark_partition_id())
+    ranges = materialize(ranges, "quanta")
+    sums = ranges.groupBy("range").agg(F.sum("size").alias("all"))  # a row per range
+    before = W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    sums = sums.select("range", F.coalesce(F.sum("all").over(before), F.lit(0)).alias("base"))
+    inside = W.partitionBy("range").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    placed = ranges.withColumn("inner", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    return placed.join(F.broadcast(sums), "range").select("source", "j", (F.col("base") + F.col("inner")).alias("at"))
+
+
 def packed(
     docs: DataFrame, path: str, end_id: int = 1, id_name: str = "doc_id", text_name: str = "text",
     source_name: str = "source", sequence: int = SEQUENCE, quantum: int = QUANTUM, max_queues: int = MAX_QUEUES,
@@ -242,29 +299,40 @@ def packed(
     rows.write.option("compression", "zstd").parquet(place)
     rows = spark.read.schema(rows.schema).parquet(place)
 
-    sums = rows.groupBy("part", "source").agg(F.sum("n").alias("n"))
-    total = rows.agg(F.sum("n").alias("n")).first()["n"] or 0
+    sums = materialize(rows.groupBy("part", "source").agg(F.sum("n").alias("n")), "packing-sums")
+    total = sums.agg(F.sum("n").alias("n")).first()["n"] or 0
     by_source = sums.groupBy("source").agg(F.sum("n").alias("n"))
+    is_large = F.col("n") * max_queues >= total
     # At most max_queues sources can have that share.
-    large = by_source.where(F.col("n") * max_queues >= total).orderBy(F.desc("n"), "source").collect()
+    large = by_source.where(is_large).orderBy(F.desc("n"), "source").collect()
     rest = total - sum(x["n"] for x in large)
     schedule = Schedule([*[x["n"] for x in large], rest], sequence, quantum)
     names = F.create_map(*[F.lit(y) for i, x in enumerate(large) for y in (x["source"], i)]) if large else None
     queue = F.coalesce(names[F.col("source")], F.lit(len(large))) if large else F.lit(len(large))
 
-    sums = sums.withColumn("queue", queue.cast("long"))
-    inside = W.partitionBy("queue", "part").orderBy("source").rowsBetween(W.unboundedPreceding, -1)
-    over = W.partitionBy("queue").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
-    parts = sums.groupBy("queue", "part").agg(F.sum("n").alias("all")).select(
-        "queue", "part", F.coalesce(F.sum("all").over(over), F.lit(0)).alias("low")
+    over = W.partitionBy("source").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    bases = sums.select(
+        "part", "source", queue.cast("long").alias("queue"), F.coalesce(F.sum("n").over(over), F.lit(0)).alias("base")
     )
-    bases = sums.withColumn("high", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(parts, ["queue", "part"])
-    bases = bases.select("part", "source", "queue", (F.col("low") + F.col("high")).alias("base"))
     found = rows.join(hinted(bases, F.octet_length("source") + 64), ["part", "source"]).select(
-        "id", "queue", (F.col("base") + F.col("at")).alias("at"), "n", "ids"
+        "id", "source", "queue", (F.col("base") + F.col("at")).alias("at"), "n", "ids"
     )
+    columns = ["id", "queue", "at", "n", "ids", "first", "doc_tokens"]
+    ready = found.where(F.col("queue") < len(large)).withColumns({"first": F.lit(0).cast("long"), "doc_tokens": F.col("n")})
+    ready = ready.select(*columns)
+    if rest:
+        kind = (
+            f"id {rows.schema['id'].dataType.simpleString()}, source string, j long, low long, n long, ids binary, "
+            "first long, doc_tokens long"
+        )
+        small = found.where(F.col("queue") == len(large)).select("id", "source", "at", "n", "ids").mapInArrow(_split(quantum), kind)
+        places = dealt_quanta(by_source.where(~is_large), quantum).hint("merge")
+        small = small.join(places, ["source", "j"]).withColumns(
+            {"queue": F.lit(len(large)).cast("long"), "at": F.col("at") + F.col("low")}
+        ).select(*columns)
+        ready = ready.unionByName(small) if large else small
     kind = (
         f"id {rows.schema['id'].dataType.simpleString()}, start long, length long, ids binary, doc_tokens long, "
         "sequence_id long, offset long"
     )
-    return found.mapInArrow(_cut(schedule), kind).withColumnRenamed("id", id_name)
+    return ready.mapInArrow(_cut(schedule), kind).withColumnRenamed("id", id_name)

@@ -175,6 +175,30 @@ def test_packing_carries_deficits():
         assert (abs(run - (k + 1) * 2048 * shares) <= 2 * 256).all()  # deficits do not add up
 
 
+def test_packing_deals_many_small_sources(spark):
+    names = [f"s{i}" for i in range(packing.MAX_QUEUES + 6)]
+    rows = [(100 * i + k, lorem(100 * i + k, 30), x) for i, x in enumerate(names) for k in range(3)]
+    for big in ([], [(90_000 + k, lorem(90_000 + k, 60), "big") for k in range(100)]):
+        docs = spark.createDataFrame(rows + big, "doc_id long, text string, source string").repartition(3, "doc_id")
+        source = {x[0]: x[2] for x in rows + big}
+        taken, parts = defaultdict(Counter), defaultdict(list)
+        for x in packing.packed(docs, WORDS, sequence=64, quantum=16).collect():
+            taken[x["sequence_id"]][source[x["doc_id"]]] += x["length"]
+            parts[x["doc_id"]].append((x["start"], x["length"], x["doc_tokens"]))
+        for own in parts.values():  # every id once
+            own.sort()
+            assert [a for a, _, _ in own] == [sum(n for _, n, _ in own[:i]) for i in range(len(own))]
+            assert sum(n for _, n, _ in own) == own[0][2]
+        assert set(parts) == set(source)
+        totals = sum(taken.values(), Counter())
+        everything, run = sum(totals.values()), Counter()
+        for k in range(everything // 64):
+            assert sum(taken[k].values()) == 64 and len(taken[k]) >= (3 if big else 4)
+            run += taken[k]
+            for name, n in totals.items():
+                assert abs(run[name] - (k + 1) * 64 * n / everything) <= 3 * 16
+
+
 # ---- language ----
 
 
