@@ -4,8 +4,10 @@ A text is the weighted set of its word 5-grams, weight = count x (1 + IDF_SHARE
 idf = ln(1 + N / df) / ln(1 + N). The weight is tempered so that a common shingle still has
 two thirds of a rare one's: the shingles of a text with thousands of near copies are common
 for just that reason, and the copies' own changes must not outweigh them. Document
-frequencies are counted over all texts in ``1 << DF_BITS`` hashed counters, so the table
-has a fixed size; each counter holds the same share of the corpus at any size.
+frequencies are exact, one count for each 64-bit hash of a shingle. Those above 1 are a table
+that is joined to the shingles of the texts; all others are 1. A bitmap of at most
+``1 << MOST_BITS`` bits tells which shingles may be in the table; where it errs, a shingle
+is sent in vain.
 
 Improved consistent weighted sampling (gamma variates r and c, uniform beta for each
 shingle and function, drawn from its hash) gives ``BANDS * ROWS`` samples that two texts
@@ -36,11 +38,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagesift.llm.common import chunks, col, hinted, partitions, text_of, words
 from pagesift.llm.components import components
+from pagesift.operators.joins import salted_join
 from pagesift.session import materialize, new_path
 
 SHINGLE = 5
@@ -48,8 +51,10 @@ THRESHOLD = 0.8
 IDF_SHARE = 0.5
 #: A pair at the threshold shares no band with probability (1 - 0.8 ** 3) ** 13 < 0.0001.
 BANDS, ROWS = 13, 3
-DF_BITS = 20
-DF_BLOCK = 1_024
+#: Bits of the bitmap of repeated shingles: 16 for each, up to this many.
+MOST_BITS = 28
+#: A shingle of more texts than this is dealt to several tasks.
+ROWS_PER_TASK = 5_000
 TURNS = 8
 PAIRS = 4
 CHUNK_BYTES = 1 << 20
@@ -99,43 +104,67 @@ def part_texts(part: pa.Table, name: str = "text") -> pa.Array:
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(1 << DF_BITS, dtype=np.uint32)
-    rows = 0
-    for part in chunks(batches, CHUNK_BYTES):
-        _, value, _ = shingles(part_texts(part))
-        counts += np.bincount((value >> np.uint64(64 - DF_BITS)).astype(np.int64), minlength=len(counts)).astype(np.uint32)
-        rows += part.num_rows
-    if rows:
-        blocks = counts.reshape(-1, DF_BLOCK)
-        used = np.flatnonzero(blocks.any(axis=1))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(used, -1)), pa.array([*(blocks[i].tobytes() for i in used), np.array([rows], np.uint32).tobytes()], pa.binary())],
-            ["block", "counts"],
-        )
-
-
-def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for block, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            add = np.frombuffer(data, np.uint32).astype(np.int64)
-            held[block] = held[block] + add if block in held else add
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(list(held), pa.int64()), pa.array([x.tobytes() for x in held.values()], pa.binary())], ["block", "counts"]
-    )
+    """Shingles of a chunk with the number of its texts that have them."""
+    for part in chunks(batches, 8 * CHUNK_BYTES):
+        value, n = np.unique(shingles(part_texts(part))[1], return_counts=True)
+        for at in range(0, len(value), 50_000):
+            some = slice(at, at + 50_000)
+            yield pa.RecordBatch.from_arrays([pa.array(value[some].view(np.int64)), pa.array(n[some].astype(np.int64))], ["g", "df"])
+
+
+def bitmap(repeated: DataFrame, most: int = MOST_BITS) -> np.ndarray:
+    """A power of two of bits, in words of 64; the upper bits of each hash ``g`` are the place of a bit that is set."""
+    bits = min(most, max(10, (16 * repeated.count()).bit_length()))
+    at = F.shiftrightunsigned("g", 64 - bits)
+    words_of = repeated.groupBy(F.shiftright(at, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(g, {64 - bits}) & 63 as int))")).alias("bits"))
+    found = words_of.toArrow()  # 2 ** bits / 64 rows at most
+    table = np.zeros((1 << bits) >> 6, dtype=np.uint64)
+    table[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return table
+
+
+def maybe_repeated(value: np.ndarray, table: np.ndarray) -> np.ndarray:
+    at = value >> np.uint64(64 - (64 * len(table)).bit_length() + 1)
+    return (table[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _sent(table):
+    """The shingles of each node that may be repeated."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunks(batches, CHUNK_BYTES):
+            bounds, value, _ = shingles(part_texts(part))
+            node = np.repeat(part.column("v").to_numpy(), np.diff(bounds))
+            keep = maybe_repeated(value, table.value)
+            node, value = node[keep], value[keep].view(np.int64)
+            for at in range(0, len(value), 50_000):
+                yield pa.RecordBatch.from_arrays([pa.array(node[at : at + 50_000]), pa.array(value[at : at + 50_000])], ["v", "g"])
+
+    return run
+
+
+def with_frequencies(source: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``nodes`` (v, text) with those of their shingles ``gs`` that more than one text of ``source`` has, and in how many, ``dfs``."""
+    counted = source.select("text").mapInArrow(_frequencies, "g long, df long")
+    repeated = materialize(counted.groupBy("g").agg(F.sum("df").alias("df")).where("df > 1"), "repeated-shingles")
+    table = source.sparkSession.sparkContext.broadcast(bitmap(repeated))
+    sent = nodes.mapInArrow(_sent(table), "v long, g long")
+    # A node is a text at least, so the frequencies bound the rows of each key.
+    met = salted_join(sent, repeated, ["g"], repeated.select("g", F.col("df").alias("n")), "inner", ROWS_PER_TASK)
+    lists = met.groupBy("v").agg(F.collect_list(F.struct("g", "df")).alias("s")).select("v", F.col("s.g").alias("gs"), F.col("s.df").alias("dfs"))
+    return nodes.join(lists.hint("merge"), "v", "left")
 
 
-def idf_table(docs: DataFrame) -> np.ndarray:
-    """Weight of a shingle by the first DF_BITS bits of its hash, from all texts."""
-    sent = docs.select("text").mapInArrow(_frequencies, "block long, counts binary")
-    summed = sent.repartition(partitions(docs.sparkSession), "block").mapInArrow(_added, "block long, counts binary")
-    found = {x["block"]: np.frombuffer(x["counts"], np.int64) for x in summed.collect()}  # DF counters, a fixed number
-    total = int(found.pop(-1, np.zeros(1))[0])
-    counts = np.zeros(1 << DF_BITS, dtype=np.int64)
-    for block, values in found.items():
-        counts[block * DF_BLOCK : (block + 1) * DF_BLOCK] = values
-    idf = np.log1p(total / np.maximum(counts, 1)) / np.log1p(max(total, 1))
-    return (1 + IDF_SHARE * idf).astype(np.float32)
+def weights(bounds: np.ndarray, value: np.ndarray, counts: np.ndarray, gs: pa.Array, dfs: pa.Array, total: int) -> np.ndarray:
+    """Weights of the shingles of some texts; ``gs`` and ``dfs`` hold the frequencies above 1 of each text."""
+    df = np.ones(len(value))
+    listed = gs.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+    known, at = np.unique(listed, return_index=True)
+    if len(known):
+        place = np.minimum(np.searchsorted(known, value), len(known) - 1)
+        numbers = dfs.flatten().to_numpy(zero_copy_only=False).astype(np.float64)[at]
+        df = np.where(known[place] == value, numbers[place], 1.0)
+    return counts * (1 + IDF_SHARE * np.log1p(total / df) / np.log1p(max(total, 1)))
 
 
 def variates() -> tuple[np.ndarray, np.ndarray]:
@@ -172,57 +201,53 @@ def samples(value: np.ndarray, weight: np.ndarray, bounds: np.ndarray, n: int) -
     return out
 
 
-def _signed(idf, bands: int, rows: int):
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The digest of each text's words, null if it has none."""
+    for part in chunks(batches, CHUNK_BYTES):
+        bare = [b" ".join((x or b"").split()) for x in pc.ascii_lower(part_texts(part)).cast(pa.binary()).to_pylist()]
+        digest = [xxhash.xxh3_128_digest(x) if x else None for x in bare]
+        yield pa.RecordBatch.from_arrays([part_texts(part, "id"), part_texts(part, "t"), pa.array(digest, pa.binary())], ["id", "t", "key"])
+
+
+def _signed(total: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, CHUNK_BYTES):
-            texts = part_texts(part)
-            bounds, value, counts = shingles(texts)
-            weight = counts * idf.value[(value >> np.uint64(64 - DF_BITS)).astype(np.int64)]
-            full = np.flatnonzero(np.diff(bounds))
-            keys = np.zeros((len(full), bands), dtype=np.uint64)
-            total = np.zeros(len(bounds) - 1)
-            if len(full):
-                own = np.append(bounds[full], bounds[-1])
-                total[full] = np.add.reduceat(weight, bounds[full])
-                found = samples(value, weight, own, bands * rows).reshape(len(full), bands, rows)
-                for k in range(rows):
-                    keys = mixed(keys * A + found[:, :, k])
-                keys = mixed(keys + np.arange(1, bands + 1, dtype=np.uint64) * B)
-            listed: list = [None] * len(total)
-            for i, row in zip(full.tolist(), keys.view(np.int64).tolist()):
-                listed[i] = row
-            digest = [xxhash.xxh3_128_digest(b" ".join((x or b"").split())) for x in pc.ascii_lower(texts).cast(pa.binary()).to_pylist()]
+            bounds, value, counts = shingles(part_texts(part))
+            weight = weights(bounds, value, counts, part_texts(part, "gs"), part_texts(part, "dfs"), total)
+            sums = np.add.reduceat(weight, bounds[:-1])  # a node has a shingle at least
+            found = samples(value, weight, bounds, bands * rows).reshape(len(sums), bands, rows)
+            keys = np.zeros((len(sums), bands), dtype=np.uint64)
+            for k in range(rows):
+                keys = mixed(keys * A + found[:, :, k])
+            keys = mixed(keys + np.arange(1, bands + 1, dtype=np.uint64) * B)
             yield pa.RecordBatch.from_arrays(
-                [
-                    part_texts(part, "id"), part_texts(part, "t"), pa.array(digest, pa.binary()),
-                    pa.array(total), pa.array(listed, pa.list_(pa.int64())),
-                ],
-                ["id", "t", "key", "total", "bands"],
-            )
+                [part_texts(part, "v"), pa.array(sums), pa.array(keys.view(np.int64).tolist(), pa.list_(pa.int64()))],
+                ["v", "total", "bands"],
+            )
 
     return run
 
 
-def _similar(idf):
+def _similar(total: int):
     """Weighted Jaccard similarity of the two texts of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, 2 * CHUNK_BYTES):
             n = part.num_rows
-            pairs, values, weights = [], [], []
+            pairs, values, of_side = [], [], []
             for name in ("x", "y"):
                 bounds, value, counts = shingles(part_texts(part, name))
                 pairs.append(np.repeat(np.arange(n), np.diff(bounds)))
                 values.append(value)
-                weights.append(counts * idf.value[(value >> np.uint64(64 - DF_BITS)).astype(np.int64)].astype(np.float64))
-            pair, value, weight = (np.concatenate(x) for x in (pairs, values, weights))
+                of_side.append(weights(bounds, value, counts, part_texts(part, f"{name}_gs"), part_texts(part, f"{name}_dfs"), total))
+            pair, value, weight = (np.concatenate(x) for x in (pairs, values, of_side))
             order = np.lexsort((value, pair))
             pair, value, weight = pair[order], value[order], weight[order]
             same = np.flatnonzero((pair[1:] == pair[:-1]) & (value[1:] == value[:-1]))
             shared = np.bincount(pair[same], weights=np.minimum(weight[same], weight[same + 1]), minlength=n)
-            total = np.bincount(pair, weights=weight, minlength=n) - shared
+            union = np.bincount(pair, weights=weight, minlength=n) - shared
             yield pa.RecordBatch.from_arrays(
-                [*(part_texts(part, c) for c in ("a", "b", "la", "lb")), pa.array(shared / np.maximum(total, 1e-300))],
+                [*(part_texts(part, c) for c in ("a", "b", "la", "lb")), pa.array(shared / np.maximum(union, 1e-300))],
                 ["a", "b", "la", "lb", "similarity"],
             )
 
@@ -235,16 +260,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def verified(pairs: DataFrame, texts: DataFrame, idf) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, total: int) -> DataFrame:
     """``pairs`` (a, b, la, lb) with their similarity. Texts are sent for these pairs only."""
+    def side(name: str) -> list[Column]:
+        return [F.col("text").alias(name), F.col("gs").alias(f"{name}_gs"), F.col("dfs").alias(f"{name}_dfs")]
+
     small = hinted(pairs, F.lit(64))
-    left = texts.join(small, F.col("v") == F.col("a")).select("a", "b", "la", "lb", F.col("text").alias("x"))
-    right = texts.join(small, F.col("v") == F.col("b")).select("a", "b", F.col("text").alias("y"))
-    both = left.join(right.hint("merge"), ["a", "b"]).select("a", "b", "la", "lb", "x", "y")
-    return both.mapInArrow(_similar(idf), "a long, b long, la long, lb long, similarity double")
+    left = texts.join(small, F.col("v") == F.col("a")).select("a", "b", "la", "lb", *side("x"))
+    right = texts.join(small, F.col("v") == F.col("b")).select("a", "b", *side("y"))
+    both = left.join(right.hint("merge"), ["a", "b"])
+    return both.mapInArrow(_similar(total), "a long, b long, la long, lb long, similarity double")
 
 
-def linked_labels(buckets: DataFrame, texts: DataFrame, idf, threshold: float, turns: int) -> DataFrame:
+def linked_labels(buckets: DataFrame, texts: DataFrame, total: int, threshold: float, turns: int) -> DataFrame:
     """(v, label) of all nodes in ``buckets`` (k, v, total): nodes joined by links have one label."""
     labels = materialize(buckets.select("v").distinct().select("v", F.col("v").alias("label")), "node-labels")
     nodes, still_open, tested = labels.count(), buckets, None
@@ -275,7 +303,7 @@ def linked_labels(buckets: DataFrame, texts: DataFrame, idf, threshold: float, t
             possible = _pairs(possible, tested, threshold)
             last = last or possible.count() <= PAIRS * nodes
         pairs = possible if last else _pairs(members.where(F.col("label") != F.col("lw")), tested, threshold)
-        found = materialize(verified(materialize(pairs, "pairs"), texts, idf), "verified")
+        found = materialize(verified(materialize(pairs, "pairs"), texts, total), "verified")
         fresh = found.select("a", "b")
         tested = fresh if tested is None else tested.union(fresh)
         links = found.where(F.col("similarity") >= threshold).select(F.col("la").alias("a"), F.col("lb").alias("b"))
@@ -315,32 +343,35 @@ def near_classes(
     spark = docs.sparkSession
     source = docs.select(col(id_name).alias("id"), text_of(text_name).alias("text")).withColumn("t", F.xxhash64("text"))
     id_type = source.schema["id"].dataType.simpleString()
-    idf = spark.sparkContext.broadcast(idf_table(source))
-    kind = f"id {id_type}, t long, key binary, total double, bands array<long>"
-    signed = written(source.mapInArrow(_signed(idf, bands, rows), kind), "signatures")
+    total = source.count()
+    keyed = written(source.mapInArrow(_keyed, f"id {id_type}, t long, key binary"), "keys")
     # Null ids sort last: a node's name is the smallest id that it has.
-    nodes = signed.where("bands is not null").groupBy("key").agg(
-        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "t")).alias("r"), F.first("total").alias("total"),
-        F.first("bands").alias("bands"), F.count(F.lit(1)).alias("n"),
+    nodes = keyed.where("key is not null").groupBy("key").agg(
+        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "t")).alias("r"), F.count(F.lit(1)).alias("n"),
     )
-    nodes = written(nodes.select("key", "r.id", "r.t", "total", "bands", "n", F.monotonically_increasing_id().alias("v")), "nodes")
-    spread = nodes.select("v", "total", F.explode("bands").alias("k"))
-    shared = spread.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k")
-    buckets = materialize(spread.join(shared.hint("merge"), "k"), "buckets")
-    members = buckets.select("v").distinct()
-    wanted = materialize(nodes.join(members.hint("merge"), "v").select("v", F.col("id").alias("ni"), F.col("t").alias("nt")), "wanted")
+    nodes = written(nodes.select("key", "r.id", "r.t", "n", F.monotonically_increasing_id().alias("v")), "nodes")
+    wanted = nodes.select("v", F.col("id").alias("ni"), F.col("t").alias("nt"))
     same = F.col("id").eqNullSafe(F.col("ni")) & (F.col("t") == F.col("nt"))
     texts = written(source.join(hinted(wanted, F.lit(64)), same).select("v", "text"), "node-texts")
-    labels = linked_labels(buckets, texts, idf, threshold, turns)
+    texts = written(with_frequencies(source, texts), "node-frequencies")
+    # Rows equal in id and text are several rows of one node.
+    signed = texts.mapInArrow(_signed(total, bands, rows), "v long, total double, bands array<long>")
+    signed = written(signed.dropDuplicates(["v"]), "signatures")
+    spread = signed.select("v", "total", F.explode("bands").alias("k"))
+    shared = spread.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k")
+    buckets = materialize(spread.join(shared.hint("merge"), "k"), "buckets")
+    members = materialize(buckets.select("v").distinct(), "wanted")
+    texts = written(texts.join(hinted(members, F.lit(64)), "v"), "member-texts")
+    labels = linked_labels(buckets, texts, total, threshold, turns)
 
     named = nodes.select("key", "v", "id", "n").join(labels, "v", "left").withColumn("label", F.coalesce("label", "v"))
     named = materialize(named, "named")
     classes = named.groupBy("label").agg(F.min("id").alias("class_id"), F.sum("n").alias("class_size"))
     verdict = named.select("key", "label").join(classes, "label").select("key", "class_id", "class_size")
-    with_words = signed.where("bands is not null").select("id", "t", "key").join(verdict.hint("merge"), "key").select(
+    with_words = keyed.where("key is not null").join(verdict.hint("merge"), "key").select(
         "id", "t", "class_id", "class_size", F.col("id").eqNullSafe(F.col("class_id")).alias("kept")
     )
-    without = signed.where("bands is null").select(
+    without = keyed.where("key is null").select(
         "id", "t", F.col("id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(True).alias("kept")
     )
     return with_words.unionByName(without).withColumnRenamed("id", id_name)

@@ -100,6 +100,19 @@ def test_samples_agree_as_often_as_the_similarity():
     assert abs((made[0] == made[1]).mean() - want) < 0.03
 
 
+def test_frequencies_are_exact_for_any_number_of_shingles(spark):
+    """More distinct shingles than a table of fixed size could hold: each has its own count."""
+    rows = [(i, lorem(3000 + i, 8_000)) for i in range(140)]  # 1.1 million shingles
+    rows += [(200 + i, lorem(3000 + i, 500) + f" tail{i}") for i in range(3)]
+    source = spark.createDataFrame(rows, "v long, text string").repartition(4)
+    found = {x["v"]: dict(zip(x["gs"] or [], x["dfs"] or [])) for x in near_dedup.with_frequencies(source, source).collect()}
+    sets = [set(shingled(t)) for _, t in rows]
+    df = Counter(g for s in sets for g in s)
+    assert len(df) > 1 << 20
+    for (v, _), own in zip(rows, sets):
+        assert sorted(found[v].values()) == sorted(df[g] for g in own if df[g] > 1)
+
+
 # ---- suffix dedup ----
 
 
