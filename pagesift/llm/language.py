@@ -10,9 +10,14 @@ are parsed whole, in blocks of ``BLOCK`` symbols that start a phrase of their ow
 numpy moves thousands of blocks through an automaton in lockstep. Longer texts are just
 more blocks.
 
+Each language has the alphabet of all letters of its sample, of any script. Its common
+letters have columns in a table of transitions; the moves of the others, of which even a
+script of many thousand signs has few for each state, are a sorted list. A letter that the
+sample lacks is a phrase of its own.
+
 Bounds, all parameters: ``SAMPLE_DOCS`` excerpts of ``EXCERPT`` characters for each
-language, ``SAMPLE`` symbols in an automaton, ``SYMBOLS`` symbols in the alphabet. They
-are sent to all workers; their size depends on the number of languages only.
+language, ``SAMPLE`` symbols in an automaton. They are sent to all workers; their size
+depends on the number of languages only. ``DENSE`` columns are a matter of speed only.
 
 Defined cases: a null text, one without letters, or a table without labels gives ``und``
 and score 0. Null ids and repeated rows are rows like others. An empty table gives an
@@ -21,7 +26,6 @@ empty result. Other columns, whatever their names, ride in a struct.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -37,15 +41,15 @@ from pagesift.llm.common import chunks, col
 SAMPLE_DOCS = 64
 EXCERPT = 2_048
 SAMPLE = 32_000
-SYMBOLS = 48
+DENSE = 48
 BLOCK = 256
 #: Symbols of evidence that the score counts at most; more would make every score 1.
 EVIDENCE = 8
 UNKNOWN = "und"
 
 
-def automaton(symbols: list[int], alphabet: int) -> np.ndarray:
-    """Transitions of the suffix automaton, one row per state; 0, the start, where there is none."""
+def automaton(symbols: list[int]) -> list[dict[int, int]]:
+    """Transitions of the suffix automaton, of each state."""
     following: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for symbol in symbols:
@@ -71,11 +75,48 @@ def automaton(symbols: list[int], alphabet: int) -> np.ndarray:
                     at = link[at]
                 link[target] = link[new] = copy
         last = new
-    table = np.zeros((len(following), alphabet), dtype=np.uint16)
-    for state, moves in enumerate(following):
-        for symbol, target in moves.items():
-            table[state, symbol] = target
-    return table
+    return following
+
+
+class Transitions:
+    """Moves of one language: a table for the symbols below ``DENSE``, sorted (state, symbol) keys for the others."""
+
+    def __init__(self, following: list[dict[int, int]], letters: np.ndarray):
+        #: Code points up to the last letter and one more, which stands for all above it; 0 is the gap.
+        self.number = np.full(int(letters.max()) + 2, len(letters) + 1, dtype=np.int32)
+        self.number[letters] = np.arange(1, len(letters) + 1)
+        self.number[0] = 0
+        self.alphabet = len(letters) + 2  # the last symbol is any unknown letter
+        self.dense = min(DENSE, self.alphabet)
+        self.table = np.zeros(len(following) * self.dense, dtype=np.uint32)
+        others: dict[int, int] = {}
+        for state, moves in enumerate(following):
+            for symbol, target in moves.items():
+                if symbol < self.dense:
+                    self.table[state * self.dense + symbol] = target
+                else:
+                    others[state * self.alphabet + symbol] = target
+        self.keys = np.array(sorted(others), dtype=np.int64)
+        self.targets = np.array([others[x] for x in self.keys.tolist()], dtype=np.uint32)
+
+    def symbols(self, codes: np.ndarray) -> np.ndarray:
+        """The symbols of lower-case letters; 0 stays."""
+        return self.number[np.minimum(codes, len(self.number) - 1)].astype(np.int64)
+
+    def move(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """The next states; 0, the start, where there is none."""
+        if not len(self.keys):
+            known = symbol < self.dense
+            return np.where(known, self.table[state * self.dense + np.where(known, symbol, 0)], 0).astype(np.int64)
+        out = np.zeros(len(symbol), dtype=np.int64)
+        common = symbol < self.dense
+        out[common] = self.table[state[common] * self.dense + symbol[common]]
+        rare = np.flatnonzero(~common)
+        if len(rare):
+            key = state[rare] * self.alphabet + symbol[rare]
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            out[rare] = np.where(self.keys[at] == key, self.targets[at], 0)
+        return out
 
 
 @lru_cache(maxsize=1)
@@ -94,46 +135,37 @@ def points(text: str) -> np.ndarray:
 
 
 class Model:
-    """Languages, the symbol of each code point, and an automaton for each language."""
-
-    def __init__(self, samples: dict[str, list[str]], sample: int = SAMPLE, symbols: int = SYMBOLS):
-        low = lowered()
-        letters: Counter = Counter()
-        for texts in samples.values():
-            for text in texts:
-                found, n = np.unique(low[points(text)], return_counts=True)
-                letters.update(dict(zip(found.tolist(), n.tolist())))
-        letters.pop(0, None)
-        common = sorted(letters, key=lambda x: (-letters[x], x))[: symbols - 2]
-        # Symbol 0 is the gap, 1 any rare letter.
-        code = np.zeros(0x110000, dtype=np.uint8)
-        code[1:][low[1:] > 0] = 1
-        own = np.zeros(0x110000, dtype=np.uint8)
-        for i, letter in enumerate(common):
-            own[letter] = i + 2
-        self.code = np.where(own[low] > 0, own[low], code).astype(np.uint8)
-        self.alphabet = len(common) + 2
+    """Languages, the lower-case letter of each code point, and an automaton for each language."""
+
+    def __init__(self, samples: dict[str, list[str]], sample: int = SAMPLE):
+        self.code = lowered()
         self.languages, self.tables, self.bits = [], [], []
         for language in sorted(samples):
             parts = [self.code[points(text)] for text in samples[language]]
-            joined = collapsed(np.concatenate([np.append(x, 0) for x in parts])) if parts else np.zeros(0, np.uint8)
-            joined = joined[: min(sample, 32_000)]
+            joined = collapsed(np.concatenate([np.append(x, 0) for x in parts])) if parts else np.zeros(0, np.uint32)
+            joined = joined[:sample]
             if (joined > 0).any():
+                found, n = np.unique(joined[joined > 0], return_counts=True)
+                letters = found[np.lexsort((found, -n))].astype(np.uint32)  # common ones first
+                number = dict(zip(letters.tolist(), range(1, len(letters) + 1)))
+                number[0] = 0
+                following = automaton([number[x] for x in joined.tolist()])
                 self.languages.append(language)
-                self.tables.append(automaton(joined.tolist(), self.alphabet).reshape(-1))
+                self.tables.append(Transitions(following, letters))
                 self.bits.append(float(np.log2(max(2, len(joined)))))
 
-    def phrases(self, table: np.ndarray, codes: np.ndarray, active: np.ndarray) -> np.ndarray:
+    def phrases(self, table: Transitions, codes: np.ndarray, active: np.ndarray) -> np.ndarray:
         """Phrases of each block; ``codes`` holds a step per row, ``active`` the blocks that reach it."""
         state = np.zeros(codes.shape[1], dtype=np.int64)
         count = np.zeros(codes.shape[1], dtype=np.int32)
+        symbols = table.symbols(codes)
         for step, n in enumerate(active.tolist()):
-            symbol = codes[step, :n]
+            symbol = symbols[step, :n]
             here = state[:n]
-            moved = table[here * self.alphabet + symbol]
+            moved = table.move(here, symbol)
             fresh = moved == 0
             count[:n] += fresh | (here == 0)
-            state[:n] = np.where(fresh, table[symbol], moved)
+            state[:n] = np.where(fresh, table.move(np.zeros_like(here), symbol), moved)
         return count
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
@@ -156,7 +188,7 @@ class Model:
         length = np.minimum(BLOCK, starts[doc] + sizes[doc] - begin)
         order = np.argsort(-length, kind="stable")
         doc, begin, length = doc[order], begin[order], length[order]
-        padded = np.append(codes, np.zeros(BLOCK, dtype=np.uint8))
+        padded = np.append(codes, np.zeros(BLOCK, dtype=codes.dtype))
         grid = padded[begin[None, :] + np.arange(BLOCK)[:, None]].astype(np.int64)
         active = len(length) - np.searchsorted(np.sort(length), np.arange(BLOCK), side="right")
         bits = np.zeros((len(self.languages), len(texts)))

@@ -226,6 +226,21 @@ def test_phrases_are_longest_matches():
     assert model.phrases(model.tables[0], codes, np.ones(len(text), dtype=np.int64)).tolist() == [phrases]
 
 
+def test_languages_of_other_scripts():
+    """Two languages in non-Latin scripts beside one in Latin letters, each with more letters than a small alphabet holds."""
+    rng = np.random.default_rng(5)
+
+    def signs(first, n, seed):
+        own = np.random.default_rng(seed).integers(0, 300, (60, 3))
+        return " ".join("".join(chr(first + x) for x in own[i]) for i in rng.integers(0, 60, n))
+
+    samples = {"en": [lorem(1, 4_000)], "ja": [signs(0x4E00, 300, 1)], "zh": [signs(0x4E00, 300, 2)]}
+    model = language.Model(samples)
+    found, score = model.predict([signs(0x4E00, 40, 1), signs(0x4E00, 40, 2), lorem(1, 60), None])
+    assert found == ["ja", "zh", "en", "und"] and (score[:3] > 0.5).all()
+    assert language.Model({"x": [lorem(2, 9_000)]}, sample=40_000).bits[0] == math.log2(40_000)
+
+
 # ---- language model ----
 
 
