@@ -8,7 +8,7 @@ return the columns of ``documents``.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagesift.llm import exact_dedup, language, near_dedup, packing, substring_dedup
@@ -42,17 +42,12 @@ def no_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     A cut may fall inside a character; what is left of one is dropped.
     """
     found = substring_dedup.without_repeats(docs).where("n_removed = 0 or octet_length(kept) > 0")
-    text = F.when(F.col("n_removed") == 0, F.col("row.text")).otherwise(whole_characters(F.col("kept")))
+    text = F.when(F.col("n_removed") == 0, F.col("row.text")).otherwise(F.col("kept_text"))
     columns = [text.alias("text") if c == "text" else F.col("row." + c) for c in docs.columns]
     kept = found.select(*columns)
     return kept.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else kept
 
 
-def whole_characters(data: Column) -> Column:
-    """UTF-8 bytes as text; bytes that are no whole character are left out."""
-    return F.replace(F.make_valid_utf8(data.cast("string")), F.lit("�"), F.lit(""))
-
-
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences with the mixture of the sources."""
     pieces = packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"))

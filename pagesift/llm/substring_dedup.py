@@ -306,17 +306,21 @@ def _placed(length: int, gram: int, test):
     return run
 
 
-def cut(data: bytes, places: list[int], covered: list[bytes]) -> tuple[bytes, int, int]:
-    """(what is left, bytes removed, runs removed)."""
+def cut(data: bytes, places: list[int], covered: list[bytes]) -> tuple[bytes, int, int, str | None]:
+    """(what is left, bytes removed, runs removed, the whole characters of what is left or None if nothing is removed).
+
+    Each stretch is decoded for itself, so the remains of characters cut at its borders go and nothing else.
+    """
     if not places:
-        return data, 0, 0
+        return data, 0, 0, None
     pairs = np.concatenate([np.frombuffer(some, dtype=np.int32).reshape(-1, 2) + place for place, some in zip(places, covered)])
     pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
     ends = np.maximum.accumulate(pairs[:, 1])
     heads = np.append(0, np.flatnonzero(pairs[1:, 0] > ends[:-1]) + 1)
     first, end = pairs[heads, 0].tolist(), ends[np.append(heads[1:], len(ends)) - 1].tolist()
-    kept = b"".join([data[a:b] for a, b in zip([0, *end], [*first, len(data)])])
-    return kept, len(data) - len(kept), len(first)
+    stretches = [data[a:b] for a, b in zip([0, *end], [*first, len(data)])]
+    kept = b"".join(stretches)
+    return kept, len(data) - len(kept), len(first), "".join([x.decode("utf-8", "ignore") for x in stretches])
 
 
 def repeat_filter(source: DataFrame, length: int, gram: int) -> Filter:
@@ -340,7 +344,7 @@ def repeat_filter(source: DataFrame, length: int, gram: int) -> Filter:
 def without_repeats(
     docs: DataFrame, id_name: str = "doc_id", text_name: str = "text", length: int = LENGTH, gram: int = GRAM
 ) -> DataFrame:
-    """Per document: ``row`` (struct of all its columns), ``kept`` (binary), ``n_bytes``, ``n_removed``, ``n_spans``."""
+    """Per document: ``row`` (struct of all its columns), ``kept`` (binary), ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_text`` (null if nothing is removed)."""
     spark = docs.sparkSession
     source = docs.select(
         F.struct(*[col(c) for c in docs.columns]).alias("row"), col(id_name).alias("id"), text_of(text_name).alias("text")
@@ -374,13 +378,13 @@ def without_repeats(
                     [
                         part.column(0), pa.array([x[0] for x in done], pa.binary()),
                         pa.array([len(x) for x in texts], pa.int64()), pa.array([x[1] for x in done], pa.int64()),
-                        pa.array([x[2] for x in done], pa.int64()),
+                        pa.array([x[2] for x in done], pa.int64()), pa.array([x[3] for x in done], pa.string()),
                     ],
-                    ["row", "kept", "n_bytes", "n_removed", "n_spans"],
+                    ["row", "kept", "n_bytes", "n_removed", "n_spans", "kept_text"],
                 )
 
     kind = (
         T.StructType().add("row", joined.schema["row"].dataType).add("kept", "binary").add("n_bytes", "long")
-        .add("n_removed", "long").add("n_spans", "long")
+        .add("n_removed", "long").add("n_spans", "long").add("kept_text", "string")
     )
     return joined.mapInArrow(run, kind)

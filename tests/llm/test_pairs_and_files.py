@@ -151,6 +151,15 @@ def test_refinement_finds_equal_strings():
     assert found[1].tolist() == same and found[0].tolist() == [p + 2 for p in same]
 
 
+def test_suffix_stage_keeps_replacement_characters(spark, tmp_path):
+    passage = "p\u00e9" * 90  # cut inside a character at its end: the texts share the first byte of the next one
+    texts = [f"a\ufffdb{passage}\u00e9 end\ufffd", f"c{passage}\u00e8 other"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {x["doc_id"]: x["text"] for x in corpus_pipeline.no_repeated_passages(spark, docs, str(tmp_path)).collect()}
+    assert found == {0: "a\ufffdb end\ufffd", 1: "c other"}
+    assert substring_dedup.cut("\u00e9x\u00e9".encode(), [0], [np.array([1, 4], np.int32).tobytes()])[3] == ""  # remains do not join
+
+
 # ---- archives ----
 
 
