@@ -16,7 +16,7 @@ def con():
 
 
 def test_names():
-    assert {name.split("_")[0] for name in QUERIES} == {*(f"op{i}" for i in range(1, 11)), "pipeline"}
+    assert {name.split("_")[0] for name in QUERIES} == {*(f"op{i}" for i in range(1, 14)), "pipeline"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
