@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 #: A table up to this many bytes, measured first, may be broadcast; a larger one is shuffled.
 BROADCAST_BYTES = 32 << 20
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -38,6 +40,17 @@ def hinted(df: DataFrame, row_bytes: Column, limit: int = BROADCAST_BYTES) -> Da
     return F.broadcast(df) if total <= limit else df.hint("merge")
 
 
+@contextmanager
+def few_bytes(spark: SparkSession, most: int):
+    """Jobs inside send at most about ``most`` bytes to a Python worker at once, however wide their rows are."""
+    before = spark.conf.get(ARROW_BYTES)
+    spark.conf.set(ARROW_BYTES, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(ARROW_BYTES, before)
+
+
 def chunks(batches: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[pa.Table]:
     """Tables of about ``most_bytes``: small batches are joined, large ones are cut."""
     pending: list[pa.RecordBatch] = []

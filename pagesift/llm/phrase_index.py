@@ -8,9 +8,10 @@ positions, ordered by word. Documents of a shard are kept ``GAP`` positions apar
 words of a shorter one. For each window and shard the words are taken from the rarest, by
 their number of postings there, to the most frequent. The positions of the rarest, less its offset in the
 window, are the first candidates; each further word intersects them with its own positions less its
-offset. What is left after all words are the exact occurrences. With ``slack`` a word may
-stand up to so many places from where the phrase has it: matches of that kind that are not exact are
-proximity matches. A window with a word that the shard lacks ends at once.
+offset. What is left after all words are the exact occurrences. With ``slack`` every word may
+stand up to so many places from where a phrase that starts at a place has it: all such places are
+found, and those that are not exact are proximity matches. A window with a word that the shard lacks
+ends at once.
 
 The benchmark is a query set against all shards. It is packed into parts of bounded size, and each
 shard meets each part: by a broadcast of all parts if their measured size allows it, else by a shuffle on (shard,
@@ -35,11 +36,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from pagesift.llm.common import BROADCAST_BYTES, chunks, col, text_of
+from pagesift.llm.common import BROADCAST_BYTES, chunks, col, few_bytes, text_of
 from pagesift.session import materialize
 
 WINDOW = 10
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
+#: Bytes of shards that a task holds at once.
+BATCH_BYTES = 8 << 20
 PART_BYTES = 1 << 20
 GAP = 1 << 10
 #: Candidates that are intersected at once.
@@ -82,7 +85,7 @@ def _postings(shard_bytes: int, ids: pa.DataType):
                 table.column("id").combine_chunks(), pa.array(sizes, pa.int64()), coded.dictionary.cast(pa.large_string()),
             ]
             made = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]
-            made += [pa.array([x.astype(np.int64).tobytes()], pa.binary()) for x in (counts, places[order])]
+            made += [pa.array([x.astype(np.uint32).tobytes()], pa.binary()) for x in (counts, places[order])]
             yield pa.RecordBatch.from_arrays([x.cast(t) for x, t in zip(made, schema.types)], schema=schema)
 
     return run
@@ -174,14 +177,16 @@ def occurrences(windows: Windows, words: pa.Array, counts: np.ndarray, positions
     frequency = np.where(inside, counts[codes], np.iinfo(np.int64).max)
     by_rarity = np.argsort(frequency, axis=1, kind="stable")
     rarest = codes[np.arange(len(able)), by_rarity[:, 0]]
-    lots = np.cumsum(counts[rarest]) // AT_ONCE
+    lots = np.cumsum(counts[rarest] * (2 * slack + 1)) // AT_ONCE
     for lot in np.unique(lots).tolist():
         chosen = np.flatnonzero(lots == lot)
         n = counts[rarest[chosen]]
         which = np.repeat(chosen, n)
         at = np.repeat(ends[rarest[chosen]] - n, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         start = positions[at] - by_rarity[which, 0]
-        exact = np.ones(len(which), dtype=bool)
+        near = np.arange(-slack, slack + 1)
+        which, start = np.repeat(which, len(near)), (start[:, None] + near[None, :]).ravel()
+        exact = np.tile(near == 0, len(at))
         ok = start >= -slack
         which, start, exact = which[ok], start[ok], exact[ok]
         for turn in range(1, by_rarity.shape[1]):
@@ -191,8 +196,9 @@ def occurrences(windows: Windows, words: pa.Array, counts: np.ndarray, positions
             real = inside[which, offset]
             place = start + offset
             word = codes[which, offset] << 36
-            first = np.minimum(np.searchsorted(keys, word | np.maximum(place - slack, 0)), len(keys) - 1)
-            found = ~real | ((keys[first] >= word) & (keys[first] <= (word | (place + slack))))
+            least = word | np.maximum(place - slack, 0)
+            first = keys[np.minimum(np.searchsorted(keys, least), len(keys) - 1)]
+            found = ~real | ((first >= least) & (first <= (word | (place + slack))))
             if slack:
                 there = np.minimum(np.searchsorted(keys, word | np.maximum(place, 0)), len(keys) - 1)
                 exact &= ~real | (keys[there] == (word | place))
@@ -211,7 +217,7 @@ def _lookup(window: int, slack: int):
                 if part not in known:
                     known = {part: Windows(row["items"].as_py(), row["item_sizes"].as_py(), row["item_words"].values, window)}
                 asked = known[part]
-                counts, positions = (np.frombuffer(row[c].as_py(), np.int64) for c in ("counts", "positions"))
+                counts, positions = (np.frombuffer(row[c].as_py(), np.uint32).astype(np.int64) for c in ("counts", "positions"))
                 which, start, exact = occurrences(asked, row["words"].values, counts, positions, slack)
                 if not len(which):
                     continue
@@ -277,6 +283,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, **
     by_doc = hits.groupBy("shard", "place").agg(
         F.collect_set(span).alias("spans"), F.array_sort(F.collect_set("item_id")).alias("items")
     )
+    with few_bytes(docs.sparkSession, BATCH_BYTES):
+        by_doc = materialize(by_doc, "phrase-hits")
     found = documents_of(postings).join(by_doc, ["shard", "place"], "left")
     spans = F.coalesce("spans", F.expr(f"cast(array() as {SPANS})"))
     return found.select(
