@@ -49,11 +49,16 @@ def minhash_pairs(spark, sf):
     return _edges(spark, sf)
 
 
-def jaccard_verify(spark, sf):
-    scored = D.jaccard_verify(_edges(spark, sf), X.documents(spark, sf), 0.5)
+def jaccard_scores(spark, sf):
+    scored = D.jaccard_scores(_edges(spark, sf), X.documents(spark, sf), 0.5)
     return scored.select("u", "v", F.round("jaccard", 6).alias("jaccard"))
 
 
+def jaccard_verify(spark, sf):
+    """Clusters of the verified links of a strict threshold, which many buckets' own centers fail."""
+    return D.verified_clusters(_edges(spark, sf), X.documents(spark, sf), 0.9)
+
+
 def _clusters(spark, sf):
     return materialize(D.dup_clusters(_edges(spark, sf)), "clusters")
 
@@ -62,6 +67,13 @@ def dup_clusters(spark, sf):
     return D.dup_clusters(_edges(spark, sf))
 
 
+def merge_clusters(spark, sf):
+    """Clusters of the links of half of the documents, and the other links merged into them."""
+    edges = materialize(_edges(spark, sf), "edges")
+    forest = materialize(D.dup_clusters(edges.where("u % 2 = 0")), "forest")
+    return D.merge_clusters(forest, edges.where("u % 2 = 1"))
+
+
 def dup_remove_list(spark, sf):
     return D.dup_remove_list(_clusters(spark, sf), X.documents(spark, sf))
 
@@ -135,8 +147,8 @@ def reorganize(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        exact_dedup, exact_dedup_global, keep_first_duplicate, minhash_signature, minhash_pairs, jaccard_verify,
-        dup_clusters, dup_remove_list, dup_metadata, dup_sources, merge_dup_results, merge_remove_meta, dup_removal,
+        exact_dedup, exact_dedup_global, keep_first_duplicate, minhash_signature, minhash_pairs, jaccard_scores, jaccard_verify,
+        dup_clusters, merge_clusters, dup_remove_list, dup_metadata, dup_sources, merge_dup_results, merge_remove_meta, dup_removal,
         files_without_dups, dup_distribution, dup_intervals, dup_intervals_by_count, reorganize,
     )
 }
@@ -169,6 +181,21 @@ COMPONENTS = (
     "labels_ AS (SELECT a AS doc_id, least(a, min(b)) AS cluster_id FROM reach GROUP BY a), "
     "clusters AS MATERIALIZED (SELECT doc_id, cluster_id, count(*) OVER (PARTITION BY cluster_id) AS dup_count FROM labels_)"
 )
+
+
+def verified(threshold: float) -> str:
+    """``edges`` replaced by all pairs of a star's members that have enough shingles in common."""
+    return (
+        EDGES.replace("edges AS MATERIALIZED", "stars AS MATERIALIZED")
+        + ", member AS (SELECT u AS g, v AS d FROM stars UNION SELECT u, u FROM stars), "
+        "pair AS MATERIALIZED (SELECT DISTINCT a.d AS u, b.d AS v FROM member a JOIN member b ON a.g = b.g AND a.d < b.d), "
+        "sizes AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id), "
+        "common AS (SELECT u, v, count(*) AS c FROM pair JOIN sh x ON x.doc_id = u JOIN sh y ON y.doc_id = v AND y.gram = x.gram GROUP BY u, v), "
+        "edges AS MATERIALIZED (SELECT u, v FROM common JOIN sizes a ON a.doc_id = u JOIN sizes b ON b.doc_id = v "
+        f"WHERE c / (a.n + b.n - c) >= {threshold})"
+    )
+
+
 _CLUSTERS = f"RECURSIVE {EDGES}{COMPONENTS}"
 _REMOVE = "removed AS (SELECT source AS file, doc_id FROM clusters JOIN documents USING (doc_id) WHERE doc_id <> cluster_id)"
 _META = (
@@ -195,11 +222,13 @@ SQL = {
     "keep_first_duplicate": "SELECT min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY text",
     "minhash_signature": f"WITH {_SIGNATURES} SELECT doc_id, bucket, bucket_key FROM sigs",
     "minhash_pairs": f"WITH {EDGES} SELECT u, v FROM edges",
-    "jaccard_verify": f"WITH {EDGES}, sizes AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id), "
+    "jaccard_verify": f"WITH RECURSIVE {verified(0.9)}{COMPONENTS} SELECT doc_id, cluster_id, dup_count FROM clusters",
+    "jaccard_scores": f"WITH {EDGES}, sizes AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id), "
     "common AS (SELECT u, v, count(*) AS c FROM edges JOIN sh x ON x.doc_id = u JOIN sh y ON y.doc_id = v AND y.gram = x.gram GROUP BY u, v) "
     "SELECT u, v, round(c / (a.n + b.n - c), 6) AS jaccard FROM common JOIN sizes a ON a.doc_id = u JOIN sizes b ON b.doc_id = v "
     "WHERE c / (a.n + b.n - c) >= 0.5",
     "dup_clusters": f"WITH {_CLUSTERS} SELECT doc_id, cluster_id, dup_count FROM clusters",
+    "merge_clusters": f"WITH {_CLUSTERS} SELECT doc_id, cluster_id, dup_count FROM clusters",
     "dup_remove_list": f"WITH {_CLUSTERS}, {_REMOVE} SELECT file, doc_id FROM removed",
     "dup_metadata": f"WITH {_CLUSTERS}, {_META} SELECT * FROM meta",
     "dup_sources": f"WITH {_CLUSTERS} SELECT cluster_id AS doc_id, source AS file, count(*) AS copies FROM clusters JOIN documents USING (doc_id) GROUP BY 1, 2",

@@ -39,6 +39,26 @@ HARD_WORDS = ("farm", "bets")
 SOFT_WORDS = ("ref", "page", "fr", "de", "utm")
 
 
+def word_entries(spark: SparkSession, words: tuple[str, ...]) -> DataFrame:
+    """A word list as list entries."""
+    return spark.createDataFrame([("words", "word", w) for w in words], "category string, kind string, value string")
+
+
+#: Rules of a small suffix table, in the public list's format, and hosts made of a name under them.
+SUFFIX_RULES = ("com", "id", "co.id", "vn", "com.vn", "*.ck", "!www.ck", "io", "github.io", "*.compute.example", "jp", "*.kobe.jp", "!city.kobe.jp")
+SUFFIX_HOSTS = (
+    "www.%s.co.id", "%s.com.vn", "a.b.%s.vn", "shop.%s.ck", "%s.ck", "a.www.ck", "www.ck", "blog.%s.github.io", "github.io",
+    "x.%s.eu.compute.example", "%s.compute.example", "a.%s.kobe.jp", "a.city.kobe.jp", "%s.unlisted", "%s", "co.id",
+)
+
+
+def suffix_hosts(spark: SparkSession, sf: str) -> DataFrame:
+    """A URL for every page: its host's letters as a name under each kind of suffix in turn."""
+    pages = scan(spark, sf, "pages").select("page_id", F.regexp_replace(U.host(F.col("url")), "[^a-z]", "").alias("name"))
+    form = F.element_at(F.array(*[F.lit(x) for x in SUFFIX_HOSTS]), (F.col("page_id") % len(SUFFIX_HOSTS) + 1).cast("int"))
+    return pages.select("page_id", F.concat(F.lit("https://"), F.replace(form, F.lit("%s"), F.col("name")), F.lit("/x")).alias("url"))
+
+
 def url_entries(spark: SparkSession, sf: str) -> DataFrame:
     """List entries ``(category, kind, value)`` taken from the pages' own hosts and URLs."""
     pages = scan(spark, sf, "pages").select("url", U.host(F.col("url")).alias("host"))

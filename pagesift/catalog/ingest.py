@@ -342,6 +342,28 @@ def reextract_join(spark, sf):
     return P.reextract(survivors, pages).select("page_id", "text")
 
 
+def scan_warc_urls(spark, sf):
+    """A scan of two columns with a pushed filter: URLs of secure hosts, no body."""
+    records = WA.scan_warc(spark, _write_archives(spark, sf), ["url", "date"])
+    return records.where(F.col("url").startswith("https://")).select("url", _utc("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"))
+
+
+def archive_index(spark, sf):
+    """Index of all records; each range read again gives the record."""
+    listing, path = _archive_listing(spark, sf)
+    index = materialize(WA.archive_index(listing, path), "archive-index")
+    records = WA.fetch_records(index, path, stretch=1 << 16)
+    return records.select("url", F.octet_length("body").alias("n_bytes"), F.md5("body").alias("body_md5"))
+
+
+def reextract_by_range(spark, sf):
+    """Keys that the URL rules keep, their records fetched by range and extracted again."""
+    listing, path = _archive_listing(spark, sf)
+    index = materialize(WA.archive_index(listing, path), "archive-index")
+    judged = R.url_disposition(index.where("error is null").select("cc_path", "record_idx", "url"), X.rules(spark, sf))
+    return P.reextract_by_range(judged.where(F.col("url_disposition") == R.KEPT), index, path).select("url", "text")
+
+
 def ingest_incremental(spark, sf):
     """Files arrive in two lots and are ingested in three runs; each row counts once."""
     source, target, state = (new_path(spark, name) for name in ("arrivals", "ingested", "state"))
@@ -359,7 +381,7 @@ def ingest_incremental(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        scan_listing, scan_listing_multi, scan_warc, scan_warc_ordinals, scan_archives, scan_pages, decode_body,
+        scan_listing, scan_listing_multi, scan_warc, scan_warc_urls, archive_index, reextract_by_range, scan_warc_ordinals, scan_archives, scan_pages, decode_body,
         scan_tasks, task_projection, limit_skip, split_consecutive, split_round_robin, split_shuffled,
         sink_listing_splits, dump_paths, dump_filter, except_dumps, output_paths, remaining_files, record_ordinal,
         failed_ledger, sink_english_text, sink_math_text, sink_math_html, sink_stats, overwrite_policy,
@@ -420,6 +442,11 @@ SQL = {
     "scan_listing_multi": f"{_L} SELECT row_number() OVER (ORDER BY dump LIKE 'CC-MAIN-2013%', value) - 1 AS pos, value FROM listing",
     "scan_warc": "SELECT url, strftime(TIMESTAMP '2024-01-01' + page_id * INTERVAL 1 SECOND, '%Y-%m-%d %H:%M:%S') AS ts, md5(html) AS html_md5 FROM pages",
     "scan_warc_ordinals": "SELECT count(*) AS n_records, 0::BIGINT AS n_bad_files FROM pages",
+    "scan_warc_urls": "SELECT url, strftime(TIMESTAMP '2024-01-01' + page_id * INTERVAL 1 SECOND, '%Y-%m-%d %H:%M:%S') AS ts FROM pages "
+    "WHERE starts_with(url, 'https://')",
+    "archive_index": "SELECT url, strlen(html) AS n_bytes, md5(html) AS body_md5 FROM pages",
+    "reextract_by_range": f"WITH {X.JUDGED}, {K.extract_text_ctes('pages', 'page_id')} "
+    "SELECT judged.url, text FROM extracted JOIN judged USING (page_id) WHERE url_disposition = 'kept'",
     "scan_archives": "SELECT url, strftime(TIMESTAMP '2024-01-01' + page_id * INTERVAL 1 SECOND, '%Y-%m-%dT%H:%M:%SZ') AS date, strlen(html) AS n_bytes FROM pages",
     "scan_pages": "SELECT page_id, url, html FROM pages",
     "decode_body": "SELECT page_id, 'utf-8' AS charset, html FROM pages",

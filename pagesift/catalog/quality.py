@@ -8,7 +8,9 @@ from pagesift.catalog import decontam as C
 from pagesift.catalog import dedup as D
 from pagesift.catalog import duck as K
 from pagesift.catalog import fixtures as X
+from pagesift.catalog import text as TX
 from pagesift.functions.hashing import md5_31
+from pagesift.functions.unicode import classifier_text
 from pagesift.operators import models as M
 from pagesift.operators import quality as Q
 from pagesift.plans.curation import CurationRules, curate
@@ -88,6 +90,21 @@ def score_math(spark, sf):
     return _math(spark, sf).select("doc_id", F.round("math_score", 6).alias("math_score"))
 
 
+def score_lang_chars(spark, sf):
+    """Language by hashed character n-grams, each text scored where it lies."""
+    docs = X.documents(spark, sf)
+    model = M.train_char_model(docs, "lang")
+    best = M.best_label(model, M.char_scores(model, F.col("text")))
+    return docs.select("doc_id", best.alias("b")).select("doc_id", F.col("b.label").alias("lang"), F.round("b.score", 6).alias("lang_score"))
+
+
+def score_math_prepared(spark, sf):
+    """Topic score of texts that went through the classifier's preprocessing."""
+    docs, model = X.documents(spark, sf), M.train_row_model(_labelled(spark, sf), "quality", hash_fn=md5_31, prepare=classifier_text)
+    scored = M.with_scores(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", F.round(M.label_score(model, F.col("scores"), "1"), 6).alias("math_score"))
+
+
 def class_score(spark, sf):
     """Score of a label the model knows, and of one it does not."""
     scores = M.score_text(X.documents(spark, sf), _math_model(spark, sf))
@@ -116,7 +133,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         quality_lines, quality_line_report, quality_docs, quality_report, train_text_model, class_probabilities,
-        score_lang, top_language, lang_filter, score_math, class_score, math_filter, score_threshold_report,
+        score_lang, score_lang_chars, score_math_prepared, top_language, lang_filter, score_math, class_score, math_filter, score_threshold_report,
         curated_corpus,
     )
 }
@@ -195,8 +212,38 @@ _CLEAN = (
     "documents AS MATERIALIZED (SELECT good.doc_id, good.text, source, copies FROM good "
     "JOIN (SELECT min(doc_id) AS doc_id, count(*) AS copies FROM good GROUP BY text) USING (doc_id) JOIN main.documents USING (doc_id))"
 )
+_HASHED = f"list_transform({K.words('text')}, lambda t_: ({K.md5_31('t_')} % {M.FEATURES})::VARCHAR)"
+_PREPARED = (
+    f"prep AS MATERIALIZED ({TX.SQL['math_preprocess']}), "
+    "pdocs AS (SELECT d.doc_id, prep.line AS text, quality FROM main.documents d JOIN prep USING (doc_id) LEFT JOIN labels USING (doc_id)), "
+    f"{model_ctes('pdocs', 'quality', '', _HASHED)}, {score_ctes('pdocs', '', _HASHED)}"
+)
+
+
+def _gram_sql(n: int) -> str:
+    value = str(n)
+    for k in range(n):
+        value = f"(({value} * {M.GRAM_BASE}::BIGINT + c[i_ + {k}]) % {M.GRAM_PRIME})"
+    return f"SELECT doc_id, lang, unnest(list_transform(range(1, len(c) - {n} + 2), lambda i_: {value} % {M.FEATURES})) AS f FROM codes"
+
+
+_CHARS = (
+    f"codes AS MATERIALIZED (SELECT doc_id, lang, list_transform(string_split(' ' || {K.one_line('lower(text)')} || ' ', ''), "
+    "lambda x_: unicode(x_)::BIGINT) AS c FROM documents), "
+    f"own AS MATERIALIZED (SELECT doc_id, lang, f, count(*) AS n FROM ({' UNION ALL '.join(_gram_sql(n) for n in M.GRAM_SIZES)}) GROUP BY ALL), "
+    "known AS (SELECT lang AS label, f, sum(n) AS m FROM own WHERE lang IS NOT NULL GROUP BY ALL), "
+    "total AS (SELECT label, sum(m) AS t FROM known GROUP BY label), "
+    "prior AS (SELECT lang AS label, ln(count(*) / sum(count(*)) OVER ()) AS p FROM documents WHERE lang IS NOT NULL GROUP BY lang), "
+    "seen AS (SELECT doc_id, label, sum(n * ln(m + 1)) AS s FROM own JOIN known USING (f) GROUP BY ALL), "
+    "size AS (SELECT doc_id, sum(n) AS n FROM own GROUP BY doc_id), "
+    f"lg AS (SELECT doc_id, label, p + coalesce(s, 0) - n * ln(t + {M.FEATURES}) AS lg FROM size CROSS JOIN prior JOIN total USING (label) LEFT JOIN seen USING (doc_id, label)), "
+    "ex AS (SELECT doc_id, label, exp(lg - max(lg) OVER (PARTITION BY doc_id)) AS e FROM lg), "
+    "scores AS MATERIALIZED (SELECT doc_id, label, e / sum(e) OVER (PARTITION BY doc_id) AS score FROM ex)"
+)
 SQL = {
-    "curated_corpus": f"WITH RECURSIVE {_CLEAN}, {D.EDGES}{D.COMPONENTS}, {C.FULL_HITS}, "
+    "score_lang_chars": f"WITH {_CHARS}, {_RANKED} SELECT doc_id, lang, round(lang_score, 6) AS lang_score FROM ranked WHERE rank = 1",
+    "score_math_prepared": f"WITH {_PREPARED} SELECT doc_id, round(coalesce(max(score) FILTER (label = '1'), 0), 6) AS math_score FROM scores GROUP BY doc_id",
+    "curated_corpus": f"WITH RECURSIVE {_CLEAN}, {D.verified(0.8)}{D.COMPONENTS}, {C.FULL_HITS}, "
     "sums AS (SELECT cluster_id AS doc_id, sum(copies)::BIGINT AS n FROM clusters JOIN documents USING (doc_id) GROUP BY cluster_id), "
     "kept AS (SELECT doc_id, greatest(coalesce(n, 1), copies) AS dup_count, text FROM documents LEFT JOIN sums USING (doc_id) "
     "WHERE doc_id NOT IN (SELECT doc_id FROM clusters WHERE doc_id <> cluster_id) AND doc_id NOT IN (SELECT doc_id FROM hits)) "

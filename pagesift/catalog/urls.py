@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pagesift.catalog import duck as K
 from pagesift.catalog import fixtures as X
 from pagesift.functions import urls as U
+from pagesift.operators import suffixes as SX
 from pagesift.operators import urls as R
 from pagesift.session import new_path
 from pagesift.sources import lists as L
@@ -40,8 +41,26 @@ def url_blocklist(spark, sf):
     return R.url_blocklist(_parts(spark, sf), _list(spark, sf, "block")).select("page_id", "blocked")
 
 
+def url_suffixes(spark, sf):
+    """Registered domains by a suffix table with wildcards and exceptions."""
+    trie = SX.suffix_trie(spark.createDataFrame([(r,) for r in X.SUFFIX_RULES], "rule string"))
+    return R.url_parts(X.suffix_hosts(spark, sf), trie).select("page_id", "host", "registered_domain")
+
+
+def url_curated_by(spark, sf):
+    """The entry that makes a page a curated source; entries are prefixes of the pages' own paths, of any depth."""
+    pages = X.pages(spark, sf).select("page_id", "url")
+    return R.url_curated(R.url_parts(pages), _path_entries(pages)).select("page_id", "curated_by")
+
+
+def _path_entries(pages):
+    path = R.url_path(F.col("url"), U.host(F.col("url")))
+    cut = F.expr("substring_index(path, '/', cast(page_id % 4 + 2 as int))")
+    return pages.where("page_id % 5 < 2").withColumn("path", path).select(F.lit("curated").alias("category"), F.lit("domain").alias("kind"), cut.alias("value")).distinct()
+
+
 def url_bad_words(spark, sf):
-    reason = R.bad_words(F.col("url"), X.STRICT_WORDS, X.HARD_WORDS, X.SOFT_WORDS)
+    reason = R.bad_words(F.col("url"), *[X.word_entries(spark, w) for w in (X.STRICT_WORDS, X.HARD_WORDS, X.SOFT_WORDS)])
     return X.pages(spark, sf).select("page_id", reason.alias("reason"))
 
 
@@ -86,7 +105,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         scan_lists, url_parts, url_normalize, url_whitelist, url_curated, url_blocklist, url_bad_words,
-        url_disposition, join_url_lists, union_lists, url_rule_report,
+        url_disposition, join_url_lists, union_lists, url_rule_report, url_suffixes, url_curated_by,
     )
 }
 
@@ -98,6 +117,23 @@ SQL = {
     "url_whitelist": f"{_WITH} SELECT page_id, {X.ALLOWED_SQL} AS allowed FROM parts",
     "url_curated": f"{_WITH} SELECT page_id, {X.CURATED_SQL} AS curated FROM parts",
     "url_blocklist": f"{_WITH} SELECT page_id, {X.BLOCKED_SQL} AS blocked FROM parts",
+    "url_suffixes": "WITH rule AS (SELECT unnest(["
+    + ", ".join(K.q(r) for r in X.SUFFIX_RULES)
+    + "]) AS rule), form AS (SELECT ["
+    + ", ".join(K.q(h) for h in X.SUFFIX_HOSTS)
+    + f"] AS f), named AS (SELECT page_id, replace(f[page_id % {len(X.SUFFIX_HOSTS)} + 1], '%s', regexp_replace({K.host('url')}, '[^a-z]', '', 'g')) AS host "
+    "FROM pages, form), labels_ AS (SELECT page_id, host, string_split(host, '.') AS l FROM named), "
+    "tails AS (SELECT page_id, k, array_to_string(l[len(l) - k + 1:], '.') AS tail, array_to_string(l[len(l) - k + 2:], '.') AS rest "
+    "FROM (SELECT page_id, l, unnest(range(1, len(l) + 1)) AS k FROM labels_)), "
+    "best AS (SELECT page_id, coalesce(max(k - 1) FILTER (rule = '!' || tail), max(k) FILTER (rule <> '!' || tail)) AS n "
+    "FROM tails JOIN rule ON rule = tail OR rule = '!' || tail OR (k > 1 AND rule = '*.' || rest) GROUP BY page_id) "
+    "SELECT page_id, host, CASE WHEN len(l) > coalesce(n, 1) THEN array_to_string(l[len(l) - coalesce(n, 1):], '.') END AS registered_domain "
+    "FROM labels_ LEFT JOIN best USING (page_id)",
+    "url_curated_by": "WITH bare AS (SELECT page_id, string_split(regexp_replace(regexp_replace(url, '[?#].*$', ''), "
+    "'^[a-zA-Z][a-zA-Z0-9+.-]*://', ''), '/') AS l FROM pages), "
+    "entry AS (SELECT DISTINCT rtrim(array_to_string(l[1 : page_id % 4 + 2], '/'), '/') AS value FROM bare WHERE page_id % 5 < 2), "
+    "cut AS (SELECT page_id, array_to_string(l[1 : k], '/') AS value, k FROM (SELECT page_id, l, unnest(range(1, len(l) + 1)) AS k FROM bare)) "
+    "SELECT page_id, max_by(value, k) FILTER (entry.value IS NOT NULL) AS curated_by FROM cut LEFT JOIN entry USING (value) GROUP BY page_id",
     "url_bad_words": f"SELECT page_id, {X.BAD_WORD_SQL} AS reason FROM pages",
     "url_disposition": f"WITH {X.JUDGED} SELECT page_id, url_disposition FROM judged",
     "join_url_lists": f"{_WITH} SELECT page_id, "

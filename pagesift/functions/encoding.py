@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import codecs
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,6 +24,23 @@ DECODERS = {
     "euc-kr": "cp949", "ks_c_5601-1987": "cp949",
 }
 DEFAULT = "windows-1252"
+# Decoders that are no charsets of web pages, or that a body that gets here has not.
+NOT_CHARSETS = (
+    "idna", "mbcs", "oem", "palmos", "punycode", "raw-unicode-escape", "undefined", "unicode-escape", "utf-7",
+    "utf-8", "utf-8-sig", "utf-16", "utf-16-be", "utf-16-le",
+)
+
+
+def decoder(name: str | None) -> str:
+    """The decoder of a declared charset: the web's reading of common names, else any text encoding of that name."""
+    known = DECODERS.get(name or "")
+    if known:
+        return known
+    try:
+        found = codecs.lookup(name or "")
+    except (LookupError, ValueError):
+        return DEFAULT
+    return found.name if found._is_text_encoding and found.name.replace("_", "-") not in NOT_CHARSETS else DEFAULT
 
 
 def declared_charset(body: Column, content_type: Column | None = None) -> Column:
@@ -34,11 +53,13 @@ def declared_charset(body: Column, content_type: Column | None = None) -> Column
 
 
 def _decoded(body: pd.Series, charset: pd.Series) -> pd.Series:
-    """Bytes by the named decoder; a byte that has no meaning there becomes U+FFFD, or its code in windows-1252."""
+    """Bytes by the declared charset; a byte that has no meaning there becomes U+FFFD, or its code in windows-1252."""
+    names = {x: decoder(x) for x in charset.unique()}
 
-    def text(data: bytes | None, name: str | None) -> str | None:
-        if data is None or name is None:
+    def text(data: bytes | None, declared: str | None) -> str | None:
+        if data is None:
             return None
+        name = names[declared]
         out = bytes(data).decode(name, "surrogateescape" if name == DEFAULT else "replace")
         return out.encode("utf-16", "surrogatepass").decode("utf-16", "replace") if name != DEFAULT else _latin(out)
 
@@ -51,7 +72,7 @@ def _latin(text: str) -> str:
 
 
 def decode_body(body: Column, charset: Column) -> Column:
-    """Text of the body: UTF-16 by mark or name, then valid UTF-8, then the declared charset, else windows-1252.
+    """Text of the body: UTF-16 by mark or name, then valid UTF-8, then the declared charset; windows-1252 where none is declared or known.
 
     Only bodies that are neither UTF-8 nor UTF-16 are sent to a decoder, as Spark itself knows just those and Latin-1.
     """
@@ -66,7 +87,5 @@ def decode_body(body: Column, charset: Column) -> Column:
         .when(big, F.regexp_replace(F.decode(body, "UTF-16BE"), "^\ufeff", ""))
         .when(F.is_valid_utf8(body.cast("string")), F.regexp_replace(body.cast("string"), "^\ufeff", ""))
     )
-    names = F.create_map(*[F.lit(x) for pair in DECODERS.items() for x in pair])
     other = ~little & ~big & ~F.is_valid_utf8(body.cast("string"))
-    name = F.coalesce(F.try_element_at(names, F.coalesce(charset, F.lit(""))), F.lit(DEFAULT))
-    return F.coalesce(simple, F.pandas_udf(_decoded, "string")(F.when(other, body), F.when(other, name)))
+    return F.coalesce(simple, F.pandas_udf(_decoded, "string")(F.when(other, body), F.when(other, F.coalesce(charset, F.lit("")))))

@@ -143,19 +143,50 @@ def collapse_blank_lines(text: Column) -> Column:
     return F.replace(once, F.lit("\n\n"), F.lit("\n"))
 
 
+SUP_SUB = (("sup", "^"), ("sub", "_"))
+SUP_SUB_TEXT = r"(?:[^<]|<(?!/?su[bp]\b))*+"
+
+
+def sup_sub_patterns() -> list[tuple[str, str]]:
+    """Innermost elements that are marked already, and others, with what they become (``\\1`` is the text)."""
+    out = []
+    for tag, sign in SUP_SUB:
+        out.append((rf"(?is)<{tag}(?:\s[^>]*)?>(\{sign}\{{{SUP_SUB_TEXT})</{tag}\s*>", r"\1"))
+        out.append((rf"(?is)<{tag}(?:\s[^>]*)?>({SUP_SUB_TEXT})</{tag}\s*>", rf"{sign}{{\1}}"))
+    return out
+
+
+def _all_levels(html: pd.Series) -> pd.Series:
+    patterns = [(re.compile(p), to) for p, to in sup_sub_patterns()]
+
+    def whole(page: str | None) -> str | None:
+        before = None
+        while page is not None and page != before:
+            before = page
+            for pattern, to in patterns:
+                page = pattern.sub(to, page)
+        return page
+
+    return html.map(whole)
+
+
 def sup_sub(html: Column, depth: int = 4) -> Column:
-    """Superscripts as ``^{x}`` and subscripts as ``_{x}``, but not twice; innermost first, ``depth`` levels."""
+    """Superscripts as ``^{x}`` and subscripts as ``_{x}``, but not twice; innermost first, to any depth.
+
+    ``depth`` levels are done by expressions; only pages with more go to Python.
+    """
 
     def marked(h: Column) -> Column:
         out = h
         for _ in range(depth):
-            for tag, sign in (("sup", "^"), ("sub", "_")):
-                inner = r"(?:[^<]|<(?!/?su[bp]\b))*+"
-                out = F.regexp_replace(out, rf"(?is)<{tag}(?:\s[^>]*)?>(\{sign}\{{{inner})</{tag}\s*>", "$1")
-                out = F.regexp_replace(out, rf"(?is)<{tag}(?:\s[^>]*)?>({inner})</{tag}\s*>", f"{sign}{{$1}}")
+            for pattern, to in sup_sub_patterns():
+                out = F.regexp_replace(out, pattern, to.replace("\\1", "$1"))
         return F.when(h.rlike("(?i)<su[bp]"), out).otherwise(h)
 
-    return let(html, marked)
+    nested = r"(?is)<(su[bp])(?:\s[^>]*)?>" + SUP_SUB_TEXT + r"</\1\s*>"
+    once = let(html, marked)
+    deeper = html.rlike("(?i)<su[bp]") & once.rlike(nested)
+    return F.when(deeper, F.pandas_udf(_all_levels, "string")(F.when(deeper, once))).otherwise(once)
 
 
 def fraction_span(html: Column) -> Column:

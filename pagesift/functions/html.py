@@ -23,6 +23,7 @@ CELL_TAG = r"(?i)</t[dh]\s*>"
 PREFORMATTED = r"(?is)<pre(?:\s[^>]*)?>.*?</pre\s*>"
 ANY_TAG = r"<[a-zA-Z/!?][^>]*>"
 REFERENCE = r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);"
+NUMBER = r"#[0-9]+;?|#[xX][0-9a-fA-F]+;?"
 FREQUENT = ("amp;", "lt;", "gt;", "quot;", "apos;", "nbsp;", "copy;", "middot;")
 MAX_CODE_POINT = 0x10FFFF
 
@@ -72,9 +73,15 @@ def replace_in_order(text: Column, pattern: str, target: Callable[[Column], Colu
 
 @cache
 def named_references() -> dict[str, str]:
-    """The standard's named character references that end with a semicolon, frequent ones first."""
-    every = {name: char for name, char in html5.items() if name.endswith(";")}
-    return {name: every[name] for name in FREQUENT} | every
+    """The standard's named character references, frequent ones first; old names stand without a semicolon, too."""
+    return {name: html5[name] for name in FREQUENT} | html5
+
+
+@cache
+def loose_reference() -> str:
+    """A reference as browsers read it: an old name or a number may lack its semicolon, a name with one comes first."""
+    old = sorted((name for name in html5 if not name.endswith(";")), key=len, reverse=True)
+    return f"&(?:{NUMBER}|[a-zA-Z][a-zA-Z0-9]*;|{'|'.join(old)})"
 
 
 def decode_entities(text: Column) -> Column:
@@ -82,7 +89,7 @@ def decode_entities(text: Column) -> Column:
 
     A no-break space becomes a blank. Unknown names and numbers of no character stay.
     """
-    pairs = "\u0001".join(f"&{name}\u0002{' ' if name == 'nbsp;' else char}" for name, char in named_references().items())
+    pairs = "\u0001".join(f"&{name}\u0002{' ' if name in ('nbsp;', 'nbsp') else char}" for name, char in named_references().items())
     table = F.str_to_map(F.lit(pairs), F.lit("\u0001"), F.lit("\u0002"))
 
     def code(digits: Column, base: int, most: int) -> Column:
@@ -96,7 +103,7 @@ def decode_entities(text: Column) -> Column:
             .otherwise(code(F.substring(e, F.lit(3), F.length(e)), 10, 7))
         )
 
-    return let(text, lambda t: F.when(t.contains("&"), replace_in_order(t, REFERENCE, char)).otherwise(t))
+    return let(text, lambda t: F.when(t.contains("&"), replace_in_order(t, loose_reference(), char)).otherwise(t))
 
 
 def escape(text: Column) -> Column:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,6 +22,19 @@ MAX_TOKEN_CHARS = 100
 MAX_LINE_TOKENS = 1024
 
 
+def _decomposed(text: pd.Series) -> pd.Series:
+    def bare(value: str | None) -> str | None:
+        return value and "".join(c for c in unicodedata.normalize("NFD", value) if unicodedata.category(c) != "Mn")
+
+    return text.map(bare)
+
+
+def without_marks(text: Column) -> Column:
+    """Characters decomposed and their marks dropped; only texts beyond ASCII go to Python."""
+    wide = text.rlike(r"[^\x00-\x7f]")
+    return F.when(wide, F.pandas_udf(_decomposed, "string")(F.when(wide, text))).otherwise(text)
+
+
 def one_line(text: Column) -> Column:
     """Runs of white space become one blank; ends are trimmed."""
     return F.trim(F.regexp_replace(text, SPACE + "+", " "))
@@ -29,9 +45,11 @@ def split_blanks(text: Column) -> Column:
     return F.filter(F.split(text, " "), lambda w: w != "")
 
 
-def simplify(text: Column, remove_punctuation: bool = True, norm_numbers: bool = False) -> Column:
-    """Text as it is compared between documents: lower case, no punctuation, one blank."""
-    out = F.lower(text)
+def simplify(
+    text: Column, remove_punctuation: bool = True, norm_numbers: bool = False, strip_diacritics: bool = False
+) -> Column:
+    """Text as it is compared between documents: lower case, no punctuation, one blank; without accents if asked."""
+    out = F.lower(without_marks(text) if strip_diacritics else text)
     if norm_numbers:
         out = F.regexp_replace(out, r"\p{Nd}+", "0")
     if remove_punctuation:
@@ -39,8 +57,10 @@ def simplify(text: Column, remove_punctuation: bool = True, norm_numbers: bool =
     return one_line(out)
 
 
-def words(text: Column, remove_punctuation: bool = True, norm_numbers: bool = False) -> Column:
-    return split_blanks(simplify(text, remove_punctuation, norm_numbers))
+def words(
+    text: Column, remove_punctuation: bool = True, norm_numbers: bool = False, strip_diacritics: bool = False
+) -> Column:
+    return split_blanks(simplify(text, remove_punctuation, norm_numbers, strip_diacritics))
 
 
 def ngrams(tokens: Column, n: int) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pagesift.functions import text as T
 from pagesift.functions.binding import let
 from pagesift.operators.joins import BROADCAST_BYTES, lookup_join, table_bytes
+from pagesift.operators.places import placed_join
 from pagesift.session import materialize
 
 N = 12
@@ -91,6 +92,17 @@ def doc_grams(
     return docs.select(id_col, F.posexplode(grams).alias("pos", "key"))
 
 
+def gram_keys(words: Column, n: int, mix: Callable[..., Column] = F.xxhash64) -> Column:
+    """64-bit keys of all runs of ``n`` words, from the words' own hashes: no run is ever built as a text."""
+
+    def keys(hashes: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(hashes) - n)
+        runs = F.transform(places, lambda i: mix(*[F.get(hashes, i + k) for k in range(n)]))
+        return F.when(F.size(hashes) >= n, runs).otherwise(F.array().cast("array<bigint>"))
+
+    return let(F.transform(words, lambda w: F.xxhash64(w)), keys)
+
+
 def join_contamination(
     docs: DataFrame,
     index: DataFrame,
@@ -100,48 +112,70 @@ def join_contamination(
     broadcast_bytes: int = BROADCAST_BYTES,
     id_col: str = "doc_id",
     text: str = "text",
+    mix: Callable[..., Column] = F.xxhash64,
 ) -> DataFrame:
     """The first hit of each contaminated document: ``(id, pos, contaminated_ngram, contaminated_task)``.
 
-    Documents send only ``(id, pos, 64-bit hash)`` into the join. The index
-    brings the n-gram itself, so hits carry text and nothing else does.
+    Documents send only ``(id, pos, 64-bit key)`` into the join, where the key is made of the words' hashes. Where a
+    key meets one of the index, the n-gram is built from the document's words and compared, so equal keys of
+    different n-grams (``mix`` makes the key) give no hit. Index n-grams of other lengths than ``n`` meet nothing.
     """
-    lookup = index_lookup(index).select(F.xxhash64("gram").alias("key"), "gram", "task")
-    lookup = lookup.groupBy("key").agg(F.max(F.struct("gram", "task")).alias("hit"))
-    rows = doc_grams(docs, n, F.xxhash64, remove_punctuation, stop_at_punctuation, id_col, text)
-    size = table_bytes(lookup)
-    if size > broadcast_bytes:  # the hashes alone still fit where the n-grams do not: only hits meet those
-        rows = lookup_join(rows, lookup.select("key"), "key", "left_semi", broadcast_bytes)
-    hits = lookup_join(rows, lookup, "key", "inner", broadcast_bytes, size=size)
-    return (
-        hits.groupBy(id_col)
-        .agg(F.min(F.struct("pos", "hit")).alias("first"))
-        .select(
-            id_col,
-            F.col("first.pos").alias("pos"),
-            F.col("first.hit.gram").alias("contaminated_ngram"),
-            F.col("first.hit.task").alias("contaminated_task"),
-        )
-    )
+    whole = materialize(index_lookup(index), "index-lookup")
+    if not remove_punctuation and stop_at_punctuation:
+        return _hits_by_text(docs, whole, n, remove_punctuation, stop_at_punctuation, broadcast_bytes, id_col, text)
+    tokens = F.split("gram", " ")
+    keyed = whole.select(F.explode(gram_keys(tokens, n, mix)).alias("key"), "gram", "task", F.size(tokens).alias("n"))
+    keyed = materialize(keyed.where(F.col("n") == n).drop("n"), "index-keys")
+    words = T.words(F.col(text), remove_punctuation=remove_punctuation)
+    rows = docs.select(id_col, F.posexplode(gram_keys(words, n, mix)).alias("pos", "key"))
+    found = materialize(lookup_join(rows, keyed.select("key").distinct(), "key", "left_semi", broadcast_bytes), "gram-candidates")
+    # Few documents have candidates; their words at those places are looked at, each text once.
+    places = found.groupBy(id_col).agg(F.sort_array(F.collect_set("pos")).alias("_places"))
+    named = placed_join(docs.select(id_col, text), materialize(places, "gram-places"), id_col)
+
+    def grams(w: Column) -> Column:
+        return F.transform("_places", lambda p: F.struct(p.alias("pos"), F.array_join(F.slice(w, p + 1, n), " ").alias("gram")))
+
+    built = named.select(id_col, F.inline(let(T.words(F.col(text), remove_punctuation=remove_punctuation), grams)))
+    hits = lookup_join(materialize(built, "gram-texts"), whole, "gram", "inner", broadcast_bytes)
+    return _first_hits(hits, id_col)
+
+
+def _first_hits(hits: DataFrame, id_col: str) -> DataFrame:
+    first = hits.groupBy(id_col).agg(F.min(F.struct("pos", "gram", "task")).alias("first"))
+    return first.select(
+        id_col, F.col("first.pos").alias("pos"), F.col("first.gram").alias("contaminated_ngram"),
+        F.col("first.task").alias("contaminated_task"),
+    )
+
+
+def _hits_by_text(docs, whole, n, remove_punctuation, stop_at_punctuation, broadcast_bytes, id_col, text) -> DataFrame:
+    """Hits where a text ends at its first n-gram of punctuation, which takes the n-grams themselves to find."""
+    lookup = whole.select(F.xxhash64("gram").alias("key"), "gram", "task")
+    rows = docs.select(id_col, F.posexplode(_grams_before_stop(F.col(text), n, remove_punctuation, stop_at_punctuation)).alias("pos", "gram"))
+    rows = rows.withColumn("key", F.xxhash64("gram"))
+    keys = lookup.select("key").distinct()
+    found = materialize(lookup_join(rows, keys, "key", "left_semi", broadcast_bytes), "gram-candidates")
+    return _first_hits(lookup_join(found.drop("key"), whole, "gram", "inner", broadcast_bytes), id_col)
 
 
 def contam_filter(docs: DataFrame, index: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """All documents with ``disposition`` (``kept`` or ``contaminated``) and the first hit.
 
-    The hits are written and measured, so the texts are not shuffled while the hits can be broadcast.
+    The hits are written and measured. They come back by broadcast or by place, so the texts are not shuffled.
     """
     hits = materialize(join_contamination(docs, index, id_col=id_col, **options).drop("pos"), "hits")
-    return lookup_join(docs, hits, id_col, "left").withColumn(
+    return placed_join(docs, hits, id_col, "left").withColumn(
         "disposition", F.when(F.col("contaminated_task").isNotNull(), "contaminated").otherwise("kept")
     )
 
 
 def semi_contaminated(docs: DataFrame, hits: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    return lookup_join(docs, materialize(hits.select(id_col), "hits"), id_col, "left_semi")
+    return placed_join(docs, materialize(hits.select(id_col), "hits"), id_col, "left_semi")
 
 
 def anti_contaminated(docs: DataFrame, hits: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    return lookup_join(docs, materialize(hits.select(id_col), "hits"), id_col, "left_anti")
+    return placed_join(docs, materialize(hits.select(id_col), "hits"), id_col, "left_anti")
 
 
 def contam_by_task(hits: DataFrame) -> DataFrame:

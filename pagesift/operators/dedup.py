@@ -17,9 +17,11 @@ from pagesift.functions.binding import let
 from pagesift.functions.hashing import md5_31
 from pagesift.functions.minhash import BUCKETS, HASHES, signatures
 from pagesift.operators.joins import ROWS_PER_TASK, count_keys, lookup_join, salted_join
+from pagesift.operators.places import placed_join
 from pagesift.session import materialize
 
 SHINGLE_WORDS = 5
+NEAR = 0.8
 
 # Lower and upper bound of every duplicate-count interval.
 INTERVALS = ((1, 1), (2, 5), (6, 10), (11, 100), (101, 1000), (1001, None))
@@ -35,7 +37,7 @@ def exact_dedup(
 
     ``within`` limits the comparison to rows of the same split; empty means
     global. Only digests and ids are shuffled to find the copies; the texts
-    then lose the copies' ids, without a shuffle while those can be broadcast.
+    then lose the copies' ids, without a shuffle of theirs.
     """
     return remove_ids(df, exact_copies(df, within, id_col, text, rows_per_task), id_col)
 
@@ -52,12 +54,12 @@ def exact_copies(
 
 
 def remove_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Documents without the listed ids. The ids are written once, measured, and broadcast if they fit."""
-    return lookup_join(docs, materialize(ids.select(id_col), "ids"), id_col, "left_anti")
+    """Documents without the listed ids. The ids are written once and measured; the texts are never shuffled."""
+    return placed_join(docs, materialize(ids.select(id_col), "ids"), id_col, "left_anti")
 
 
 def keep_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    return lookup_join(docs, materialize(ids.select(id_col), "ids"), id_col, "left_semi")
+    return placed_join(docs, materialize(ids.select(id_col), "ids"), id_col, "left_semi")
 
 
 def _digests(df: DataFrame, within: Sequence[str], id_col: str, text: str) -> DataFrame:
@@ -116,24 +118,14 @@ def minhash_pairs(signed: DataFrame, id_col: str = "doc_id", rows_per_task: int
     return members.where(F.col(id_col) > F.col("u")).select("u", F.col(id_col).alias("v")).distinct()
 
 
-def jaccard_verify(
-    edges: DataFrame,
-    docs: DataFrame,
-    threshold: float = 0.0,
-    n: int = SHINGLE_WORDS,
-    id_col: str = "doc_id",
-    text: str = "text",
-    rows_per_task: int = ROWS_PER_TASK,
-) -> DataFrame:
-    """Edges with the exact Jaccard similarity of their shingle sets, at or above ``threshold``.
-
-    Compares 64-bit hashes of the shingles. A document with many edges is
-    repeated over several tasks by the salted join.
-    """
-    edges = materialize(edges, "edges")
+def _shingle_sets(docs: DataFrame, edges: DataFrame, n: int, id_col: str, text: str) -> DataFrame:
+    """Sets of 64-bit shingle hashes ``(id, s)`` of the documents that edges name, written once."""
     ends = edges.select(F.col("u").alias(id_col)).unionAll(edges.select(F.col("v").alias(id_col))).distinct()
     hashes = let(T.ngrams(T.words(F.col(text)), n), lambda g: F.array_distinct(F.transform(g, lambda x: F.xxhash64(x))))
-    sets = materialize(keep_ids(docs, ends, id_col).select(id_col, hashes.alias("s")), "shingle-sets")
+    return materialize(keep_ids(docs, ends, id_col).select(id_col, hashes.alias("s")), "shingle-sets")
+
+
+def _scored(edges: DataFrame, sets: DataFrame, threshold: float, id_col: str, rows_per_task: int) -> DataFrame:
     out = edges
     for end in ("u", "v"):
         side = sets.select(F.col(id_col).alias(end), F.col("s").alias(f"s{end}"))
@@ -144,6 +136,78 @@ def jaccard_verify(
     return out.select("u", "v", F.explode(F.filter(F.array(score), lambda x: x >= threshold)).alias("jaccard"))
 
 
+def jaccard_scores(
+    edges: DataFrame, docs: DataFrame, threshold: float = 0.0, n: int = SHINGLE_WORDS, id_col: str = "doc_id",
+    text: str = "text", rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """The given edges with the exact Jaccard similarity of their shingle sets, at or above ``threshold``.
+
+    A document with many edges is repeated over several tasks by the salted join.
+    """
+    edges = materialize(edges, "edges")
+    return _scored(edges, _shingle_sets(docs, edges, n, id_col, text), threshold, id_col, rows_per_task)
+
+
+def jaccard_verify(
+    edges: DataFrame, docs: DataFrame, threshold: float = 0.0, n: int = SHINGLE_WORDS, id_col: str = "doc_id",
+    text: str = "text", rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Links ``(u, v, jaccard)`` at or above ``threshold`` inside the groups that star edges name.
+
+    A group is a center ``u`` and all its ``v``. Its members are compared with the center, and then, as long
+    as some that were no center yet belong to different clusters of links, with new centers: the smallest such member in
+    each of 1, 2, 4 ... hash slots of the group. A pair is tested only if no links join it already, so copies
+    settle in the first round, and a group of n members needs at most log2(n) + 1 rounds. The clusters of the result
+    are those of all pairs of a group at or above the threshold; an unlike center loses nothing.
+    """
+    return _verified(edges, docs, threshold, n, id_col, text, rows_per_task)[0]
+
+
+def verified_clusters(edges: DataFrame, docs: DataFrame, threshold: float, **options) -> DataFrame:
+    """``dup_clusters`` of the links of ``jaccard_verify``."""
+    defaults = {"n": SHINGLE_WORDS, "id_col": "doc_id", "text": "text", "rows_per_task": ROWS_PER_TASK}
+    return _verified(edges, docs, threshold, **{**defaults, **options})[1]
+
+
+def _verified(edges, docs, threshold, n, id_col, text, rows_per_task) -> tuple[DataFrame, DataFrame]:
+    edges = materialize(edges.select("u", "v").where("u <> v").distinct(), "edges")
+    sets = _shingle_sets(docs, edges, n, id_col, text)
+    links = materialize(_scored(edges, sets, threshold, id_col, rows_per_task), "verified")
+    # Members that were no center yet. The first centers are settled, and so are stars whose members are all like theirs.
+    failed = materialize(edges.join(links.select("u", "v").hint("merge"), ["u", "v"], "left_anti"), "failed-edges")
+    unlike = failed.groupBy(F.col("u").alias("g")).agg(F.count(F.lit(1)).alias("n"))
+    members = edges.select(F.col("u").alias("g"), F.col("v").alias("id"))
+    sizes = edges.groupBy(F.col("u").alias("g")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    wanted = materialize(unlike.select("g").join(sizes, "g"), "unlike-stars")
+    waiting = materialize(salted_join(members, wanted.select("g"), ["g"], wanted, "left_semi", rows_per_task), "waiting")
+    slots = 1
+    while True:
+        clusters = materialize(dup_clusters(links, rows_per_task), "clusters")
+        if waiting.isEmpty():
+            return links, clusters
+        labels = clusters.select(F.col("doc_id").alias("id"), F.col("cluster_id").alias("label"))
+        labelled = lookup_join(waiting, labels, "id", "left", rows_per_task=rows_per_task)
+        labelled = materialize(labelled.select("g", "id", F.coalesce("label", "id").alias("label")), "waiting")
+        unsettled = labelled.groupBy("g").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"))
+        unsettled = materialize(unsettled.where("low <> high").select("g", "n"), "unsettled")
+        if unsettled.isEmpty():
+            return links, clusters
+        labelled = salted_join(labelled, unsettled.select("g"), ["g"], unsettled, "left_semi", rows_per_task)
+        labelled = materialize(labelled.withColumn("slot", F.pmod(F.xxhash64("g", "id"), F.lit(slots)).cast("int")), "waiting")
+        centers = labelled.groupBy("g", "slot").agg(F.min(F.struct("id", "label")).alias("c"))
+        centers = materialize(centers.select("g", "slot", F.col("c.id").alias("center"), F.col("c.label").alias("center_label")), "centers")
+        every = F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot")
+        met = salted_join(
+            labelled.select("g", "id", "label", every), centers, ["g", "slot"], unsettled.select("g", "n", every), "inner", rows_per_task
+        )
+        pairs = met.where("label <> center_label").select(F.least("id", "center").alias("u"), F.greatest("id", "center").alias("v"))
+        found = _scored(materialize(pairs.distinct(), "pairs"), sets, threshold, id_col, rows_per_task)
+        links = materialize(links.unionByName(found), "verified")
+        done = centers.select("g", F.col("center").alias("id"))
+        waiting = materialize(labelled.select("g", "id").join(done.hint("merge"), ["g", "id"], "left_anti"), "waiting")
+        slots *= 2
+
+
 # ---- components ----
 
 
@@ -197,6 +261,33 @@ def dup_clusters(edges: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFr
     return counted.select("doc_id", "cluster_id", "dup_count").unionAll(roots)
 
 
+def merge_clusters(forest: DataFrame, links: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Clusters ``(doc_id, cluster_id, dup_count)`` of a forest of labels and new links ``(u, v)``, without the old links.
+
+    Each end of a new link is replaced by the root of its old cluster, so only the links between roots run through
+    ``dup_clusters``: their number grows with the new dump. Clusters that none of them touches stay as they are. The
+    result equals the clusters of all links together.
+    """
+    links = materialize(links.where("u <> v").select("u", "v").distinct(), "new-links")
+    ends = links.select(F.col("u").alias("doc_id")).unionAll(links.select(F.col("v").alias("doc_id"))).distinct()
+    known = ends.join(forest.select("doc_id", "cluster_id"), "doc_id", "left")
+    known = materialize(known.withColumn("is_new", F.col("cluster_id").isNull()).withColumn("cluster_id", F.coalesce("cluster_id", "doc_id")), "link-ends")
+    contracted = links
+    for end in ("u", "v"):
+        root = known.select(F.col("doc_id").alias(end), F.col("cluster_id").alias(f"root_{end}"))
+        contracted = salted_join(contracted, root, [end], count_keys(links, [end]), "inner", rows_per_task)
+    moved = dup_clusters(contracted.select(F.col("root_u").alias("u"), F.col("root_v").alias("v")), rows_per_task)
+    moved = materialize(moved.select(F.col("doc_id").alias("cluster_id"), F.col("cluster_id").alias("merged")), "moved-roots")
+    fresh = known.where("is_new").select("doc_id", "cluster_id", F.lit(1).cast("long").alias("dup_count"))
+    nodes = forest.select("doc_id", "cluster_id", F.col("dup_count").cast("long").alias("dup_count")).unionByName(fresh)
+    nodes = materialize(lookup_join(nodes, moved, "cluster_id", "left", rows_per_task=rows_per_task), "relabelled")
+    stay = nodes.where("merged is null").select("doc_id", "cluster_id", "dup_count")
+    changed = nodes.where("merged is not null").select("doc_id", F.col("merged").alias("cluster_id"))
+    sizes = materialize(count_keys(changed, ["cluster_id"]), "merged-sizes")
+    counted = salted_join(changed, sizes.select("cluster_id", F.col("n").alias("dup_count")), ["cluster_id"], sizes, "inner", rows_per_task)
+    return stay.unionByName(counted.select("doc_id", "cluster_id", "dup_count"))
+
+
 # ---- results ----
 
 
@@ -246,7 +337,7 @@ def dup_removal(docs: DataFrame, remove: DataFrame, meta: DataFrame) -> DataFram
     Both results go into one lookup, so the documents take part in one join.
     """
     results = materialize(merge_remove_meta(remove, meta.select("doc_id", "dup_count")), "dup-results")
-    joined = lookup_join(docs, results, "doc_id", "left")
+    joined = placed_join(docs, results, "doc_id", "left")
     kept = joined.where(~F.coalesce("to_remove", F.lit(False))).drop("to_remove")
     return kept.withColumn("dup_count", F.coalesce("dup_count", F.lit(1).cast("long")))
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -77,53 +78,188 @@ class RowModel:
     weights: Broadcast
     features: int
     hash_fn: Callable[[Column], Column]
+    prepare: Callable[[Column], Column]
 
 
-def hashed_tokens(features: int, hash_fn: Callable[[Column], Column]) -> Callable[[Column], Column]:
-    return lambda text: F.transform(tokens(text), lambda t: (hash_fn(t) % features).cast("string"))
+def as_it_is(text: Column) -> Column:
+    return text
+
+
+def hashed_tokens(
+    features: int, hash_fn: Callable[[Column], Column], prepare: Callable[[Column], Column] = as_it_is
+) -> Callable[[Column], Column]:
+    return lambda text: F.transform(tokens(prepare(text)), lambda t: (hash_fn(t) % features).cast("string"))
 
 
 def train_row_model(
-    docs: DataFrame, label: str, text: str = "text", features: int = FEATURES, hash_fn: Callable[[Column], Column] = xx_31
+    docs: DataFrame, label: str, text: str = "text", features: int = FEATURES, hash_fn: Callable[[Column], Column] = xx_31,
+    prepare: Callable[[Column], Column] = as_it_is,
 ) -> RowModel:
-    """The same model over hashed tokens: at most ``features`` rows, which the driver reads."""
-    rows = train_text_model(docs, label, text=text, tokens_of=hashed_tokens(features, hash_fn)).collect()
+    """The same model over hashed tokens: at most ``features`` rows, which the driver reads.
+
+    ``prepare`` is applied to every text, in training and in scoring, such as ``classifier_text`` for topic models.
+    """
+    rows = train_text_model(docs, label, text=text, tokens_of=hashed_tokens(features, hash_fn, prepare)).collect()
     priors = next(r["weights"] for r in rows if r["token"] is None)
     labels = sorted(priors)
     weights = np.zeros((features + 1, len(labels)))  # a token that training has not seen weighs nothing
     for row in rows:
         weights[features if row["token"] is None else int(row["token"])] = [row["weights"][x] for x in labels]
-    return RowModel(labels, docs.sparkSession.sparkContext.broadcast(weights), features, hash_fn)
+    return RowModel(labels, docs.sparkSession.sparkContext.broadcast(weights), features, hash_fn, prepare)
+
+
+def _runs(arrays: list[np.ndarray], most: int = 1 << 18) -> Iterator[list[np.ndarray]]:
+    """The arrays in runs of about ``most`` numbers."""
+    held, size = [], 0
+    for one in arrays:
+        held.append(one)
+        size += len(one)
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _shares(table: np.ndarray, arrays: list[np.ndarray]) -> list[np.ndarray]:
+    """Probabilities of the labels for several texts at once; the last row of ``table`` holds the priors."""
+    sizes = np.array([len(x) for x in arrays])
+    # Each text starts with the priors, so that no text is empty.
+    flat = np.concatenate([y for x in arrays for y in (np.array([len(table) - 1]), x)])
+    logs = np.add.reduceat(table[flat], np.cumsum(sizes + 1) - sizes - 1, axis=0)
+    powers = np.exp(logs - logs.max(axis=1, keepdims=True))
+    return list(powers / powers.sum(axis=1, keepdims=True))
 
 
 def row_scores(model: RowModel, text: Column) -> Column:
-    """Probabilities of the labels, ``array<double>`` in the order of ``model.labels``; NULL for a NULL text."""
+    """Probabilities of the labels, ``array<double>`` in the order of ``model.labels``; NULL for a NULL text.
+
+    The text is taken as it is; ``with_scores`` prepares it as in training.
+    """
     shared = model.weights
 
     def score(numbers: pd.Series) -> pd.Series:
         table = shared.value
-        out = []
-        for own in numbers:
-            if own is None:
-                out.append(None)
-                continue
-            logs = table[-1] + table[np.asarray(own, dtype=np.int64)].sum(axis=0)
-            powers = np.exp(logs - logs.max())
-            out.append(powers / powers.sum())
-        return pd.Series(out, dtype=object)
+        known = numbers.notna().to_numpy()
+        arrays = [np.asarray(x, dtype=np.int64) for x in numbers[known]]
+        out = np.full(len(numbers), None, dtype=object)
+        found = (row for part in _runs(arrays) for row in _shares(table, part))
+        for i in np.flatnonzero(known):
+            out[i] = next(found)
+        return pd.Series(out)
 
     numbers = F.transform(tokens(text), lambda t: (model.hash_fn(t) % model.features).cast("int"))
     return F.pandas_udf(score, "array<double>")(F.when(text.isNotNull(), numbers))
 
 
-def best_label(model: RowModel, scores: Column) -> Column:
+def with_scores(docs: DataFrame, model: RowModel, text: str = "text", out: str = "scores") -> DataFrame:
+    """``docs`` with the probabilities of the labels of their texts, prepared as the model's texts were."""
+    # Preparing may take Python, as scoring does, and the one cannot stand inside the other: a generator parts them.
+    ready = docs.select("*", F.explode(F.array(model.prepare(F.col(text)))).alias("_ready"))
+    return ready.withColumn(out, row_scores(model, F.col("_ready"))).drop("_ready")
+
+
+# ---- character n-grams ----
+
+# Fixed values of the hash: it is a polynomial of code points, so any engine can repeat it.
+GRAM_SIZES, GRAM_BASE, GRAM_PRIME = (1, 2, 3), 1_000_003, (1 << 31) - 1
+MODEL_BYTES = 512 << 20
+
+
+@dataclass(frozen=True)
+class CharModel:
+    """Weights of hashed character n-grams, one column per label, small enough to be sent to every task."""
+
+    labels: list[str]
+    weights: Broadcast
+    sizes: tuple[int, ...]
+
+
+def gram_line(text: Column) -> Column:
+    """The text whose character n-grams count: lower case, one line, a blank at both ends."""
+    return F.concat(F.lit(" "), T.one_line(F.lower(text)), F.lit(" "))
+
+
+def char_grams(line: str, sizes: Sequence[int] = GRAM_SIZES, features: int = FEATURES) -> np.ndarray:
+    """Numbers of all n-grams of code points."""
+    codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    out = []
+    for n in sizes:
+        hashes = np.full(max(len(codes) - n + 1, 0), n, dtype=np.int64)
+        for k in range(n):
+            hashes = (hashes * GRAM_BASE + codes[k : k + len(hashes)]) % GRAM_PRIME
+        out.append(hashes % features)
+    return np.concatenate(out)
+
+
+def train_char_model(
+    docs: DataFrame, label: str, text: str = "text", features: int = FEATURES, sizes: Sequence[int] = GRAM_SIZES
+) -> CharModel:
+    """Multinomial model over hashed character n-grams, with add-one smoothing over all ``features``.
+
+    Tasks count the n-grams of a batch in arrays and send each number once; the sums of a label become one binary row of
+    at most ``features`` weights, which the driver puts side by side. Their size is checked before.
+    """
+    sizes = tuple(sizes)
+
+    def count(batches):
+        for batch in batches:
+            found: dict[str, list[np.ndarray]] = {}
+            for name, line in zip(*(batch.column(i).to_pylist() for i in (0, 1))):
+                found.setdefault(name, []).append(char_grams(line, sizes, features) if line is not None else np.zeros(0, np.int64))
+            for name, parts in found.items():
+                numbers, n = np.unique(np.concatenate(parts), return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name] * len(n), pa.string()), pa.array(numbers, pa.int64()), pa.array(n, pa.int64())], ["label", "f", "n"]
+                )
+
+    def weigh(table: pa.Table) -> pa.Table:
+        n = np.zeros(features)
+        np.add.at(n, table.column("f").to_numpy(), table.column("n").to_numpy())
+        logs = np.log((n + 1) / (n.sum() + features))
+        return pa.table({"label": table.column("label").slice(0, 1), "w": pa.array([logs.tobytes()], pa.binary())})
+
+    labelled = docs.where(F.col(label).isNotNull()).select(F.col(label).cast("string").alias("label"), gram_line(F.col(text)).alias("line"))
+    n_docs = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if 8 * features * len(n_docs) > MODEL_BYTES:
+        raise ValueError(f"{len(n_docs)} labels of {features} weights are more than {MODEL_BYTES} bytes; take fewer features")
+    sums = labelled.mapInArrow(count, "label string, f long, n long").groupBy("label", "f").agg(F.sum("n").alias("n"))
+    rows = {r["label"]: r["w"] for r in sums.groupBy("label").applyInArrow(weigh, "label string, w binary").collect()}
+    labels, every = sorted(n_docs), sum(n_docs.values())
+    none = np.full(features, -np.log(features))
+    weights = np.stack([np.frombuffer(rows[x]) if x in rows else none for x in labels], axis=1)
+    priors = np.log([n_docs[x] / every for x in labels])
+    return CharModel(labels, docs.sparkSession.sparkContext.broadcast((weights, priors)), sizes)
+
+
+def char_scores(model: CharModel, text: Column) -> Column:
+    """Probabilities of the labels, in their order, from the text where it lies; NULL for a NULL text."""
+    shared, sizes = model.weights, model.sizes
+
+    def score(lines: pd.Series) -> pd.Series:
+        weights, priors = shared.value
+
+        def one(line: str | None):
+            if line is None:
+                return None
+            numbers, n = np.unique(char_grams(line, sizes, len(weights)), return_counts=True)
+            logs = priors + n @ weights[numbers]
+            powers = np.exp(logs - logs.max())
+            return powers / powers.sum()
+
+        return lines.map(one)
+
+    return F.pandas_udf(score, "array<double>")(gram_line(text))
+
+
+def best_label(model: RowModel | CharModel, scores: Column) -> Column:
     """``struct(r, label, score)`` of the best label; ties go to the one that sorts last."""
     names = F.array(*[F.lit(x) for x in model.labels])
     pairs = F.zip_with(names, scores, lambda n, s: F.struct(F.round(s, 9).alias("r"), n.alias("label"), s.alias("score")))
     return F.array_max(pairs)
 
 
-def label_score(model: RowModel, scores: Column, name: str) -> Column:
+def label_score(model: RowModel | CharModel, scores: Column, name: str) -> Column:
     """Score of one label; 0 if the model does not know it."""
     if name not in model.labels:
         return F.when(scores.isNotNull(), F.lit(0.0))

@@ -12,7 +12,7 @@ from pagesift.functions.hashing import xx_31
 from pagesift.operators import decontam as C
 from pagesift.operators import dedup as D
 from pagesift.operators import quality as Q
-from pagesift.operators.joins import lookup_join
+from pagesift.operators.places import placed_join
 from pagesift.operators.reorganize import tag_intervals
 from pagesift.session import materialize
 
@@ -23,15 +23,16 @@ class CurationRules:
     docs: Q.DocRules = field(default_factory=Q.DocRules)
     ngram: int = C.N
     hash_fn: Callable[[Column], Column] = xx_31
+    near: float = D.NEAR
 
 
-def near_duplicates(docs: DataFrame, hash_fn: Callable[[Column], Column] = xx_31) -> DataFrame:
-    """Clusters of documents that share a MinHash bucket.
+def near_duplicates(docs: DataFrame, hash_fn: Callable[[Column], Column] = xx_31, threshold: float = D.NEAR) -> DataFrame:
+    """Clusters of documents that share a MinHash bucket and have at least ``threshold`` of their shingles in common.
 
-    A bucket is the evidence; cutting its star edges by a threshold would lose members that are
-    like each other but unlike the smallest one.
+    A shared bucket only names the pairs to compare.
     """
-    return materialize(D.dup_clusters(D.minhash_pairs(D.minhash_signature(docs, hash_fn=hash_fn))), "clusters")
+    edges = D.minhash_pairs(D.minhash_signature(docs, hash_fn=hash_fn))
+    return D.verified_clusters(edges, docs, threshold)
 
 
 def curate(docs: DataFrame, index: DataFrame, rules: CurationRules = CurationRules()) -> DataFrame:
@@ -48,9 +49,9 @@ def curate(docs: DataFrame, index: DataFrame, rules: CurationRules = CurationRul
     good = materialize(judged.select(*docs.columns, "disposition"), "quality").where(kept).drop("disposition")
     repeated = materialize(D.exact_groups(good).where("copies > 1"), "repeated")
     copies = repeated.select(F.col("first_id").alias("doc_id"), "copies")
-    unique = lookup_join(D.exact_dedup(good), copies, "doc_id", "left")
+    unique = placed_join(D.exact_dedup(good), copies, "doc_id", "left")
     unique = materialize(unique.withColumn("copies", F.coalesce("copies", F.lit(1).cast("long"))), "exact")
-    clusters = near_duplicates(unique, rules.hash_fn)
+    clusters = near_duplicates(unique, rules.hash_fn, rules.near)
     remove = D.dup_remove_list(clusters, unique)
     copies = (
         clusters.join(unique.select("doc_id", "copies"), "doc_id")

@@ -11,10 +11,11 @@ from pagesift.operators import stats as S
 from pagesift.operators.extract import extract_page
 from pagesift.operators.joins import lookup_join
 from pagesift.operators.listings import dump_of
+from pagesift.operators.places import placed_join
 from pagesift.operators.urls import KEPT, UrlRules, url_disposition
 from pagesift.session import materialize
 from pagesift.sinks import writers as W
-from pagesift.sources.warc import failed_ledger, scan_archives
+from pagesift.sources.warc import failed_ledger, fetch_records, scan_archives
 
 KEY = ("cc_path", "record_idx")
 
@@ -102,8 +103,20 @@ def run_extraction(
 
 
 def reextract(survivors: DataFrame, html_records: DataFrame) -> DataFrame:
-    """Extract again from the HTML of surviving keys."""
+    """Extract again from the HTML of surviving keys, which is not shuffled."""
     keys = materialize(survivors.select(*KEY).distinct(), "survivors")
-    again = lookup_join(html_records, keys, list(KEY), "left_semi")
+    again = placed_join(html_records, keys, list(KEY), "left_semi")
     keyed = again.withColumn("_key", F.concat_ws("#", *[F.col(k).cast("string") for k in KEY]))
     return extract_page(keyed, "_key").drop("_key")
+
+
+def reextract_by_range(survivors: DataFrame, index: DataFrame, root: str) -> DataFrame:
+    """Extract again from the archives: an index of them gives the place of each surviving key's record.
+
+    Keys meet the narrow index; each task then reads its records by range, and neither bodies nor HTML are shuffled.
+    """
+    keys = materialize(survivors.select(*KEY).distinct(), "survivors")
+    wanted = lookup_join(index, keys, list(KEY), "left_semi")
+    records = decode_records(fetch_records(wanted, root).where(F.col("error").isNull()))
+    keyed = records.withColumn("_key", F.concat_ws("#", *[F.col(k).cast("string") for k in KEY]))
+    return extract_page(keyed.drop("body"), "_key").drop("_key")

@@ -78,3 +78,22 @@ def test_one_gram_in_most_documents(spark):
     docs = spark.range(500).select(F.col("id").alias("doc_id"), F.lit("w a b c w").alias("text"))
     hits = C.join_contamination(docs, index(spark, ("a b c", "t")), 3, broadcast_bytes=0)
     assert hits.count() == 500
+
+
+def test_equal_keys_of_different_grams_give_no_hit(spark):
+    docs = spark.createDataFrame([*DOCS, (5, "z a b c"), (6, None)], "doc_id long, text string")
+    idx = index(spark, ("a b c", "t1"), ("b c d", "t9"), ("b c", "short"), ("a b c d", "long"))
+    want = {r["doc_id"]: tuple(r) for r in C.join_contamination(docs, idx, 3).collect()}
+    assert want == {1: (1, 1, "a b c", "t1"), 4: (4, 1, "a b c", "t1"), 5: (5, 1, "a b c", "t1")}
+    planted = C.join_contamination(docs, idx, 3, mix=lambda *hashes: F.lit(7).cast("long"))
+    assert {r["doc_id"]: tuple(r) for r in planted.collect()} == want
+
+
+def test_keys_build_no_grams(spark):
+    from pagesift.functions import text as T
+
+    df = spark.createDataFrame([("a b c d",), ("a b",), ("",)], "text string")
+    keys = [r[0] for r in df.select(C.gram_keys(T.words(F.col("text")), 3)).collect()]
+    assert [len(k) for k in keys] == [2, 0, 0]
+    plan = df.select(C.gram_keys(T.words(F.col("text")), 3))._jdf.queryExecution().optimizedPlan().toString()
+    assert "concat_ws" not in plan

@@ -126,3 +126,83 @@ def test_large_folder_gets_more_files(spark):
     docs = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit(1).alias("dup_count"), F.lit("d").alias("dump"))
     splits = R.merge_splits(R.tag_intervals(docs), rows_per_file=20).select("split").distinct().count()
     assert splits == 50
+
+
+def near_case(spark):
+    words = [f"w{i}" for i in range(40)]
+    text = lambda skip: " ".join(w for i, w in enumerate(words) if i != skip)
+    rows = [(1, "unlike " * 3 + " ".join(f"u{i}" for i in range(30))), (5, text(39)), (9, text(38) + " end"), (12, "x " + text(39))]
+    rows += [(20 + i, " ".join(f"v{i}x{j}" for j in range(12))) for i in range(6)]
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_an_unlike_center_loses_no_link(spark):
+    docs = near_case(spark)
+    star = spark.createDataFrame([(1, 5), (1, 9), (1, 12), *((1, 20 + i) for i in range(6))], "u long, v long")
+    assert D.jaccard_scores(star, docs, 0.5).collect() == []
+    links = {(r["u"], r["v"]) for r in D.jaccard_verify(star, docs, 0.5).collect()}
+    assert {(5, 9), (5, 12)} <= links and links <= {(5, 9), (5, 12), (9, 12)}
+    found = {r["doc_id"]: (r["cluster_id"], r["dup_count"]) for r in D.verified_clusters(star, docs, 0.5).collect()}
+    assert found == {5: (5, 3), 9: (5, 3), 12: (5, 3)}
+
+
+@pytest.mark.parametrize("limit", [3, 100_000])
+def test_verified_clusters_equal_all_pairs(spark, limit):
+    """Groups of several families with an unlike center each."""
+    rng = random.Random(2)
+    rows, edges, number = [], [], 0
+    for group in range(3):
+        center, number = number, number + 1
+        rows.append((center, " ".join(f"c{group}y{j}" for j in range(20))))
+        for family in range(4):
+            base = [f"g{group}f{family}w{j}" for j in range(30)]
+            for _ in range(rng.randrange(1, 6)):
+                words = list(base)
+                for _ in range(rng.randrange(0, 3)):
+                    words[rng.randrange(30)] = f"z{rng.randrange(10**6)}"
+                rows.append((number, " ".join(words)))
+                edges.append((center, number))
+                number += 1
+    docs, star = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(edges, "u long, v long")
+    sets = {d: {tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for d, t in rows}
+    members = {}
+    for u, v in edges:
+        members.setdefault(u, {u}).add(v)
+    pairs = [(a, b) for m in members.values() for a in m for b in m if a < b and len(sets[a] & sets[b]) >= 0.6 * len(sets[a] | sets[b])]
+    parent = {d: d for d, _ in rows}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        a, b = sorted((root(a), root(b)))
+        parent[b] = a
+    linked = {x for p in pairs for x in p}
+    got = {r["doc_id"]: r["cluster_id"] for r in D.verified_clusters(star, docs, 0.6, rows_per_task=limit).collect()}
+    assert got == {x: root(x) for x in linked}
+
+
+def test_curation_keeps_what_only_shares_a_bucket(spark, monkeypatch):
+    from pagesift.plans import curation
+
+    docs = near_case(spark)
+    star = spark.createDataFrame([(1, 5), (1, 9), (1, 12), (20, 21)], "u long, v long")
+    monkeypatch.setattr(curation.D, "minhash_pairs", lambda signed: star)
+    found = {r["doc_id"]: r["cluster_id"] for r in curation.near_duplicates(docs, threshold=0.5).collect()}
+    assert found == {5: 5, 9: 5, 12: 5}
+
+
+def test_merged_forests_equal_the_whole(spark):
+    rng = random.Random(9)
+    old = [(rng.randrange(100), rng.randrange(100)) for _ in range(60)]
+    new = [(rng.randrange(150), rng.randrange(150)) for _ in range(50)] + [(200, 201), (300, 300)]
+    table = lambda pairs: spark.createDataFrame(pairs, "u long, v long")
+    whole = clusters(spark, old + new)
+    for limit in (2, 1000):
+        merged = D.merge_clusters(D.dup_clusters(table(old)), table(new), limit)
+        assert {r["doc_id"]: (r["cluster_id"], r["dup_count"]) for r in merged.collect()} == whole
+    assert {r["doc_id"]: r["cluster_id"] for r in D.merge_clusters(D.dup_clusters(table([(1, 1)])), table([(4, 2)])).collect()} == {2: 2, 4: 2}
+    kept = D.merge_clusters(D.dup_clusters(table([(1, 2)])), table([(3, 3)]))
+    assert {r["doc_id"]: r["cluster_id"] for r in kept.collect()} == {1: 1, 2: 1}

@@ -183,3 +183,20 @@ def test_whole_page(spark):
     got = E.extract_page(spark.createDataFrame([("a", page)], "k string, html string"), "k").first()["text"]
     lines = got.split("\n")
     assert lines[0] == "T" and lines[1] == "$x<y$" and lines[-1] == "x^{2}" and "Name" in got
+
+
+def test_references_without_semicolon(one):
+    decode = lambda text: one(lambda: H.decode_entities(F.col("t")), t=text)
+    assert decode("&copy 2020 &copy2020 &nbsp&lt;b&gt &#169 &#xA9 x &notin; &notit &hellip &unknown &amp;copy") == "© 2020 ©2020  <b> © © x ∉ ¬it &hellip &unknown &copy"
+
+
+def test_any_depth_of_sup_and_sub(one):
+    def nested(n):
+        return "a" if n == 0 else f"a<sub>{nested(n - 1)}</sub>"
+
+    def want(n):
+        return "a" if n == 0 else f"a_{{{want(n - 1)}}}"
+
+    for n in (1, 4, 6, 12):
+        assert one(lambda: M.sup_sub(F.col("t")), t=nested(n) + " x<sup>2</sup>") == want(n) + " x^{2}"
+    assert one(lambda: M.sup_sub(F.col("t")), t="x<sup>open") == "x<sup>open"

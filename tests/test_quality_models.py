@@ -89,3 +89,35 @@ def test_thresholds(spark):
     df = spark.createDataFrame([(i, i / 10) for i in range(10)], "doc_id long, math_score double")
     assert M.math_filter(df).count() == 5
     assert tuple(M.score_threshold_report(df).first()) == (10, 5, 2)
+
+
+def test_character_model_on_held_out_texts(spark):
+    from pagesift.catalog import fixtures as X
+
+    docs = X.documents(spark, "/root/testdata/sf0.01").where("lang is not null")
+    held = docs.where("doc_id % 4 = 0")
+    model = M.train_char_model(docs.where("doc_id % 4 <> 0"), "lang")
+    tokens = M.train_row_model(docs.where("doc_id % 4 <> 0"), "lang")
+    best = held.select("lang", M.best_label(model, M.char_scores(model, F.col("text")))["label"].alias("chars"),
+                       M.best_label(tokens, M.row_scores(tokens, F.col("text")))["label"].alias("words"))
+    chars, words = best.agg(F.avg((F.col("chars") == F.col("lang")).cast("int")), F.avg((F.col("words") == F.col("lang")).cast("int"))).first()
+    assert chars >= 0.97 and chars >= words - 0.02
+    short = spark.createDataFrame([("un éléphant où",), ("",), (None,)], "text string")
+    scores = [r[0] for r in short.select(M.char_scores(model, F.col("text"))).collect()]
+    assert scores[2] is None and all(abs(sum(s) - 1) < 1e-9 for s in scores[:2])
+
+
+def test_character_hash_is_the_polynomial():
+    want = [((1 * M.GRAM_BASE + c) % M.GRAM_PRIME) % M.FEATURES for c in (97, 98)]
+    want.append((((2 * M.GRAM_BASE + 97) % M.GRAM_PRIME * M.GRAM_BASE + 98) % M.GRAM_PRIME) % M.FEATURES)
+    assert M.char_grams("ab").tolist() == want
+
+
+def test_prepared_texts_in_training_and_scoring(spark):
+    rows = [("VALUE 12", "a"), ("value 13", "a"), ("other", "b"), ("other 7 words", "b")]
+    df = spark.createDataFrame(rows, "text string, y string")
+    model = M.train_row_model(df, "y", prepare=lambda t: F.regexp_replace(t, "[0-9]+", "number"))
+    texts = spark.createDataFrame([("value 99",), ("words",), (None,), ("",)], "text string")
+    found = M.with_scores(texts, model).select("text", M.best_label(model, F.col("scores"))["label"].alias("l"), "scores").collect()
+    assert {r["text"]: r["l"] for r in found} == {"value 99": "a", "words": "b", None: None, "": found[3]["l"]}
+    assert found[2]["scores"] is None and abs(sum(found[3]["scores"]) - 1) < 1e-9

@@ -163,3 +163,35 @@ def test_only_new_files_are_ingested(spark, tmp_path):
     arrive(3)
     assert run() == 3
     assert run() == 3
+
+
+def test_declared_charsets_by_any_known_name(spark):
+    cases = [("iso-8859-6", "سلام"), ("iso-8859-8", "שלום"), ("tis-620", "สวัสดี"), ("macintosh", "café"), ("cp866", "привет"), ("big5-hkscs", "香港"), ("euc_jis_2004", "日本")]
+    rows = [(text.encode(name), name, text) for name, text in cases]
+    rows += [(b"caf\xe9", "no-such-charset", "café"), (b"caf\xe9", None, "café"), (b"\\u0041\xe9", "unicode_escape", "\\u0041é"), (b"41\xe9", "hex", "41é")]
+    df = spark.createDataFrame(rows, "b binary, c string, want string")
+    found = df.select("want", E.decode_body(F.col("b"), F.col("c")).alias("t")).collect()
+    assert [r["t"] for r in found] == [r["want"] for r in found]
+
+
+def test_a_listing_is_read_and_numbered_in_splits(spark, tmp_path):
+    from pagesift.sources import listings as SL
+
+    lines = [f"crawl/{i:05d}.warc.gz" for i in range(4000)]
+    (tmp_path / "a.txt").write_bytes("\r\n".join(lines).encode() + b"\n\n")
+    (tmp_path / "b.txt").write_bytes(b"first\n\nsecond\nbro\xffken\nlost\n")
+    with gzip.open(tmp_path / "c.gz", "wt") as out:
+        out.write("x\ny\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+        raw = SL._split_lines(spark.read, str(tmp_path))
+        assert raw.rdd.getNumPartitions() > 5
+        found = SL.scan_listing(spark, str(tmp_path)).orderBy("pos").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert [r["value"] for r in found] == [*lines, "first", "second", "x", "y"]
+    assert [r["pos"] for r in found] == list(range(len(found)))
+    assert [r["line_no"] for r in found if r["file"].endswith("b.txt")] == [0, 1]
+    multi = SL.scan_listing_multi(spark, [str(tmp_path / "c.gz"), str(tmp_path / "b.txt"), str(tmp_path / "a.md")])
+    assert [r["value"] for r in multi.orderBy("pos").collect()] == ["x", "y", "first", "second"]

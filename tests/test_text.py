@@ -60,3 +60,9 @@ def test_cut_lines(one):
 def test_nfkc_and_whole_preprocessing(one):
     assert one(lambda: nfkc(F.col("t")), t="ﬁ x² Ａ") == "fi x2 A"
     assert one(lambda: classifier_text(F.col("t")), t="ﬁnd x²\n= ４２") == "find x2 <NUM>"
+
+
+def test_marks_can_be_dropped(one):
+    assert one(lambda: T.simplify(F.col("t"), strip_diacritics=True), t="Élève, Ñandú ÅNGSTRÖM") == "eleve nandu angstrom"
+    assert one(lambda: T.simplify(F.col("t")), t="Élève") == "élève"
+    assert one(lambda: T.simplify(F.col("t"), strip_diacritics=True), t=None) is None
