@@ -123,6 +123,8 @@ def manifest(rows: DataFrame, leaf: Column, group: str, order: Sequence[str], ca
     tree = F.when(value.isNull(), F.lit(NULL)).otherwise(F.concat(F.lit(NAMED), value))
     keys = [col(c).alias(f"order_{i}") for i, c in enumerate(order)]
     narrow = rows.select(tree.alias("tree"), *keys, leaf.alias("h"), *[c.alias(name) for name, c in carry.items()])
+    # Written before the sort, which looks at its rows twice: the texts are read and hashed once.
+    narrow = materialize(narrow, "merkle-leaves")
     leaves = numbered(narrow, [*(f"order_{i}" for i in range(len(order))), "h"])
     largest = int(leaves.agg(F.max("n")).first()[0] or 0)
     runs = runs_of(leaves, largest)
