@@ -12,8 +12,9 @@ def components(links: DataFrame) -> DataFrame:
     """(v, p) for every end of ``links`` (a, b): p is the smallest member of v's component.
 
     Each round a node takes the smallest label around it and then the label of that label.
-    Minima are combined before the shuffle, and the joined tables have one row per node,
-    so a node with very many links is split over tasks. Null ends are left out.
+    Minima are combined before the shuffle, and the other side of each join has one row per
+    node, so the adaptive skew join deals a node with very many links to several tasks. Null
+    ends are left out.
     """
     links = links.where("a is not null and b is not null and a <> b")
     both = materialize(

@@ -4,10 +4,12 @@ A text is the weighted set of its word 5-grams, weight = count x (1 + IDF_SHARE
 idf = ln(1 + N / df) / ln(1 + N). The weight is tempered so that a common shingle still has
 two thirds of a rare one's: the shingles of a text with thousands of near copies are common
 for just that reason, and the copies' own changes must not outweigh them. Document
-frequencies are exact, one count for each 64-bit hash of a shingle. Those above 1 are a table
-that is joined to the shingles of the texts; all others are 1. A bitmap of at most
-``1 << MOST_BITS`` bits tells which shingles may be in the table; where it errs, a shingle
-is sent in vain.
+frequencies are exact, one count for each 64-bit hash of a shingle. Texts lie in chunks of some
+megabytes; a chunk sends its distinct hashes once, sorted and cut into ranges of hash, as
+one array for each range. A range meets the arrays of all chunks, adds up their counts, and
+gives every chunk back the hashes that more than one text has, with their frequency; all
+others are 1. The number of ranges grows with the text, so a range holds about
+``RANGE_HASHES`` hashes, and a shingle of any number of texts is there once for each chunk.
 
 Improved consistent weighted sampling (gamma variates r and c, uniform beta for each
 shingle and function, drawn from its hash) gives ``BANDS * ROWS`` samples that two texts
@@ -20,9 +22,9 @@ Equal word sequences are one node, so copies are never compared. In a bucket of
 no task gets the group and not all pairs are made: each round compares the members with
 one member (the centre), and buckets whose members are all in one class are done. Later
 rounds take other centres, so members that are unlike the first but linked to another
-are found. As soon as the pairs that may still be links (by the triangle inequality over
-distances from the first centre) are at most ``PAIRS`` times the nodes, or after ``TURNS``
-rounds, they are all compared, so none is left untested. Pairs whose total weights differ too much for a link are exact
+are found. As soon as the pairs of members in different classes are at most ``PAIRS`` times
+the nodes, by counts, or after ``TURNS`` rounds, all that may still be links (by the triangle
+inequality over distances from the first centre) are compared, so none is left untested. Pairs whose total weights differ too much for a link are exact
 non-links and are not sent.
 
 Defined cases: a null text is empty; a text without words is a class of its own. A text
@@ -38,12 +40,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagesift.llm.common import chunks, col, hinted, partitions, text_of, words
+from pagesift.llm.common import chunks, col, few_bytes, hinted, text_of, words
 from pagesift.llm.components import components
-from pagesift.operators.joins import salted_join
 from pagesift.session import materialize, new_path
 
 SHINGLE = 5
@@ -51,10 +53,10 @@ THRESHOLD = 0.8
 IDF_SHARE = 0.5
 #: A pair at the threshold shares no band with probability (1 - 0.8 ** 3) ** 13 < 0.0001.
 BANDS, ROWS = 13, 3
-#: Bits of the bitmap of repeated shingles: 16 for each, up to this many.
-MOST_BITS = 28
-#: A shingle of more texts than this is dealt to several tasks.
-ROWS_PER_TASK = 5_000
+#: Texts of a chunk; hashes that a range holds; bytes of texts that a worker is sent at once.
+TEXT_CHUNK = 4 << 20
+RANGE_HASHES = 1 << 20
+BATCH_BYTES = 8 << 20
 TURNS = 8
 PAIRS = 4
 CHUNK_BYTES = 1 << 20
@@ -103,70 +105,114 @@ def part_texts(part: pa.Table, name: str = "text") -> pa.Array:
     return pa.concat_arrays(part.column(name).chunks)
 
 
-def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shingles of a chunk with the number of its texts that have them."""
-    for part in chunks(batches, 8 * CHUNK_BYTES):
-        value, n = np.unique(shingles(part_texts(part))[1], return_counts=True)
-        for at in range(0, len(value), 50_000):
-            some = slice(at, at + 50_000)
-            yield pa.RecordBatch.from_arrays([pa.array(value[some].view(np.int64)), pa.array(n[some].astype(np.int64))], ["g", "df"])
+def in_chunks(texts: DataFrame, most_bytes: int) -> DataFrame:
+    """``texts`` (v, n, text) with ``chunk``, the same number for some megabytes of texts that lie together."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = TaskContext.get().partitionId() << 24
+        for i, part in enumerate(chunks(batches, most_bytes)):
+            yield from part.append_column("chunk", pa.array(np.full(part.num_rows, first + i))).to_batches()
 
-def bitmap(repeated: DataFrame, most: int = MOST_BITS) -> np.ndarray:
-    """A power of two of bits, in words of 64; the upper bits of each hash ``g`` are the place of a bit that is set."""
-    bits = min(most, max(10, (16 * repeated.count()).bit_length()))
-    at = F.shiftrightunsigned("g", 64 - bits)
-    words_of = repeated.groupBy(F.shiftright(at, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(g, {64 - bits}) & 63 as int))")).alias("bits"))
-    found = words_of.toArrow()  # 2 ** bits / 64 rows at most
-    table = np.zeros((1 << bits) >> 6, dtype=np.uint64)
-    table[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
-    return table
+    return texts.select("v", "n", "text").mapInArrow(run, "v long, n long, text string, chunk long")
 
 
-def maybe_repeated(value: np.ndarray, table: np.ndarray) -> np.ndarray:
-    at = value >> np.uint64(64 - (64 * len(table)).bit_length() + 1)
-    return (table[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+def range_of(value: np.ndarray, ranges: int) -> np.ndarray:
+    """The range of each hash; it rises with the hash."""
+    return ((value >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
 
 
-def _sent(table):
-    """The shingles of each node that may be repeated."""
+def _counted(ranges: int, most_bytes: int):
+    """The distinct shingles of a chunk, one row for each range: hashes and the number of documents that have them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(batches, CHUNK_BYTES):
-            bounds, value, _ = shingles(part_texts(part))
-            node = np.repeat(part.column("v").to_numpy(), np.diff(bounds))
-            keep = maybe_repeated(value, table.value)
-            node, value = node[keep], value[keep].view(np.int64)
-            for at in range(0, len(value), 50_000):
-                yield pa.RecordBatch.from_arrays([pa.array(node[at : at + 50_000]), pa.array(value[at : at + 50_000])], ["v", "g"])
+        for part in chunks(batches, most_bytes):
+            of_row = part.column("chunk").to_numpy()
+            for chunk in np.unique(of_row).tolist():
+                some = part.filter(pa.array(of_row == chunk))
+                bounds, value, _ = shingles(part_texts(some))
+                n = np.repeat(some.column("n").to_numpy(), np.diff(bounds))
+                order = np.argsort(value)
+                value, n = value[order], n[order]
+                heads = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]])) if len(value) else np.zeros(0, np.int64)
+                value, n = value[heads], np.add.reduceat(n, heads) if len(heads) else n
+                cuts = np.searchsorted(range_of(value, ranges), np.arange(ranges + 1, dtype=np.uint64))
+                there = np.flatnonzero(np.diff(cuts))
+                data, numbers = value.tobytes(), n.astype(np.uint32).tobytes()
+                lows, highs = cuts[there].tolist(), cuts[there + 1].tolist()
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(there, pa.int64()), pa.array(np.full(len(there), chunk), pa.int64()),
+                    pa.array([data[8 * a : 8 * b] for a, b in zip(lows, highs)], pa.binary()),
+                    pa.array([numbers[4 * a : 4 * b] for a, b in zip(lows, highs)], pa.binary()),
+                ], ["range", "chunk", "gs", "n"])
 
     return run
 
 
-def with_frequencies(source: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``nodes`` (v, text) with those of their shingles ``gs`` that more than one text of ``source`` has, and in how many, ``dfs``."""
-    counted = source.select("text").mapInArrow(_frequencies, "g long, df long")
-    repeated = materialize(counted.groupBy("g").agg(F.sum("df").alias("df")).where("df > 1"), "repeated-shingles")
-    table = source.sparkSession.sparkContext.broadcast(bitmap(repeated))
-    sent = nodes.mapInArrow(_sent(table), "v long, g long")
-    # A node is a text at least, so the frequencies bound the rows of each key.
-    met = salted_join(sent, repeated, ["g"], repeated.select("g", F.col("df").alias("n")), "inner", ROWS_PER_TASK)
-    lists = met.groupBy("v").agg(F.collect_list(F.struct("g", "df")).alias("s")).select("v", F.col("s.g").alias("gs"), F.col("s.df").alias("dfs"))
-    return nodes.join(lists.hint("merge"), "v", "left")
-
-
-def weights(bounds: np.ndarray, value: np.ndarray, counts: np.ndarray, gs: pa.Array, dfs: pa.Array, total: int) -> np.ndarray:
-    """Weights of the shingles of some texts; ``gs`` and ``dfs`` hold the frequencies above 1 of each text."""
-    df = np.ones(len(value))
-    listed = gs.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-    known, at = np.unique(listed, return_index=True)
-    if len(known):
-        place = np.minimum(np.searchsorted(known, value), len(known) - 1)
-        numbers = dfs.flatten().to_numpy(zero_copy_only=False).astype(np.float64)[at]
-        df = np.where(known[place] == value, numbers[place], 1.0)
+def _numbers(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(x or b"" for x in column.to_pylist()), kind)
+
+
+def _repeated(table: pa.Table) -> pa.Table:
+    """What of a range each chunk has that more than one document has."""
+    gs, n = _numbers(table.column("gs"), np.uint64), _numbers(table.column("n"), np.uint32)
+    _, which = np.unique(gs, return_inverse=True)
+    df = np.bincount(which, weights=n).astype(np.uint32)[which]
+    ends = np.cumsum([len(x) // 8 for x in table.column("gs").to_pylist()])
+    found: dict[str, list] = {"chunk": [], "gs": [], "dfs": []}
+    for chunk, low, high in zip(table.column("chunk").to_pylist(), [0, *ends[:-1].tolist()], ends.tolist()):
+        keep = df[low:high] > 1
+        if keep.any():
+            found["chunk"].append(chunk)
+            found["gs"].append(gs[low:high][keep].tobytes())
+            found["dfs"].append(df[low:high][keep].tobytes())
+    kinds = {"chunk": pa.int64(), "gs": pa.binary(), "dfs": pa.binary()}
+    return pa.table({c: pa.array(x, kinds[c]) for c, x in found.items()})
+
+
+def frequencies(texts: DataFrame, n_bytes: int, chunk_bytes: int, range_hashes: int) -> DataFrame:
+    """Frequencies above 1 of the shingles of each chunk of ``texts``: chunk, gs and dfs, in several rows."""
+    ranges = max(1, -(-n_bytes // (6 * range_hashes)))  # a word and its blank have some six bytes
+    sent = texts.mapInArrow(_counted(ranges, chunk_bytes), "range long, chunk long, gs binary, n binary")
+    return sent.groupBy("range").applyInArrow(_repeated, "chunk long, gs binary, dfs binary")
+
+
+def listed(lists: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of a chunk that are repeated, in order, and their frequencies."""
+    known, at = np.unique(_numbers(lists.column("gs"), np.uint64), return_index=True)
+    return known, _numbers(lists.column("dfs"), np.uint32)[at].astype(np.float64)
+
+
+def looked_up(value: np.ndarray, known: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """Document frequencies of hashes, 1 for those that are not known."""
+    if not len(known):
+        return np.ones(len(value))
+    place = np.minimum(np.searchsorted(known, value), len(known) - 1)
+    return np.where(known[place] == value, numbers[place], 1.0)
+
+
+def weighted(counts: np.ndarray, df: np.ndarray, total: int) -> np.ndarray:
     return counts * (1 + IDF_SHARE * np.log1p(total / df) / np.log1p(max(total, 1)))
 
 
+def _members(rows: pa.Table, lists: pa.Table) -> pa.Table:
+    """The shingles of each text as arrays: hashes ``gs`` in order, document frequencies ``dfs``, counts ``ns``."""
+    known, numbers = listed(lists)
+    out = [pa.table([pa.array([], t) for t in (pa.int64(), pa.binary(), pa.binary(), pa.binary())], ["v", "gs", "dfs", "ns"])]
+    for part in chunks(iter(rows.to_batches()), CHUNK_BYTES):
+        bounds, value, counts = shingles(part_texts(part))
+        data = [value, looked_up(value, known, numbers).astype(np.uint32), counts.astype(np.uint32)]
+        cuts = list(zip(bounds[:-1].tolist(), bounds[1:].tolist()))
+        columns = [pa.array([x[a:b].tobytes() for a, b in cuts], pa.binary()) for x in data]
+        out.append(pa.table([part_texts(part, "v"), *columns], ["v", "gs", "dfs", "ns"]))
+    return pa.concat_tables(out)
+
+
+def with_frequencies(texts: DataFrame, lists: DataFrame) -> DataFrame:
+    """The shingles of ``texts`` (chunk, v, text) with their frequencies, as arrays: v, gs, dfs, ns."""
+    some = texts.select("chunk", "v", "text").groupBy("chunk").cogroup(lists.groupBy("chunk"))
+    return some.applyInArrow(_members, "v long, gs binary, dfs binary, ns binary")
+
+
 def variates() -> tuple[np.ndarray, np.ndarray]:
     """Quantiles of the gamma (2, 1) distribution and their logarithms, for 16 bits of hash.
 
@@ -210,36 +256,39 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _signed(total: int, bands: int, rows: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(batches, CHUNK_BYTES):
+    def run(texts: pa.Table, lists: pa.Table) -> pa.Table:
+        known, numbers = listed(lists)
+        out = [pa.table([pa.array([], t) for t in (pa.int64(), pa.float64(), pa.list_(pa.int64()))], ["v", "total", "bands"])]
+        for part in chunks(iter(texts.to_batches()), CHUNK_BYTES):
             bounds, value, counts = shingles(part_texts(part))
-            weight = weights(bounds, value, counts, part_texts(part, "gs"), part_texts(part, "dfs"), total)
+            weight = weighted(counts, looked_up(value, known, numbers), total)
             sums = np.add.reduceat(weight, bounds[:-1])  # a node has a shingle at least
             found = samples(value, weight, bounds, bands * rows).reshape(len(sums), bands, rows)
             keys = np.zeros((len(sums), bands), dtype=np.uint64)
             for k in range(rows):
                 keys = mixed(keys * A + found[:, :, k])
             keys = mixed(keys + np.arange(1, bands + 1, dtype=np.uint64) * B)
-            yield pa.RecordBatch.from_arrays(
-                [part_texts(part, "v"), pa.array(sums), pa.array(keys.view(np.int64).tolist(), pa.list_(pa.int64()))],
-                ["v", "total", "bands"],
-            )
+            flat = pa.array(keys.view(np.int64).ravel())
+            cuts = pa.array(np.arange(len(sums) + 1) * bands, pa.int32())
+            out.append(pa.table([part_texts(part, "v"), pa.array(sums), pa.ListArray.from_arrays(cuts, flat)], ["v", "total", "bands"]))
+        return pa.concat_tables(out)
 
     return run
 
 
 def _similar(total: int):
-    """Weighted Jaccard similarity of the two texts of each row."""
+    """Weighted Jaccard similarity of the two texts of each row, from their shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(batches, 2 * CHUNK_BYTES):
+        for part in chunks(batches, 4 * CHUNK_BYTES):
             n = part.num_rows
             pairs, values, of_side = [], [], []
-            for name in ("x", "y"):
-                bounds, value, counts = shingles(part_texts(part, name))
-                pairs.append(np.repeat(np.arange(n), np.diff(bounds)))
-                values.append(value)
-                of_side.append(weights(bounds, value, counts, part_texts(part, f"{name}_gs"), part_texts(part, f"{name}_dfs"), total))
+            for side in ("x", "y"):
+                gs, dfs, ns = (part.column(f"{side}_{c}").to_pylist() for c in ("gs", "dfs", "ns"))
+                pairs.append(np.repeat(np.arange(n), [len(x) // 8 for x in gs]))
+                values.append(np.frombuffer(b"".join(gs), np.uint64))
+                df, counts = (np.frombuffer(b"".join(x), np.uint32).astype(np.float64) for x in (dfs, ns))
+                of_side.append(weighted(counts, df, total))
             pair, value, weight = (np.concatenate(x) for x in (pairs, values, of_side))
             order = np.lexsort((value, pair))
             pair, value, weight = pair[order], value[order], weight[order]
@@ -261,9 +310,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, total: int) -> DataFrame:
-    """``pairs`` (a, b, la, lb) with their similarity. Texts are sent for these pairs only."""
+    """``pairs`` (a, b, la, lb) with their similarity. Shingles are sent for these pairs only."""
     def side(name: str) -> list[Column]:
-        return [F.col("text").alias(name), F.col("gs").alias(f"{name}_gs"), F.col("dfs").alias(f"{name}_dfs")]
+        return [F.col(c).alias(f"{name}_{c}") for c in ("gs", "dfs", "ns")]
 
     small = hinted(pairs, F.lit(64))
     left = texts.join(small, F.col("v") == F.col("a")).select("a", "b", "la", "lb", *side("x"))
@@ -273,13 +322,17 @@ def verified(pairs: DataFrame, texts: DataFrame, total: int) -> DataFrame:
 
 
 def linked_labels(buckets: DataFrame, texts: DataFrame, total: int, threshold: float, turns: int) -> DataFrame:
-    """(v, label) of all nodes in ``buckets`` (k, v, total): nodes joined by links have one label."""
+    """(v, label) of all nodes in ``buckets`` (k, v, total, met): nodes joined by links have one label.
+
+    ``texts`` holds the shingles of the nodes.
+    """
     labels = materialize(buckets.select("v").distinct().select("v", F.col("v").alias("label")), "node-labels")
     nodes, still_open, tested = labels.count(), buckets, None
     for turn in range(turns + 1):
         members = still_open.join(labels.hint("merge"), "v")
-        # First one centre for all buckets of a group, which gives the fewest pairs; then a different one in each.
-        order = F.xxhash64("v", "k", F.lit(turn)) if turn else F.xxhash64("v")
+        # First the member that meets the most others in its buckets: of the copies of a text that is likely the text
+        # itself, to which all of them are linked. Then a different one in each bucket.
+        order = F.xxhash64("v", "k", F.lit(turn)) if turn else F.struct(-F.col("met"), F.xxhash64("v"))
         groups = members.groupBy("k").agg(
             F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"),
             F.min(F.struct(order.alias("o"), "v", "label", "total")).alias("c"),
@@ -290,7 +343,12 @@ def linked_labels(buckets: DataFrame, texts: DataFrame, total: int, threshold: f
         centres = groups.select("k", F.col("c.v").alias("w"), F.col("c.label").alias("lw"), F.col("c.total").alias("tw"))
         members = materialize(members.join(centres.hint("merge"), "k"), "bucket-members")
         last = turn == turns
-        if turn:
+        if turn and not last:
+            # Pairs of different labels, counted without making them.
+            of_label = members.groupBy("k", "label").agg(F.count(F.lit(1)).alias("n"))
+            of_bucket = of_label.groupBy("k").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("open"))
+            last = (of_bucket.agg(F.sum("open")).first()[0] or 0) <= PAIRS * nodes
+        if turn and last:
             # The distance 1 - similarity is a metric. What differs more in its distance from the first centre
             # than a link allows cannot be linked; that settles the members that are unlike the rest.
             first = labels.select(F.col("v").alias("first"), F.col("label").alias("first_label"))
@@ -300,9 +358,9 @@ def linked_labels(buckets: DataFrame, texts: DataFrame, total: int, threshold: f
                 (F.col("label") != F.col("lw"))
                 & (F.coalesce(F.abs(F.col("near") - F.col("near_w")), F.lit(0.0)) <= 1 - threshold + 1e-6)
             )
-            possible = _pairs(possible, tested, threshold)
-            last = last or possible.count() <= PAIRS * nodes
-        pairs = possible if last else _pairs(members.where(F.col("label") != F.col("lw")), tested, threshold)
+            pairs = _pairs(possible, tested, threshold)
+        else:
+            pairs = _pairs(members.where(F.col("label") != F.col("lw")), tested, threshold)
         found = materialize(verified(materialize(pairs, "pairs"), texts, total), "verified")
         fresh = found.select("a", "b")
         tested = fresh if tested is None else tested.union(fresh)
@@ -318,9 +376,9 @@ def linked_labels(buckets: DataFrame, texts: DataFrame, total: int, threshold: f
             both = found.select("a", "b", F.col("similarity").alias("near"))
             known = members.withColumns({"a": F.least("v", "w"), "b": F.greatest("v", "w")}).join(both.hint("merge"), ["a", "b"], "left")
             known = known.withColumn("near", F.when(F.col("v") == F.col("w"), 1.0).otherwise(F.col("near")))
-            still_open = materialize(known.select("k", "v", "total", "near", F.col("w").alias("first")), "bucket-distances")
+            still_open = materialize(known.select("k", "v", "total", "met", "near", F.col("w").alias("first")), "bucket-distances")
         else:
-            still_open = members.select("k", "v", "total", "near", "first")
+            still_open = members.select("k", "v", "total", "met", "near", "first")
     return labels
 
 
@@ -335,6 +393,11 @@ def _pairs(joined: DataFrame, tested: DataFrame | None, threshold: float) -> Dat
     return pairs if tested is None else pairs.join(tested.hint("merge"), ["a", "b"], "left_anti")
 
 
+def _unique(keyed: DataFrame) -> bool:
+    """Whether no two rows are equal in id and text."""
+    return keyed.groupBy("id", "t").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+
+
 def near_classes(
     docs: DataFrame, id_name: str = "doc_id", text_name: str = "text", threshold: float = THRESHOLD, bands: int = BANDS,
     rows: int = ROWS, turns: int = TURNS,
@@ -350,18 +413,24 @@ def near_classes(
         F.min(F.struct(F.col("id").isNull().alias("none"), "id", "t")).alias("r"), F.count(F.lit(1)).alias("n"),
     )
     nodes = written(nodes.select("key", "r.id", "r.t", "n", F.monotonically_increasing_id().alias("v")), "nodes")
-    wanted = nodes.select("v", F.col("id").alias("ni"), F.col("t").alias("nt"))
+    wanted = nodes.select("v", "n", F.col("id").alias("ni"), F.col("t").alias("nt"))
     same = F.col("id").eqNullSafe(F.col("ni")) & (F.col("t") == F.col("nt"))
-    texts = written(source.join(hinted(wanted, F.lit(64)), same).select("v", "text"), "node-texts")
-    texts = written(with_frequencies(source, texts), "node-frequencies")
-    # Rows equal in id and text are several rows of one node.
-    signed = texts.mapInArrow(_signed(total, bands, rows), "v long, total double, bands array<long>")
-    signed = written(signed.dropDuplicates(["v"]), "signatures")
-    spread = signed.select("v", "total", F.explode("bands").alias("k"))
-    shared = spread.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k")
-    buckets = materialize(spread.join(shared.hint("merge"), "k"), "buckets")
-    members = materialize(buckets.select("v").distinct(), "wanted")
-    texts = written(texts.join(hinted(members, F.lit(64)), "v"), "member-texts")
+    with few_bytes(spark, BATCH_BYTES):
+        # Rows equal in id and text are several rows of one node.
+        texts = source.join(hinted(wanted, F.lit(64)), same).select("v", "n", "text")
+        texts = texts if _unique(keyed) else texts.dropDuplicates(["v"])
+        texts = written(in_chunks(texts, TEXT_CHUNK), "node-texts")
+        n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        lists = written(frequencies(texts, n_bytes, TEXT_CHUNK, RANGE_HASHES), "shingle-frequencies")
+        both = texts.select("chunk", "v", "text").groupBy("chunk").cogroup(lists.groupBy("chunk"))
+        signed = written(both.applyInArrow(_signed(total, bands, rows), "v long, total double, bands array<long>"), "signatures")
+        spread = signed.select("v", "total", F.explode("bands").alias("k"))
+        shared = spread.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        met = materialize(spread.join(shared.hint("merge"), "k"), "bucket-sizes")
+        degrees = met.groupBy("v").agg(F.sum("n").alias("met"))
+        buckets = materialize(met.drop("n").join(degrees.hint("merge"), "v"), "buckets")
+        members = materialize(buckets.select("v").distinct(), "wanted")
+        texts = written(with_frequencies(texts.join(hinted(members, F.lit(64)), "v"), lists), "member-texts")
     labels = linked_labels(buckets, texts, total, threshold, turns)
 
     named = nodes.select("key", "v", "id", "n").join(labels, "v", "left").withColumn("label", F.coalesce("label", "v"))
