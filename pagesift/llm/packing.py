@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pagesift.llm.common import col, hinted, partitions, text_of, words
+from pagesift.llm.common import chunks, col, hinted, partitions, text_of, words
 from pagesift.session import materialize, new_path
 
 SEQUENCE = 2048
@@ -54,6 +54,8 @@ WEIGHTS = 1 << 20
 MEMO_WORDS = 800_000
 MEMO_PIECES = 300_000
 MEMO_CHARS = 64
+#: Texts that are tokenised at once: each of their distinct words is looked up once.
+BATCH_BYTES = 16 << 20
 
 
 class WordTokenizer:
@@ -125,12 +127,11 @@ def tokenised(docs: DataFrame, path: str, end_id: int, id_name: str, text_name:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokenizer(path).encode
         part, before = TaskContext.get().partitionId(), {}
-        for batch in batches:
-            for first in range(0, batch.num_rows, 2_500):
-                rows = batch.slice(first, 2_500)
+        for table in chunks(batches, BATCH_BYTES):
+            for rows in table.to_batches():
                 bounds, ids = encode(rows.column(2), end_id)
                 sizes, starts = np.diff(bounds), []
-                data = ids.astype("<u4").tobytes()
+                data = ids.astype("<u4", copy=False).tobytes()
                 cut = [data[4 * a : 4 * b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
                 for source, n in zip(rows.column(1).to_pylist(), sizes.tolist()):
                     starts.append(before.get(source, 0))
