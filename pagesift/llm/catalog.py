@@ -79,19 +79,19 @@ def op8_top_k(spark: SparkSession, folder: str) -> DataFrame:
 
 OP8_SQL = """
 WITH good AS (
-  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), wide AS (
-  SELECT vec_id, v, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM good
+  SELECT r, vec_id, v, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM good
 ), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
-  FROM wide q JOIN wide c ON q.d = c.d AND len(q.v) = len(c.v) AND q.vec_id <> c.vec_id
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+  FROM wide q JOIN wide c ON q.d = c.d AND len(q.v) = len(c.v) AND q.r <> c.r
   WHERE q.vec_id % 20 = 0
-  GROUP BY q.vec_id, q.v, c.vec_id, c.v
+  GROUP BY q.r, q.vec_id, c.r, c.vec_id
 ), ranked AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+  SELECT *, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """

@@ -23,6 +23,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from pagesift.llm.common import col, hinted, partitions, text_of
 from pagesift.session import materialize, new_path
@@ -108,8 +109,8 @@ class Runs:
 
 
 def batch_filters(docs: DataFrame, batches: int) -> list[Column]:
-    """Ranges of ascending id with about equally many rows; the last also takes null ids."""
-    shares = [i / batches for i in range(1, batches)]
+    """Ranges of ascending id with about equally many rows; the last also takes null ids. Ids that are no numbers are one range."""
+    shares = [i / batches for i in range(1, batches)] if isinstance(docs.schema["d"].dataType, NumericType) else []
     cuts = docs.agg(F.percentile_approx("d", shares).alias("c")).first()["c"] if shares else []
     cuts = sorted(set(cuts or []))
     d = F.col("d")
@@ -121,27 +122,32 @@ def batch_filters(docs: DataFrame, batches: int) -> list[Column]:
     return ranges
 
 
+def _batch_drops(docs: DataFrame, runs: Runs, min_points: int) -> DataFrame:
+    """The positions that a batch loses; the keys that are new in it become a run."""
+    lines = occurrences(docs, min_points)
+    fresh = lines.groupBy("h1", "h2").agg(F.min("d").alias("first"))
+    for run in runs.all():
+        fresh = fresh.join(run.select("h1", "h2").hint("merge"), ["h1", "h2"], "left_anti")
+    kept = docs.sparkSession.table(runs.add(fresh)).select(
+        F.col("h1").alias("k1"), F.col("h2").alias("k2"), F.col("first").alias("k3")
+    )
+    own = (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")) & F.col("d").eqNullSafe(F.col("k3"))
+    late = lines.join(kept.hint("merge"), own, "left_anti")
+    return materialize(late.groupBy("d", "t").agg(F.collect_set("pos").alias("late")), "line-drops")
+
+
 def dropped_lines(
     docs: DataFrame, batches: int = BATCHES, fanout: int = FANOUT, min_points: int = MIN_POINTS
 ) -> DataFrame:
     """Per (d, t): the positions of the lines to drop. ``docs`` has d (id), t (hash of text), x (text)."""
     spark = docs.sparkSession
     runs, drops = Runs(spark, fanout), []
-    for wanted in batch_filters(docs, batches):
-        lines = occurrences(docs.where(wanted), min_points)
-        fresh = lines.groupBy("h1", "h2").agg(F.min("d").alias("first"))
-        for run in runs.all():
-            fresh = fresh.join(run.select("h1", "h2").hint("merge"), ["h1", "h2"], "left_anti")
-        kept = spark.table(runs.add(fresh)).select(
-            F.col("h1").alias("k1"), F.col("h2").alias("k2"), F.col("first").alias("k3")
-        )
-        own = (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")) & F.col("d").eqNullSafe(F.col("k3"))
-        late = lines.join(kept.hint("merge"), own, "left_anti")
-        drops.append(
-            materialize(late.groupBy("d", "t").agg(F.collect_set("pos").alias("late")), "line-drops")
-        )
-        runs.compact()
-    runs.close()
+    try:
+        for wanted in batch_filters(docs, batches):
+            drops.append(_batch_drops(docs.where(wanted), runs, min_points))
+            runs.compact()
+    finally:
+        runs.close()
     found = drops[0]
     for part in drops[1:]:
         found = found.unionByName(part)

@@ -13,8 +13,8 @@ Blocks of rows meet blocks of queries on an equal (block, query block) key, so b
 be larger than any one machine; nothing is broadcast.
 
 Defined cases: rows with a null id or a null, empty or non-finite vector take no part.
-Rows equal in id and quantised vector count once. A query is compared with all rows of
-another id and of the same number of components. Scores must fit in 64 bits. An empty
+Rows that are equal in all are different rows: a query is compared with every row but itself
+that has the same number of components, and equal queries each give their rows. Scores must fit in 64 bits. An empty
 table, or one without queries, gives an empty result. Other columns play no part.
 """
 
@@ -35,18 +35,18 @@ QUERIES = 256
 
 
 def quantised(vectors: DataFrame, id_name: str, vector_name: str, scale: float) -> DataFrame:
-    """id and v (array of long) of the rows that take part, each once."""
+    """id and v (array of long) of the rows that take part."""
     vector = col(vector_name)
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     good = col(id_name).isNotNull() & vector.isNotNull() & (F.size(vector) > 0) & finite
     whole = F.transform(vector, lambda x: F.floor(x.cast("double") * F.lit(float(scale))).cast("long"))
-    return vectors.where(good).select(col(id_name).alias("id"), whole.alias("v")).distinct()
+    return vectors.where(good).select(col(id_name).alias("id"), whole.alias("v"))
 
 
-def sliced(ids: np.ndarray, values: np.ndarray) -> dict:
-    """An index block: rows by id, per dimension its least value, its number of bits and its slices."""
+def sliced(ids: np.ndarray, numbers: np.ndarray, values: np.ndarray) -> dict:
+    """An index block: rows by id with their numbers, per dimension its least value, its number of bits and its slices."""
     order = np.argsort(ids, kind="stable")
-    ids, values = ids[order], values[order]
+    ids, numbers, values = ids[order], numbers[order], values[order]
     low = values.min(axis=0)
     high = (values - low).max(axis=0)
     bits = np.array([int(x).bit_length() for x in high.tolist()], dtype=np.int32)
@@ -59,14 +59,15 @@ def sliced(ids: np.ndarray, values: np.ndarray) -> dict:
             packed = np.packbits(((shifted >> np.uint64(j)) & np.uint64(1)).astype(np.uint8), bitorder="little")
             slices[at, : len(packed)] = packed
             at += 1
-    return {"ids": ids.tobytes(), "low": low.tobytes(), "bits": bits.tobytes(), "slices": slices.tobytes()}
+    return {"ids": ids.tobytes(), "numbers": numbers.tobytes(), "low": low.tobytes(), "bits": bits.tobytes(), "slices": slices.tobytes()}
 
 
 class Block:
     """An index block in memory."""
 
-    def __init__(self, ids: bytes, low: bytes, bits: bytes, slices: bytes):
+    def __init__(self, ids: bytes, numbers: bytes, low: bytes, bits: bytes, slices: bytes):
         self.ids, self.low = np.frombuffer(ids, np.int64), np.frombuffer(low, np.int64)
+        self.numbers = np.frombuffer(numbers, np.int64)
         self.bits = np.frombuffer(bits, np.int32)
         self.words = -(-len(self.ids) // 64)
         self.slices = np.frombuffer(slices, np.uint64).reshape(-1, self.words)
@@ -108,10 +109,10 @@ class Block:
             out.append(column[0] if column else np.zeros(self.words, dtype=np.uint64))
         return out
 
-    def top(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and exact scores of the k best rows; of equal scores the smaller ids."""
+    def top(self, number: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and exact scores of the k best rows but that of this number; of equal scores the smaller ids."""
         rest = self.exists.copy()
-        for row in range(*np.searchsorted(self.ids, [query_id, query_id + 1])):
+        for row in np.flatnonzero(self.numbers == number).tolist():
             rest[row >> 6] &= ~(np.uint64(1) << np.uint64(row & 63))
         taken, n_taken = np.zeros(self.words, dtype=np.uint64), 0
         for piece in reversed(self.sums(query)):
@@ -147,25 +148,25 @@ class Block:
 
 def _build(most: int):
     def run(batches):
-        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        held: dict[int, list[tuple[np.ndarray, ...]]] = {}
+        names = ["ids", "numbers", "low", "bits", "slices"]
 
         def block(dim: int) -> pa.RecordBatch:
-            ids, values = (np.concatenate(x) for x in zip(*held.pop(dim)))
-            made = sliced(ids, values)
+            made = sliced(*(np.concatenate(x) for x in zip(*held.pop(dim))))
             return pa.RecordBatch.from_arrays(
-                [pa.array([dim], pa.int32()), *(pa.array([made[c]], pa.binary()) for c in ("ids", "low", "bits", "slices"))],
-                ["dim", "ids", "low", "bits", "slices"],
+                [pa.array([dim], pa.int32()), *(pa.array([made[c]], pa.binary()) for c in names)], ["dim", *names]
             )
 
         for batch in batches:
             ids = batch.column(0).to_numpy()
             sizes = np.diff(batch.column(1).offsets.to_numpy())
             flat = batch.column(1).flatten().to_numpy()
+            numbers = batch.column(2).to_numpy()
             starts = np.cumsum(sizes) - sizes
             for dim in np.unique(sizes).tolist():
                 rows = np.flatnonzero(sizes == dim)
-                held.setdefault(dim, []).append((ids[rows], flat[starts[rows][:, None] + np.arange(dim)]))
-                if sum(len(x) for x, _ in held[dim]) >= most:
+                held.setdefault(dim, []).append((ids[rows], numbers[rows], flat[starts[rows][:, None] + np.arange(dim)]))
+                if sum(len(x[0]) for x in held[dim]) >= most:
                     yield block(dim)
         for dim in list(held):
             yield block(dim)
@@ -177,10 +178,10 @@ def _search(k: int):
     def run(index: pa.Table, queries: pa.Table) -> pa.Table:
         found: dict[str, list] = {"query_id": [], "query_no": [], "vec_id": [], "score": []}
         for row in index.to_pylist():
-            block = Block(row["ids"], row["low"], row["bits"], row["slices"])
+            block = Block(row["ids"], row["numbers"], row["low"], row["bits"], row["slices"])
             for query_id, number, vector in zip(*(queries.column(c).to_pylist() for c in ("id", "no", "v"))):
                 if len(vector) == row["dim"]:
-                    ids, scores = block.top(query_id, np.array(vector, dtype=np.int64), k)
+                    ids, scores = block.top(number, np.array(vector, dtype=np.int64), k)
                     found["query_id"] += [query_id] * len(ids)
                     found["query_no"] += [number] * len(ids)
                     found["vec_id"] += ids.tolist()
@@ -195,20 +196,19 @@ def top_k(
     scale: float = SCALE, rows: int = ROWS, queries: int = QUERIES,
 ) -> DataFrame:
     """Per query: query_id, rank, vec_id, score. ``is_query`` is a condition on the column ``id``."""
-    whole = materialize(quantised(vectors, id_name, vector_name, scale), "topk-rows")
+    rows_of = quantised(vectors, id_name, vector_name, scale)
+    whole = materialize(rows_of.withColumn("no", F.monotonically_increasing_id()), "topk-rows")
     asked = whole.where(is_query)
     n_blocks = max(1, -(-whole.count() // rows))
     n_queries = max(1, -(-asked.count() // queries))
     index = (
         whole.repartition(n_blocks)
-        .mapInArrow(_build(2 * rows), "dim int, ids binary, low binary, bits binary, slices binary")
+        .mapInArrow(_build(2 * rows), "dim int, ids binary, numbers binary, low binary, bits binary, slices binary")
         .withColumn("block", F.spark_partition_id())
         .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(n_queries - 1))))
     )
-    number = F.xxhash64("v")
     spread = (
-        asked.withColumn("no", number)
-        .withColumn("part", F.pmod(F.xxhash64("id", "no"), F.lit(n_queries)).cast("int"))
+        asked.withColumn("part", F.pmod(F.xxhash64("id", "no"), F.lit(n_queries)).cast("int"))
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
     )
     found = (
@@ -216,7 +216,7 @@ def top_k(
         .cogroup(spread.groupBy("block", "part"))
         .applyInArrow(_search(k), "query_id long, query_no long, vec_id long, score long")
     )
-    best = W.partitionBy("query_id", "query_no").orderBy(F.desc("score"), "vec_id")
+    best = W.partitionBy("query_no").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")

@@ -187,8 +187,12 @@ def parsed(content: bytes) -> Iterator[dict]:
             return
         fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in head[1:])}
         found = {own: fields.get(name) for name, own in FIELDS.items()}
-        found |= {k: int(found[k]) for k in ("number", "total") if found[k]}
-        size = int(fields.get("content-length") or -1)
+        try:
+            found |= {k: int(found[k]) if found[k] else None for k in ("number", "total")}
+            size = int(fields.get("content-length") or -1)
+        except ValueError as error:
+            yield found | {"number": None, "total": None, "error": f"header: {error}"}
+            return
         block = data[end + 4 : end + 4 + size]
         at = end + 4 + size + 4
         if size < 0 or len(block) < size or data[at - 4 : at] != b"\r\n\r\n":

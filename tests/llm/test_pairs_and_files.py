@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from pagesift.session import materialize
 from pagesift.llm import components, near_dedup, substring_dedup, topk, warc
 
 from .conftest import ROWS, lorem
@@ -33,6 +34,9 @@ def test_components(spark):
     real = [(a, b) for a, b in links if b is not None and a != b]
     assert found == roots({x for pair in real for x in pair}, real)
     assert components.components(spark.createDataFrame([], "a long, b long")).collect() == []
+    hub = [(1000, i) for i in range(400)] + [(5, 2000), (2000, 2001)]
+    found = components.components(spark.createDataFrame(hub, "a long, b long")).collect()
+    assert {x["v"]: x["p"] for x in found} == {v: 0 for pair in hub for v in pair}
 
 
 # ---- near duplicates ----
@@ -104,13 +108,18 @@ def test_frequencies_are_exact_for_any_number_of_shingles(spark):
     """More distinct shingles than a table of fixed size could hold: each has its own count."""
     rows = [(i, lorem(3000 + i, 8_000)) for i in range(140)]  # 1.1 million shingles
     rows += [(200 + i, lorem(3000 + i, 500) + f" tail{i}") for i in range(3)]
-    source = spark.createDataFrame(rows, "v long, text string").repartition(4)
-    found = {x["v"]: dict(zip(x["gs"] or [], x["dfs"] or [])) for x in near_dedup.with_frequencies(source, source).collect()}
+    source = spark.createDataFrame([(*r, 1 + (r[0] == 5)) for r in rows], "v long, text string, n long").repartition(4)
+    texts = materialize(near_dedup.in_chunks(source, 1 << 18))
+    assert texts.select("chunk").distinct().count() > 4
+    lists = materialize(near_dedup.frequencies(texts, 8_000_000, 1 << 20, 50_000))
+    assert lists.count() > texts.select("chunk").distinct().count()
+    rows_of = near_dedup.with_frequencies(texts, lists).collect()
+    found = {x["v"]: dict(zip(np.frombuffer(x["gs"], np.uint64).tolist(), np.frombuffer(x["dfs"], np.uint32).tolist())) for x in rows_of}
     sets = [set(shingled(t)) for _, t in rows]
-    df = Counter(g for s in sets for g in s)
+    df = Counter(g for s in [*sets, sets[5]] for g in s)  # the text 5 stands for two documents
     assert len(df) > 1 << 20
     for (v, _), own in zip(rows, sets):
-        assert sorted(found[v].values()) == sorted(df[g] for g in own if df[g] > 1)
+        assert sorted(found[v].values()) == sorted(df[g] for g in own)
 
 
 # ---- suffix dedup ----
@@ -206,13 +215,14 @@ def test_top_k_equals_all_pairs(spark):
     rng = np.random.default_rng(3)
     rows = [(i, [float(x) for x in rng.normal(0, 0.4, 8)]) for i in range(300)]
     rows += [(300 + i, rows[17][1]) for i in range(30)] + [(40, rows[40][1]), (400, None), (401, [float("nan")] * 8), (402, [None] * 8), (403, []), (None, rows[1][1]), (420, [1.0, 2.0])]
+    rows += [(3, rows[3][1]), (3, rows[5][1])]  # candidates of one id, equal and not
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit(1))
     found = topk.top_k(vectors, F.col("id") % 20 == 0, rows=64, queries=5).collect()
-    good = {(i, tuple(math.floor(64 * x) for x in v)) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)}
+    good = [(i, tuple(math.floor(64 * x) for x in v)) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
     wanted = []
-    for q, v in good:
+    for at, (q, v) in enumerate(good):
         if q % 20 == 0:
-            scored = sorted((-sum(map(lambda a, b: a * b, v, w)), i) for i, w in good if i != q and len(w) == len(v))
+            scored = sorted((-sum(map(lambda a, b: a * b, v, w)), i) for j, (i, w) in enumerate(good) if j != at and len(w) == len(v))
             wanted += [(q, k, i, -s) for k, (s, i) in enumerate(scored[:20], 1)]
     assert sorted(map(tuple, found)) == sorted(wanted)
     assert topk.top_k(vectors.limit(0), F.col("id") % 20 == 0).collect() == []
@@ -251,3 +261,22 @@ def test_run_equals_its_stages(spark, tmp_path):
     pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {x["doc_id"] for x in pieces} == set(range(25))
     assert all(0 <= x["ids_crc32"] < 2**32 for x in pieces)
+
+
+def test_numbers_that_are_none_are_errors_of_a_record():
+    head = b"WARC/1.0\r\nWARC-Type: response\r\n%s\r\n\r\nx\r\n\r\n"
+    for line in (b"Content-Length: abc", b"WARC-Segment-Number: two\r\nContent-Length: 1"):
+        assert [("error" in r, "block" in r) for r in warc.parsed(head % line)] == [(True, False)]
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES[:-1])
+def test_stages_of_empty_tables_and_odd_columns(spark, name, stage):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, gone_id int, gone_t string, `a.b` int, t int, row string, v int"
+    none = spark.createDataFrame([], schema)
+    assert stage(spark, none, "").collect() == [] and stage(spark, none, "").columns == none.columns
+    rows = [(i, lorem(i % 4, 90), "en", "s", 0, i, "g", i, i, "r", i) for i in range(6)] + [(None, None, None, None, None, 1, "g", 1, 1, "r", 1)]
+    out = stage(spark, spark.createDataFrame(rows, schema), "")
+    kept = {r["doc_id"]: r for r in out.collect()}
+    assert out.columns == none.columns and all(r["gone_id"] == i and r["a.b"] == i for i, r in kept.items() if i is not None)
+    want = {"language": set(range(6)), "exact_dedup": {*range(4), None}, "near_dedup": {*range(4), None}, "suffix_dedup": {2, 3, None}}
+    assert set(kept) == want[name]

@@ -291,3 +291,11 @@ def test_class_factor_has_four_features():
     assert left[0].shape == (4, 4) and left[1].shape == (4, 2)
     assert (left[0][2] == right[0][2]).sum() == 1  # only [skip w2] is shared
     assert lm.WORDS >= 1_024 and lm.TAILS >= 32
+
+
+def test_line_dedup_of_ids_that_are_no_numbers(spark):
+    rows = [("b", "same line here\nown b"), ("a", "Same line here \nown a"), (None, "same line here"), ("c", None)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    found = {r["doc_id"]: r["kept_text"] for r in line_dedup.line_dedup(docs).collect()}
+    assert found == {"a": "Same line here \nown a", "b": "own b", None: "", "c": ""}
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("line_run_")]
