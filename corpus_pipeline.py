@@ -3,6 +3,9 @@
 Each stage takes (spark, docs, sf_dir) and works on all that the one before has kept; its
 result is written as Parquet and read again as the next one's ``docs``. All but the last
 return the columns of ``documents``.
+
+Every stage keeps all columns of its rows, whatever their names, takes an empty table to an empty one, and
+treats rows that are equal in all columns alike. What it does with nulls and ties stands with it.
 """
 
 from __future__ import annotations
@@ -17,29 +20,43 @@ from pagesift.session import new_path
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labels teach; those without letters go."""
+    """Documents in a language that the labels teach; those without letters, null and empty texts among them, go.
+
+    Null labels teach nothing. Where no label teaches anything, no document has a language, and all go.
+    """
     model = language.fitted(docs.where(~language.held_out("doc_id")))
     found = language.identified(docs, model)
     return found.where(F.col("lang_pred") != language.UNKNOWN).select("row.*")
 
 
 def no_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
+    """One document of each group of equal texts: the longest, then the smallest id. Null counts as empty."""
     return exact_dedup.grace_distinct(docs)
 
 
+def unused(name: str, docs: DataFrame) -> str:
+    """The name, with as many underscores before it as no column of ``docs`` has."""
+    while name in docs.columns:
+        name = "_" + name
+    return name
+
+
 def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates, the one with the smallest id."""
+    """One document of each class of near duplicates, the one with the smallest id; a null id is the largest.
+
+    A text without words is like no other and stays.
+    """
     found = near_dedup.near_classes(docs).where(~F.col("kept"))
-    gone = found.select(F.col("doc_id").alias("gone_id"), F.col("t").alias("gone_t"))
-    same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.xxhash64(text_of("text")) == F.col("gone_t"))
+    gone_id, gone_t = unused("gone_id", docs), unused("gone_t", docs)
+    gone = found.select(F.col("doc_id").alias(gone_id), F.col("t").alias(gone_t))
+    same = F.col("doc_id").eqNullSafe(F.col(gone_id)) & (F.xxhash64(text_of("text")) == F.col(gone_t))
     return docs.join(hinted(gone, F.lit(32)), same, "left_anti")
 
 
 def no_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that stand elsewhere, too; a text that loses all goes.
 
-    A cut may fall inside a character; what is left of one is dropped.
+    A cut may fall inside a character; what is left of one is dropped. Null and empty texts lose nothing and stay.
     """
     found = substring_dedup.without_repeats(docs).where("n_removed = 0 or octet_length(kept) > 0")
     text = F.when(F.col("n_removed") == 0, F.col("row.text")).otherwise(F.col("kept_text"))
@@ -49,7 +66,7 @@ def no_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences with the mixture of the sources."""
+    """Pieces of sequences with the mixture of the sources. A null text is empty, a null source the empty one."""
     pieces = packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
