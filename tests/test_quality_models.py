@@ -114,8 +114,8 @@ def test_character_hash_is_the_polynomial():
 
 
 def test_prepared_texts_in_training_and_scoring(spark):
-    rows = [("VALUE 12", "a"), ("value 13", "a"), ("other", "b"), ("other 7 words", "b")]
-    df = spark.createDataFrame(rows, "text string, y string")
+    rows = [(1, "VALUE 12", "a"), (2, "value 13", "a"), (3, "other", "b"), (4, "other 7 words", "b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, y string")
     model = M.train_row_model(df, "y", prepare=lambda t: F.regexp_replace(t, "[0-9]+", "number"))
     texts = spark.createDataFrame([("value 99",), ("words",), (None,), ("",)], "text string")
     found = M.with_scores(texts, model).select("text", M.best_label(model, F.col("scores"))["label"].alias("l"), "scores").collect()

@@ -117,10 +117,10 @@ def test_curated_paths_of_any_depth(spark, monkeypatch, limit):
     }
     df = R.url_parts(spark.createDataFrame([(u, 1) for u in urls], "url string, n int"))
     out = R.url_curated(df, spark.createDataFrame(entries, LIST))
+    plan = out._jdf.queryExecution().executedPlan().toString()
     assert {r["url"]: r["curated_by"] for r in out.collect()} == urls
     assert all(r["curated"] == (r["curated_by"] is not None) for r in out.collect())
-    if limit > 1:
-        plan = out._jdf.queryExecution().executedPlan().toString()
+    if limit > 1:  # domain, host and path
         assert plan.count("BroadcastHashJoin") == 3 and "SortMergeJoin" not in plan
 
 
