@@ -233,7 +233,7 @@ def path_entry(df: DataFrame, table: ListTable, name: str) -> DataFrame:
     if not table.depth:
         return df.withColumn("entry", F.lit(None).cast("string"))
     entries = table.flags.where(_is_path() & F.col(name)).select(F.substring_index("value", "/", 1).alias("host"), "value")
-    entries = entries.groupBy("host").agg(F.collect_set("value").alias("_entries"))
+    entries = materialize(entries.groupBy("host").agg(F.collect_set("value").alias("_entries")), "path-entries")
     joined = lookup_join(df, entries, "host", "left", broadcast_bytes=LIST_BROADCAST_BYTES, size=table.size)
     hits = F.array_intersect(path_prefixes(url_path(F.col("url"), F.col("host")), table.depth), F.col("_entries"))
     # Prefixes rise in length, and the intersection keeps their order.
