@@ -60,7 +60,7 @@ def no_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     found = substring_dedup.without_repeats(docs).where("n_removed = 0 or octet_length(kept) > 0")
     text = F.when(F.col("n_removed") == 0, F.col("row.text")).otherwise(F.col("kept_text"))
-    columns = [text.alias("text") if c == "text" else F.col("row." + c) for c in docs.columns]
+    columns = [text.alias("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns]
     kept = found.select(*columns)
     return kept.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else kept
 
