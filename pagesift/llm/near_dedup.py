@@ -24,8 +24,12 @@ one member (the centre), and buckets whose members are all in one class are done
 rounds take other centres, so members that are unlike the first but linked to another
 are found. As soon as the pairs of members in different classes are at most ``PAIRS`` times
 the nodes, by counts, or after ``TURNS`` rounds, all that may still be links (by the triangle
-inequality over distances from the first centre) are compared, so none is left untested. Pairs whose total weights differ too much for a link are exact
-non-links and are not sent.
+inequality over distances from the first centre) are compared, so none is left untested.
+
+What two texts share is at most the lesser of their shared weights, the weight of a text's shingles that
+any other text has. Where that is too little for a link, the pair is an exact non-link and is not made; a
+text whose own shingles alone outweigh a link is in no bucket. So the members of a large group of near copies
+that are like none of its texts are settled without a comparison.
 
 Defined cases: a null text is empty; a text without words is a class of its own. A text
 of fewer than five words is one shingle. A null id sorts after all others. Rows equal in
@@ -255,14 +259,23 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([part_texts(part, "id"), part_texts(part, "t"), pa.array(digest, pa.binary())], ["id", "t", "key"])
 
 
+SIGNED = ("v", "total", "shared", "bands")
+
+
 def _signed(total: int, bands: int, rows: int):
+    """Total weight, weight of the shingles that other nodes have, too, and band keys of each node."""
+
     def run(texts: pa.Table, lists: pa.Table) -> pa.Table:
         known, numbers = listed(lists)
-        out = [pa.table([pa.array([], t) for t in (pa.int64(), pa.float64(), pa.list_(pa.int64()))], ["v", "total", "bands"])]
+        out = [pa.table([pa.array([], t) for t in (pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int64()))], SIGNED)]
         for part in chunks(iter(texts.to_batches()), CHUNK_BYTES):
             bounds, value, counts = shingles(part_texts(part))
-            weight = weighted(counts, looked_up(value, known, numbers), total)
+            df = looked_up(value, known, numbers)
+            weight = weighted(counts, df, total)
             sums = np.add.reduceat(weight, bounds[:-1])  # a node has a shingle at least
+            # The copies of a node are one text, however many documents they are.
+            own = df <= np.repeat(part.column("n").to_numpy(), np.diff(bounds))
+            shared = np.add.reduceat(np.where(own, 0.0, weight), bounds[:-1])
             found = samples(value, weight, bounds, bands * rows).reshape(len(sums), bands, rows)
             keys = np.zeros((len(sums), bands), dtype=np.uint64)
             for k in range(rows):
@@ -270,7 +283,7 @@ def _signed(total: int, bands: int, rows: int):
             keys = mixed(keys + np.arange(1, bands + 1, dtype=np.uint64) * B)
             flat = pa.array(keys.view(np.int64).ravel())
             cuts = pa.array(np.arange(len(sums) + 1) * bands, pa.int32())
-            out.append(pa.table([part_texts(part, "v"), pa.array(sums), pa.ListArray.from_arrays(cuts, flat)], ["v", "total", "bands"]))
+            out.append(pa.table([part_texts(part, "v"), pa.array(sums), pa.array(shared), pa.ListArray.from_arrays(cuts, flat)], SIGNED))
         return pa.concat_tables(out)
 
     return run
@@ -322,7 +335,7 @@ def verified(pairs: DataFrame, texts: DataFrame, total: int) -> DataFrame:
 
 
 def linked_labels(buckets: DataFrame, texts: DataFrame, total: int, threshold: float, turns: int) -> DataFrame:
-    """(v, label) of all nodes in ``buckets`` (k, v, total, met): nodes joined by links have one label.
+    """(v, label) of all nodes in ``buckets`` (k, v, total, shared, met): nodes joined by links have one label.
 
     ``texts`` holds the shingles of the nodes.
     """
@@ -335,12 +348,12 @@ def linked_labels(buckets: DataFrame, texts: DataFrame, total: int, threshold: f
         order = F.xxhash64("v", "k", F.lit(turn)) if turn else F.struct(-F.col("met"), F.xxhash64("v"))
         groups = members.groupBy("k").agg(
             F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"),
-            F.min(F.struct(order.alias("o"), "v", "label", "total")).alias("c"),
+            F.min(F.struct(order.alias("o"), "v", "label", "total", "shared")).alias("c"),
         ).where("low <> high")
         groups = materialize(groups, "open-buckets")
         if groups.isEmpty():
             break
-        centres = groups.select("k", F.col("c.v").alias("w"), F.col("c.label").alias("lw"), F.col("c.total").alias("tw"))
+        centres = groups.select("k", F.col("c.v").alias("w"), F.col("c.label").alias("lw"), F.col("c.total").alias("tw"), F.col("c.shared").alias("sw"))
         members = materialize(members.join(centres.hint("merge"), "k"), "bucket-members")
         last = turn == turns
         if turn and not last:
@@ -351,12 +364,19 @@ def linked_labels(buckets: DataFrame, texts: DataFrame, total: int, threshold: f
         if turn and last:
             # The distance 1 - similarity is a metric. What differs more in its distance from the first centre
             # than a link allows cannot be linked; that settles the members that are unlike the rest.
+            # A pair is made once, in the least of the buckets that both are in: while the labels differ, all of them are open.
             first = labels.select(F.col("v").alias("first"), F.col("label").alias("first_label"))
-            rest = members.join(first.hint("merge"), "first").where(F.col("label") != F.col("first_label"))
-            other = members.select("k", F.col("v").alias("w"), F.col("label").alias("lw"), F.col("total").alias("tw"), F.col("near").alias("near_w"))
-            possible = rest.drop("w", "lw", "tw", "first").join(other.hint("merge"), "k").where(
-                (F.col("label") != F.col("lw"))
+            met_in = members.groupBy("v").agg(F.collect_set("k").alias("ks"))
+            known = materialize(members.join(met_in.hint("merge"), "v").join(first.hint("merge"), "first"), "last-members")
+            other = known.select(
+                "k", F.col("v").alias("w"), F.col("label").alias("lw"), F.col("total").alias("tw"), F.col("shared").alias("sw"),
+                F.col("near").alias("near_w"), F.col("ks").alias("ks_w"),
+            )
+            rest = known.where(F.col("label") != F.col("first_label")).drop("w", "lw", "tw", "sw", "first")
+            possible = rest.join(other.hint("merge"), "k").where(
+                (F.col("label") != F.col("lw")) & ((F.col("lw") == F.col("first_label")) | (F.col("v") < F.col("w")))
                 & (F.coalesce(F.abs(F.col("near") - F.col("near_w")), F.lit(0.0)) <= 1 - threshold + 1e-6)
+                & (F.col("k") == F.array_min(F.array_intersect("ks", "ks_w")))
             )
             pairs = _pairs(possible, tested, threshold)
         else:
@@ -376,16 +396,17 @@ def linked_labels(buckets: DataFrame, texts: DataFrame, total: int, threshold: f
             both = found.select("a", "b", F.col("similarity").alias("near"))
             known = members.withColumns({"a": F.least("v", "w"), "b": F.greatest("v", "w")}).join(both.hint("merge"), ["a", "b"], "left")
             known = known.withColumn("near", F.when(F.col("v") == F.col("w"), 1.0).otherwise(F.col("near")))
-            still_open = materialize(known.select("k", "v", "total", "met", "near", F.col("w").alias("first")), "bucket-distances")
+            still_open = materialize(known.select("k", "v", "total", "shared", "met", "near", F.col("w").alias("first")), "bucket-distances")
         else:
-            still_open = members.select("k", "v", "total", "met", "near", "first")
+            still_open = members.select("k", "v", "total", "shared", "met", "near", "first")
     return labels
 
 
 def _pairs(joined: DataFrame, tested: DataFrame | None, threshold: float) -> DataFrame:
     """Distinct pairs (a, b) with their labels that have not been compared and whose weights allow a link."""
     swap = F.col("v") > F.col("w")
-    pairs = joined.where(F.least("total", "tw") >= (threshold - 1e-6) * F.greatest("total", "tw")).select(
+    most = F.least("shared", "sw")  # of the weight that both have
+    pairs = joined.where(most >= (threshold - 1e-6) * (F.col("total") + F.col("tw") - most)).select(
         F.least("v", "w").alias("a"), F.greatest("v", "w").alias("b"),
         F.when(swap, F.col("lw")).otherwise(F.col("label")).alias("la"),
         F.when(swap, F.col("label")).otherwise(F.col("lw")).alias("lb"),
@@ -422,9 +443,10 @@ def near_classes(
         texts = written(in_chunks(texts, TEXT_CHUNK), "node-texts")
         n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         lists = written(frequencies(texts, n_bytes, TEXT_CHUNK, RANGE_HASHES), "shingle-frequencies")
-        both = texts.select("chunk", "v", "text").groupBy("chunk").cogroup(lists.groupBy("chunk"))
-        signed = written(both.applyInArrow(_signed(total, bands, rows), "v long, total double, bands array<long>"), "signatures")
-        spread = signed.select("v", "total", F.explode("bands").alias("k"))
+        both = texts.select("chunk", "v", "n", "text").groupBy("chunk").cogroup(lists.groupBy("chunk"))
+        signed = written(both.applyInArrow(_signed(total, bands, rows), "v long, total double, shared double, bands array<long>"), "signatures")
+        linkable = signed.where(F.col("shared") >= (threshold - 1e-6) * F.col("total"))
+        spread = linkable.select("v", "total", "shared", F.explode("bands").alias("k"))
         shared = spread.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         met = materialize(spread.join(shared.hint("merge"), "k"), "bucket-sizes")
         degrees = met.groupBy("v").agg(F.sum("n").alias("met"))

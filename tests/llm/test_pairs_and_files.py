@@ -84,6 +84,26 @@ def test_near_classes_equal_all_pairs(spark, none):
     assert near_dedup.near_classes(none).collect() == []
 
 
+def test_a_large_group_of_near_copies_is_not_compared_in_pairs(spark, monkeypatch):
+    words, rows = lorem(3, 120).split(), []
+    for k in range(160):  # copies with eight changed words each: like no other one, and in common buckets
+        own = list(words)
+        for j in range(8):
+            own[(k * 7 + j * 15) % 120] = f"x{k}y{j}"
+        rows.append((k, " ".join(own)))
+    rows += [(1000 + k, " ".join([*words[:110], *(f"z{k // 2}{c}" for c in "abcdef")])) for k in range(20)]
+    made, pairs_of = [], near_dedup._pairs
+
+    def counted(joined, tested, threshold):
+        made.append(pairs_of(joined, None, threshold).count())
+        return pairs_of(joined, tested, threshold)
+
+    monkeypatch.setattr(near_dedup, "_pairs", counted)
+    found = near_dedup.near_classes(spark.createDataFrame(rows, "doc_id long, text string"), turns=1).collect()
+    assert {x["doc_id"]: x["class_id"] for x in found} == brute_classes(rows)
+    assert sum(made) < 2 * len(rows)
+
+
 def test_near_classes_of_odd_rows(odd):
     found = near_dedup.near_classes(odd).collect()
     assert len(found) == len(ROWS)
