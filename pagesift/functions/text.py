@@ -116,11 +116,7 @@ def classifier_line(text: Column) -> Column:
 def cut_lines(line: Column, size: int = MAX_LINE_TOKENS) -> Column:
     """Put an end-of-line mark after every ``size`` tokens."""
 
-    def cut(t: Column) -> Column:
-        pieces = F.transform(
-            F.sequence(F.lit(1), F.greatest(F.size(t), F.lit(1)), F.lit(size)),
-            lambda i: F.array_join(F.slice(t, i, F.lit(size)), " "),
-        )
-        return F.array_join(pieces, END_OF_LINE)
-
-    return let(split_blanks(line), cut)
+    # One pass: the mark stands before the first token of every piece but the first ("slice" would copy all tokens for each).
+    mark = F.lit(END_OF_LINE.strip() + " ")
+    marked = F.transform(split_blanks(line), lambda t, i: F.when((i > 0) & (i % size == 0), F.concat(mark, t)).otherwise(t))
+    return F.coalesce(F.array_join(marked, " "), F.lit(""))

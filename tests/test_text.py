@@ -66,3 +66,15 @@ def test_marks_can_be_dropped(one):
     assert one(lambda: T.simplify(F.col("t"), strip_diacritics=True), t="Élève, Ñandú ÅNGSTRÖM") == "eleve nandu angstrom"
     assert one(lambda: T.simplify(F.col("t")), t="Élève") == "élève"
     assert one(lambda: T.simplify(F.col("t"), strip_diacritics=True), t=None) is None
+
+
+def test_cut_lines_read_their_tokens_once(spark):
+    line = F.lit("a b " * 5)
+    row = spark.range(1).select(
+        T.cut_lines(line, 2).alias("even"), T.cut_lines(line, 4).alias("rest"), T.cut_lines(line, 10).alias("whole"),
+        T.cut_lines(F.lit(" "), 2).alias("empty"), T.cut_lines(F.lit(None).cast("string"), 2).alias("none"),
+    ).first()
+    assert row["even"] == " <EOS> ".join(["a b"] * 5) and row["rest"] == "a b a b <EOS> a b a b <EOS> a b"
+    assert row["whole"] == " ".join(["a b"] * 5) and row["empty"] == row["none"] == ""
+    plan = spark.range(1).select(T.cut_lines(F.col("id").cast("string"), 2).alias("x"))._jdf.queryExecution().analyzed().toString()
+    assert "slice" not in plan  # it copies the tokens of the whole line for every piece
