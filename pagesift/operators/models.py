@@ -8,14 +8,16 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as S
 
 from pagesift.functions import text as T
 from pagesift.functions.binding import let
 from pagesift.functions.hashing import xx_31
-from pagesift.operators.joins import lookup_join
+from pagesift.operators.joins import BROADCAST_BYTES, lookup_join
 from pagesift.session import materialize
 
 #: Hashed features of a model that scores inside the row. Its size is this many weights per label, whatever the corpus.
@@ -108,27 +110,39 @@ def train_row_model(
     return RowModel(labels, docs.sparkSession.sparkContext.broadcast(weights), features, hash_fn, prepare)
 
 
-def _runs(arrays: list[np.ndarray], most: int = 1 << 18) -> Iterator[list[np.ndarray]]:
-    """The arrays in runs of about ``most`` numbers."""
-    held, size = [], 0
-    for one in arrays:
-        held.append(one)
-        size += len(one)
-        if size >= most:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
+#: Numbers of tokens times labels that a worker weighs at once.
+SLICE = 1 << 19
 
 
-def _shares(table: np.ndarray, arrays: list[np.ndarray]) -> list[np.ndarray]:
+def _parts(lengths: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Runs [from, to) of rows with about ``most`` numbers."""
+    runs = np.cumsum(lengths) // max(most, 1)
+    cuts = [0, *(np.flatnonzero(np.diff(runs)) + 1).tolist(), len(lengths)]
+    return zip(cuts[:-1], cuts[1:])
+
+
+def _sums(table: np.ndarray, numbers: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Sums of the rows of ``table`` that each text's numbers name; 0 without numbers."""
+    out = np.zeros((len(lengths), table.shape[1]))
+    filled = np.flatnonzero(lengths)
+    if len(filled):
+        starts = np.cumsum(lengths) - lengths
+        out[filled] = np.add.reduceat(table[numbers], starts[filled], axis=0)
+    return out
+
+
+def _shares(table: np.ndarray, numbers: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Probabilities of the labels for several texts at once; the last row of ``table`` holds the priors."""
-    sizes = np.array([len(x) for x in arrays])
-    # Each text starts with the priors, so that no text is empty.
-    flat = np.concatenate([y for x in arrays for y in (np.array([len(table) - 1]), x)])
-    logs = np.add.reduceat(table[flat], np.cumsum(sizes + 1) - sizes - 1, axis=0)
+    logs = _sums(table, numbers, lengths) + table[-1]
     powers = np.exp(logs - logs.max(axis=1, keepdims=True))
-    return list(powers / powers.sum(axis=1, keepdims=True))
+    return powers / powers.sum(axis=1, keepdims=True)
+
+
+def _rows_of(values: np.ndarray, known: np.ndarray | None = None) -> pa.ListArray:
+    """The rows of a matrix as arrays, NULL where ``known`` is false."""
+    offsets = pa.array(np.arange(len(values) + 1) * values.shape[1], pa.int32())
+    mask = None if known is None or known.all() else pa.array(~known)
+    return pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(values).reshape(-1)), mask=mask)
 
 
 def row_scores(model: RowModel, text: Column) -> Column:
@@ -138,18 +152,17 @@ def row_scores(model: RowModel, text: Column) -> Column:
     """
     shared = model.weights
 
-    def score(numbers: pd.Series) -> pd.Series:
+    def score(numbers: pa.Array) -> pa.Array:
         table = shared.value
-        known = numbers.notna().to_numpy()
-        arrays = [np.asarray(x, dtype=np.int64) for x in numbers[known]]
-        out = np.full(len(numbers), None, dtype=object)
-        found = (row for part in _runs(arrays) for row in _shares(table, part))
-        for i in np.flatnonzero(known):
-            out[i] = next(found)
-        return pd.Series(out)
+        known = np.asarray(numbers.is_valid())
+        lengths = np.asarray(numbers.value_lengths().fill_null(0)).astype(np.int64)
+        out = np.empty((len(numbers), table.shape[1]))
+        for low, high in _parts(lengths, SLICE // table.shape[1]):
+            out[low:high] = _shares(table, np.asarray(numbers.slice(low, high - low).flatten()), lengths[low:high])
+        return _rows_of(out, known)
 
     numbers = F.transform(tokens(text), lambda t: (model.hash_fn(t) % model.features).cast("int"))
-    return F.pandas_udf(score, "array<double>")(F.when(text.isNotNull(), numbers))
+    return F.arrow_udf(score, "array<double>")(F.when(text.isNotNull(), numbers))
 
 
 def with_scores(docs: DataFrame, model: RowModel, text: str = "text", out: str = "scores") -> DataFrame:
@@ -164,6 +177,8 @@ def with_scores(docs: DataFrame, model: RowModel, text: str = "text", out: str =
 # Fixed values of the hash: it is a polynomial of code points, so any engine can repeat it.
 GRAM_SIZES, GRAM_BASE, GRAM_PRIME = (1, 2, 3), 1_000_003, (1 << 31) - 1
 MODEL_BYTES = 512 << 20
+#: Counts that a task holds at once.
+COUNT_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)
@@ -192,27 +207,52 @@ def char_grams(line: str, sizes: Sequence[int] = GRAM_SIZES, features: int = FEA
     return np.concatenate(out)
 
 
+def gram_pieces(line: str, sizes: Sequence[int] = GRAM_SIZES, features: int = FEATURES, most: int = 1 << 16) -> Iterator[np.ndarray]:
+    """The numbers of ``char_grams`` in pieces, so a long line takes no more memory than ``most`` characters do."""
+    if len(line) <= most:
+        yield char_grams(line, sizes, features)
+        return
+    for n in sizes:
+        for at in range(0, len(line) - n + 1, most):
+            yield char_grams(line[at : at + most + n - 1], (n,), features)
+
+
 def train_char_model(
     docs: DataFrame, label: str, text: str = "text", features: int = FEATURES, sizes: Sequence[int] = GRAM_SIZES
 ) -> CharModel:
     """Multinomial model over hashed character n-grams, with add-one smoothing over all ``features``.
 
-    Tasks count the n-grams of a batch in arrays and send each number once; the sums of a label become one binary row of
+    Tasks count the n-grams of all their texts in one array for each label, as long as these have ``COUNT_BYTES``, and
+    send each number once; no text's n-grams are held longer than it is counted. The sums of a label become one binary row of
     at most ``features`` weights, which the driver puts side by side. Their size is checked before.
     """
     sizes = tuple(sizes)
 
-    def count(batches):
-        for batch in batches:
-            found: dict[str, list[np.ndarray]] = {}
-            for name, line in zip(*(batch.column(i).to_pylist() for i in (0, 1))):
-                found.setdefault(name, []).append(char_grams(line, sizes, features) if line is not None else np.zeros(0, np.int64))
-            for name, parts in found.items():
-                numbers, n = np.unique(np.concatenate(parts), return_counts=True)
+    def counted(found: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for name, counts in found.items():
+            numbers = np.flatnonzero(counts)
+            for at in range(0, len(numbers), 50_000):
+                some = numbers[at : at + 50_000]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(n), pa.string()), pa.array(numbers, pa.int64()), pa.array(n, pa.int64())], ["label", "f", "n"]
+                    [pa.array([name] * len(some), pa.string()), pa.array(some, pa.int64()), pa.array(counts[some], pa.int64())], ["label", "f", "n"]
                 )
 
+    def count(batches):
+        found: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for name, line in zip(batch.column(0), batch.column(1)):
+                name, line = name.as_py(), line.as_py()
+                if name not in found and 8 * features * (len(found) + 1) > COUNT_BYTES:
+                    yield from counted(found)
+                    found = {}
+                counts = found.setdefault(name, np.zeros(features, np.int64))
+                for grams in gram_pieces(line or "", sizes, features):
+                    if 8 * len(grams) > features:
+                        counts += np.bincount(grams, minlength=features)
+                    else:
+                        np.add.at(counts, grams, 1)
+        yield from counted(found)
+
     def weigh(table: pa.Table) -> pa.Table:
         n = np.zeros(features)
         np.add.at(n, table.column("f").to_numpy(), table.column("n").to_numpy())
@@ -242,8 +282,7 @@ def char_scores(model: CharModel, text: Column) -> Column:
         def one(line: str | None):
             if line is None:
                 return None
-            numbers, n = np.unique(char_grams(line, sizes, len(weights)), return_counts=True)
-            logs = priors + n @ weights[numbers]
+            logs = priors + sum(weights[grams].sum(axis=0) for grams in gram_pieces(line, sizes, len(weights)))
             powers = np.exp(logs - logs.max())
             return powers / powers.sum()
 
@@ -271,10 +310,57 @@ def model_rows(model: DataFrame) -> DataFrame:
     return model.select("token", F.explode("weights").alias("label", "weight"))
 
 
+def _by_frequency(lookup: DataFrame, names: list[str], limit: int) -> tuple[pa.Table, DataFrame | None]:
+    """The rows of the most frequent tokens, of ``limit`` bytes at most, and the others, None if there are none.
+
+    Levels of frequency are counted, not sorted: a level is taken as a whole.
+    """
+    share = F.aggregate(F.array(*names), F.lit(0.0), lambda a, w: a + F.exp(w))
+    levelled = lookup.withColumn("level", F.floor(4 * F.ln(share)).cast("int"))
+    size = F.octet_length("token").cast("long") + F.lit(48 + 8 * len(names))
+    held, least = 0, None
+    levels = levelled.groupBy("level").agg(F.sum(size).alias("b")).orderBy(F.desc("level")).collect()
+    for row in levels:
+        held += row["b"]
+        if held > limit:
+            break
+        least = row["level"]
+    taken = F.lit(False) if least is None else F.col("level") >= least
+    rare = None if held <= limit else levelled.where(~taken).drop("level")
+    return levelled.where(taken).drop("level").toArrow(), rare
+
+
+def _frequent_sums(shared: Broadcast, names: list[str]):
+    """For each text the sums of its frequent tokens' weights, and its other tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.Table.from_batches(shared.value) if shared.value else None
+        n = known.num_rows if known is not None else 0
+        values = known.column("token").combine_chunks() if n else pa.array([], pa.string())
+        weights = np.zeros((n + 1, len(names)))  # the last row is that of all other tokens
+        for i, name in enumerate(names if n else ()):
+            weights[:n, i] = known.column(name).to_numpy()
+        for batch in batches:
+            lists = batch.column(1)
+            lengths = np.asarray(lists.value_lengths().fill_null(0)).astype(np.int64)
+            for low, high in _parts(lengths, SLICE):
+                flat, sizes = lists.slice(low, high - low).flatten(), lengths[low:high]
+                coded = flat.dictionary_encode()
+                at = np.asarray(pc.index_in(coded.dictionary, value_set=values).fill_null(n)).astype(np.int64)
+                at = at[np.asarray(coded.indices)] if len(flat) else np.zeros(0, np.int64)
+                columns = [_sums(weights[:, i : i + 1], at, sizes)[:, 0] for i in range(len(names))]
+                left = np.concatenate([[0], np.cumsum(at == n)])[np.concatenate([[0], np.cumsum(sizes)])]
+                rest = pa.ListArray.from_arrays(pa.array(left, pa.int32()), flat.filter(pa.array(at == n)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), *map(pa.array, columns), rest], [batch.schema.names[0], *names, "rest"])
+
+    return run
+
+
 def score_text(docs: DataFrame, model: DataFrame, id_col: str = "doc_id", text: str = "text", **limits) -> DataFrame:
     """Probability of every label: ``(id, scores array<struct<label, score>>)``.
 
-    A text meets its token weights in one join. The sums per label are combined
+    The weights of the most frequent tokens, as many as may be broadcast, are summed in the row. Only the other
+    tokens of a text meet their weights in a join. The sums per label are combined
     on the map side, so the only shuffle of documents carries one row each.
     """
     # The labels are read by the driver: there are as many as classes, not as rows.
@@ -283,9 +369,19 @@ def score_text(docs: DataFrame, model: DataFrame, id_col: str = "doc_id", text:
     lookup = model.where(F.col("token").isNotNull()).select(
         "token", *[F.element_at("weights", name).alias(f"w{i}") for i, name in enumerate(labels)]
     )
-    words = docs.select(id_col, F.explode_outer(tokens(F.col(text))).alias("token"))
-    hits = lookup_join(words, lookup, "token", "left", **limits)
-    sums = hits.groupBy(id_col).agg(*[F.coalesce(F.sum(f"w{i}"), F.lit(0.0)).alias(f"s{i}") for i in range(len(labels))])
+    names = [f"w{i}" for i in range(len(labels))]
+    frequent, rare = _by_frequency(lookup, names, limits.get("broadcast_bytes", BROADCAST_BYTES))
+    shared = docs.sparkSession.sparkContext.broadcast(frequent.combine_chunks().to_batches())
+    kind = S.StructType().add(docs.select(id_col).schema[0])
+    for name in names:
+        kind = kind.add(name, "double")
+    rows = docs.select(id_col, tokens(F.col(text)).alias("tokens")).mapInArrow(_frequent_sums(shared, names), kind.add("rest", S.ArrayType(S.StringType())))
+    if rare is not None:
+        rows = materialize(rows, "frequent-sums")
+        rest = rows.select(id_col, F.explode("rest").alias("token"))
+        hits = lookup_join(rest, rare, "token", **limits)
+        rows = rows.drop("rest").unionByName(hits.drop("token"))
+    sums = rows.groupBy(id_col).agg(*[F.coalesce(F.sum(f"w{i}"), F.lit(0.0)).alias(f"s{i}") for i in range(len(labels))])
     logs = F.array(*[F.col(f"s{i}") + F.lit(float(priors[name])) for i, name in enumerate(labels)])
 
     def softmax(values: Column) -> Column:

@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -121,3 +122,40 @@ def test_prepared_texts_in_training_and_scoring(spark):
     found = M.with_scores(texts, model).select("text", M.best_label(model, F.col("scores"))["label"].alias("l"), "scores").collect()
     assert {r["text"]: r["l"] for r in found} == {"value 99": "a", "words": "b", None: None, "": found[3]["l"]}
     assert found[2]["scores"] is None and abs(sum(found[3]["scores"]) - 1) < 1e-9
+
+
+def test_only_rare_tokens_of_texts_are_joined(spark, monkeypatch):
+    docs = spark.createDataFrame(
+        [(i, "xy"[i % 2], f"{'common words here ' * (5 + i % 2)} rare{i}") for i in range(40)] + [(None, "x", "common"), (3, "y", None)],
+        "doc_id long, label string, text string",
+    )
+    model = M.materialize(M.train_text_model(docs, "label"), "model")
+    joined, join = [], M.lookup_join
+
+    def counted(rows, lookup, *args, **options):
+        joined.append(rows.count())
+        return join(rows, lookup, *args, **options)
+
+    monkeypatch.setattr(M, "lookup_join", counted)
+
+    def found(limit):
+        rows = M.score_rows(M.score_text(docs, model, broadcast_bytes=limit)).collect()
+        return {(r["doc_id"], r["label"]): round(r["score"], 9) for r in rows}
+
+    small = found(1000)
+    assert joined == [40]  # the common words need no join
+    assert found(0) == small == found(1 << 20) and joined[1:] == [40 + 3 * (5 * 20 + 6 * 20) + 1]
+    assert len(small) == 2 * 41  # rows of one id are one text
+
+
+def test_character_counts_of_a_batch_are_held_once(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "x", "abc " * 300), (2, "y", "xyz é"), (3, "x", None), (4, "y", "")], "doc_id long, label string, text string")
+    whole = M.train_char_model(docs, "label", features=1 << 10)
+    grams = M.char_grams
+    monkeypatch.setattr(M, "COUNT_BYTES", 1)
+    line = " " + "abc " * 300
+    pieces = list(M.gram_pieces(line, features=1 << 10, most=100))
+    assert sorted(np.concatenate(pieces).tolist()) == sorted(grams(line, features=1 << 10).tolist())
+    assert max(map(len, pieces)) <= 100
+    again = M.train_char_model(docs, "label", features=1 << 10)
+    assert np.allclose(whole.weights.value[0], again.weights.value[0])
