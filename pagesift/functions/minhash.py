@@ -17,6 +17,8 @@ from pagesift.functions.hashing import PRIME31
 
 BUCKETS = 11
 HASHES = 10
+#: Shingles that are hashed at once, however wide the texts of a batch are.
+SLICE = 1 << 17
 
 
 def coefficients(count: int = BUCKETS * HASHES, seed: int = 1) -> list[tuple[int, int]]:
@@ -27,6 +29,21 @@ def coefficients(count: int = BUCKETS * HASHES, seed: int = 1) -> list[tuple[int
     return list(zip(a.tolist(), b.tolist()))
 
 
+def _folded(x: np.ndarray) -> np.ndarray:
+    """``x % PRIME31`` of products of two numbers below it, without a division."""
+    x = (x & PRIME31) + (x >> 31)  # less than twice the prime
+    return np.minimum(x.view(np.uint64), (x - PRIME31).view(np.uint64)).view(np.int64)
+
+
+def slices(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in runs whose arrays in ``column`` have about ``most`` elements."""
+    lengths = np.asarray(batch.column(column).value_lengths().fill_null(0)).astype(np.int64)
+    runs = np.cumsum(lengths) // most
+    cuts = [0, *(np.flatnonzero(np.diff(runs)) + 1).tolist(), batch.num_rows]
+    for low, high in zip(cuts[:-1], cuts[1:]):
+        yield batch.slice(low, high - low)
+
+
 def minima(shingles: pa.Array, pairs: list[tuple[int, int]], hashes: int) -> pa.Array:
     """For each array of shingle hashes one array of minima per bucket; empty without shingles."""
     lengths = np.asarray(shingles.value_lengths().fill_null(0))
@@ -35,8 +52,9 @@ def minima(shingles: pa.Array, pairs: list[tuple[int, int]], hashes: int) -> pa.
     if filled.size:
         values = np.asarray(shingles.flatten()).astype(np.int64)
         starts = np.concatenate(([0], np.cumsum(filled)[:-1]))
+        modulo = _folded if values.min() >= 0 and values.max() < PRIME31 else lambda x: x % PRIME31
         for k, (a, b) in enumerate(pairs):
-            lowest[:, k] = np.minimum.reduceat((values * a + b) % PRIME31, starts)
+            lowest[:, k] = np.minimum.reduceat(modulo(values * a + b), starts)
     inner = np.arange(0, lowest.size + 1, hashes, dtype=np.int32)
     outer = np.concatenate(([0], np.cumsum(np.where(lengths > 0, len(pairs) // hashes, 0)))).astype(np.int32)
     buckets = pa.ListArray.from_arrays(pa.array(inner), pa.array(lowest.reshape(-1)))
@@ -49,7 +67,8 @@ def signatures(rows: DataFrame, id_col: str, buckets: int, hashes: int, seed: in
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), minima(batch.column(1), pairs, hashes)], [id_col, "minima"])
+            for part in slices(batch, 1, SLICE):
+                yield pa.RecordBatch.from_arrays([part.column(0), minima(part.column(1), pairs, hashes)], [id_col, "minima"])
 
     kind = rows.schema[id_col].dataType
     schema = StructType([StructField(id_col, kind), StructField("minima", ArrayType(ArrayType(LongType())))])
