@@ -50,7 +50,7 @@ HOT = 1_000
 HOT_SHARE = 1_000_000
 RANGES = 16
 CHUNK_BYTES = 1 << 20
-SORT_BYTES = 4 << 20
+SORT_BYTES = 1 << 20
 MULTIPLIER = 0x9E3779B97F4A7C15
 
 
@@ -207,7 +207,7 @@ def _grams(length: int, gram: int):
     """q-grams of anchors with their numbers of places and of different contexts in the chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(batches, 16 * CHUNK_BYTES):
+        for part in chunks(batches, 8 * CHUNK_BYTES):
             found = []
             for at in range(0, part.num_rows, 500):
                 found.append(contexts(binary_values(part.column("text").slice(at, 500)), length, gram)[4])
@@ -224,7 +224,7 @@ def _sent(length: int, gram: int, test):
     """Different contexts of a chunk with their numbers of places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(batches, 16 * CHUNK_BYTES):
+        for part in chunks(batches, 8 * CHUNK_BYTES):
             counts: dict[tuple[int, int, bytes], int] = {}
             for at in range(0, part.num_rows, 500):
                 for _, _, key, lead, data in dealt(binary_values(part.column("text").slice(at, 500)), length, gram, test.value):
