@@ -31,6 +31,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -43,6 +44,8 @@ EXCERPT = 2_048
 SAMPLE = 32_000
 DENSE = 48
 BLOCK = 256
+#: Bytes of rows that are parsed at once; the arrays for them take some fifty times as much.
+PARSED = 1 << 20
 #: Symbols of evidence that the score counts at most; more would make every score 1.
 EVIDENCE = 8
 UNKNOWN = "und"
@@ -233,20 +236,26 @@ def fitted(
     return Model(samples, sample)
 
 
+def parsed(batches: Iterator[pa.RecordBatch], model: Model, at: int | None) -> Iterator[pa.RecordBatch]:
+    """The rows with language and score; the text is field ``at`` of ``row``, or a column of its own."""
+    for part in chunks(batches, PARSED):
+        row = part.column("row").combine_chunks()
+        texts = part.column("text") if at is None else pc.struct_field(row, [at])
+        languages, score = model.predict(texts.to_pylist())
+        yield pa.RecordBatch.from_arrays([row, pa.array(languages, pa.string()), pa.array(score)], ["row", "lang_pred", "score"])
+
+
 def identified(docs: DataFrame, model: Model, text_name: str = "text", columns: list[str] | None = None) -> DataFrame:
     """``row`` (struct of ``columns``, all by default), ``lang_pred`` and ``score`` of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns if columns is None else columns
     rows = docs.select(F.struct(*[col(c) for c in names]).alias("row"), col(text_name).cast("string").alias("text"))
+    at = None
+    if text_name in names and rows.schema["row"].dataType[names.index(text_name)].dataType == T.StringType():
+        rows, at = rows.select("row"), names.index(text_name)  # a text that rides in the struct is sent once
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        for part in chunks(batches, 4 << 20):
-            languages, score = own.predict(part.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [part.column("row").combine_chunks(), pa.array(languages, pa.string()), pa.array(score)],
-                ["row", "lang_pred", "score"],
-            )
+        return parsed(batches, shared.value, at)
 
     kind = T.StructType().add("row", rows.schema["row"].dataType).add("lang_pred", "string").add("score", "double")
     return rows.mapInArrow(run, kind)

@@ -7,7 +7,7 @@ import pyarrow as pa
 
 from pagesift.functions import minhash
 from pagesift.functions.hashing import PRIME31
-from pagesift.llm import substring_dedup
+from pagesift.llm import language, near_dedup, substring_dedup
 from pagesift.operators import models as M
 from pagesift.sources import warc
 
@@ -70,3 +70,49 @@ def test_contexts_are_sorted_in_small_groups(monkeypatch):
     batch = pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.binary(), pa.int64()))], ["key", "lead", "data", "n"])
     list(substring_dedup._judged(200)(iter([batch])))
     assert sum(sizes) == 3_000_000 and max(sizes) < 1_100_000
+
+
+def test_few_texts_are_parsed_at_once():
+    """However large the batches are that a worker is sent, and whether the text rides in the row or beside it."""
+    seen = []
+
+    class Model:
+        def predict(self, texts):
+            seen.append(sum(len(x or "") for x in texts))
+            return ["x"] * len(texts), np.zeros(len(texts))
+
+    texts = ["a" * 50_000, None, ""] * 100
+    inside = pa.StructArray.from_arrays([pa.array(range(300)), pa.array(texts, pa.string())], ["id", "text"])
+    beside = pa.StructArray.from_arrays([pa.array(range(300))], ["id"])
+    for batch, at in (
+        (pa.RecordBatch.from_arrays([inside], ["row"]), 1),
+        (pa.RecordBatch.from_arrays([beside, pa.array(texts, pa.string())], ["row", "text"]), None),
+    ):
+        seen.clear()
+        found = pa.Table.from_batches(list(language.parsed(iter([batch]), Model(), at)))
+        assert [x["id"] for x in found.column("row").to_pylist()] == list(range(300))
+        assert sum(seen) == 5_000_000 and max(seen) <= 2 * language.PARSED
+
+
+def test_hashes_of_a_chunk_are_sent_as_differences():
+    rng = np.random.default_rng(3)
+    value = np.unique(rng.integers(0, 2**64, 500_000, dtype=np.uint64))
+    for some in (value, value[:1], value[:0], np.array([0, 2**64 - 1], np.uint64)):
+        assert near_dedup.from_differences(pa.chunked_array([[near_dedup.differences(some)]], pa.binary())).tolist() == some.tolist()
+    many = pa.chunked_array([[near_dedup.differences(value[:9]), None, near_dedup.differences(value[5:])]], pa.binary())
+    assert near_dedup.from_differences(many).tolist() == [*value[:9].tolist(), *value[5:].tolist()]
+    texts = pa.array([" ".join(str(x) for x in rng.integers(0, 10**6, 200_000)), "a b c d e f"])
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([1, 1]), texts, pa.array([0, 0])], ["v", "n", "text", "chunk"])
+    sent = pa.Table.from_batches(list(near_dedup._counted(4, 1 << 30)(iter([batch]))))
+    data = b"".join(sent.column("gs").to_pylist())
+    assert len(data) == 8 * 199_998
+    assert len(pa.compress(data, "lz4", asbytes=True)) < 0.85 * len(data)
+
+
+def test_runs_of_words_are_hashed_from_lines():
+    rng = np.random.default_rng(4)
+    lines = [" ".join(["aé", "b", "日本", "word"][k] for k in rng.integers(0, 4, n)) for n in rng.integers(0, 30, 60)] + [None, "", "one", "a b c d e"]
+    for array in (pa.array(lines), pa.array(["x y z", *lines])[1:]):
+        found = minhash.ngram_hashes(array, 3, lambda values: np.array([len(x) for x in values], np.int64)).to_pylist()
+        words = [(x or "").split() for x in lines]
+        assert found == [[len(" ".join(w[i : i + 3]).encode()) for i in range(len(w) - 2)] for w in words]
