@@ -6,7 +6,7 @@ two thirds of a rare one's: the shingles of a text with thousands of near copies
 for just that reason, and the copies' own changes must not outweigh them. Document
 frequencies are exact, one count for each 64-bit hash of a shingle. Texts lie in chunks of some
 megabytes; a chunk sends its distinct hashes once, sorted and cut into ranges of hash, as
-one array for each range. A range meets the arrays of all chunks, adds up their counts, and
+one array for each range, of differences that compress. A range meets the arrays of all chunks, adds up their counts, and
 gives every chunk back the hashes that more than one text has, with their frequency; all
 others are 1. The number of ranges grows with the text, so a range holds about
 ``RANGE_HASHES`` hashes, and a shingle of any number of texts is there once for each chunk.
@@ -125,6 +125,20 @@ def range_of(value: np.ndarray, ranges: int) -> np.ndarray:
     return ((value >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
 
 
+def differences(value: np.ndarray) -> bytes:
+    """Rising hashes as their differences, the same byte of all beside each other.
+
+    Of a chunk's hashes the upper bytes of the differences are zero, which compresses; of the hashes none does.
+    """
+    return np.diff(value, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def from_differences(column: pa.ChunkedArray) -> np.ndarray:
+    """The hashes of all rows of ``differences``."""
+    data = [np.frombuffer(x, np.uint8).reshape(8, -1).T.copy().view(np.uint64).ravel().cumsum(dtype=np.uint64) for x in column.to_pylist() if x]
+    return np.concatenate(data) if data else np.zeros(0, np.uint64)
+
+
 def _counted(ranges: int, most_bytes: int):
     """The distinct shingles of a chunk, one row for each range: hashes and the number of documents that have them."""
 
@@ -141,11 +155,11 @@ def _counted(ranges: int, most_bytes: int):
                 value, n = value[heads], np.add.reduceat(n, heads) if len(heads) else n
                 cuts = np.searchsorted(range_of(value, ranges), np.arange(ranges + 1, dtype=np.uint64))
                 there = np.flatnonzero(np.diff(cuts))
-                data, numbers = value.tobytes(), n.astype(np.uint32).tobytes()
+                numbers = n.astype(np.uint32).tobytes()
                 lows, highs = cuts[there].tolist(), cuts[there + 1].tolist()
                 yield pa.RecordBatch.from_arrays([
                     pa.array(there, pa.int64()), pa.array(np.full(len(there), chunk), pa.int64()),
-                    pa.array([data[8 * a : 8 * b] for a, b in zip(lows, highs)], pa.binary()),
+                    pa.array([differences(value[a:b]) for a, b in zip(lows, highs)], pa.binary()),
                     pa.array([numbers[4 * a : 4 * b] for a, b in zip(lows, highs)], pa.binary()),
                 ], ["range", "chunk", "gs", "n"])
 
@@ -158,7 +172,7 @@ def _numbers(column: pa.ChunkedArray, kind: type) -> np.ndarray:
 
 def _repeated(table: pa.Table) -> pa.Table:
     """What of a range each chunk has that more than one document has."""
-    gs, n = _numbers(table.column("gs"), np.uint64), _numbers(table.column("n"), np.uint32)
+    gs, n = from_differences(table.column("gs")), _numbers(table.column("n"), np.uint32)
     _, which = np.unique(gs, return_inverse=True)
     df = np.bincount(which, weights=n).astype(np.uint32)[which]
     ends = np.cumsum([len(x) // 8 for x in table.column("gs").to_pylist()])
@@ -167,7 +181,7 @@ def _repeated(table: pa.Table) -> pa.Table:
         keep = df[low:high] > 1
         if keep.any():
             found["chunk"].append(chunk)
-            found["gs"].append(gs[low:high][keep].tobytes())
+            found["gs"].append(differences(gs[low:high][keep]))
             found["dfs"].append(df[low:high][keep].tobytes())
     kinds = {"chunk": pa.int64(), "gs": pa.binary(), "dfs": pa.binary()}
     return pa.table({c: pa.array(x, kinds[c]) for c, x in found.items()})
@@ -182,7 +196,7 @@ def frequencies(texts: DataFrame, n_bytes: int, chunk_bytes: int, range_hashes:
 
 def listed(lists: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of a chunk that are repeated, in order, and their frequencies."""
-    known, at = np.unique(_numbers(lists.column("gs"), np.uint64), return_index=True)
+    known, at = np.unique(from_differences(lists.column("gs")), return_index=True)
     return known, _numbers(lists.column("dfs"), np.uint32)[at].astype(np.float64)
 
 
