@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from pagesift.functions.hashing import md5_31, xx_31
 from pagesift.functions.minhash import coefficients, minima
 from pagesift.operators import dedup as D
 from pagesift.operators import reorganize as R
@@ -184,6 +185,18 @@ def test_verified_clusters_equal_all_pairs(spark, limit):
     assert got == {x: root(x) for x in linked}
 
 
+@pytest.mark.parametrize("own", [md5_31, xx_31])
+def test_signatures_from_lines_equal_those_of_the_expression(spark, own):
+    rng = random.Random(4)
+    words = ["Alpha", "beta,", "é", "日本", "x1", "-", "\u00a0", "\n"]
+    texts = [" ".join(rng.choice(words) for _ in range(n)) for n in (0, 3, 5, 40, 200)] + [None, "", "a b c d e"]
+    docs = spark.createDataFrame([(i if i else None, x) for i, x in enumerate(texts)], "doc_id long, text string")
+    plain = D.minhash_signature(docs, hash_fn=lambda gram: own(gram))
+    found = D.minhash_signature(docs, hash_fn=own)
+    assert found.schema == plain.schema and sorted(map(str, found.collect())) == sorted(map(str, plain.collect()))
+    assert found.count() >= 11
+
+
 def test_curation_keeps_what_only_shares_a_bucket(spark, monkeypatch):
     from pagesift.plans import curation
 
