@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -51,17 +51,20 @@ def few_bytes(spark: SparkSession, most: int):
         spark.conf.set(ARROW_BYTES, before)
 
 
-def chunks(batches: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[pa.Table]:
-    """Tables of about ``most_bytes``: small batches are joined, large ones are cut."""
+def chunks(
+    batches: Iterator[pa.RecordBatch], most_bytes: int, bytes_of: Callable[[pa.RecordBatch], int] | None = None
+) -> Iterator[pa.Table]:
+    """Tables of about ``most_bytes``, or as ``bytes_of`` counts them: small batches are joined, large ones are cut."""
     pending: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
-        pieces = max(1, min(batch.num_rows, -(-batch.nbytes // most_bytes)))
+        own = bytes_of(batch) if bytes_of else batch.nbytes
+        pieces = max(1, min(batch.num_rows, -(-own // most_bytes)))
         step = -(-batch.num_rows // pieces) if batch.num_rows else 1
         for at in range(0, batch.num_rows, step):
             part = batch.slice(at, step)
             pending.append(part)
-            size += part.get_total_buffer_size() if pieces == 1 else batch.nbytes // pieces
+            size += part.get_total_buffer_size() if pieces == 1 and not bytes_of else own // pieces
             if size >= most_bytes:
                 yield pa.Table.from_batches(pending).combine_chunks()
                 pending, size = [], 0

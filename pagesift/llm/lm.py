@@ -16,6 +16,9 @@ gradient steps over its part of the training texts, and sends its change of the
 the changes of a row are averaged by how often each task has met its features. Each training text is
 used in exactly one round. Tables have a fixed size; they are what is broadcast.
 
+Texts are tokenised twice: to find the frequent tokens, and to count. The second time the
+codes of each text's tokens are written, and all later passes read those.
+
 Counts are exact and over all texts. The ``HEAD`` most frequent tokens have a place in a
 vector that each task fills. Any other token is a row (hash, text) that is shuffled by
 the hash once; such a token is rare, so no group is large, however large the vocabulary.
@@ -28,7 +31,6 @@ no part.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,7 +57,11 @@ RATE = 0.25
 FLOOR = 1.0
 #: Tokens of a gradient step, and of a step of scoring.
 STEP = 4_096
-SCORE_STEP = 4_096
+SCORE_STEP = 512
+#: Rows of weights, or of outcomes, that are worked on at once, so that they stay in a core's cache.
+BLOCK = 512
+#: Rows that a step meets more often than this are summed up one by one.
+MANY = 24
 CHUNK_BYTES = 1 << 20
 #: Distinct tokens that a task holds while it looks for frequent ones.
 HELD = 500_000
@@ -84,27 +90,32 @@ def held_out(id_name: str) -> Column:
     return F.coalesce(F.crc32(col(id_name).cast("string").cast("binary")) % 10 == 0, F.lit(False))
 
 
+def summed(words_of: pa.Array, n: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """Each word once, in the order of their first places, with its sum."""
+    coded = words_of.dictionary_encode()
+    total = np.bincount(coded.indices.to_numpy(), weights=n, minlength=len(coded.dictionary))
+    return coded.dictionary, total.astype(np.int64)
+
+
 def frequent(train: DataFrame, most: int) -> list[str]:
     """About the most frequent tokens: each task names its own, their counts are summed."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-
-        def best() -> pa.RecordBatch:
-            top = counts.most_common(most)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([x for x, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], ["word", "n"]
-            )
+    def best(held: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
+        top = np.argsort(-counts, kind="stable")[:most]
+        return pa.RecordBatch.from_arrays([held.take(pa.array(top)).cast(pa.string()), pa.array(counts[top])], ["word", "n"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = pa.array([], pa.large_string()), np.zeros(0, np.int64)
+        held, counts = none
         for part in chunks(batches, 4 * CHUNK_BYTES):
             _, numbers, names = tokens(texts_of(part))
             n = np.bincount(numbers, minlength=len(names))
             used = np.flatnonzero(n)
-            counts.update(dict(zip(names.take(pa.array(used)).to_pylist(), n[used].tolist())))
-            if len(counts) > HELD:
-                yield best()
-                counts.clear()
-        yield best()
+            held, counts = summed(pa.concat_arrays([held, names.take(pa.array(used))]), np.concatenate([counts, n[used]]))
+            if len(held) > HELD:
+                yield best(held, counts)
+                held, counts = none
+        yield best(held, counts)
 
     found = train.select("text").mapInArrow(run, "word string, n long").where(F.col("n") > 0)
     top = found.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most).collect()
@@ -117,12 +128,13 @@ class Lexicon:
     def __init__(self, head: list[str]):
         names = [END] + [x for x in head if x != END]
         self.place = {x: i for i, x in enumerate(names)}
+        self.names = pa.array(names, pa.large_string())
 
     def look_up(self, names: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(hash, place in the head or -1, class) of distinct tokens."""
-        listed, get = names.to_pylist(), self.place.get
+        listed = names.to_pylist()
         hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, listed), np.uint64, len(listed))
-        places = np.fromiter((get(x, -1) for x in listed), np.int64, len(listed))
+        places = pc.index_in(names, self.names).fill_null(-1).to_numpy().astype(np.int64)
         endings = pc.utf8_slice_codeunits(names, -SUFFIX).dictionary_encode()
         of_ending = np.array([xxhash.xxh3_64_intdigest(x) % TAILS for x in endings.dictionary.to_pylist()], dtype=np.int64)
         tails = of_ending[endings.indices.to_numpy()] if len(listed) else places
@@ -131,30 +143,45 @@ class Lexicon:
 
 
 def mixed(values: np.ndarray, rows: int) -> np.ndarray:
-    values = (values ^ (values >> np.uint64(29))) * MIX[1]
-    values = (values ^ (values >> np.uint64(32))) * MIX[3]
-    return (values >> np.uint64(64 - (rows.bit_length() - 1))).astype(np.int64)
+    """Rows of a table; ``values`` is overwritten."""
+    values ^= values >> np.uint64(29)
+    values *= MIX[1]
+    values ^= values >> np.uint64(32)
+    values *= MIX[3]
+    values >>= np.uint64(64 - (rows.bit_length() - 1))
+    return values.view(np.int64)
 
 
 def features(hashes: np.ndarray, classes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rows of the class table (4 per token) and of the word table (2 per token)."""
-    inner = np.arange(len(hashes)) - np.repeat(starts[:-1], np.diff(starts))
 
     def back(values: np.ndarray, k: int) -> np.ndarray:
-        out = np.zeros_like(values)
+        out = np.ones_like(values)
         out[k:] = values[: len(values) - k]
-        out[inner < k] = 1
+        for inner in range(k):
+            first = starts[:-1] + inner
+            out[first[first < starts[1:]]] = 1
         return out
 
     w1, w2 = back(hashes, 1), back(hashes, 2)
-    c1, c2, c3 = (back(classes + 2, k).astype(np.uint64) for k in (1, 2, 3))
-    trigram = (c1 * np.uint64(256) + c2) * np.uint64(256) + c3
+    shifted = classes.astype(np.uint64) + np.uint64(2)
+    trigram = back(shifted, 1)
+    for k in (2, 3):
+        trigram *= np.uint64(256)
+        trigram += back(shifted, k)
     own = classes.astype(np.uint64) * MIX[2]
-    for_class = [w1 * MIX[0], (w1 * MIX[2]) ^ (w2 * MIX[0] + MIX[1]), w2 * MIX[2] + MIX[0], trigram * MIX[1] + MIX[2]]
-    for_word = [w1 * MIX[0] ^ own, w2 * MIX[2] ^ own + MIX[3]]
+    one, skip = w1 * MIX[0], w2 * MIX[2]
+    for_word = [one ^ own, skip ^ (own + MIX[3])]
+    w1 *= MIX[2]
+    w2 *= MIX[0]
+    w2 += MIX[1]
+    w1 ^= w2
+    skip += MIX[0]
+    trigram *= MIX[1]
+    trigram += MIX[2]
     return (
-        np.stack([mixed(x, CLASS_ROWS) for x in for_class], axis=1),
-        np.stack([mixed(x, WORD_ROWS) for x in for_word], axis=1),
+        np.stack([mixed(x, CLASS_ROWS) for x in (one, w1, skip, trigram)]).T,
+        np.stack([mixed(x, WORD_ROWS) for x in for_word]).T,
     )
 
 
@@ -167,19 +194,23 @@ class Weights:
 
     def logits(self, rows: np.ndarray, bias: np.ndarray, which: int) -> np.ndarray:
         table = self.tables[which]
-        out = table[rows[:, 0]]
+        out = table.take(rows[:, 0], axis=0)
         for k in range(1, rows.shape[1]):
-            out += table[rows[:, k]]
+            out += table.take(rows[:, k], axis=0)
         out += bias
-        out -= out.max(axis=1, keepdims=True)
+        # Rows are short, so their maxima are found faster down the columns of a turned copy.
+        out -= np.ascontiguousarray(out.T).max(axis=0)[:, None]
         return out
 
     def factors(self, rows: np.ndarray, bias: np.ndarray, which: int) -> np.ndarray:
         """Probabilities of all outcomes of one factor."""
-        out = self.logits(rows, bias, which)
-        np.exp(out, out=out)
-        out /= out.sum(axis=1, keepdims=True)
-        return out
+        found = np.empty((len(rows), self.tables[which].shape[1]), np.float32)
+        for at in range(0, len(rows), BLOCK):
+            cut = slice(at, at + BLOCK)
+            out = self.logits(rows[cut], bias[cut] if bias.ndim == 2 else bias, which)
+            np.exp(out, out=out)
+            np.divide(out, out.sum(axis=1, keepdims=True), out=found[cut])
+        return found
 
     def log_factor(self, rows: np.ndarray, bias: np.ndarray, which: int, target: np.ndarray) -> np.ndarray:
         """Log probability (natural) of one outcome for each row."""
@@ -202,39 +233,108 @@ class Weights:
         gradient = self.factors(rows, bias, which)
         gradient[np.arange(len(target)), target] -= 1
         table = self.tables[which]
-        # Only the rows that the step meets change.
-        touched, flat, n = np.unique(rows.T, return_inverse=True, return_counts=True)
-        flat = flat.reshape(-1)
-        # Outcome by outcome, as a weighted count over all rows is much faster than sums of sorted vectors.
-        total = np.empty((table.shape[1], len(touched)))
-        for k, column in enumerate(np.ascontiguousarray(gradient.T)):
-            total[k] = np.bincount(flat, weights=np.tile(column, rows.shape[1]), minlength=len(touched))
-        total = np.ascontiguousarray(total.T, dtype=np.float32)
-        met[touched] += n
-        squares = sums[touched] + total * total
+        # Only the rows that the step meets change, those met most often first.
+        flat = rows.T.reshape(-1)
+        often = np.bincount(flat, minlength=len(table))
+        met += often
+        token = np.argsort(flat.astype(np.min_scalar_type(len(table))), kind="stable") % len(target)
+        touched = np.flatnonzero(often)
+        n = often[touched]
+        first = np.cumsum(n) - n
+        by = np.argsort((len(flat) - n).astype(np.min_scalar_type(len(flat))), kind="stable")
+        touched, n, first = touched[by], n[by], first[by]
+        for at in range(0, len(touched), BLOCK):
+            cut = slice(at, at + BLOCK)
+            self._move(table, touched[cut], self._sums(gradient, token, first[cut], n[cut]), sums)
+
+    @staticmethod
+    def _sums(gradient: np.ndarray, token: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """For each row the sum of the gradients of the ``n`` tokens from ``first`` on; ``n`` falls."""
+        total = gradient.take(token[first], axis=0)
+        if n[0] <= 2:
+            total[: np.count_nonzero(n == 2)] += gradient.take(token[first[n == 2] + 1], axis=0)
+            return total
+        total = total.astype(np.float64)
+        # Of the rows met often each is summed up by itself, the others in turns.
+        many = np.count_nonzero(n > MANY)
+        for k in range(many):
+            gradient.take(token[first[k] : first[k] + n[k]], axis=0).sum(axis=0, dtype=np.float64, out=total[k])
+        for turn in range(1, n[many] if many < len(n) else 0):
+            more = np.count_nonzero(n > turn)
+            total[many:more] += gradient.take(token[first[many:more] + turn], axis=0)
+        return total.astype(np.float32)
+
+    @staticmethod
+    def _move(table: np.ndarray, touched: np.ndarray, total: np.ndarray, sums: np.ndarray) -> None:
+        squares = sums.take(touched, axis=0)
+        squares += total * total
         sums[touched] = squares
-        table[touched] -= RATE * total / np.sqrt(squares + np.float32(FLOOR))
+        squares += np.float32(FLOOR)
+        total *= np.float32(RATE)
+        total /= np.sqrt(squares, out=squares)
+        table[touched] = table.take(touched, axis=0) - total
+
+
+def coded(starts: np.ndarray, numbers: np.ndarray, hashes: np.ndarray, places: np.ndarray, classes: np.ndarray) -> list[pa.Array]:
+    """Two binaries for each text: ``codes``, a 32-bit number per token, and ``rare``, the hashes of those outside the head.
+
+    A code is the place in the head, or -1 less the tail class.
+    """
+    codes = np.where(places >= 0, places, CLASSES - TAILS - 1 - classes).astype("<i4")[numbers]
+    outside = codes < 0
+    before = np.concatenate([[0], np.cumsum(outside)])[starts]
+    rare = hashes[numbers[outside]].astype("<u8")
+    return [
+        pa.Array.from_buffers(pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(at * x.itemsize), pa.py_buffer(x)]).cast(pa.binary())
+        for at, x in ((starts.astype(np.int64), codes), (before.astype(np.int64), rare))
+    ]
+
+
+def numbers_of(column: pa.ChunkedArray, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """(where each row's numbers start, all numbers) of a column of binaries."""
+    rows = pa.concat_arrays([x.cast(pa.large_binary()) for x in column.chunks])
+    offsets = np.frombuffer(rows.buffers()[1], np.int64, len(rows) + 1, 8 * rows.offset)
+    data = rows.buffers()[2]
+    held = np.frombuffer(data[offsets[0] : offsets[-1]].to_pybytes() if data is not None else b"", kind)
+    return (offsets - offsets[0]) // held.itemsize, held
+
+
+class Head:
+    """Hash and class of a token by its code."""
+
+    def __init__(self, hashes: np.ndarray, classes: np.ndarray):
+        self.hashes = np.concatenate([hashes, np.zeros(TAILS, np.uint64)])
+        self.classes = np.concatenate([classes, np.arange(CLASSES - 1, CLASSES - TAILS - 1, -1)])
 
 
 class Batch:
-    """Tokens of some texts with all that the model needs."""
+    """Tokens of some coded texts with all that the model needs."""
 
-    def __init__(self, texts: pa.Array, lexicon: Lexicon):
-        self.starts, numbers, names = tokens(texts)
-        hashes, places, classes = lexicon.look_up(names)
-        self.hashes, self.places, self.classes = hashes[numbers], places[numbers], classes[numbers]
+    def __init__(self, part: pa.Table, head: Head):
+        self.starts, codes = numbers_of(part.column("codes"), "<i4")
+        self.hashes, self.classes, self.places = head.hashes[codes], head.classes[codes], np.maximum(codes, -1)
+        self.hashes[codes < 0] = numbers_of(part.column("rare"), "<u8")[1]
         self.class_rows, self.word_rows = features(self.hashes, self.classes, self.starts)
         self.plain = np.flatnonzero(self.classes < CLASSES - TAILS)
 
 
-def _train(weights, lexicon):
+def coded_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Coded texts in the chunks that the texts themselves would be in."""
+
+    def text_bytes(batch: pa.RecordBatch) -> int:
+        return (pc.sum(batch.column("bytes")).as_py() or 0) + 4 * (batch.num_rows + 1)
+
+    return chunks(batches, CHUNK_BYTES, text_bytes)
+
+
+def _train(weights, head):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, own = weights.value, Weights(weights.value.class_bias, weights.value.word_bias)
         own.tables = [x.copy() for x in first.tables]
         sums = [np.zeros_like(x) for x in own.tables]
         met = [np.zeros(len(x), dtype=np.int64) for x in own.tables]
-        for part in chunks(batches, CHUNK_BYTES):
-            b = Batch(texts_of(part), lexicon.value)
+        for part in coded_chunks(batches):
+            b = Batch(part, head.value)
             for at in range(0, len(b.hashes), STEP):
                 cut = slice(at, at + STEP)
                 own.learn(b.class_rows[cut], own.class_bias, b.classes[cut], 0, sums[0], met[0])
@@ -271,8 +371,8 @@ def _averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array(means, pa.binary())], ["row", "change"])
 
 
-def trained(train: DataFrame, lexicon, counts: np.ndarray, tails: dict[int, tuple[int, int]], rounds: int) -> Weights:
-    """Weights after ``rounds`` rounds; a round uses the training texts whose hash falls to it."""
+def trained(train: DataFrame, head, counts: np.ndarray, tails: dict[int, tuple[int, int]], rounds: int) -> Weights:
+    """Weights after ``rounds`` rounds over coded texts; a round uses the training texts whose hash falls to it."""
     spark = train.sparkSession
     plain = np.zeros(WORDS)
     plain[: min(WORDS, len(counts))] = counts[:WORDS]
@@ -283,8 +383,8 @@ def trained(train: DataFrame, lexicon, counts: np.ndarray, tails: dict[int, tupl
     n_all = float(shares.sum())
     for turn in range(rounds if n_all else 0):
         shared = spark.sparkContext.broadcast(weights)
-        some = train.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == turn).select("text")
-        changes = some.mapInArrow(_train(shared, lexicon), "row long, n long, change binary")
+        some = train.where(F.pmod("t", F.lit(rounds)) == turn).select("codes", "rare", "bytes")
+        changes = some.mapInArrow(_train(shared, head), "row long, n long, change binary")
         means = changes.repartition(partitions(spark), "row").mapInArrow(_averaged, "row long, change binary")
         # As much as the tables hold, whatever the corpus.
         weights = weights.moved({x["row"]: np.frombuffer(x["change"], np.float32) for x in means.collect()})
@@ -293,15 +393,24 @@ def trained(train: DataFrame, lexicon, counts: np.ndarray, tails: dict[int, tupl
 
 
 def _counted(lexicon, size: int):
-    """A row per text and token outside the head; at last a row per token of the head, with class -1."""
+    """A row per text and token outside the head, a row per text with its codes, with class -2.
+
+    At last a row per token of the head, with class -1.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(size, dtype=np.int64)
-        names_of = ["id", "t", "train", "hash", "class", "n"]
+        names_of = ["id", "t", "train", "hash", "class", "n", "codes", "rare", "bytes"]
         id_type = pa.null()
+
+        def batch(texts: list[pa.Array], hashes: np.ndarray, classes: np.ndarray, n: np.ndarray, codes: list[pa.Array]) -> pa.RecordBatch:
+            rest = codes or [pa.nulls(len(n), x) for x in (pa.binary(), pa.binary(), pa.int64())]
+            return pa.RecordBatch.from_arrays([*texts, pa.array(hashes), pa.array(classes.astype(np.int32)), pa.array(n), *rest], names_of)
+
         for part in chunks(batches, 4 * CHUNK_BYTES):
             id_type = part.schema.field("id").type
-            starts, numbers, names = tokens(texts_of(part))
+            texts = texts_of(part)
+            starts, numbers, names = tokens(texts)
             hashes, places, classes = lexicon.value.look_up(names)
             doc = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
             train = part.column("train").to_numpy()[doc]
@@ -310,36 +419,28 @@ def _counted(lexicon, size: int):
             rare = place < 0
             pairs, n = np.unique(doc[rare] * len(names) + numbers[rare], return_counts=True)
             doc, name = pairs // len(names), pairs % len(names)
-            rows = pa.RecordBatch.from_arrays(
-                [
-                    *(pa.concat_arrays(part.column(c).chunks).take(pa.array(doc)) for c in ("id", "t", "train")),
-                    pa.array(hashes[name].view(np.int64)), pa.array(classes[name].astype(np.int32)), pa.array(n),
-                ],
-                names_of,
-            )
+            own = [pa.concat_arrays(part.column(c).chunks) for c in ("id", "t", "train")]
+            kept = [*coded(starts, numbers, hashes, places, classes), pc.binary_length(texts).cast(pa.int64())]
+            n_tokens = np.diff(starts)
+            yield batch(own, np.zeros(len(n_tokens), np.int64), np.full(len(n_tokens), -2), n_tokens, kept)
+            rows = batch([x.take(pa.array(doc)) for x in own], hashes[name].view(np.int64), classes[name], n, [])
             for at in range(0, rows.num_rows, 50_000):
                 yield rows.slice(at, 50_000)
         used = np.flatnonzero(counts)
         if len(used):
-            nothing = pa.nulls(len(used), id_type)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    nothing, pa.nulls(len(used), pa.int64()), pa.array([True] * len(used)), pa.array(used),
-                    pa.array(np.full(len(used), -1, dtype=np.int32)), pa.array(counts[used]),
-                ],
-                names_of,
-            )
+            nothing = [pa.nulls(len(used), id_type), pa.nulls(len(used), pa.int64()), pa.array([True] * len(used))]
+            yield batch(nothing, used, np.full(len(used), -1), counts[used], [])
 
     return run
 
 
-def _score(weights, lexicon, counts, tail_logs):
+def _score(weights, head_of, counts, tail_logs):
     """Per text: tokens, known ones, log10 sums of the head's counts, and of the model without rare counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, logs = weights.value, np.log10(counts.value + 0.1)
-        for part in chunks(batches, CHUNK_BYTES):
-            b = Batch(texts_of(part), lexicon.value)
+        for part in coded_chunks(batches):
+            b = Batch(part, head_of.value)
             model = np.zeros(len(b.hashes))
             for at in range(0, len(b.hashes), SCORE_STEP):
                 cut = slice(at, at + SCORE_STEP)
@@ -381,7 +482,7 @@ def scored(
     lexicon = spark.sparkContext.broadcast(Lexicon(names))
     size = len(lexicon.value.place)
     counts = np.zeros(size, dtype=np.int64)
-    kind = f"id {id_type}, t long, train boolean, hash long, class int, n long"
+    kind = f"id {id_type}, t long, train boolean, hash long, class int, n long, codes binary, rare binary, bytes long"
     path = new_path(spark, "rare-tokens")
     rows.mapInArrow(_counted(lexicon, size), kind).write.option("compression", "zstd").parquet(path)
     counted = spark.read.schema(kind).parquet(path)
@@ -393,7 +494,7 @@ def scored(
     rare_n, rare_v = sum(x["n"] for x in found), sum(x["v"] for x in found)
     tails = {x["class"]: (x["n"], x["v"]) for x in found}
     by_place = sorted(lexicon.value.place, key=lexicon.value.place.get)
-    classes = lexicon.value.look_up(pa.array(by_place, pa.large_string()))[2]
+    hashes, _, classes = lexicon.value.look_up(pa.array(by_place, pa.large_string()))
     for k in range(CLASSES - TAILS, CLASSES):
         n, v = tails.get(k, (0, 0))
         tails[k] = (n + int(counts[classes == k].sum()), v + int((counts[classes == k] > 0).sum()))
@@ -402,7 +503,10 @@ def scored(
         tail_logs[k] = np.log10(n + 0.1 * (v + 1))
     total, distinct = int(counts.sum()) + rare_n, int((counts > 0).sum()) + rare_v
 
-    weights = spark.sparkContext.broadcast(trained(train, lexicon, counts, tails, rounds))
+    # The texts were tokenised and looked up once; training and scoring read their codes.
+    texts = counted.where("class = -2").select("id", "t", "train", "codes", "rare", "bytes")
+    of_code = spark.sparkContext.broadcast(Head(hashes, classes))
+    weights = spark.sparkContext.broadcast(trained(texts.where("train"), of_code, counts, tails, rounds))
     shared = spark.sparkContext.broadcast(counts)
     c = F.coalesce(F.sum(F.when(F.col("train"), F.col("n"))).over(W.partitionBy("hash")), F.lit(0))
     sums = (
@@ -411,7 +515,7 @@ def scored(
         .select(F.col("id").alias("rare_id"), F.col("t").alias("rare_t"), "rare", "rare_known")
     )
     kind = f"id {id_type}, t long, train boolean, n_tokens long, known long, head double, model double"
-    parts = rows.mapInArrow(_score(weights, lexicon, shared, tail_logs), kind)
+    parts = texts.mapInArrow(_score(weights, of_code, shared, tail_logs), kind)
     # Rows equal in id and text have added up in ``sums``.
     copies = F.count(F.lit(1)).over(W.partitionBy("id", "t"))
     same = F.col("id").eqNullSafe(F.col("rare_id")) & (F.col("t") == F.col("rare_t"))

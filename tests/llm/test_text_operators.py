@@ -282,6 +282,40 @@ def test_factors_sum_to_one():
     assert (after[[0, 1], target] > 1 / lm.CLASSES).all() and met[:8].tolist() == [1] * 8
 
 
+def test_step_is_the_sum_over_its_tokens():
+    """Rows met once, twice, some times and often."""
+    rng = np.random.default_rng(4)
+    weights = lm.Weights(np.zeros(lm.CLASSES), np.zeros((lm.WORDS // lm.WIDTH, lm.WIDTH)))
+    weights.tables[0][:] = rng.normal(size=weights.tables[0].shape)
+    rows = np.minimum(rng.geometric(0.002, size=(1_500, 4)), 3_000) + np.array([0, 0, 0, 4_000])
+    rows[:200, 1] = 9_000
+    target, sums, met = rng.integers(0, lm.CLASSES, len(rows)), np.zeros_like(weights.tables[0]), np.zeros(lm.CLASS_ROWS, np.int64)
+    gradient = weights.factors(rows, weights.class_bias, 0).astype(np.float64)
+    gradient[np.arange(len(rows)), target] -= 1
+    total, times = np.zeros_like(weights.tables[0], np.float64), np.bincount(rows.reshape(-1), minlength=lm.CLASS_ROWS)
+    np.add.at(total, rows.reshape(-1), np.repeat(gradient, 4, axis=0))
+    assert {0, 1, 2, 3} < set(times.tolist()) and times.max() > lm.MANY
+    wanted = weights.tables[0] - lm.RATE * total / np.sqrt(total**2 + lm.FLOOR)
+    weights.learn(rows, weights.class_bias, target, 0, sums, met)
+    assert np.allclose(weights.tables[0], wanted, atol=1e-5) and (met == times).all() and np.allclose(sums, total**2, rtol=1e-4, atol=1e-5)
+
+
+def test_texts_are_tokenised_before_training():
+    """Training and scoring read numbers: those that the tokens of the texts have."""
+    texts = pa.array(["b a zz", "", "A\tq  q zz ", "a"])
+    starts, numbers, names = lm.tokens(texts)
+    lexicon = lm.Lexicon(["a", "b"])
+    hashes, places, classes = lexicon.look_up(names)
+    codes, rare = lm.coded(starts, numbers, hashes, places, classes)
+    known = lexicon.look_up(pa.array([lm.END, "a", "b"], pa.large_string()))
+    part = pa.table({"codes": codes, "rare": rare})
+    for low, n in ((0, 4), (1, 2), (2, 1), (4, 0)):
+        batch = lm.Batch(part.slice(low, n), lm.Head(known[0], known[2]))
+        own = numbers[starts[low] : starts[low + n]]
+        assert (batch.starts == starts[low : low + n + 1] - starts[low]).all()
+        assert (batch.hashes == hashes[own]).all() and (batch.places == places[own]).all() and (batch.classes == classes[own]).all()
+
+
 def test_class_factor_has_four_features():
     """The class of a token may depend on the token before the last one alone."""
     names = pa.array(["a", "x", "y", "z", lm.END], pa.large_string())
