@@ -8,7 +8,8 @@ from pagesift.catalog import duck as K
 from pagesift.catalog import fixtures as X
 from pagesift.functions import symbols as S
 from pagesift.functions import text as T
-from pagesift.functions.hashing import md5_31
+from pagesift.functions.hashing import OF_BYTES, md5_31
+from pagesift.functions.minhash import run_hashes
 from pagesift.functions.unicode import classifier_text
 from pagesift.sources.tables import scan
 
@@ -61,8 +62,8 @@ def overlap_ngrams(spark, sf):
 
 def gram_hash(spark, sf):
     """Hashed 5-word runs of the whole texts, as the near-duplicate job uses them."""
-    grams = X.documents(spark, sf).select("doc_id", F.posexplode(T.ngrams(T.words(F.col("text")), 5)).alias("pos", "gram"))
-    return grams.select("doc_id", "pos", md5_31(F.col("gram")).alias("hash"))
+    texts = X.documents(spark, sf).select("doc_id", T.half_simple(F.col("text")).alias("text"))
+    return run_hashes(texts, "doc_id", 5, OF_BYTES[md5_31]).select("doc_id", F.posexplode("hashes").alias("pos", "hash"))
 
 
 def _symbol_text(spark, sf, symbols):

@@ -14,7 +14,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from pagesift.functions.hashing import PRIME31
+from pagesift.functions.hashing import OF_RUNS, PRIME31
+from pagesift.functions.text import simple_lines
 
 BUCKETS = 11
 HASHES = 10
@@ -71,12 +72,28 @@ def ngram_hashes(lines: pa.Array, n: int, of_bytes: Callable[[list[bytes]], np.n
     hashes = [np.zeros(0, np.int64)]
     for at in range(0, len(first), SLICE):
         some = first[at : at + SLICE]
-        pairs = zip(starts[some].tolist(), ends[some + n - 1].tolist())
-        hashes.append(of_bytes([data[low:high] for low, high in pairs]))
+        low, high = starts[some], ends[some + n - 1]
+        if of_bytes in OF_RUNS:
+            hashes.append(OF_RUNS[of_bytes](data, low, high))
+        else:
+            hashes.append(of_bytes([data[x:y] for x, y in zip(low.tolist(), high.tolist())]))
     cuts = np.concatenate([[0], np.cumsum(np.maximum(sizes - n + 1, 0))]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(hashes)))
 
 
+def run_hashes(rows: DataFrame, id_col: str, n: int, of_bytes: Callable[[list[bytes]], np.ndarray]) -> DataFrame:
+    """Rows ``(id, text)`` with texts from ``text.half_simple`` to ``(id, hashes)``: those of all runs of ``n`` words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 1, LINE_BYTES):
+                hashes = ngram_hashes(simple_lines(part.column(1)), n, of_bytes)
+                yield pa.RecordBatch.from_arrays([part.column(0), hashes], [id_col, "hashes"])
+
+    kind = rows.schema[id_col].dataType
+    return rows.mapInArrow(run, StructType([StructField(id_col, kind), StructField("hashes", ArrayType(LongType()))]))
+
+
 def minima(shingles: pa.Array, pairs: list[tuple[int, int]], hashes: int) -> pa.Array:
     """For each array of shingle hashes one array of minima per bucket; empty without shingles."""
     lengths = np.asarray(shingles.value_lengths().fill_null(0))

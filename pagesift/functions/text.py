@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import unicodedata
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -57,6 +59,68 @@ def simplify(
     return one_line(out)
 
 
+#: Characters that ``simple_lines`` knows: their kinds are the same in all versions of Unicode in use.
+_KNOWN = (range(0x250), range(0x2000, 0x2070))
+_BEYOND = r"[^\x00-\x{24f}\x{2000}-\x{206f}]"
+
+
+def _kind(code: int) -> int:
+    """0 for a character that ``simplify`` drops, 1 for a kept one, 2 for white space."""
+    kind = unicodedata.category(chr(code))[0]
+    if kind == "Z" or code in (*range(0x09, 0x0E), *range(0x1C, 0x20), 0x85):
+        return 2
+    return 1 if kind in "LN" else 0
+
+
+# The last one stands for all others, which ``half_simple`` leaves in simplified texts only.
+_KINDS = np.array([_kind(x) if any(x in known for known in _KNOWN) else 1 for x in range(0x2071)], np.uint8)
+_BYTE_KINDS = np.concatenate([_KINDS[:0x80], np.ones(0x80, np.uint8)])
+
+
+def half_simple(text: Column) -> Column:
+    """Text that ``simple_lines`` makes equal to ``simplify(text)``: in lower case, or simplified if it has rarer characters."""
+    lower = F.lower(text)
+    return F.when(lower.rlike(_BEYOND), simplify(text)).otherwise(lower)
+
+
+def simple_lines(texts: pa.Array) -> pa.Array:
+    """``simplify`` for Arrow batches of ``half_simple`` texts, byte by byte instead of by patterns; null is empty."""
+    texts = pa.concat_arrays([texts.cast(pa.large_binary()).fill_null(b"")])
+    cuts = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, 8 * texts.offset)
+    buffer = texts.buffers()[2]
+    data = np.frombuffer(buffer if buffer is not None else b"", np.uint8)[cuts[0] : cuts[-1]]
+    cuts = cuts - cuts[0]
+    kinds = _BYTE_KINDS[data]
+    for low, high, size, bits in ((0xC0, 0xE0, 2, 0x1F), (0xE0, 0xF0, 3, 0x0F)):
+        first = np.flatnonzero((data >= low) & (data < high))
+        code = (data[first] & bits).astype(np.int64)
+        for k in range(1, size):
+            code = code << 6 | data[first + k] & 0x3F
+        kind = _KINDS[np.minimum(code, len(_KINDS) - 1)]
+        first, kind = first[kind != 1], kind[kind != 1]
+        kinds[first] = kind
+        for k in range(1, size):
+            kinds[first + k] = 0
+    data = np.where(kinds == 2, np.uint8(32), data)
+    data, cuts = _without(data, cuts, np.flatnonzero(kinds == 0))
+    # Of each run of blanks the first one stays, but none at the ends of a text.
+    blanks = np.flatnonzero(data == 32)
+    row = np.searchsorted(cuts, blanks, "right") - 1
+    first = np.ones(len(blanks), bool)
+    first[1:] = (np.diff(blanks) > 1) | (np.diff(row) > 0)
+    last = np.append(first[1:], True)[: len(blanks)]
+    at_end = np.repeat((blanks + 1 == cuts[row + 1])[last], np.diff(np.append(np.flatnonzero(first), len(blanks))))
+    data, cuts = _without(data, cuts, blanks[~first | (blanks == cuts[row]) | at_end])
+    return pa.Array.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(cuts), pa.py_buffer(data)])
+
+
+def _without(data: np.ndarray, cuts: np.ndarray, gone: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and bounds of texts when the bytes at ``gone`` are taken out."""
+    stays = np.ones(len(data), bool)
+    stays[gone] = False
+    return data[stays], cuts - np.searchsorted(gone, cuts)
+
+
 def words(
     text: Column, remove_punctuation: bool = True, norm_numbers: bool = False, strip_diacritics: bool = False
 ) -> Column:
