@@ -111,11 +111,13 @@ def frequent(train: DataFrame, most: int) -> list[str]:
             _, numbers, names = tokens(texts_of(part))
             n = np.bincount(numbers, minlength=len(names))
             used = np.flatnonzero(n)
-            held, counts = summed(pa.concat_arrays([held, names.take(pa.array(used))]), np.concatenate([counts, n[used]]))
+            held, counts = pa.concat_arrays([held, names.take(pa.array(used))]), np.concatenate([counts, n[used]])
+            if len(held) > HELD:
+                held, counts = summed(held, counts)
             if len(held) > HELD:
                 yield best(held, counts)
                 held, counts = none
-        yield best(held, counts)
+        yield best(*summed(held, counts))
 
     found = train.select("text").mapInArrow(run, "word string, n long").where(F.col("n") > 0)
     top = found.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most).collect()
@@ -130,14 +132,16 @@ class Lexicon:
         self.place = {x: i for i, x in enumerate(names)}
         self.names = pa.array(names, pa.large_string())
 
-    def look_up(self, names: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(hash, place in the head or -1, class) of distinct tokens."""
-        listed = names.to_pylist()
-        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, listed), np.uint64, len(listed))
+    def look_up(self, names: pa.Array, rare_only: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hash, place in the head or -1, class) of distinct tokens; with ``rare_only`` no hashes of the head."""
         places = pc.index_in(names, self.names).fill_null(-1).to_numpy().astype(np.int64)
+        hashed = np.flatnonzero(places < 0) if rare_only else np.arange(len(names))
+        listed = names.take(pa.array(hashed)).to_pylist()
+        hashes = np.zeros(len(names), np.uint64)
+        hashes[hashed] = np.fromiter(map(xxhash.xxh3_64_intdigest, listed), np.uint64, len(listed))
         endings = pc.utf8_slice_codeunits(names, -SUFFIX).dictionary_encode()
         of_ending = np.array([xxhash.xxh3_64_intdigest(x) % TAILS for x in endings.dictionary.to_pylist()], dtype=np.int64)
-        tails = of_ending[endings.indices.to_numpy()] if len(listed) else places
+        tails = of_ending[endings.indices.to_numpy()] if len(names) else places
         plain = (places >= 0) & (places < WORDS)
         return hashes, places, np.where(plain, places // WIDTH, CLASSES - TAILS + tails)
 
@@ -198,8 +202,12 @@ class Weights:
         for k in range(1, rows.shape[1]):
             out += table.take(rows[:, k], axis=0)
         out += bias
-        # Rows are short, so their maxima are found faster down the columns of a turned copy.
-        out -= np.ascontiguousarray(out.T).max(axis=0)[:, None]
+        # Rows are short, so their maxima are found faster half against half, then down the columns of a turned copy.
+        top = out
+        while top.shape[1] > 16:
+            half = top.shape[1] // 2
+            top = np.maximum(top[:, :half], top[:, -half:])
+        out -= np.ascontiguousarray(top.T).max(axis=0)[:, None]
         return out
 
     def factors(self, rows: np.ndarray, bias: np.ndarray, which: int) -> np.ndarray:
@@ -411,7 +419,7 @@ def _counted(lexicon, size: int):
             id_type = part.schema.field("id").type
             texts = texts_of(part)
             starts, numbers, names = tokens(texts)
-            hashes, places, classes = lexicon.value.look_up(names)
+            hashes, places, classes = lexicon.value.look_up(names, rare_only=True)
             doc = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
             train = part.column("train").to_numpy()[doc]
             place = places[numbers]
