@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 #: A table up to this many bytes, measured first, may be broadcast; a larger one is shuffled.
 BROADCAST_BYTES = 32 << 20
 ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+READ_ROWS = "spark.sql.parquet.columnarReaderBatchSize"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -41,14 +42,23 @@ def hinted(df: DataFrame, row_bytes: Column, limit: int = BROADCAST_BYTES) -> Da
 
 
 @contextmanager
-def few_bytes(spark: SparkSession, most: int):
-    """Jobs inside send at most about ``most`` bytes to a Python worker at once, however wide their rows are."""
-    before = spark.conf.get(ARROW_BYTES)
-    spark.conf.set(ARROW_BYTES, str(most))
+def _set(spark: SparkSession, key: str, value: int):
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(value))
     try:
         yield
     finally:
-        spark.conf.set(ARROW_BYTES, before)
+        spark.conf.set(key, before)
+
+
+def few_bytes(spark: SparkSession, most: int):
+    """Jobs inside send at most about ``most`` bytes to a Python worker at once, however wide their rows are."""
+    return _set(spark, ARROW_BYTES, most)
+
+
+def few_rows(spark: SparkSession, most: int):
+    """Scans of Parquet inside hold ``most`` rows at once."""
+    return _set(spark, READ_ROWS, most)
 
 
 def chunks(

@@ -15,7 +15,8 @@ ends at once.
 
 The benchmark is a query set against all shards. It is packed into parts of bounded size, and each
 shard meets each part: by a broadcast of all parts if their measured size allows it, else by a shuffle on (shard,
-part). Nothing is capped: a shard is bounded by the bytes of its texts, or holds one longer text alone.
+part). Nothing is capped: a shard is bounded by the bytes of its texts, or holds one longer text alone. Shards are
+small, and few of them are written, read or sent to a worker at once, so a task's memory does not grow with its input.
 Spans and items of one document are combined by (shard, place of the document), which no hot word
 and no item can make large beyond the document's own words.
 
@@ -36,13 +37,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from pagesift.llm.common import BROADCAST_BYTES, chunks, col, few_bytes, text_of
+from pagesift.llm.common import BROADCAST_BYTES, chunks, col, few_bytes, few_rows, text_of
 from pagesift.session import materialize
 
 WINDOW = 10
-SHARD_BYTES = 1 << 20
-#: Bytes of shards that a task holds at once.
-BATCH_BYTES = 8 << 20
+#: The postings of such a shard stay below half a MB, so the JVM's heap is not broken up by arrays that span its regions.
+SHARD_BYTES = 1 << 18
+#: Bytes of texts or shards that are sent to a Python worker at once.
+BATCH_BYTES = 2 << 20
+#: Shards of a row group, which is written and read as a whole, and those that a scan holds at once.
+GROUP_SHARDS = 16
+READ_SHARDS = 4
 PART_BYTES = 1 << 20
 GAP = 1 << 10
 #: Candidates that are intersected at once.
@@ -101,7 +106,9 @@ def index(docs: DataFrame, id_name: str = "doc_id", text_name: str = "text", sha
         T.StructField("positions", T.BinaryType()),
     ])
     made = rows.mapInArrow(_postings(shard_bytes, to_arrow_type(id_type)), schema)
-    return materialize(made.withColumn("shard", F.monotonically_increasing_id()), "postings")
+    with few_bytes(docs.sparkSession, BATCH_BYTES):
+        made = made.withColumn("shard", F.monotonically_increasing_id())
+        return materialize(made, "postings", **{"parquet.block.row.count.limit": str(GROUP_SHARDS)})
 
 
 def _pack(window: int, part_bytes: int):
@@ -283,7 +290,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, **
     by_doc = hits.groupBy("shard", "place").agg(
         F.collect_set(span).alias("spans"), F.array_sort(F.collect_set("item_id")).alias("items")
     )
-    with few_bytes(docs.sparkSession, BATCH_BYTES):
+    with few_bytes(docs.sparkSession, BATCH_BYTES), few_rows(docs.sparkSession, READ_SHARDS):
         by_doc = materialize(by_doc, "phrase-hits")
     found = documents_of(postings).join(by_doc, ["shard", "place"], "left")
     spans = F.coalesce("spans", F.expr(f"cast(array() as {SPANS})"))

@@ -49,11 +49,11 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/pagesift/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def materialize(df: DataFrame, name: str = "stage", **options: str) -> DataFrame:
+    """Write ``df`` to the shared folder, with options of the writer, and read it back.
 
     This cuts the lineage: a lost executor costs a re-read, not a recompute.
     """
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -235,6 +235,30 @@ def test_proximity(spark):
         P.matches(postings, bench, slack=600)
 
 
+def test_index_and_lookup_hold_little_at_once(spark, monkeypatch):
+    import pyarrow.parquet as pq
+
+    rows = [(i, lorem(i % 5, 9000)) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert sum(len(text) for _, text in rows) > 1 << 19
+    wide = P.index(docs).agg(F.max(F.octet_length("positions")), F.max(F.octet_length("counts"))).first()
+    assert 0 < max(wide) < 1 << 19
+    files = [pq.ParquetFile(f.removeprefix("file:")).metadata for f in P.index(docs.limit(20).repartition(1), shard_bytes=1).inputFiles()]
+    groups = [m.row_group(i).num_rows for m in files for i in range(m.num_row_groups)]
+    assert sum(groups) == 20 and max(groups) <= 16
+    held, write = {}, P.materialize
+
+    def materialize(df, name, **options):
+        held[name] = [spark.conf.get(k) for k in ("spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.parquet.columnarReaderBatchSize")]
+        return write(df, name, **options)
+
+    monkeypatch.setattr(P, "materialize", materialize)
+    bench = spark.createDataFrame([(1, " ".join(rows[3][1].split()[100:120]))], "item_id long, text string")
+    found = {r["doc_id"]: r["n_hit"] for r in P.contaminated(docs, bench).collect()}
+    assert found == {i: 20 if i % 5 == 3 else 0 for i in range(20)}
+    assert held["postings"][0] == str(2 << 20) and held["phrase-hits"] == [str(2 << 20), "4"]
+
+
 def test_words_are_cut_like_the_pattern():
     import pyarrow as pa
 
