@@ -185,6 +185,24 @@ def test_verified_clusters_equal_all_pairs(spark, limit):
     assert got == {x: root(x) for x in linked}
 
 
+def test_few_rounds_and_clusters_for_a_large_star_of_small_families(spark, monkeypatch):
+    """The center is unlike all; members of a family are alike, also those of other lengths that stay just above the threshold."""
+    rows, edges = [(0, " ".join(f"c{j}" for j in range(20)))], []
+    for i in range(1, 151):
+        words = [f"f{i % 60}w{j}" for j in range(24)] + [f"end{i}x{j}" for j in range(i % 4)]
+        rows.append((i, " ".join(words[: 24 + i % 4])))
+        edges.append((0, i))
+    docs, star = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(edges, "u long, v long")
+    sets = {d: {tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for d, t in rows}
+    alike = [(a, b) for a in range(1, 151) for b in range(a + 60, 151, 60) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    want = {b: a for a, b in reversed(alike)} | {a: a for a, _ in alike if a <= 60}
+    calls, whole = [], D.dup_clusters
+    monkeypatch.setattr(D, "dup_clusters", lambda *a, **b: calls.append(1) or whole(*a, **b))
+    found = {r["doc_id"]: r["cluster_id"] for r in D.verified_clusters(star, docs, 0.8).collect()}
+    assert found == {x: min(want[x], want.get(want[x], want[x])) for x in want} and len(found) > 100
+    assert len(calls) <= 5
+
+
 @pytest.mark.parametrize("own", [md5_31, xx_31])
 def test_signatures_from_lines_equal_those_of_the_expression(spark, own):
     rng = random.Random(4)
